@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "genoframe") -> SparkSession:
@@ -42,3 +42,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
     return current
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and read it back: cuts the
+    lineage (a lost executor re-reads files instead of recomputing the whole
+    upstream plan) and lets several consumers share one computation."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

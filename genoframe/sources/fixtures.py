@@ -78,9 +78,12 @@ def fixtures(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
     return [fixture(spark, sf_dir, n) for n in names]
 
 
-def with_fixtures(names: list[str], body: str, extra_ctes: list[tuple[str, str]] | None = None) -> str:
-    """``WITH <fixture views>, <extra ctes> <body>`` for the DuckDB oracle."""
+def with_fixtures(
+    names: list[str], body: str, extra_ctes: list[tuple[str, str]] | None = None, recursive: bool = False
+) -> str:
+    """``WITH [RECURSIVE] <fixture views>, <extra ctes> <body>`` for the DuckDB oracle."""
     parts = [f"{n} AS ({FIXTURE_SQL[n].strip()})" for n in _closure(names)]
     for n, sql in extra_ctes or []:
         parts.append(f"{n} AS ({sql.strip()})")
-    return "WITH " + ",\n".join(parts) + "\n" + body.strip()
+    head = "WITH RECURSIVE " if recursive else "WITH "
+    return head + ",\n".join(parts) + "\n" + body.strip()
