@@ -316,3 +316,69 @@ def q_haplotype_plot_rects(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("haplotype_plot_labels", _sql("SELECT DISTINCT plotpoint, isotype FROM plot"), "E")
 def q_haplotype_plot_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return H.haplotype_plot_labels(_plot(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ E1 / E2: IBD from genotypes
+
+from ..operators import ibd as IBD  # noqa: E402
+
+_IBD = [
+    (
+        "calls",
+        "SELECT site_id, chrom, pos, strain, CAST(split_part(gt, '/', 1) <> '0' AS INT) + CAST(split_part(gt, '/', 2) <> '0' AS INT) AS d "
+        "FROM f_geno WHERE alt NOT LIKE '%,%' AND gt NOT LIKE '%.%'",
+    ),
+    ("mk", "SELECT site_id, chrom, pos, CAST(SUM(d) AS BIGINT) AS ac, 2 * COUNT(*) AS an FROM calls GROUP BY site_id, chrom, pos"),
+    ("mk2", "SELECT site_id, chrom, pos, ac, an, ac / an AS p, LEAST(ac, an - ac) / an AS maf FROM mk WHERE LEAST(ac, an - ac) >= 4"),
+    (
+        "pr",
+        "SELECT a.chrom, a.pos, a.strain AS s1, b.strain AS s2, a.d AS g1, b.d AS g2, m.p, 1 - m.p AS q, "
+        "LEAST(CAST(0.25 AS DOUBLE) * m.maf, CAST(0.001 AS DOUBLE)) AS eps "
+        "FROM calls a JOIN calls b ON a.site_id = b.site_id AND a.strain < b.strain JOIN mk2 m ON m.site_id = a.site_id",
+    ),
+    (
+        "pl",
+        "SELECT *, CASE g1 * 3 + g2 WHEN 0 THEN q * q * q WHEN 1 THEN q * q * p WHEN 3 THEN q * q * p WHEN 4 THEN p * q "
+        "WHEN 5 THEN p * p * q WHEN 7 THEN p * p * q WHEN 8 THEN p * p * p ELSE CAST(0 AS DOUBLE) END AS pibd, "
+        "(CASE g1 WHEN 0 THEN q * q WHEN 1 THEN 2 * p * q ELSE p * p END) * (CASE g2 WHEN 0 THEN q * q WHEN 1 THEN 2 * p * q ELSE p * p END) AS pnull FROM pr",
+    ),
+    ("ls", "SELECT chrom, pos, s1, s2, CAST(ROUND(log10(((1 - eps) * pibd + eps * pnull) / pnull) * 1000000) AS BIGINT) AS l FROM pl"),
+    (
+        "cs",
+        "SELECT *, SUM(l) OVER (PARTITION BY s1, s2, chrom ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS s FROM ls",
+    ),
+    (
+        "cm",
+        "SELECT *, LEAST(0, MIN(s) OVER (PARTITION BY s1, s2, chrom ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS m FROM cs",
+    ),
+    ("cf", "SELECT *, m < COALESCE(LAG(m) OVER (PARTITION BY s1, s2, chrom ORDER BY pos), 0) AS fall, s - m AS dd FROM cm"),
+    (
+        "ce",
+        "SELECT *, SUM(CAST(fall AS INT)) OVER (PARTITION BY s1, s2, chrom ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS exc FROM cf",
+    ),
+    ("cx", "SELECT *, MAX(dd) OVER (PARTITION BY s1, s2, chrom, exc) AS peak FROM ce"),
+]
+
+
+@register(
+    "ibd_markers",
+    with_fixtures(["f_geno"], "SELECT site_id, chrom, pos, ac, an, p, maf FROM mk2", _IBD[:3]),
+    "E",
+)
+def q_ibd_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return IBD.ibd_markers(fixture(spark, sf_dir, "f_geno")).select("site_id", "chrom", "pos", "ac", "an", "p", "maf")
+
+
+@register(
+    "ibd_segments",
+    with_fixtures(
+        ["f_geno"],
+        "SELECT s1 AS strain1, 1 AS ind1, s2 AS strain2, 1 AS ind2, chrom, MIN(pos) FILTER (WHERE NOT fall) AS start_pos, "
+        "MIN(pos) FILTER (WHERE dd = peak) AS stop_pos, CAST(MAX(peak) AS DOUBLE) / 1000000 AS lod FROM cx "
+        "GROUP BY s1, s2, chrom, exc HAVING MAX(peak) >= 3000000",
+        _IBD,
+    ),
+    "E",
+)
+def q_ibd_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return IBD.ibd_segments(fixture(spark, sf_dir, "f_geno"))
