@@ -358,7 +358,12 @@ def ld_r2(geno: DataFrame, window: int = LD_WINDOW) -> DataFrame:
 
 # --------------------------------------------------------------------- B21
 _PRUNE_SCHEMA = T.StructType(
-    [T.StructField("chrom", T.StringType()), T.StructField("site_id", T.LongType()), T.StructField("pruned", T.BooleanType())]
+    [
+        T.StructField("ld", T.DoubleType()),
+        T.StructField("chrom", T.StringType()),
+        T.StructField("site_id", T.LongType()),
+        T.StructField("pruned", T.BooleanType()),
+    ]
 )
 
 
@@ -381,25 +386,31 @@ def _greedy_prune(window: int, step: int):
                 removed.add(a if maf[a] < maf[b] else b)
         ranks = sorted(maf)
         return pd.DataFrame(
-            {"chrom": pdf.chrom.iloc[0], "site_id": [site[r] for r in ranks], "pruned": [r in removed for r in ranks]}
+            {
+                "ld": float(pdf.ld.iloc[0]),
+                "chrom": pdf.chrom.iloc[0],
+                "site_id": [site[r] for r in ranks],
+                "pruned": [r in removed for r in ranks],
+            }
         )
 
     return run
 
 
-def ld_prune(
-    geno: DataFrame, threshold: float, window: int = LD_WINDOW, step: int = LD_STEP
+def ld_prune_sweep(
+    geno: DataFrame, thresholds: list[float], window: int = LD_WINDOW, step: int = LD_STEP
 ) -> DataFrame:
-    """Plink-style greedy pruning.  Windows of ``window`` variants start
-    every ``step`` variants; inside a window, pairs are visited in rank order
-    and for a pair with r^2 > threshold whose sites are both still kept, the
-    lower-MAF site is removed (tie: the later one).
+    """B21 for several r^2 thresholds at once (the threshold is a grouping
+    column, G9).  plink-style greedy pruning: windows of ``window`` variants
+    start every ``step`` variants; inside a window, pairs are visited in rank
+    order and for a pair with r^2 > threshold whose sites are both still
+    kept, the lower-MAF site is removed (tie: the later one).
 
     Only edges above the threshold reach Python.  They are split into
     independent islands (maximal rank ranges that no edge crosses: removals
-    in one island never affect another) by a running max over the edge list,
-    so each ``applyInPandas`` group is one LD block, not a chromosome.
-    Returns the kept sites (``prune.in``): every site not removed.
+    in one island never affect another) by a distributed running max, so
+    each ``applyInPandas`` group is one LD block, not a chromosome.
+    Returns the kept sites (``prune.in``) per threshold.
     """
     r2 = ld_r2(geno, window)
     ranked = site_ranks(geno)
@@ -409,13 +420,21 @@ def ld_prune(
     ranked = ranked.withColumn("maf", F.when(called > 0, F.least(p, 1 - p)).otherwise(F.lit(0.0)))
     s1 = ranked.select(F.col("site_id").alias("site1"), F.col("rank").alias("rank1"), F.col("maf").alias("maf1"))
     s2 = ranked.select(F.col("site_id").alias("site2"), F.col("rank").alias("rank2"), F.col("maf").alias("maf2"))
-    edges = r2.filter(F.col("r2") > F.lit(threshold)).join(s1, "site1").join(s2, "site2")
-    edges = block_islands(edges, "chrom", "rank1", "rank2", "island", block=100_000)
-    decided = edges.select("chrom", "island", "rank1", "rank2", "site1", "site2", "maf1", "maf2").groupBy(
-        "chrom", "island"
+    ts = F.array(*[F.lit(float(t)) for t in thresholds])
+    edges = r2.filter(F.col("r2") > F.lit(min(thresholds))).withColumn("ld", F.explode(ts)).filter(F.col("r2") > F.col("ld"))
+    edges = edges.join(s1, "site1").join(s2, "site2").withColumn("_lk", F.concat_ws("|", F.col("ld").cast("string"), "chrom"))
+    edges = block_islands(edges, "_lk", "rank1", "rank2", "island", block=100_000)
+    decided = edges.select("ld", "chrom", "island", "rank1", "rank2", "site1", "site2", "maf1", "maf2").groupBy(
+        "ld", "chrom", "island"
     ).applyInPandas(_greedy_prune(window, step), _PRUNE_SCHEMA)
-    removed = decided.filter("pruned").select("site_id")
-    return ranked.select("site_id", "chrom", "pos", "maf").join(removed, "site_id", "left_anti")
+    removed = decided.filter("pruned").select("ld", "site_id")
+    sites = ranked.select("site_id", "chrom", "pos", "maf").withColumn("ld", F.explode(ts))
+    return sites.join(removed, ["ld", "site_id"], "left_anti")
+
+
+def ld_prune(geno: DataFrame, threshold: float, window: int = LD_WINDOW, step: int = LD_STEP) -> DataFrame:
+    """Kept sites (``prune.in``) at one r^2 threshold."""
+    return ld_prune_sweep(geno, [threshold], window, step).drop("ld")
 
 
 # --------------------------------------------------------------------- B22
