@@ -50,6 +50,5 @@ def _load_all() -> None:
 
 
 def all_queries() -> dict[str, Query]:
-    if not _REGISTRY:
-        _load_all()
+    _load_all()  # imports are idempotent; never trust a partially filled registry
     return dict(_REGISTRY)
