@@ -4,8 +4,8 @@ Input: a mask table, one row per (strain, 1 kb bin) with the variant count and
 mean read depth of the bin: ``strain, chrom, start_bin, end_bin, var_count,
 coverage``.
 
-Plan shape: the per-strain mean coverage is a partial aggregate joined back
-(one row per strain, AQE broadcasts it at runtime when small), then ONE hash
+Plan shape: the per-strain mean coverage is a partial aggregate broadcast
+back (one row per strain: bounded by the sample count), then ONE hash
 shuffle on (strain, chrom) feeds every window of D3-D9: all later windows
 partition on (strain, chrom) or a superset, so Spark reuses that partitioning
 and only sorts within partitions.  Neighbours across a chromosome boundary
@@ -41,10 +41,18 @@ def _w_bins() -> Window:
 
 
 # --------------------------------------------------------------------- D1
-def coverage_fraction(mask: DataFrame) -> DataFrame:
+def _per_sample(df: DataFrame, broadcast: bool) -> DataFrame:
+    """Tables with one row per strain (or per strain and contig) are bounded
+    by the sample count, not by the data: broadcasting them keeps the big
+    side from shuffling on the strain alone.  ``broadcast=False`` falls back
+    to a plain join (AQE still decides at runtime)."""
+    return F.broadcast(df) if broadcast else df
+
+
+def coverage_fraction(mask: DataFrame, broadcast: bool = True) -> DataFrame:
     """Coverage divided by the strain's genome-wide mean coverage."""
     mean_cov = mask.groupBy("strain").agg(F.avg("coverage").alias("mean_cov_genome"))
-    return mask.join(mean_cov, "strain").withColumn(
+    return mask.join(_per_sample(mean_cov, broadcast), "strain").withColumn(
         "fraction_cov", F.col("coverage") / F.col("mean_cov_genome")
     )
 
@@ -93,7 +101,7 @@ def two_flank_rescue(classified: DataFrame, contigs: list[str] | None = None) ->
         F.lag("_last_pass").over(we).alias("_chrom_prev_pass"),
         F.lead("_first_pass").over(we).alias("_chrom_next_pass"),
     )
-    df = df.join(edges, KEYS, "left")
+    df = df.join(F.broadcast(edges), KEYS, "left")  # two values per (strain, contig)
     prev_pass = F.coalesce(F.col("_prev_pass"), F.col("_chrom_prev_pass"), F.lit(False))
     next_pass = F.coalesce(F.col("_next_pass"), F.col("_chrom_next_pass"), F.lit(False))
     twoflank = is_pass & ~prev_pass & ~next_pass
@@ -357,28 +365,29 @@ def total_divergent_size(final_bins: DataFrame) -> DataFrame:
 def divergence_stats(mask: DataFrame, threshold: int = CLUSTER_THRESHOLD, contigs: list[str] | None = None) -> DataFrame:
     """Mean variant count and coverage fraction of divergent vs other bins,
     per class, per strain, per strain over divergent bins only, and the grand
-    means of the per-strain tables.  One labelled table (``scope``)."""
+    means of the per-strain tables.  One labelled table (``scope``).
+
+    The bins are reduced once to sums and counts per (strain, class) - one
+    row per strain and class - and every statistic is derived from that."""
     flagged = _with_final_flags(gap_joined_clusters(mask, contigs), threshold)
-    bins = flagged.select(
-        "strain",
-        "var_count",
-        "fraction_cov",
-        F.when(F.col("is_final"), F.lit("Divergent")).otherwise(F.lit("Pass")).alias("div_class"),
+    cls = F.when(F.col("is_final"), F.lit("Divergent")).otherwise(F.lit("Pass"))
+    part = flagged.groupBy("strain", cls.alias("div_class")).agg(
+        F.sum("var_count").alias("_sc"), F.sum("fraction_cov").alias("_sf"), F.count(F.lit(1)).alias("_n")
     )
-    aggs = [F.avg("var_count").alias("mean_count"), F.avg("fraction_cov").alias("mean_cov")]
-    by_class = bins.groupBy("div_class").agg(*aggs).select(
-        F.lit("class").alias("scope"), F.lit(None).cast("string").alias("strain"), "div_class", "mean_count", "mean_cov"
+    mean = lambda df, *keys: df.groupBy(*keys).agg(
+        (F.sum("_sc") / F.sum("_n")).alias("mean_count"), (F.sum("_sf") / F.sum("_n")).alias("mean_cov")
     )
-    per_strain = bins.groupBy("strain").agg(*aggs)
-    per_strain_div = bins.filter(F.col("div_class") == "Divergent").groupBy("strain").agg(*aggs)
-    s1 = per_strain.select(F.lit("strain").alias("scope"), "strain", F.lit(None).cast("string").alias("div_class"), "mean_count", "mean_cov")
+    null = F.lit(None).cast("string")
+    by_class = mean(part, "div_class").select(F.lit("class").alias("scope"), null.alias("strain"), "div_class", "mean_count", "mean_cov")
+    per_strain = mean(part, "strain")
+    per_strain_div = mean(part.filter(F.col("div_class") == "Divergent"), "strain")
+    s1 = per_strain.select(F.lit("strain").alias("scope"), "strain", null.alias("div_class"), "mean_count", "mean_cov")
     s2 = per_strain_div.select(F.lit("strain_divergent").alias("scope"), "strain", F.lit("Divergent").alias("div_class"), "mean_count", "mean_cov")
-    g1 = per_strain.agg(F.avg("mean_count").alias("mean_count"), F.avg("mean_cov").alias("mean_cov")).select(
-        F.lit("grand").alias("scope"), F.lit(None).cast("string").alias("strain"), F.lit(None).cast("string").alias("div_class"), "mean_count", "mean_cov"
-    )
-    g2 = per_strain_div.agg(F.avg("mean_count").alias("mean_count"), F.avg("mean_cov").alias("mean_cov")).select(
-        F.lit("grand_divergent").alias("scope"), F.lit(None).cast("string").alias("strain"), F.lit("Divergent").alias("div_class"), "mean_count", "mean_cov"
-    )
+    grand = lambda df, scope, c: df.agg(
+        F.avg("mean_count").alias("mean_count"), F.avg("mean_cov").alias("mean_cov")
+    ).select(F.lit(scope).alias("scope"), null.alias("strain"), c.alias("div_class"), "mean_count", "mean_cov")
+    g1 = grand(per_strain, "grand", null)
+    g2 = grand(per_strain_div, "grand_divergent", F.lit("Divergent"))
     return by_class.unionByName(s1).unionByName(s2).unionByName(g1).unionByName(g2)
 
 

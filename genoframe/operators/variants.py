@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from ..functions import genotype as G
 from ..functions.contigs import MARKER_CHROM_NAMES, NUCLEAR_CONTIGS
 from ..functions.ranking import block_islands, block_rank
+from ..session import materialize
 
 SITE = ["site_id"]
 
@@ -27,6 +28,7 @@ MAX_AF = 0.999999
 # LD pruning window (variants) and step of --indep-pairwise 50 10.
 LD_WINDOW = 50
 LD_STEP = 10
+ISLANDS_PER_GROUP = 256
 
 
 # --------------------------------------------------------------------- B1
@@ -328,6 +330,11 @@ def site_ranks(geno: DataFrame) -> DataFrame:
 
 
 def ld_r2(geno: DataFrame, window: int = LD_WINDOW) -> DataFrame:
+    """B20 on the genotype table (see ``ld_r2_ranked``)."""
+    return ld_r2_ranked(site_ranks(geno), window)
+
+
+def ld_r2_ranked(ranked: DataFrame, window: int = LD_WINDOW) -> DataFrame:
     """r^2 of dosages for every pair of sites less than ``window``
     variants apart on a chromosome (plink window semantics).
 
@@ -336,7 +343,6 @@ def ld_r2(geno: DataFrame, window: int = LD_WINDOW) -> DataFrame:
     and equi-joined on (chrom, rank): no range or nested-loop join.  r^2 is
     computed JVM-side over the two dosage arrays.
     """
-    ranked = site_ranks(geno)
     left = ranked.select(
         "chrom",
         F.col("site_id").alias("site1"),
@@ -369,7 +375,7 @@ _PRUNE_SCHEMA = T.StructType(
 
 def _greedy_prune(window: int, step: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        # pdf: the edges (r2 > t) of one island: rank1 < rank2, sites and MAFs.
+        # pdf: the edges (r2 > t) of whole islands of one chromosome: rank1 < rank2.
         maf = dict(zip(pdf.rank1, pdf.maf1))
         maf.update(zip(pdf.rank2, pdf.maf2))
         site = dict(zip(pdf.rank1, pdf.site1))
@@ -412,8 +418,10 @@ def ld_prune_sweep(
     each ``applyInPandas`` group is one LD block, not a chromosome.
     Returns the kept sites (``prune.in``) per threshold.
     """
-    r2 = ld_r2(geno, window)
-    ranked = site_ranks(geno)
+    # the ranked dosage table feeds both sides of the pair join and the MAF
+    # lookups: materialise it once instead of re-aggregating the genotypes
+    ranked = materialize(site_ranks(geno))
+    r2 = ld_r2_ranked(ranked, window)
     called = F.aggregate(F.transform("dos", lambda d: F.when(d.isNull(), 0).otherwise(2)), F.lit(0), lambda a, b: a + b)
     alt = F.aggregate(F.transform("dos", lambda d: F.coalesce(d, F.lit(0))), F.lit(0), lambda a, b: a + b)
     p = alt / called
@@ -424,8 +432,12 @@ def ld_prune_sweep(
     edges = r2.filter(F.col("r2") > F.lit(min(thresholds))).withColumn("ld", F.explode(ts)).filter(F.col("r2") > F.col("ld"))
     edges = edges.join(s1, "site1").join(s2, "site2").withColumn("_lk", F.concat_ws("|", F.col("ld").cast("string"), "chrom"))
     edges = block_islands(edges, "_lk", "rank1", "rank2", "island", block=100_000)
-    decided = edges.select("ld", "chrom", "island", "rank1", "rank2", "site1", "site2", "maf1", "maf2").groupBy(
-        "ld", "chrom", "island"
+    # Islands have disjoint sites, so a group may hold several whole islands
+    # (one sorted pass over them is exact); buckets of consecutive islands
+    # cut the per-group Python overhead.
+    edges = edges.withColumn("_bucket", F.floor(F.col("island") / F.lit(ISLANDS_PER_GROUP)))
+    decided = edges.select("ld", "chrom", "_bucket", "rank1", "rank2", "site1", "site2", "maf1", "maf2").groupBy(
+        "ld", "chrom", "_bucket"
     ).applyInPandas(_greedy_prune(window, step), _PRUNE_SCHEMA)
     removed = decided.filter("pruned").select("ld", "site_id")
     sites = ranked.select("site_id", "chrom", "pos", "maf").withColumn("ld", F.explode(ts))
