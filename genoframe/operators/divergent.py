@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.contigs import contig_rank
+from ..session import materialize
 
 # Long-read optimised thresholds of the reference's calling.
 COVERAGE_FRACTION = 0.35  # bins below this fraction of the strain's mean depth
@@ -349,16 +350,15 @@ def divergent_regions(
 
 # --------------------------------------------------------------------- D11
 def total_divergent_size(final_bins: DataFrame) -> DataFrame:
-    """Distinct divergent windows / 1e3, overall (``All``) and by freq_bin."""
+    """Distinct divergent windows / 1e3, overall (``All``) and by freq_bin.
+    freq_bin is a function of the window, so each distinct window is counted
+    once under its class and once under ``All`` (one pass, no union)."""
     windows = final_bins.select("chrom", "start_bin", "end_bin", "mwf", "freq_bin").dropDuplicates()
-    by_bin = windows.groupBy("freq_bin").agg((F.count(F.lit(1)) / 1e3).alias("size_kb"))
-    overall = (
-        windows.select("chrom", "start_bin", "end_bin")
-        .dropDuplicates()
+    return (
+        windows.select(F.explode(F.array("freq_bin", F.lit("All"))).alias("freq_bin"))
+        .groupBy("freq_bin")
         .agg((F.count(F.lit(1)) / 1e3).alias("size_kb"))
-        .select(F.lit("All").alias("freq_bin"), "size_kb")
     )
-    return by_bin.unionByName(overall)
 
 
 # --------------------------------------------------------------------- D12
@@ -371,9 +371,11 @@ def divergence_stats(mask: DataFrame, threshold: int = CLUSTER_THRESHOLD, contig
     row per strain and class - and every statistic is derived from that."""
     flagged = _with_final_flags(gap_joined_clusters(mask, contigs), threshold)
     cls = F.when(F.col("is_final"), F.lit("Divergent")).otherwise(F.lit("Pass"))
-    part = flagged.groupBy("strain", cls.alias("div_class")).agg(
-        F.sum("var_count").alias("_sc"), F.sum("fraction_cov").alias("_sf"), F.count(F.lit(1)).alias("_n")
-    )
+    part = materialize(
+        flagged.groupBy("strain", cls.alias("div_class")).agg(
+            F.sum("var_count").alias("_sc"), F.sum("fraction_cov").alias("_sf"), F.count(F.lit(1)).alias("_n")
+        )
+    )  # at most 2 rows per strain; five outputs read it, the window pipeline runs once
     mean = lambda df, *keys: df.groupBy(*keys).agg(
         (F.sum("_sc") / F.sum("_n")).alias("mean_count"), (F.sum("_sf") / F.sum("_n")).alias("mean_cov")
     )
@@ -400,10 +402,11 @@ def strain_size(final_bins: DataFrame, strains: list[str] | None = None) -> Data
 
 # --------------------------------------------------------------------- D14
 def bins_by_class(final_bins: DataFrame) -> DataFrame:
-    """Distinct divergent bins of each freq class and of all classes."""
-    per_class = final_bins.select(F.col("freq_bin").alias("class"), "chrom", "start_bin", "end_bin")
-    all_bins = final_bins.select(F.lit("All").alias("class"), "chrom", "start_bin", "end_bin")
-    return per_class.unionByName(all_bins).dropDuplicates()
+    """Distinct divergent bins of each freq class and of all classes
+    (each bin row tagged with its class and ``All``; one pass, no union)."""
+    return final_bins.select(
+        F.explode(F.array("freq_bin", F.lit("All"))).alias("class"), "chrom", "start_bin", "end_bin"
+    ).dropDuplicates()
 
 
 # --------------------------------------------------------------------- D15
