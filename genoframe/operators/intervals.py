@@ -30,10 +30,54 @@ def make_bins(lengths: DataFrame, size: int = BIN_SIZE, length_col: str = "chrom
     ).select("chrom", "start_bin", F.least(F.col("start_bin") + size, F.col("_len")).alias("end_bin"))
 
 
-def strain_bins(strain_chroms: DataFrame, lengths: DataFrame, size: int = BIN_SIZE, length_col: str = "chrom_length") -> DataFrame:
-    """Every bin for every (strain, chrom) present in the data: an equi-join on
-    chrom with the lengths, then a generator; no cartesian product."""
-    return make_bins(lengths, size, length_col).join(strain_chroms.select("strain", "chrom").dropDuplicates(), "chrom")
+def _sparse_maps(per_bin: DataFrame, value: str) -> DataFrame:
+    """(strain, chrom) -> MAP<bin, value> from sparse rows ``strain, chrom,
+    _b, value`` (``_b = -1`` only registers the pair).  A map holds at most
+    one entry per bin of its chromosome: a bound set by the genome."""
+    return per_bin.groupBy("strain", "chrom").agg(
+        F.map_from_entries(F.collect_list(F.when(F.col("_b") >= 0, F.struct("_b", value)))).alias(f"_m_{value}")
+    )
+
+
+def _expand(maps: DataFrame, values: list[str], lengths: DataFrame, size: int, length_col: str) -> DataFrame:
+    """Every bin of each (strain, chrom) row, generated from the chromosome
+    length; missing map entries give 0.  The dense grid is never shuffled."""
+    lens = F.broadcast(lengths.select("chrom", F.col(length_col).cast("bigint").alias("_len")))  # one row per contig
+    grid = maps.join(lens, "chrom").withColumn(
+        "start_bin", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_len") - 1, F.lit(size).cast("bigint")))
+    )
+    b = F.floor(F.col("start_bin") / size).cast("bigint")
+    return grid.select(
+        "strain",
+        "chrom",
+        "start_bin",
+        F.least(F.col("start_bin") + size, F.col("_len")).alias("end_bin"),
+        *[F.coalesce(F.element_at(f"_m_{v}", b), F.lit(0).cast("bigint")).alias(v) for v in values],
+    )
+
+
+def _count_maps(geno: DataFrame, size: int) -> DataFrame:
+    start = F.col("pos") - 1
+    bins = F.when(G.has_alt("gt"), _bins_of(start, start + F.length("ref"), size)).otherwise(
+        F.array(F.lit(-1).cast("bigint"))
+    )
+    hits = geno.select("strain", "chrom", F.explode(bins).alias("_b"))
+    counts = hits.groupBy("strain", "chrom", "_b").agg(
+        F.sum(F.when(F.col("_b") >= 0, 1).otherwise(0)).cast("bigint").alias("var_count")
+    )
+    return _sparse_maps(counts, "var_count")
+
+
+def _depth_maps(aligned: DataFrame, size: int) -> DataFrame:
+    pieces = aligned.select(
+        "strain", "chrom", "start_pos", "end_pos", F.explode(_bins_of(F.col("start_pos"), F.col("end_pos"), size)).alias("_b")
+    )
+    bases = F.least(F.col("end_pos"), (F.col("_b") + 1) * size) - F.greatest(F.col("start_pos"), F.col("_b") * size)
+    return _sparse_maps(pieces.groupBy("strain", "chrom", "_b").agg(F.sum(bases).alias("_bases")), "_bases")
+
+
+def _depth(bases: str = "_bases") -> Column:
+    return F.round(F.col(bases) * 100 / (F.col("end_bin") - F.col("start_bin")), 0) / 100
 
 
 # --------------------------------------------------------------------- C1
@@ -42,16 +86,7 @@ def interval_count(
 ) -> DataFrame:
     """Per (strain, bin), the number of the strain's non-reference calls
     whose span [pos-1, pos-1+len(ref)) overlaps the bin; empty bins give 0."""
-    carriers = geno.filter(G.has_alt("gt")).select(
-        "strain", "chrom", (F.col("pos") - 1).alias("_s"), (F.col("pos") - 1 + F.length("ref")).alias("_e")
-    )
-    hits = carriers.select("strain", "chrom", F.explode(_bins_of(F.col("_s"), F.col("_e"), size)).alias("_b"))
-    counts = hits.groupBy("strain", "chrom", "_b").agg(F.count(F.lit(1)).alias("var_count"))
-    grid = strain_bins(geno, lengths, size, length_col).withColumn("_b", F.floor(F.col("start_bin") / size).cast("bigint"))
-    return (
-        grid.join(counts, ["strain", "chrom", "_b"], "left")
-        .select("strain", "chrom", "start_bin", "end_bin", F.coalesce("var_count", F.lit(0).cast("bigint")).alias("var_count"))
-    )
+    return _expand(_count_maps(geno, size), ["var_count"], lengths, size, length_col)
 
 
 # --------------------------------------------------------------------- C2
@@ -61,16 +96,19 @@ def interval_mean_depth(
     """Mean read depth per (strain, bin) from aligned intervals
     ``start_pos, end_pos`` (0-based half-open): overlapping bases / bin
     length, 2 decimals (half up); bins without reads give 0."""
-    pieces = aligned.select(
-        "strain", "chrom", "start_pos", "end_pos", F.explode(_bins_of(F.col("start_pos"), F.col("end_pos"), size)).alias("_b")
-    )
-    bases = F.least(F.col("end_pos"), (F.col("_b") + 1) * size) - F.greatest(F.col("start_pos"), F.col("_b") * size)
-    per_bin = pieces.groupBy("strain", "chrom", "_b").agg(F.sum(bases).alias("_bases"))
-    grid = strain_bins(aligned, lengths, size, length_col).withColumn("_b", F.floor(F.col("start_bin") / size).cast("bigint"))
-    depth = F.round(F.coalesce(F.col("_bases"), F.lit(0)) * 100 / (F.col("end_bin") - F.col("start_bin")), 0) / 100
-    return grid.join(per_bin, ["strain", "chrom", "_b"], "left").select(
-        "strain", "chrom", "start_bin", "end_bin", depth.alias("coverage")
-    )
+    filled = _expand(_depth_maps(aligned, size), ["_bases"], lengths, size, length_col)
+    return filled.select("strain", "chrom", "start_bin", "end_bin", _depth().alias("coverage"))
+
+
+def mask_from_calls(
+    geno: DataFrame, aligned: DataFrame, lengths: DataFrame, size: int = BIN_SIZE, length_col: str = "chrom_length"
+) -> DataFrame:
+    """C1 + C2 + C3 fused: the two sparse per-(strain, chrom) maps are joined
+    (both sides already hashed on (strain, chrom)) and the mask grid is
+    generated once."""
+    maps = _count_maps(geno, size).join(_depth_maps(aligned, size), ["strain", "chrom"])
+    filled = _expand(maps, ["var_count", "_bases"], lengths, size, length_col)
+    return filled.select("strain", "chrom", "start_bin", "end_bin", "var_count", _depth().alias("coverage"))
 
 
 # --------------------------------------------------------------------- C3

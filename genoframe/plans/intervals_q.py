@@ -70,9 +70,7 @@ _MASK = _COUNT + _DEPTH[2:] + [
 @register("assemble_mask", with_fixtures(["f_geno", "f_align", "f_chrom"], "SELECT * FROM mask", _MASK), "C")
 def q_assemble_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     lengths = fixture(spark, sf_dir, "f_chrom")
-    counts = I.interval_count(fixture(spark, sf_dir, "f_geno"), lengths)
-    depth = I.interval_mean_depth(fixture(spark, sf_dir, "f_align"), lengths)
-    return I.assemble_mask(counts, depth)
+    return I.mask_from_calls(fixture(spark, sf_dir, "f_geno"), fixture(spark, sf_dir, "f_align"), lengths)
 
 
 @register("mask_divergent_regions", None, "C")
@@ -80,9 +78,7 @@ def q_mask_divergent_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """count_variant_coverage -> define_divergent_region: masks built from
     calls and alignments (C1-C3) feed the region calling (D17)."""
     lengths = fixture(spark, sf_dir, "f_chrom")
-    counts = I.interval_count(fixture(spark, sf_dir, "f_geno"), lengths)
-    depth = I.interval_mean_depth(fixture(spark, sf_dir, "f_align"), lengths)
-    return D.divergent_regions(I.assemble_mask(counts, depth))
+    return D.divergent_regions(I.mask_from_calls(fixture(spark, sf_dir, "f_geno"), fixture(spark, sf_dir, "f_align"), lengths))
 
 
 @register(
