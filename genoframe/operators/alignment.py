@@ -232,7 +232,9 @@ def pairwise_distance(geno: DataFrame, min_samples: int = MIN_SAMPLES_LOCUS, chu
     """F8: for every strain pair, mismatching characters / sites where both
     are called (not N, n or -)."""
     calls = iupac_calls(geno, min_samples)
-    strains = calls.select("strain").distinct()
+    # strain index from the input's strain list (bounded by the sample count),
+    # not from the consensus calls, so the consensus plan runs once
+    strains = geno.select("strain").distinct()
     strains = strains.withColumn("sidx", (F.row_number().over(Window.orderBy("strain")) - 1).cast("int"))
     n = strains.agg(F.count(F.lit(1))).scalar()
     per_site = calls.join(strains, "strain").groupBy("site_id", "chrom", "pos").agg(

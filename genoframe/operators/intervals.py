@@ -8,7 +8,7 @@ overlap begins, so no de-duplication shuffle is needed.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import genotype as G
@@ -30,50 +30,53 @@ def make_bins(lengths: DataFrame, size: int = BIN_SIZE, length_col: str = "chrom
     ).select("chrom", "start_bin", F.least(F.col("start_bin") + size, F.col("_len")).alias("end_bin"))
 
 
-def _sparse_maps(per_bin: DataFrame, value: str) -> DataFrame:
-    """(strain, chrom) -> MAP<bin, value> from sparse rows ``strain, chrom,
-    _b, value`` (``_b = -1`` only registers the pair).  A map holds at most
-    one entry per bin of its chromosome: a bound set by the genome."""
-    return per_bin.groupBy("strain", "chrom").agg(
-        F.map_from_entries(F.collect_list(F.when(F.col("_b") >= 0, F.struct("_b", value)))).alias(f"_m_{value}")
-    )
-
+def _gap_fill(sparse: DataFrame, values: list[str], lengths: DataFrame, size: int, length_col: str) -> DataFrame:
+    """Dense bins from sparse rows ``strain, chrom, _b, values...`` (``_b =
+    -1`` only registers the (strain, chrom) pair).
 
-def _expand(maps: DataFrame, values: list[str], lengths: DataFrame, size: int, length_col: str) -> DataFrame:
-    """Every bin of each (strain, chrom) row, generated from the chromosome
-    length; missing map entries give 0.  The dense grid is never shuffled."""
+    Ordered by bin within (strain, chrom), each sparse row generates its own
+    bin plus the empty bins since the previous sparse row (and the last row
+    also the empty tail up to the chromosome end), so every output row is
+    produced exactly once: linear work, and only the sparse rows are
+    shuffled.  A window partition holds at most one row per bin of one
+    chromosome of one strain: a bound set by the genome."""
     lens = F.broadcast(lengths.select("chrom", F.col(length_col).cast("bigint").alias("_len")))  # one row per contig
-    grid = maps.join(lens, "chrom").withColumn(
-        "start_bin", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_len") - 1, F.lit(size).cast("bigint")))
+    w = Window.partitionBy("strain", "chrom").orderBy("_b")
+    df = sparse.join(lens, "chrom").withColumn("_nb", F.ceil(F.col("_len") / F.lit(size)).cast("bigint"))
+    df = df.withColumn("_prev", F.coalesce(F.lag("_b").over(w), F.lit(-1).cast("bigint"))).withColumn(
+        "_last", F.lead("_b").over(w).isNull()
     )
-    b = F.floor(F.col("start_bin") / size).cast("bigint")
-    return grid.select(
+    hi = F.when(F.col("_last"), F.col("_nb") - 1).otherwise(F.col("_b"))
+    lo = F.greatest(F.col("_prev") + 1, F.lit(0).cast("bigint"))
+    seq = F.when(hi >= lo, F.sequence(lo, hi)).otherwise(F.array().cast("array<bigint>"))
+    gen = df.select("strain", "chrom", "_len", "_b", *values, F.explode(seq).alias("_i"))
+    start = (F.col("_i") * size).cast("bigint")
+    return gen.select(
         "strain",
         "chrom",
-        "start_bin",
-        F.least(F.col("start_bin") + size, F.col("_len")).alias("end_bin"),
-        *[F.coalesce(F.element_at(f"_m_{v}", b), F.lit(0).cast("bigint")).alias(v) for v in values],
+        start.alias("start_bin"),
+        F.least(start + size, F.col("_len")).alias("end_bin"),
+        *[F.when(F.col("_i") == F.col("_b"), F.col(v)).otherwise(F.lit(0).cast("bigint")).alias(v) for v in values],
     )
 
 
-def _count_maps(geno: DataFrame, size: int) -> DataFrame:
+def _count_sparse(geno: DataFrame, size: int) -> DataFrame:
     start = F.col("pos") - 1
     bins = F.when(G.has_alt("gt"), _bins_of(start, start + F.length("ref"), size)).otherwise(
         F.array(F.lit(-1).cast("bigint"))
     )
     hits = geno.select("strain", "chrom", F.explode(bins).alias("_b"))
-    counts = hits.groupBy("strain", "chrom", "_b").agg(
+    return hits.groupBy("strain", "chrom", "_b").agg(
         F.sum(F.when(F.col("_b") >= 0, 1).otherwise(0)).cast("bigint").alias("var_count")
     )
-    return _sparse_maps(counts, "var_count")
 
 
-def _depth_maps(aligned: DataFrame, size: int) -> DataFrame:
+def _depth_sparse(aligned: DataFrame, size: int) -> DataFrame:
     pieces = aligned.select(
         "strain", "chrom", "start_pos", "end_pos", F.explode(_bins_of(F.col("start_pos"), F.col("end_pos"), size)).alias("_b")
     )
     bases = F.least(F.col("end_pos"), (F.col("_b") + 1) * size) - F.greatest(F.col("start_pos"), F.col("_b") * size)
-    return _sparse_maps(pieces.groupBy("strain", "chrom", "_b").agg(F.sum(bases).alias("_bases")), "_bases")
+    return pieces.groupBy("strain", "chrom", "_b").agg(F.sum(bases).cast("bigint").alias("_bases"))
 
 
 def _depth(bases: str = "_bases") -> Column:
@@ -86,7 +89,7 @@ def interval_count(
 ) -> DataFrame:
     """Per (strain, bin), the number of the strain's non-reference calls
     whose span [pos-1, pos-1+len(ref)) overlaps the bin; empty bins give 0."""
-    return _expand(_count_maps(geno, size), ["var_count"], lengths, size, length_col)
+    return _gap_fill(_count_sparse(geno, size), ["var_count"], lengths, size, length_col)
 
 
 # --------------------------------------------------------------------- C2
@@ -96,18 +99,27 @@ def interval_mean_depth(
     """Mean read depth per (strain, bin) from aligned intervals
     ``start_pos, end_pos`` (0-based half-open): overlapping bases / bin
     length, 2 decimals (half up); bins without reads give 0."""
-    filled = _expand(_depth_maps(aligned, size), ["_bases"], lengths, size, length_col)
+    filled = _gap_fill(_depth_sparse(aligned, size), ["_bases"], lengths, size, length_col)
     return filled.select("strain", "chrom", "start_bin", "end_bin", _depth().alias("coverage"))
 
 
 def mask_from_calls(
     geno: DataFrame, aligned: DataFrame, lengths: DataFrame, size: int = BIN_SIZE, length_col: str = "chrom_length"
 ) -> DataFrame:
-    """C1 + C2 + C3 fused: the two sparse per-(strain, chrom) maps are joined
-    (both sides already hashed on (strain, chrom)) and the mask grid is
-    generated once."""
-    maps = _count_maps(geno, size).join(_depth_maps(aligned, size), ["strain", "chrom"])
-    filled = _expand(maps, ["var_count", "_bases"], lengths, size, length_col)
+    """C1 + C2 + C3 fused: the two sparse tables are merged on (strain,
+    chrom, bin) for the (strain, chrom) pairs present in both inputs, and the
+    dense mask is generated once by the gap fill."""
+    keys = ["strain", "chrom", "_b"]
+    counts = _count_sparse(geno, size)
+    depth = _depth_sparse(aligned, size)
+    both = counts.select("strain", "chrom").distinct().join(depth.select("strain", "chrom").distinct(), ["strain", "chrom"])
+    merged = counts.join(depth, keys, "full_outer").join(both, ["strain", "chrom"], "left_semi")
+    merged = merged.select(
+        *keys,
+        F.coalesce("var_count", F.lit(0).cast("bigint")).alias("var_count"),
+        F.coalesce("_bases", F.lit(0).cast("bigint")).alias("_bases"),
+    )
+    filled = _gap_fill(merged, ["var_count", "_bases"], lengths, size, length_col)
     return filled.select("strain", "chrom", "start_bin", "end_bin", "var_count", _depth().alias("coverage"))
 
 
