@@ -3,6 +3,8 @@ literal rows, and plan-shape checks."""
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -260,7 +262,8 @@ def test_stream_regions_equal_batch(spark, sf_dir, tmp_path):
     src.mkdir()
     strains = ["S0", "S5", "S10"]
     _write_mask_files(src, spark, sf_dir, strains)
-    q = start_region_stream(spark, str(src), str(tmp_path / "regions"), str(tmp_path / "masks"), name=f"t{tmp_path.name}")
+    # a named stream resumes from its checkpoint: give each test run its own name
+    q = start_region_stream(spark, str(src), str(tmp_path / "regions"), str(tmp_path / "masks"), name=f"t-{uuid.uuid4().hex}")
     q.awaitTermination(120)
     streamed = {tuple(r) for r in spark.read.parquet(str(tmp_path / "regions")).select(
         "strain", "chrom", "cluster_start", "cluster_size", "cluster_end").collect()}
