@@ -37,6 +37,7 @@ from pyspark.sql import types as T
 
 from ..functions import genotype as G
 from ..functions.ranking import block_rank
+from ..session import materialize
 
 # Ibdseq settings of the reference (minalleles, ibdlod).
 MIN_ALLELES = 4
@@ -251,6 +252,9 @@ def ibd_segments(
     """IBD segments ``strain1, ind1, strain2, ind2, chrom, start_pos,
     stop_pos, lod`` (strain1 < strain2), one per excursion with peak >= lod."""
     markers, strains = marker_table(geno, min_alleles)
+    # pass A, pass C and the position lookup all read the marker table:
+    # materialise it once (one row per marker, arrays of n dosages)
+    markers = materialize(markers)
     n = strains.agg(F.count(F.lit(1))).scalar()
     n_blocks = F.ceil((n * (n - 1) / 2) / F.lit(pair_block)).cast("bigint")
     keep = int(round(lod * SCALE))

@@ -431,6 +431,9 @@ def ld_prune_sweep(
     ts = F.array(*[F.lit(float(t)) for t in thresholds])
     edges = r2.filter(F.col("r2") > F.lit(min(thresholds))).withColumn("ld", F.explode(ts)).filter(F.col("r2") > F.col("ld"))
     edges = edges.join(s1, "site1").join(s2, "site2").withColumn("_lk", F.concat_ws("|", F.col("ld").cast("string"), "chrom"))
+    # the island labelling reads the edge list several times: materialise the
+    # (thresholded, small) edge list instead of recomputing r^2 for each read
+    edges = materialize(edges.select("ld", "chrom", "_lk", "rank1", "rank2", "site1", "site2", "maf1", "maf2"))
     edges = block_islands(edges, "_lk", "rank1", "rank2", "island", block=100_000)
     # Islands have disjoint sites, so a group may hold several whole islands
     # (one sorted pass over them is exact); buckets of consecutive islands

@@ -18,7 +18,7 @@ _F = [
     ("ns", "SELECT COUNT(DISTINCT strain) AS n FROM f_geno"),
     (
         "st",
-        "SELECT site_id, chrom, pos, ref, alt, SUM(CASE WHEN gt LIKE '.%' THEN 0 ELSE 1 END) AS n_called FROM f_geno GROUP BY site_id, chrom, pos, ref, alt",
+        "SELECT site_id, chrom, pos, ref, alt, CAST(SUM(CASE WHEN gt LIKE '.%' THEN 0 ELSE 1 END) AS BIGINT) AS n_called FROM f_geno GROUP BY site_id, chrom, pos, ref, alt",
     ),
     (
         "st2",
