@@ -64,6 +64,25 @@ def ibd_markers(geno: DataFrame, min_alleles: int = MIN_ALLELES) -> DataFrame:
     )
 
 
+# Ibdseq marker LD filter (r2max, r2window).
+R2_MAX = 0.3
+R2_WINDOW = 1500
+
+
+def ibd_marker_ld_filter(
+    geno: DataFrame, min_alleles: int = MIN_ALLELES, r2max: float = R2_MAX, window: int = R2_WINDOW
+) -> DataFrame:
+    """E1 (LD part): among the IBD markers, in chromosome order, drop a marker
+    whose r^2 with an earlier kept marker less than ``window`` markers away
+    exceeds ``r2max``.  B20/B21 with other parameters: windows start at every
+    marker and the later marker of a linked pair is the one removed."""
+    from . import variants as V
+
+    markers = ibd_markers(geno, min_alleles).select("site_id")
+    g = geno.filter(~F.col("alt").contains(",")).join(markers, "site_id", "left_semi")
+    return V.ld_prune(g, r2max, window=window, step=1, victim="later")
+
+
 def _score_table(p, maf) -> F.Column:
     """ARRAY<BIGINT> of the 9 fixed-point scores, index 3 * g1 + g2."""
     q = 1 - p

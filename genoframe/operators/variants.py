@@ -343,13 +343,15 @@ def ld_r2_ranked(ranked: DataFrame, window: int = LD_WINDOW) -> DataFrame:
     and equi-joined on (chrom, rank): no range or nested-loop join.  r^2 is
     computed JVM-side over the two dosage arrays.
     """
-    left = ranked.select(
+    last = F.broadcast(ranked.groupBy("chrom").agg(F.max("rank").alias("_last")))  # one row per contig
+    hi = F.least(F.col("rank") + window - 1, F.col("_last"))
+    left = ranked.join(last, "chrom").filter(F.col("rank") < F.col("_last")).select(
         "chrom",
         F.col("site_id").alias("site1"),
         F.col("pos").alias("pos1"),
         F.col("rank").alias("rank1"),
         F.col("dos").alias("dos1"),
-        F.explode(F.sequence(F.col("rank") + 1, F.col("rank") + window - 1)).alias("rank2"),
+        F.explode(F.sequence(F.col("rank") + 1, hi)).alias("rank2"),
     )
     right = ranked.select(
         "chrom",
@@ -373,7 +375,7 @@ _PRUNE_SCHEMA = T.StructType(
 )
 
 
-def _greedy_prune(window: int, step: int):
+def _greedy_prune(window: int, step: int, victim: str = "maf"):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         # pdf: the edges (r2 > t) of whole islands of one chromosome: rank1 < rank2.
         maf = dict(zip(pdf.rank1, pdf.maf1))
@@ -389,7 +391,7 @@ def _greedy_prune(window: int, step: int):
         removed: set[int] = set()
         for _, a, b in order:
             if a not in removed and b not in removed:
-                removed.add(a if maf[a] < maf[b] else b)
+                removed.add(b if victim == "later" or maf[a] >= maf[b] else a)
         ranks = sorted(maf)
         return pd.DataFrame(
             {
@@ -404,13 +406,16 @@ def _greedy_prune(window: int, step: int):
 
 
 def ld_prune_sweep(
-    geno: DataFrame, thresholds: list[float], window: int = LD_WINDOW, step: int = LD_STEP
+    geno: DataFrame, thresholds: list[float], window: int = LD_WINDOW, step: int = LD_STEP, victim: str = "maf"
 ) -> DataFrame:
     """B21 for several r^2 thresholds at once (the threshold is a grouping
     column, G9).  plink-style greedy pruning: windows of ``window`` variants
     start every ``step`` variants; inside a window, pairs are visited in rank
     order and for a pair with r^2 > threshold whose sites are both still
-    kept, the lower-MAF site is removed (tie: the later one).
+    kept, the lower-MAF site is removed (tie: the later one); with
+    ``victim='later'`` the later site is always removed, which with
+    ``step=1`` is the forward filter "drop a marker linked to an earlier
+    kept marker within the window".
 
     Only edges above the threshold reach Python.  They are split into
     independent islands (maximal rank ranges that no edge crosses: removals
@@ -441,15 +446,17 @@ def ld_prune_sweep(
     edges = edges.withColumn("_bucket", F.floor(F.col("island") / F.lit(ISLANDS_PER_GROUP)))
     decided = edges.select("ld", "chrom", "_bucket", "rank1", "rank2", "site1", "site2", "maf1", "maf2").groupBy(
         "ld", "chrom", "_bucket"
-    ).applyInPandas(_greedy_prune(window, step), _PRUNE_SCHEMA)
+    ).applyInPandas(_greedy_prune(window, step, victim), _PRUNE_SCHEMA)
     removed = decided.filter("pruned").select("ld", "site_id")
     sites = ranked.select("site_id", "chrom", "pos", "maf").withColumn("ld", F.explode(ts))
     return sites.join(removed, ["ld", "site_id"], "left_anti")
 
 
-def ld_prune(geno: DataFrame, threshold: float, window: int = LD_WINDOW, step: int = LD_STEP) -> DataFrame:
+def ld_prune(
+    geno: DataFrame, threshold: float, window: int = LD_WINDOW, step: int = LD_STEP, victim: str = "maf"
+) -> DataFrame:
     """Kept sites (``prune.in``) at one r^2 threshold."""
-    return ld_prune_sweep(geno, [threshold], window, step).drop("ld")
+    return ld_prune_sweep(geno, [threshold], window, step, victim).drop("ld")
 
 
 # --------------------------------------------------------------------- B22

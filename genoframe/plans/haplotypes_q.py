@@ -382,3 +382,10 @@ def q_ibd_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def q_ibd_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return IBD.ibd_segments(fixture(spark, sf_dir, "f_geno"))
+
+
+@register("ibd_marker_ld_filter", None, "E")
+def q_ibd_marker_ld_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E1 (LD part): markers kept by the r^2 <= 0.3 filter over 1500 markers;
+    checked by invariant (no kept pair within the window above r2max)."""
+    return IBD.ibd_marker_ld_filter(fixture(spark, sf_dir, "f_geno"))

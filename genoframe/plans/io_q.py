@@ -141,3 +141,28 @@ def q_collect_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = io.scratch_path(spark, "onerow")
     io.write_table(fixture(spark, sf_dir, "f_sheet"), path, fmt="csv", header=True, partition_by=["strain"])
     return io.collect_tables(spark, path).select(F.col("strain").cast("string").alias("strain"), "bam", "bai")
+
+
+@register(
+    "strain_lookup_scan",
+    with_fixtures(
+        ["f_sheet", "f_rename"],
+        "SELECT s.strain, s.strain || '_old' AS previous_names, COALESCE(r.isotype, s.strain) AS isotype "
+        "FROM f_sheet s LEFT JOIN f_rename r ON r.ref_strain = s.strain",
+    ),
+    "A",
+)
+def q_strain_lookup_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3: the strain lookup (strain, previous_names, isotype) read back with
+    its projection; built from the sample sheet and the rename map."""
+    path = io.scratch_path(spark, "lookup")
+    sheet = fixture(spark, sf_dir, "f_sheet")
+    rename = fixture(spark, sf_dir, "f_rename")
+    lookup = sheet.join(rename.withColumnRenamed("ref_strain", "strain"), "strain", "left").select(
+        "strain",
+        "bam",
+        F.concat("strain", F.lit("_old")).alias("previous_names"),
+        F.coalesce("isotype", "strain").alias("isotype"),
+    )
+    io.write_table(lookup, path, header=True)
+    return io.read_strain_lookup(spark, path)

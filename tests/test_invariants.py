@@ -270,3 +270,34 @@ def test_stream_regions_equal_batch(spark, sf_dir, tmp_path):
     batch_mask = fixture(spark, sf_dir, "f_mask").filter(F.col("strain").isin(strains))
     batch = {tuple(r) for r in D.divergent_regions(batch_mask).collect()}
     assert streamed == batch and batch
+
+
+# ----------------------------------------------------------------- E1 LD filter vs brute force
+def test_ibd_marker_ld_filter_matches_forward_greedy(spark, sf_dir):
+    g = fixture(spark, sf_dir, "f_geno")
+    got = {r.site_id for r in IBD.ibd_marker_ld_filter(g).collect()}
+    markers = {r.site_id for r in IBD.ibd_markers(g).collect()}
+    arr = V.site_dosage_arrays(g.filter(F.col("site_id").isin(list(markers)))).toPandas()
+    expected = set()
+    for _, part in arr.sort_values(["chrom", "pos", "site_id"]).groupby("chrom"):
+        ids = part.site_id.tolist()
+        dos = [np.array([np.nan if x is None else x for x in d], dtype=float) for d in part.dos]
+        kept: list[int] = []
+        for j in range(len(ids)):
+            linked = False
+            for i in kept:
+                if j - i >= IBD.R2_WINDOW:
+                    continue
+                ok = ~np.isnan(dos[i]) & ~np.isnan(dos[j])
+                x, y = dos[i][ok], dos[j][ok]
+                n = len(x)
+                vx, vy = n * (x * x).sum() - x.sum() ** 2, n * (y * y).sum() - y.sum() ** 2
+                if vx > 0 and vy > 0:
+                    cv = n * (x * y).sum() - x.sum() * y.sum()
+                    if cv * cv / (vx * vy) > IBD.R2_MAX:
+                        linked = True
+                        break
+            if not linked:
+                kept.append(j)
+        expected |= {ids[k] for k in kept}
+    assert got == expected and got
