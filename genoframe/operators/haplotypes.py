@@ -84,7 +84,16 @@ _COMP_SCHEMA = T.StructType(
 )
 
 
+INTERVALS_PER_GROUP = 64
+
+
 def _union_find(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Components of every interval in the group (a bucket of consecutive
+    intervals of one chromosome; each interval is solved on its own)."""
+    return pd.concat([_components(part) for _, part in pdf.groupby("rank", sort=False)], ignore_index=True)
+
+
+def _components(pdf: pd.DataFrame) -> pd.DataFrame:
     parent: dict[str, str] = {}
 
     def find(x: str) -> str:
@@ -127,7 +136,14 @@ def haplotype_components(seg: DataFrame, strains: DataFrame | None = None) -> Da
     component (a strain without an edge is its own component)."""
     intervals = breakpoint_intervals(seg)
     edges = segment_interval_join(seg, intervals)
-    labels = edges.select("chrom", "rank", "strain1", "strain2").groupBy(*IV).applyInPandas(_union_find, _COMP_SCHEMA)
+    # one pandas call per bucket of consecutive intervals (bounded: at most
+    # INTERVALS_PER_GROUP graphs of <= n(n-1)/2 edges), not per interval
+    labels = (
+        edges.select("chrom", "rank", "strain1", "strain2")
+        .withColumn("_bucket", F.floor(F.col("rank") / F.lit(INTERVALS_PER_GROUP)))
+        .groupBy("chrom", "_bucket")
+        .applyInPandas(_union_find, _COMP_SCHEMA)
+    )
     universe = strains if strains is not None else strain_universe(seg)
     names = universe.agg(F.array_sort(F.collect_set("strain"))).scalar()
     grid = intervals.select("chrom", "rank", "start", "stop", F.explode(names).alias("strain"))
