@@ -109,3 +109,10 @@ def q_parameter_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_pca_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G1 at LD 0.8: genotypes that enter the PCA."""
     return P.pca_input(fixture(spark, sf_dir, "f_geno"), 0.8).select("site_id", "strain", "gt")
+
+
+@register("pca_sweep", None, "G")
+def q_pca_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G9 with G1-G4 per LD setting (top-10 axes per setting)."""
+    df = P.pca_sweep(fixture(spark, sf_dir, "f_geno"), SWEEP_LD)
+    return df.withColumn("eigenvalue", F.round("eigenvalue", 6)).withColumn("var_exp", F.round("var_exp", 6))

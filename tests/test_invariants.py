@@ -301,3 +301,12 @@ def test_ibd_marker_ld_filter_matches_forward_greedy(spark, sf_dir):
                 kept.append(j)
         expected |= {ids[k] for k in kept}
     assert got == expected and got
+
+
+def test_pca_sweep_matches_single_setting(spark, sf_dir):
+    g = fixture(spark, sf_dir, "f_geno")
+    sweep = P.pca_sweep(g, [0.8, 0.6], k=3).toPandas()
+    for t in (0.8, 0.6):
+        ev = P.eigenvalues(P.pca(P.relatedness(P.pca_input(g, t)), k=3)).toPandas().sort_values("n")
+        got = sweep[sweep.ld == t].sort_values("pc")
+        assert np.allclose(got.eigenvalue.to_numpy(), ev.eigenvalue.to_numpy(), rtol=1e-9, atol=1e-9)
