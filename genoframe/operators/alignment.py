@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from ..functions import genotype as G
 from ..functions.contigs import contig_rank
 from ..functions.ranking import block_rank
+from ..session import ship_package
 
 # Minimum called samples per site (capped at the sample count).
 MIN_SAMPLES_LOCUS = 4
@@ -231,6 +232,7 @@ def _chunk_distance(pdf: pd.DataFrame) -> pd.DataFrame:
 def pairwise_distance(geno: DataFrame, min_samples: int = MIN_SAMPLES_LOCUS, chunk: int = 4096) -> DataFrame:
     """F8: for every strain pair, mismatching characters / sites where both
     are called (not N, n or -)."""
+    ship_package(geno.sparkSession)
     calls = iupac_calls(geno, min_samples)
     # strain index from the input's strain list (bounded by the sample count),
     # not from the consensus calls, so the consensus plan runs once

@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from ..functions.contigs import NUCLEAR_CONTIGS
 from ..functions.ranking import block_rank
-from ..session import materialize
+from ..session import materialize, ship_package
 
 IV = ["chrom", "rank"]
 
@@ -138,6 +138,7 @@ def haplotype_components(seg: DataFrame, strains: DataFrame | None = None) -> Da
     edges = segment_interval_join(seg, intervals)
     # one pandas call per bucket of consecutive intervals (bounded: at most
     # INTERVALS_PER_GROUP graphs of <= n(n-1)/2 edges), not per interval
+    ship_package(seg.sparkSession)
     labels = (
         edges.select("chrom", "rank", "strain1", "strain2")
         .withColumn("_bucket", F.floor(F.col("rank") / F.lit(INTERVALS_PER_GROUP)))

@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 
 from ..functions import genotype as G
 from ..functions.ranking import block_rank
-from ..session import materialize
+from ..session import materialize, ship_package
 
 # Ibdseq settings of the reference (minalleles, ibdlod).
 MIN_ALLELES = 4
@@ -270,6 +270,7 @@ def ibd_segments(
 ) -> DataFrame:
     """IBD segments ``strain1, ind1, strain2, ind2, chrom, start_pos,
     stop_pos, lod`` (strain1 < strain2), one per excursion with peak >= lod."""
+    ship_package(geno.sparkSession)
     markers, strains = marker_table(geno, min_alleles)
     # pass A, pass C and the position lookup all read the marker table:
     # materialise it once (one row per marker, arrays of n dosages)

@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from ..functions import genotype as G
 from ..functions.ranking import block_rank
+from ..session import ship_package
 from . import variants as V
 
 # Smartpca settings of the reference (numoutevec, outlier rule).
@@ -94,6 +95,7 @@ def strain_index(geno: DataFrame) -> DataFrame:
 def relatedness(geno: DataFrame, chunk: int = 4096) -> DataFrame:
     """GRM entry (1/m) sum_sites z_i z_j for every strain pair (i <= j),
     with the marker count m."""
+    ship_package(geno.sparkSession)
     z = normalize_genotypes(geno)
     strains = strain_index(geno)
     n = strains.agg(F.count(F.lit(1))).scalar()
@@ -151,6 +153,7 @@ def _eigen(k: int):
 def pca(grm: DataFrame, k: int = NUM_EVEC) -> DataFrame:
     """Top-k eigenvalues and eigenvectors of the GRM, long form
     (strain, pc, eigenvalue, loading).  One task holds the n x n matrix."""
+    ship_package(grm.sparkSession)
     return grm.withColumn("_all", F.lit(0)).groupBy("_all").applyInPandas(_eigen(k), _EIG)
 
 
@@ -316,6 +319,7 @@ def pca_sweep(geno: DataFrame, ld_values: list[float], k: int = N_VAR_EXPLAINED,
     threshold and run once; the block GEMM groups by (ld, chrom, 1 Mb chunk)
     and the eigen step by ld (one n x n matrix per setting).  Returns
     (ld, pc, eigenvalue, var_exp) for the top ``k`` axes of every setting."""
+    ship_package(geno.sparkSession)
     g = V.filter_regions(geno)
     if drop_x:
         g = g.filter(F.col("chrom") != "X")

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from ..functions import genotype as G
 from ..functions.contigs import MARKER_CHROM_NAMES, NUCLEAR_CONTIGS
 from ..functions.ranking import block_islands, block_rank
-from ..session import materialize
+from ..session import materialize, ship_package
 
 SITE = ["site_id"]
 
@@ -425,6 +425,7 @@ def ld_prune_sweep(
     """
     # the ranked dosage table feeds both sides of the pair join and the MAF
     # lookups: materialise it once instead of re-aggregating the genotypes
+    ship_package(geno.sparkSession)
     ranked = materialize(site_ranks(geno))
     r2 = ld_r2_ranked(ranked, window)
     called = F.aggregate(F.transform("dos", lambda d: F.when(d.isNull(), 0).otherwise(2)), F.lit(0), lambda a, b: a + b)

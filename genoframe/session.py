@@ -50,3 +50,48 @@ def materialize(df: DataFrame) -> DataFrame:
     upstream plan) and lets several consumers share one computation."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``genoframe`` importable by the Python workers (pandas UDF steps).
+
+    The package is zipped once per application into the shared checkpoint
+    folder and registered with ``addPyFile``, so executors on any node fetch
+    it; nothing depends on the driver's working directory."""
+    import hashlib
+    import io
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        for dirpath, _dirs, files in sorted(os.walk(root)):
+            for name in sorted(files):
+                if name.endswith(".py"):
+                    full = os.path.join(dirpath, name)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(root)))
+    data = buf.getvalue()
+    digest = hashlib.sha256(data).hexdigest()[:16]
+    folder = checkpoint_dir(spark)
+    local = folder[len("file:"):] if folder.startswith("file:") else folder
+    target = f"{folder.rstrip('/')}/genoframe-pkg/{digest}/genoframe.zip"
+    if "://" not in folder or folder.startswith("file:"):
+        os.makedirs(os.path.dirname(f"{local.rstrip('/')}/genoframe-pkg/{digest}/genoframe.zip"), exist_ok=True)
+        with open(f"{local.rstrip('/')}/genoframe-pkg/{digest}/genoframe.zip", "wb") as fh:
+            fh.write(data)
+    else:  # shared file system: write through Hadoop
+        jvm = spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path(target)
+        fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+        out = fs.create(path, True)
+        out.write(bytearray(data))
+        out.close()
+    sc.addPyFile(target)
+    _SHIPPED.add(app)
