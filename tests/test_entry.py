@@ -21,3 +21,24 @@ def test_regression_targets(spark):
     q = entry_mod.queries()
     assert q["divergent_regions"](spark, "/root/testdata/sf0.01").count() == 547
     assert q["drop_deletions"](spark, "/root/testdata/sf0.01").select("chrom", "start_bin", "strain").count() == 11469
+
+
+def test_pandas_steps_run_outside_the_repo():
+    """Python workers must import the package whatever the driver's working
+    directory is (it is shipped with addPyFile)."""
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "from pyspark.sql import SparkSession\n"
+        "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "import __spark_entry__ as e\n"
+        "print('ROWS', e.queries()['haplotype_components'](s, '/root/testdata/sf0.001').count())\n"
+    ) % repo
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", script], cwd="/tmp", env=env, capture_output=True, text=True, timeout=600)
+    assert "ROWS " in out.stdout, out.stderr[-2000:]
+    assert int(out.stdout.split("ROWS ")[1].split()[0]) > 0
