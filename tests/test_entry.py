@@ -42,3 +42,21 @@ def test_pandas_steps_run_outside_the_repo():
     out = subprocess.run([sys.executable, "-c", script], cwd="/tmp", env=env, capture_output=True, text=True, timeout=600)
     assert "ROWS " in out.stdout, out.stderr[-2000:]
     assert int(out.stdout.split("ROWS ")[1].split()[0]) > 0
+
+
+def test_inventory_covers_survey_and_catalogue():
+    from genoframe.plans.inventory import INVENTORY
+
+    ids = set(INVENTORY)
+    expected = (
+        {f"A{i}" for i in range(1, 11)}
+        | {f"B{i}" for i in range(1, 24)}
+        | {f"C{i}" for i in range(1, 5)}
+        | {f"D{i}" for i in range(1, 18)}
+        | {f"E{i}" for i in range(1, 23) if i != 14}
+        | {f"F{i}" for i in range(1, 9)}
+        | {f"G{i}" for i in range(1, 10)}
+    )
+    assert ids == expected  # 92 operators (E14 is an unused number)
+    named = {q for qs in INVENTORY.values() for q in qs}
+    assert named == set(entry_mod.queries())
