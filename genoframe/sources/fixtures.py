@@ -8,6 +8,8 @@ Oracle side: ``with_fixtures(["f_mask"], body)`` inlines the same view text as
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from .fixture_sql import FIXTURE_SQL
@@ -63,15 +65,32 @@ def register_tables(spark: SparkSession, sf_dir: str, names: list[str] | None =
         table(spark, sf_dir, name).createOrReplaceTempView(name)
 
 
+_REF = re.compile(r"\b(FROM|JOIN)\s+(" + "|".join(TABLES + list(FIXTURE_SQL)) + r")\b")
+
+
+def _parameterised(sql: str) -> tuple[str, list[str]]:
+    """The view text with its table references as ``{name}`` parameters."""
+    names: list[str] = []
+
+    def sub(m: re.Match) -> str:
+        names.append(m.group(2))
+        return f"{m.group(1)} {{{m.group(2)}}}"
+
+    return _REF.sub(sub, sql), sorted(set(names))
+
+
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The fixture view ``name`` as a DataFrame over the tables in ``sf_dir``."""
-    order = _closure([name])
-    bases = sorted({b for n in order for b in BASE.get(n, [])})
-    register_tables(spark, sf_dir, bases)
-    for n in order:
-        df = spark.sql(FIXTURE_SQL[n])
-        df.createOrReplaceTempView(n)
-    return df
+    """The fixture view ``name`` as a DataFrame over the tables in ``sf_dir``.
+
+    Table references are bound as DataFrame parameters of ``spark.sql``, so
+    no session-global view is created or replaced (safe when several queries
+    are built concurrently in one session)."""
+    built: dict[str, DataFrame] = {}
+    for n in _closure([name]):
+        text, refs = _parameterised(FIXTURE_SQL[n])
+        args = {r: built[r] if r in built else table(spark, sf_dir, r) for r in refs}
+        built[n] = spark.sql(text, **args)
+    return built[name]
 
 
 def fixtures(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
