@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from ..functions import genotype as G
 from ..functions.contigs import contig_rank
 from ..functions.ranking import block_rank
-from ..session import ship_package
+from ..session import ship_package, spread
 
 # Minimum called samples per site (capped at the sample count).
 MIN_SAMPLES_LOCUS = 4
@@ -247,7 +247,9 @@ def pairwise_distance(geno: DataFrame, min_samples: int = MIN_SAMPLES_LOCUS, chu
     )
     ranked = block_rank(per_site, "chrom", "pos", "idx", tiebreak="site_id")
     ranked = ranked.withColumn("chunk", F.floor((F.col("idx") - 1) / chunk).cast("bigint"))
-    parts = ranked.select("chrom", "chunk", "chars").groupBy("chrom", "chunk").applyInPandas(_chunk_distance, _DIST)
+    parts = spread(ranked.select("chrom", "chunk", "chars"), "chrom", "chunk").groupBy("chrom", "chunk").applyInPandas(
+        _chunk_distance, _DIST
+    )
     tot = parts.groupBy("i", "j").agg(F.sum("called").alias("called"), F.sum("matched").alias("matched"))
     s1 = strains.select(F.col("sidx").alias("i"), F.col("strain").alias("strain1"))
     s2 = strains.select(F.col("sidx").alias("j"), F.col("strain").alias("strain2"))

@@ -139,10 +139,11 @@ def haplotype_components(seg: DataFrame, strains: DataFrame | None = None) -> Da
     # one pandas call per bucket of consecutive intervals (bounded: at most
     # INTERVALS_PER_GROUP graphs of <= n(n-1)/2 edges), not per interval
     ship_package(seg.sparkSession)
+    buckets = edges.select("chrom", "rank", "strain1", "strain2").withColumn(
+        "_bucket", F.floor(F.col("rank") / F.lit(INTERVALS_PER_GROUP))
+    )
     labels = (
-        edges.select("chrom", "rank", "strain1", "strain2")
-        .withColumn("_bucket", F.floor(F.col("rank") / F.lit(INTERVALS_PER_GROUP)))
-        .groupBy("chrom", "_bucket")
+        buckets.groupBy("chrom", "_bucket")
         .applyInPandas(_union_find, _COMP_SCHEMA)
     )
     universe = strains if strains is not None else strain_universe(seg)

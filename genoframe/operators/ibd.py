@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 
 from ..functions import genotype as G
 from ..functions.ranking import block_rank
-from ..session import materialize, ship_package
+from ..session import materialize, ship_package, spread
 
 # Ibdseq settings of the reference (minalleles, ibdlod).
 MIN_ALLELES = 4
@@ -282,7 +282,7 @@ def ibd_segments(
         "pblock", F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest(n_blocks, F.lit(1)) - 1))
     )
     cols = ["chrom", "chunk", "pblock", "idx", "scores", "dos"]
-    mk = mk.select(*cols)
+    mk = spread(mk.select(*cols), "chrom", "chunk", "pblock")
     summary = mk.groupBy("chrom", "chunk", "pblock").applyInPandas(_pass_a(pair_block), _SUMMARY)
     w = Window.partitionBy("chrom", "i", "j").orderBy("chunk")
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -298,7 +298,7 @@ def ibd_segments(
     ).select("chrom", "chunk", "pblock", "i", "j", "d_start")
     pieces = (
         mk.groupBy("chrom", "chunk", "pblock")
-        .cogroup(starts.groupBy("chrom", "chunk", "pblock"))
+        .cogroup(spread(starts, "chrom", "chunk", "pblock").groupBy("chrom", "chunk", "pblock"))
         .applyInPandas(_pass_c(pair_block, keep), _PIECES)
     )
     # Excursion of the carried piece: the last fall in an earlier chunk.

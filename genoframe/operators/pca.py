@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from ..functions import genotype as G
 from ..functions.ranking import block_rank
-from ..session import ship_package
+from ..session import ship_package, spread
 from . import variants as V
 
 # Smartpca settings of the reference (numoutevec, outlier rule).
@@ -107,7 +107,7 @@ def relatedness(geno: DataFrame, chunk: int = 4096) -> DataFrame:
     )
     ranked = block_rank(per_site.select("site_id", "chrom", "pos", "zs"), "chrom", "pos", "idx", tiebreak="site_id")
     ranked = ranked.withColumn("chunk", F.floor((F.col("idx") - 1) / chunk).cast("bigint"))
-    parts = ranked.select("chrom", "chunk", "zs").groupBy("chrom", "chunk").applyInPandas(_chunk_gram, _GRM)
+    parts = spread(ranked.select("chrom", "chunk", "zs"), "chrom", "chunk").groupBy("chrom", "chunk").applyInPandas(_chunk_gram, _GRM)
     # every chunk reports every pair, so a pair's summed count is the marker total
     tot = parts.groupBy("i", "j").agg(F.sum("zz").alias("zz"), F.sum("m").alias("markers"))
     s1 = strains.select(F.col("sidx").alias("i"), F.col("strain").alias("strain1"))
@@ -336,7 +336,9 @@ def pca_sweep(geno: DataFrame, ld_values: list[float], k: int = N_VAR_EXPLAINED,
         "zs", F.transform(F.sequence(F.lit(0), F.col("_n") - 1), lambda i: F.coalesce(F.element_at("_m", i), F.lit(0.0)))
     )
     tagged = per_site.join(kept, "site_id").withColumn("chunk", F.floor(F.col("pos") / chunk_bp).cast("bigint"))
-    parts = tagged.select("ld", "chrom", "chunk", "zs").groupBy("ld", "chrom", "chunk").applyInPandas(_chunk_gram_ld, _GRM_LD)
+    parts = spread(tagged.select("ld", "chrom", "chunk", "zs"), "ld", "chrom", "chunk").groupBy("ld", "chrom", "chunk").applyInPandas(
+        _chunk_gram_ld, _GRM_LD
+    )
     tot = parts.groupBy("ld", "i", "j").agg(F.sum("zz").alias("zz"), F.sum("m").alias("markers"))
     s1 = strains.select(F.col("sidx").alias("i"), F.col("strain").alias("strain1"))
     s2 = strains.select(F.col("sidx").alias("j"), F.col("strain").alias("strain2"))

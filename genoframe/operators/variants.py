@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from ..functions import genotype as G
 from ..functions.contigs import MARKER_CHROM_NAMES, NUCLEAR_CONTIGS
 from ..functions.ranking import block_islands, block_rank
-from ..session import materialize, ship_package
+from ..session import materialize, ship_package, spread
 
 SITE = ["site_id"]
 
@@ -363,9 +363,7 @@ def ld_r2_ranked(ranked: DataFrame, window: int = LD_WINDOW) -> DataFrame:
     # r^2 is CPU-heavy for its byte size: AQE would coalesce the pair shuffle
     # to a few partitions, so the join gets an explicit partition count
     # (never coalesced) scaled to the cluster's cores.
-    spark = ranked.sparkSession
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
-    pairs = left.repartition(n, "chrom", "rank2").join(right.repartition(n, "chrom", "rank2"), ["chrom", "rank2"])
+    pairs = spread(left, "chrom", "rank2").join(spread(right, "chrom", "rank2"), ["chrom", "rank2"])
     return pairs.select("chrom", "site1", "pos1", "site2", "pos2", _r2(F.col("dos1"), F.col("dos2")).alias("r2"))
 
 

@@ -95,3 +95,16 @@ def ship_package(spark: SparkSession) -> None:
         out.close()
     sc.addPyFile(target)
     _SHIPPED.add(app)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition ``df`` on ``keys`` into an explicit number of partitions
+    (the larger of ``spark.sql.shuffle.partitions`` and twice the default
+    parallelism).  Used only before steps whose CPU work is superlinear in
+    their input bytes (r^2 over site pairs, n x n block GEMMs, the IBD pair
+    scans): AQE sizes partitions by bytes and would pack such work into a
+    few tasks; an explicit count is never coalesced, and it satisfies the
+    grouping on the same keys without another exchange."""
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    return df.repartition(n, *keys)
