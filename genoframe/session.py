@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,18 +33,44 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the operator to shared storage and is used
-    as is.  Only when it is unset (local tests) is a scratch folder created.
+    as is.  Only a local master (one machine, so its disk is shared by all
+    tasks) may go without: a scratch folder is created there.  Any other
+    master raises, since executors do not see a folder of the driver.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="genoframe-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
     return current
 
 
+def scratch_path(spark: SparkSession, tag: str) -> str:
+    """A new folder name under this application's part of the shared folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/genoframe-{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df: DataFrame, tag: str) -> DataFrame:
+    """Write ``df`` as parquet under :func:`scratch_path` and read it back.
+
+    Like a checkpoint it cuts the lineage and survives lost executors; unlike
+    an RDD checkpoint the reader keeps column pruning and statistics."""
+    path = scratch_path(df.sparkSession, tag)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete everything this application stored under the shared folder.
+    For the end of a job: frames that read stored tables are invalid after."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, "x")).getParent()
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back: cuts the
     lineage (a lost executor re-reads files instead of recomputing the whole
