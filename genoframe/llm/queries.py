@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing
+from . import line_dedup, minhash, mixing
 from .common import table, text_of
 
 
@@ -16,6 +16,11 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = minhash.near_duplicates(table(spark, sf_dir, "documents"), width=4)
+    return out.withColumnRenamed("id", "doc_id")
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.remove_boilerplate(table(spark, sf_dir, "documents"))
     return out.select(
@@ -28,7 +33,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_mixing, op9_line_dedup)
+    f.__name__: f for f in (op4_mixing, op6_minhash, op9_line_dedup)
 }
 
 ORACLES: dict[str, str] = {"op4_mixing": mixing.ORACLE, "op9_line_dedup": line_dedup.ORACLE}
