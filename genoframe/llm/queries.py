@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, minhash, mixing
+from . import ctw, line_dedup, minhash, mixing
 from .common import table, text_of
 
 
@@ -32,8 +32,12 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_mixing, op6_minhash, op9_line_dedup)
+    f.__name__: f for f in (op4_mixing, op6_minhash, op9_line_dedup, op10_ctw)
 }
 
 ORACLES: dict[str, str] = {"op4_mixing": mixing.ORACLE, "op9_line_dedup": line_dedup.ORACLE}
