@@ -7,20 +7,36 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ctw, line_dedup, minhash, mixing
+from . import ctw, langid, line_dedup, minhash, mixing, quality, topk, warc
 from .common import table, text_of
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("_h")
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = minhash.near_duplicates(table(spark, sf_dir, "documents"), width=4)
     return out.withColumnRenamed("id", "doc_id")
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).drop("uri")
+
+
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.remove_boilerplate(table(spark, sf_dir, "documents"))
     return out.select(
@@ -37,7 +53,7 @@ def op10_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_mixing, op6_minhash, op9_line_dedup, op10_ctw)
+    f.__name__: f for f in (op1_quality, op4_mixing, op5_langid, op6_minhash, op7_warc, op8_topk, op9_line_dedup, op10_ctw)
 }
 
-ORACLES: dict[str, str] = {"op4_mixing": mixing.ORACLE, "op9_line_dedup": line_dedup.ORACLE}
+ORACLES: dict[str, str] = {"op4_mixing": mixing.ORACLE, "op8_topk": topk.ORACLE, "op9_line_dedup": line_dedup.ORACLE}
