@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ctw, langid, line_dedup, minhash, mixing, quality, topk, warc
+from . import ctw, decontaminate, langid, line_dedup, minhash, mixing, pii, quality, topk, warc
 from .common import table, text_of
 
 
@@ -15,6 +15,28 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("_h")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select(
+        F.col("_doc").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.array_join("found", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.find(table(spark, sf_dir, "documents"))
+    return out.select(
+        F.col("_doc").alias("doc_id"),
+        *[pii.counted("base", kind).alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(pii.joined("base"), 256).alias("base_sha256"),
+        pii.joined("spans").alias("spans"),
+    )
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", "taken")
@@ -53,7 +75,7 @@ def op10_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality, op4_mixing, op5_langid, op6_minhash, op7_warc, op8_topk, op9_line_dedup, op10_ctw)
+    f.__name__: f for f in (op1_quality, op2_decontamination, op3_pii, op4_mixing, op5_langid, op6_minhash, op7_warc, op8_topk, op9_line_dedup, op10_ctw)
 }
 
-ORACLES: dict[str, str] = {"op4_mixing": mixing.ORACLE, "op8_topk": topk.ORACLE, "op9_line_dedup": line_dedup.ORACLE}
+ORACLES: dict[str, str] = {"op2_decontamination": decontaminate.ORACLE, "op4_mixing": mixing.ORACLE, "op8_topk": topk.ORACLE, "op9_line_dedup": line_dedup.ORACLE}
