@@ -46,3 +46,15 @@ def keyed(docs: DataFrame, text: str = "text", doc: str = "doc_id") -> DataFrame
     return docs.select(
         F.col(doc).cast("long").alias("_doc"), F.xxhash64(text_of(text)).alias("_h"), text_of(text).alias("_text")
     )
+
+
+def packed(docs: DataFrame, **keys: Column) -> DataFrame:
+    """(``row``, *keys): whole rows as one struct beside the given keys, so that
+    no column of ``docs`` can clash with a key or with a joined table."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[c.alias(k) for k, c in keys.items()])
+
+
+def without(docs: DataFrame, gone: DataFrame, text: str, doc: str) -> DataFrame:
+    """The rows of ``docs`` whose (id, text hash) is not in ``gone`` (_doc, _h)."""
+    rows = packed(docs, key=F.col(doc), h=F.xxhash64(text_of(text)))
+    return rows.join(gone, F.col("key").eqNullSafe(F.col("_doc")) & (F.col("h") == F.col("_h")), "left_anti").select("row.*")

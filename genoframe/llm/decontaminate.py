@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from genoframe.session import stored
 
-from .common import BROADCAST_ROWS, ascii_lower, keyed, small, text_of
+from .common import BROADCAST_ROWS, ascii_lower, keyed, small, text_of, without
 
 #: Everything that is not a word character.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -180,10 +180,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, text: str
 def drop_contaminated(docs: DataFrame, items: DataFrame, text: str = "text", doc: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs`` without any hit."""
     hit = decontaminate(docs, items, text=text, doc=doc, **options).filter("n_hit > 0").select(*DOC).distinct()
-    out = docs.withColumn("_dh", F.xxhash64(text_of(text)))
-    return out.join(
-        stored(hit, "contaminated"), F.col(doc).eqNullSafe(F.col("_doc")) & (F.col("_dh") == F.col("_h")), "left_anti"
-    ).drop("_dh")
+    return without(docs, stored(hit, "contaminated"), text, doc)
 
 
 ORACLE = r"""

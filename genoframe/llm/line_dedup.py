@@ -13,7 +13,7 @@ sketch per task.  An estimate far from ``min_sites`` decides; within a factor
 Defined cases: null text is empty text and stays null, a null site is a site of
 its own, blank and short lines are never boilerplate, an empty table gives an
 empty result, rows that repeat both id and text are treated alike, a document
-all of whose lines go becomes empty text.  Extra columns are kept.
+all of whose lines go becomes empty text.  Extra columns are kept; the added ones win over equally named ones.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from genoframe.session import stored
 
-from .common import small, text_of
+from .common import packed, small, text_of
 
 LINE_KEY = ["_a", "_b"]
 
@@ -95,15 +95,16 @@ def remove_boilerplate(
         .groupBy(F.col("_doc").alias("_gd"), F.col("_h").alias("_gh"))
         .agg(F.collect_set("_pos").alias("_gone"))
     )
-    base = docs.drop("n_lines", "n_removed").withColumn("_h", F.xxhash64(text_of(text)))
-    parts = F.split(text_of(text), "\n")
+    rows = packed(docs, key=F.col(doc), h=F.xxhash64(text_of(text)), t=text_of(text)).join(
+        stored(gone, "line-gone"), F.col("key").eqNullSafe(F.col("_gd")) & (F.col("h") == F.col("_gh")), "left"
+    )
+    parts = F.split("t", "\n")
     kept = F.array_join(F.filter(parts, lambda _, i: ~F.array_contains("_gone", i)), "\n")
-    return (
-        base.join(stored(gone, "line-gone"), F.col(doc).eqNullSafe(F.col("_gd")) & (F.col("_h") == F.col("_gh")), "left")
-        .withColumn("n_lines", F.size(F.filter(parts, lambda x: _trimmed(x) != "")).cast("long"))
-        .withColumn("n_removed", F.coalesce(F.size("_gone"), F.lit(0)).cast("long"))
-        .withColumn(text, F.when(F.col("n_removed") > 0, kept).otherwise(F.col(text)))
-        .drop("_h", "_gd", "_gh", "_gone")
+    return rows.select(
+        *[F.col(f"row.`{c}`") for c in docs.columns if c not in (text, "n_lines", "n_removed")],
+        F.when(F.col("_gone").isNotNull(), kept).otherwise(F.col(f"row.`{text}`")).alias(text),
+        F.size(F.filter(parts, lambda x: _trimmed(x) != "")).cast("long").alias("n_lines"),
+        F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"),
     )
 
 

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from genoframe.session import stored
 
-from .common import small
+from .common import packed, small
 from .components import components
 
 HASHES, BANDS, BITS = 128, 32, 2
@@ -259,4 +259,5 @@ def deduplicate(docs: DataFrame, doc: str = "doc_id", **options) -> DataFrame:
     """``docs`` without the documents that another one of their group replaces;
     rows with a null id stay."""
     gone = near_duplicates(docs, doc=doc, **options).filter(~F.col("kept")).select(F.col("id").alias("_gone"))
-    return docs.join(stored(gone, "mh-gone"), F.col(doc) == F.col("_gone"), "left_anti")
+    rows = packed(docs, key=F.col(doc).cast("long"))
+    return rows.join(stored(gone, "mh-gone"), F.col("key") == F.col("_gone"), "left_anti").select("row.*")

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from genoframe.session import stored
 
-from .common import small, text_of
+from .common import packed, small, text_of
 
 WORD = r"[^\x20\x09-\x0D]+"
 HASH_BITS, LEVEL_BITS = 60, 12
@@ -126,11 +126,9 @@ def mix(docs: DataFrame, doc: str = "doc_id", source: str = "source", text: str
     counted).  A document is taken floor(target / source_size) times, and once
     more if its hash is below the threshold of the source's rest."""
     own = ("size", "source_size", "target", "taken")
-    docs = docs.select([F.col(f"`{c}`") for c in docs.columns if c not in own])
-    sized = docs.withColumn("size", F.regexp_count(text_of(text), F.lit(WORD)).cast("long")).withColumn(
-        "_hash", hash60(doc)
-    )
-    rows = stored(sized.select(F.col(source).alias("source"), "size", F.col("_hash").alias("hash")), "mix-sizes")
+    size = F.regexp_count(text_of(text), F.lit(WORD)).cast("long")
+    sized = packed(docs, source=F.col(source), size=size, hash=hash60(doc))
+    rows = stored(sized.select("source", "size", "hash"), "mix-sizes")
     goal = stored(targets(rows, **plan), "mix-targets")
     full = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     needs = goal.select("source", (F.col("target") - full * F.col("source_size")).alias("need"))
@@ -140,11 +138,11 @@ def mix(docs: DataFrame, doc: str = "doc_id", source: str = "source", text: str
     by_source = stored(
         by_source.join(limit, F.col("_s").eqNullSafe(F.col("_c")), "left").drop("_c"), "mix-plan"
     )
-    taken = F.col("size") * (F.col("_full") + F.when(F.col("_hash") < F.col("threshold"), 1).otherwise(0))
+    taken = F.col("size") * (F.col("_full") + F.when(F.col("hash") < F.col("threshold"), 1).otherwise(0))
     return (
-        sized.join(small(by_source), F.col(source).eqNullSafe(F.col("_s")))
+        sized.join(small(by_source), F.col("source").eqNullSafe(F.col("_s")))
         .withColumn("taken", taken.cast("long"))
-        .drop("_s", "_full", "threshold", "_hash")
+        .select(*[F.col(f"row.`{c}`") for c in docs.columns if c not in own], *own)
     )
 
 

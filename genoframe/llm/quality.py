@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from genoframe.session import stored
 
-from .common import fold, text_of
+from .common import fold, text_of, without
 
 Rule = tuple[tuple[str, str, float], ...]
 
@@ -177,8 +177,5 @@ def score(
 def keep_good(docs: DataFrame, labels: DataFrame, text: str = "text", doc: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs`` predicted 1, with the columns of ``docs``."""
     scored = score(docs, labels, text=text, doc=doc, **options)
-    bad = stored(scored.filter(F.col("predicted") == 0).select("doc_id", "_h").distinct(), "quality-bad")
-    out = docs.withColumn("_qh", F.xxhash64(text_of(text)))
-    return out.join(
-        bad.withColumnRenamed("doc_id", "_qd"), F.col(doc).eqNullSafe(F.col("_qd")) & (F.col("_qh") == F.col("_h")), "left_anti"
-    ).drop("_qh")
+    bad = scored.filter(F.col("predicted") == 0).select(F.col("doc_id").alias("_doc"), "_h").distinct()
+    return without(docs, stored(bad, "quality-bad"), text, doc)
