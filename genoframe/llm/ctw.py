@@ -189,8 +189,8 @@ class Model:
     def __init__(self, kept: np.ndarray, levels: list[np.ndarray], leaves: np.ndarray):
         """``levels[d]``: node rows (c, node, zeros, ones, own) of depth d;
         ``leaves``: (row of ``kept``, byte, n)."""
-        root = np.full((1, 256), 0.5, np.float32)
-        own0 = np.ones((1, 256), np.float32)
+        root = np.full((1, 256), 0.5)
+        own0 = np.ones((1, 256))
         ids: list[np.ndarray] = []
         estimates: list[np.ndarray] = []
         owns: list[np.ndarray] = []
@@ -204,37 +204,41 @@ class Model:
             ids.append(c)
             estimates.append(p)
             owns.append(own)
-        n = np.zeros((len(kept), 512), np.float32)
-        if len(leaves):
-            n[leaves[:, 0], 256 + leaves[:, 1]] = leaves[:, 2]
-        for node in range(255, 0, -1):
-            n[:, node] = n[:, 2 * node] + n[:, 2 * node + 1]
-        p3 = (n[:, 1::2] + 0.5) / (n[:, 0::2] + n[:, 1::2] + 1)  # column k: ones of node k, its child 2k + 1
-        del n
         self.kept = kept
         self.ids = ids
         # the estimate of the deepest known context, mixed with those above it
         self.rows = [self._logs(self._mixed(ids[d], estimates[d], d - 1, ids, estimates, owns)) for d in range(3)]
-        self.rows.append(self._logs(self._mixed(kept, p3, 2, ids, estimates, owns)))
+        leaves = leaves[np.argsort(leaves[:, 0], kind="stable")] if len(leaves) else leaves
+        deepest = [np.zeros((0, 256), np.float32)]
+        for at in range(0, len(kept), 2048):  # contexts in blocks: 512 tree nodes each
+            a, b = np.searchsorted(leaves[:, 0], (at, at + 2048))
+            n = np.zeros((min(2048, len(kept) - at), 512))
+            n[leaves[a:b, 0] - at, 256 + leaves[a:b, 1]] = leaves[a:b, 2]
+            for node in range(255, 0, -1):
+                n[:, node] = n[:, 2 * node] + n[:, 2 * node + 1]
+            p = (n[:, 1::2] + 0.5) / (n[:, 0::2] + n[:, 1::2] + 1)  # column k: ones of node k, its child 2k + 1
+            deepest.append(self._logs(self._mixed(kept[at : at + 2048], p, 2, ids, estimates, owns)))
+        self.rows.append(np.concatenate(deepest))
 
     @staticmethod
     def _mixed(c, p, depth, ids, estimates, owns):
         for d in range(depth, -1, -1):
             key = c % (1 << (8 * d))
             at = np.minimum(np.searchsorted(ids[d], key), len(ids[d]) - 1)
-            own = np.where((ids[d][at] == key)[:, None], owns[d][at], np.float32(0))
+            own = np.where((ids[d][at] == key)[:, None], owns[d][at], 0.0)
             p = own * estimates[d][at] + (1 - own) * p
         return p
 
     @staticmethod
     def _logs(p):
         """log2 of the product of the eight bit probabilities, per byte."""
-        out = np.zeros((len(p), 256), np.float32)
+        out = np.zeros((len(p), 256))
+        p = np.clip(p, 2.0**-50, 1 - 2.0**-50)
         byte = np.arange(256)
         for i in range(8):
             one = p[:, (1 << i) | (byte >> (8 - i))]
-            out += np.log2(np.where((byte >> (7 - i)) & 1, one, 1 - one)).astype(np.float32)
-        return out
+            out += np.log2(np.where((byte >> (7 - i)) & 1, one, 1 - one))
+        return out.astype(np.float32)
 
     def table(self) -> None:
         """Direct-address table from a context to its row (in the worker)."""
