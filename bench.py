@@ -90,6 +90,8 @@ def main() -> None:
         out["rows"] = rows
     print(json.dumps(out))
     spark.stop()
+    if len(times) < len(names):
+        sys.exit(1)
 
 
 if __name__ == "__main__":

@@ -61,6 +61,17 @@ def allele_bases(ref: Column | str = "ref", alt: Column | str = "alt") -> Column
     return F.concat(F.array(_c(ref)), alt_list(alt))
 
 
+def dense(entries: Column | str, n: Column | str, value: str, default: Column) -> Column:
+    """Array of ``n`` values from (``sidx``, value) entries, one per sample index.
+
+    A site with a row for every sample (what a VCF gives) only needs a sort;
+    absent samples are looked up, missing ones get ``default``."""
+    full = F.transform(F.array_sort(_c(entries)), lambda e: F.coalesce(e[value], default))
+    lookup = F.map_from_entries(_c(entries))
+    sparse = F.transform(F.sequence(F.lit(0), _c(n) - 1), lambda i: F.coalesce(F.element_at(lookup, i), default))
+    return F.when(F.size(_c(entries)) == _c(n), full).otherwise(sparse)
+
+
 def is_snp_site(ref: Column | str = "ref", alt: Column | str = "alt", mode: str = "all") -> Column:
     """REF is one base and every (``all``) / some (``any``) ALT is one base."""
     one = lambda x: F.length(x) == F.lit(1)

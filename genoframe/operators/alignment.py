@@ -162,8 +162,10 @@ def alignment_text(
     longest = seqs.agg(F.max(F.length("strain"))).scalar()
     ntax = seqs.agg(F.count(F.lit(1))).scalar()
     nchar = seqs.agg(F.max("n_sites")).scalar()
+    # the names alone are ranked (one row per sample); sequences join back
     order = Window.orderBy(F.when(F.col("strain") == F.lit(outgroup), 0).otherwise(1), "strain")
-    body = seqs.withColumn("_i", F.row_number().over(order).cast("bigint"))
+    ranks = seqs.select("strain").withColumn("_i", F.row_number().over(order).cast("bigint"))
+    body = seqs.join(ranks, "strain")
     named = F.concat(F.rpad("strain", longest + 3, " "), F.col("seq"))
     one = seqs.agg(F.count(F.lit(1)).alias("_rows"))  # exactly one row, for header / footer lines
 
@@ -240,11 +242,9 @@ def pairwise_distance(geno: DataFrame, min_samples: int = MIN_SAMPLES_LOCUS, chu
     strains = strains.withColumn("sidx", (F.row_number().over(Window.orderBy("strain")) - 1).cast("int"))
     n = strains.agg(F.count(F.lit(1))).scalar()
     per_site = calls.join(strains, "strain").groupBy("site_id", "chrom", "pos").agg(
-        F.map_from_entries(F.collect_list(F.struct("sidx", "base"))).alias("_m")
-    )
-    per_site = per_site.withColumn("_n", n.cast("int")).withColumn(
-        "chars", F.transform(F.sequence(F.lit(0), F.col("_n") - 1), lambda i: F.coalesce(F.element_at("_m", i), F.lit("N")))
+        F.collect_list(F.struct("sidx", "base")).alias("_e")
     )
+    per_site = per_site.withColumn("_n", n.cast("int")).withColumn("chars", G.dense("_e", "_n", "base", F.lit("N"))).drop("_e", "_n")
     ranked = block_rank(per_site, "chrom", "pos", "idx", tiebreak="site_id")
     ranked = ranked.withColumn("chunk", F.floor((F.col("idx") - 1) / chunk).cast("bigint"))
     parts = ranked.select("chrom", "chunk", "chars").groupBy("chrom", "chunk").applyInPandas(_chunk_distance, _DIST)

@@ -108,14 +108,11 @@ def marker_table(geno: DataFrame, min_alleles: int = MIN_ALLELES) -> tuple[DataF
     mk = ibd_markers(geno, min_alleles)
     strains = geno.select("strain").dropDuplicates()
     strains = strains.withColumn("sidx", (F.row_number().over(Window.orderBy("strain")) - 1).cast("int"))
-    calls = geno.filter(~G.is_missing("gt")).select("site_id", "strain", G.nonref_alleles("gt").alias("d"))
+    calls = geno.select("site_id", "strain", F.coalesce(G.dosage("gt"), F.lit(-1)).alias("d"))
     calls = calls.join(strains, "strain")
     n = strains.agg(F.count(F.lit(1))).scalar()
-    dos = calls.groupBy("site_id").agg(F.map_from_entries(F.collect_list(F.struct("sidx", "d"))).alias("_m"))
-    dos = dos.withColumn("_n", n.cast("int")).select(
-        "site_id",
-        F.transform(F.sequence(F.lit(0), F.col("_n") - 1), lambda i: F.coalesce(F.element_at("_m", i), F.lit(-1))).alias("dos"),
-    )
+    dos = calls.groupBy("site_id").agg(F.collect_list(F.struct("sidx", "d")).alias("_e"))
+    dos = dos.withColumn("_n", n.cast("int")).select("site_id", G.dense("_e", "_n", "d", F.lit(-1)).alias("dos"))
     ranked = block_rank(mk.select("site_id", "chrom", "pos", "p", "maf"), "chrom", "pos", "idx", tiebreak="site_id")
     ranked = ranked.withColumn("scores", _score_table(F.col("p"), F.col("maf")))
     return ranked.join(dos, "site_id"), strains

@@ -40,8 +40,9 @@ def _gap_fill(sparse: DataFrame, values: list[str], lengths: DataFrame, size: in
     produced exactly once: linear work, and only the sparse rows are
     shuffled.  A window partition holds at most one row per bin of one
     chromosome of one strain: a bound set by the genome."""
-    lens = F.broadcast(lengths.select("chrom", F.col(length_col).cast("bigint").alias("_len")))  # one row per contig
+    lens = lengths.select("chrom", F.col(length_col).cast("bigint").alias("_len"))
     w = Window.partitionBy("strain", "chrom").orderBy("_b")
+    sparse = sparse.groupBy("strain", "chrom", "_b").agg(*[F.sum(v).cast("bigint").alias(v) for v in values])
     df = sparse.join(lens, "chrom").withColumn("_nb", F.ceil(F.col("_len") / F.lit(size)).cast("bigint"))
     df = df.withColumn("_prev", F.coalesce(F.lag("_b").over(w), F.lit(-1).cast("bigint"))).withColumn(
         "_last", F.lead("_b").over(w).isNull()
@@ -56,10 +57,19 @@ def _gap_fill(sparse: DataFrame, values: list[str], lengths: DataFrame, size: in
         "chrom",
         start.alias("start_bin"),
         F.least(start + size, F.col("_len")).alias("end_bin"),
-        *[F.when(F.col("_i") == F.col("_b"), F.col(v)).otherwise(F.lit(0).cast("bigint")).alias(v) for v in values],
+        *[F.when(F.col("_i") == F.col("_b"), F.coalesce(v, F.lit(0).cast("bigint"))).otherwise(F.lit(0).cast("bigint")).alias(v)
+          for v in values],
     )
 
 
+def _registered(sparse: DataFrame, strains: DataFrame, lengths: DataFrame) -> DataFrame:
+    """``sparse`` plus a row (strain, chrom, -1) for every strain of the sample
+    list and every contig, so that strains and contigs without data get bins."""
+    contigs = lengths.agg(F.collect_set("chrom")).scalar()  # one name per contig
+    every = strains.select("strain").distinct().select("strain", F.explode(contigs).alias("chrom"))
+    return sparse.unionByName(every.withColumn("_b", F.lit(-1).cast("bigint")), allowMissingColumns=True)
+
+
 def _count_sparse(geno: DataFrame, size: int) -> DataFrame:
     start = F.col("pos") - 1
     bins = F.when(G.has_alt("gt"), _bins_of(start, start + F.length("ref"), size)).otherwise(
@@ -85,39 +95,54 @@ def _depth(bases: str = "_bases") -> Column:
 
 # --------------------------------------------------------------------- C1
 def interval_count(
-    geno: DataFrame, lengths: DataFrame, size: int = BIN_SIZE, length_col: str = "chrom_length"
+    geno: DataFrame,
+    lengths: DataFrame,
+    size: int = BIN_SIZE,
+    length_col: str = "chrom_length",
+    strains: DataFrame | None = None,
 ) -> DataFrame:
     """Per (strain, bin), the number of the strain's non-reference calls
-    whose span [pos-1, pos-1+len(ref)) overlaps the bin; empty bins give 0."""
-    return _gap_fill(_count_sparse(geno, size), ["var_count"], lengths, size, length_col)
+    whose span [pos-1, pos-1+len(ref)) overlaps the bin; empty bins give 0.
+    Every strain of ``strains`` (default: of the input) gets every contig."""
+    sparse = _registered(_count_sparse(geno, size), strains or geno, lengths)
+    return _gap_fill(sparse, ["var_count"], lengths, size, length_col)
 
 
 # --------------------------------------------------------------------- C2
 def interval_mean_depth(
-    aligned: DataFrame, lengths: DataFrame, size: int = BIN_SIZE, length_col: str = "chrom_length"
+    aligned: DataFrame,
+    lengths: DataFrame,
+    size: int = BIN_SIZE,
+    length_col: str = "chrom_length",
+    strains: DataFrame | None = None,
 ) -> DataFrame:
     """Mean read depth per (strain, bin) from aligned intervals
     ``start_pos, end_pos`` (0-based half-open): overlapping bases / bin
-    length, 2 decimals (half up); bins without reads give 0."""
-    filled = _gap_fill(_depth_sparse(aligned, size), ["_bases"], lengths, size, length_col)
+    length, 2 decimals (half up); bins without reads give 0, on every contig
+    of every strain of ``strains`` (default: of the input)."""
+    sparse = _registered(_depth_sparse(aligned, size), strains or aligned, lengths)
+    filled = _gap_fill(sparse, ["_bases"], lengths, size, length_col)
     return filled.select("strain", "chrom", "start_bin", "end_bin", _depth().alias("coverage"))
 
 
 def mask_from_calls(
-    geno: DataFrame, aligned: DataFrame, lengths: DataFrame, size: int = BIN_SIZE, length_col: str = "chrom_length"
+    geno: DataFrame,
+    aligned: DataFrame,
+    lengths: DataFrame,
+    size: int = BIN_SIZE,
+    length_col: str = "chrom_length",
+    strains: DataFrame | None = None,
 ) -> DataFrame:
-    """C1 + C2 + C3 fused: the two sparse tables are merged on (strain,
-    chrom, bin) for the (strain, chrom) pairs present in both inputs, and the
-    dense mask is generated once by the gap fill."""
+    """C1 + C2 + C3 fused: the two sparse tables are added up by (strain, chrom,
+    bin) and the dense mask of all contigs of the sample list (default: the
+    strains with calls) is generated once by the gap fill."""
     keys = ["strain", "chrom", "_b"]
-    counts = _count_sparse(geno, size)
-    depth = _depth_sparse(aligned, size)
-    both = counts.select("strain", "chrom").distinct().join(depth.select("strain", "chrom").distinct(), ["strain", "chrom"])
-    merged = counts.join(depth, keys, "full_outer").join(both, ["strain", "chrom"], "left_semi")
-    merged = merged.select(
-        *keys,
-        F.coalesce("var_count", F.lit(0).cast("bigint")).alias("var_count"),
-        F.coalesce("_bases", F.lit(0).cast("bigint")).alias("_bases"),
+    names = (strains or geno).select("strain").distinct()
+    sparse = _count_sparse(geno, size).unionByName(_depth_sparse(aligned, size), allowMissingColumns=True)
+    merged = (
+        _registered(sparse.join(names, "strain", "left_semi"), names, lengths)
+        .groupBy(*keys)
+        .agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in ("var_count", "_bases")])
     )
     filled = _gap_fill(merged, ["var_count", "_bases"], lengths, size, length_col)
     return filled.select("strain", "chrom", "start_bin", "end_bin", "var_count", _depth().alias("coverage"))

@@ -17,6 +17,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -25,7 +27,7 @@ from pyspark.sql import types as T
 
 from ..functions import genotype as G
 from ..functions.ranking import block_rank
-from ..session import ship_package
+from ..session import ship_package, stored
 from . import variants as V
 
 # Smartpca settings of the reference (numoutevec, outlier rule).
@@ -41,16 +43,21 @@ N_PC_PAIRS = 6  # PC1..PC6 -> 15 scatter panels
 def pca_input(geno: DataFrame, ld: float, drop_x: bool = True) -> DataFrame:
     """G1: nuclear contigs -> merge records -> SNP -> biallelic -> LD prune at
     ``ld`` -> singletons out -> complete sites.  Returns genotypes."""
-    g = V.filter_regions(geno)
-    if drop_x:
-        g = g.filter(F.col("chrom") != "X")
-    snp = V.biallelic_sites(V.filter_snps(g))
+    snp = pca_snps(geno, drop_x)
     kept = V.ld_prune(snp, ld).select("site_id")
     g = snp.join(kept, "site_id", "left_semi")
     g = V.exclude_sites(g, V.singletons(g))
     return V.complete_sites(g)
 
 
+def pca_snps(geno: DataFrame, drop_x: bool = True) -> DataFrame:
+    """Merged biallelic SNP records of the nuclear contigs."""
+    g = V.filter_regions(geno)
+    if drop_x:
+        g = g.filter(F.col("chrom") != "X")
+    return V.biallelic_sites(V.filter_snps(V.merge_multiallelic(g)))
+
+
 def pca_sites(geno: DataFrame) -> DataFrame:
     """The SQL-checkable core of G1: biallelic SNP sites with every call made."""
     return V.complete_sites(V.biallelic_sites(V.filter_snps(geno)))
@@ -100,11 +107,9 @@ def relatedness(geno: DataFrame, chunk: int = 4096) -> DataFrame:
     strains = strain_index(geno)
     n = strains.agg(F.count(F.lit(1))).scalar()
     per_site = z.join(strains, "strain").groupBy("site_id", "chrom", "pos").agg(
-        F.map_from_entries(F.collect_list(F.struct("sidx", "z"))).alias("_m")
-    )
-    per_site = per_site.withColumn("_n", n.cast("int")).withColumn(
-        "zs", F.transform(F.sequence(F.lit(0), F.col("_n") - 1), lambda i: F.coalesce(F.element_at("_m", i), F.lit(0.0)))
+        F.collect_list(F.struct("sidx", "z")).alias("_e")
     )
+    per_site = per_site.withColumn("_n", n.cast("int")).withColumn("zs", G.dense("_e", "_n", "z", F.lit(0.0))).drop("_e", "_n")
     ranked = block_rank(per_site.select("site_id", "chrom", "pos", "zs"), "chrom", "pos", "idx", tiebreak="site_id")
     ranked = ranked.withColumn("chunk", F.floor((F.col("idx") - 1) / chunk).cast("bigint"))
     parts = ranked.select("chrom", "chunk", "zs").groupBy("chrom", "chunk").applyInPandas(_chunk_gram, _GRM)
@@ -157,6 +162,20 @@ def pca(grm: DataFrame, k: int = NUM_EVEC) -> DataFrame:
     return grm.withColumn("_all", F.lit(0)).groupBy("_all").applyInPandas(_eigen(k), _EIG)
 
 
+def spectrum_totals(grm: DataFrame, *by: str) -> DataFrame:
+    """(trace, frob, axes) of a GRM given as pairs i <= j: the sum of all its
+    eigenvalues, the sum of their squares and the rank n - 1 that centring
+    leaves.  With them, sums over the tail of the spectrum need only the
+    leading eigenvalues."""
+    same = F.col("strain1") == F.col("strain2")
+    sq = F.col("grm") * F.col("grm")
+    return grm.groupBy(*by).agg(
+        F.sum(F.when(same, F.col("grm")).otherwise(0.0)).alias("trace"),
+        F.sum(F.when(same, sq).otherwise(2 * sq)).alias("frob"),
+        (F.sum(same.cast("bigint")) - 1).alias("axes"),
+    )
+
+
 def eigenvalues(pcs: DataFrame) -> DataFrame:
     return pcs.groupBy("pc").agg(F.first("eigenvalue").alias("eigenvalue")).select(
         F.col("pc").cast("bigint").alias("n"), "eigenvalue"
@@ -199,15 +218,43 @@ def pca_outlier_removal(
 
 
 # --------------------------------------------------------------------- G6
-def tracy_widom(eig: DataFrame) -> DataFrame:
+def _gamma_upper(a: float, x: float) -> float:
+    """Regularised upper incomplete gamma function by its power series."""
+    if x <= 0:
+        return 1.0
+    term = total = 1.0 / a
+    for k in range(1, 2000):
+        term *= x / (a + k)
+        total += term
+        if term < total * 1e-16:
+            break
+    return min(1.0, max(0.0, 1.0 - math.exp(a * math.log(x) - x - math.lgamma(a)) * total))
+
+
+@F.pandas_udf(T.DoubleType())
+def tracy_widom_p(stat: pd.Series) -> pd.Series:
+    """Upper tail of the Tracy-Widom law (beta = 1), approximated by a shifted
+    gamma law (Chiani 2014).  For the axis table: one row per axis."""
+    # Shape, scale and shift of the published fit.
+    shape, scale, shift = 46.446, 0.186054, 9.84801
+    return stat.map(lambda s: None if pd.isna(s) else _gamma_upper(shape, (s + shift) / scale))
+
+
+def tracy_widom(eig: DataFrame, totals: DataFrame | None = None) -> DataFrame:
     """Per axis N: eigenvalue, difference to the previous axis, the
     Tracy-Widom statistic over the eigenvalues from N on, and the effective
     number of markers (Patterson et al. 2006).  One row per axis; the
     windows run over the eigenvalue table (bounded by the sample count)."""
-    w = Window.orderBy(F.col("n").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    eig = eig.filter(F.col("eigenvalue") > F.lit(1e-9))  # the centring null space carries no axis
-    df = eig.withColumn("_s1", F.sum("eigenvalue").over(w)).withColumn("_s2", F.sum(F.col("eigenvalue") ** 2).over(w))
-    df = df.withColumn("_r", F.count(F.lit(1)).over(w).cast("double"))  # eigenvalues from N on (= m - 1)
+    if totals is None:  # the whole spectrum is given; its null space is relative to the trace
+        trace = eig.agg(F.sum("eigenvalue")).scalar()
+        eig = eig.filter(F.col("eigenvalue") > 1e-9 * trace)
+        totals = eig.agg(F.sum("eigenvalue").alias("trace"), F.sum(F.col("eigenvalue") ** 2).alias("frob"), F.count("*").alias("axes"))
+    # sums over the eigenvalues from N on: the totals less what comes before N
+    before = Window.orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
+    lead = lambda c: F.coalesce(F.sum(c).over(before), F.lit(0.0))
+    df = eig.withColumn("_s1", totals.select("trace").scalar() - lead(F.col("eigenvalue")))
+    df = df.withColumn("_s2", totals.select("frob").scalar() - lead(F.col("eigenvalue") ** 2))
+    df = df.withColumn("_r", (totals.select("axes").scalar() - F.col("n") + 1).cast("double")).filter("_r >= 1")  # = m - 1
     m = F.col("_r") + 1
     neff = F.try_divide((m + 1) * F.col("_s1") ** 2, (m - 1) * F.col("_s2") - F.col("_s1") ** 2)
     ell = (m - 1) * F.col("eigenvalue") / F.col("_s1")
@@ -221,13 +268,14 @@ def tracy_widom(eig: DataFrame) -> DataFrame:
         (F.col("eigenvalue") - prev).alias("difference"),
         F.try_divide(ell - mu, sig).alias("twstat"),
         neff.alias("effect_n"),
-    )
+    ).withColumn("p_value", tracy_widom_p("twstat"))
 
 
 # --------------------------------------------------------------------- G7
-def variance_explained(eig: DataFrame, top: int = N_VAR_EXPLAINED) -> DataFrame:
-    """Eigenvalue / sum, cumulative, label ``PC<N>``, first ``top`` axes."""
-    total = F.sum("eigenvalue").over(Window.partitionBy())
+def variance_explained(eig: DataFrame, top: int = N_VAR_EXPLAINED, totals: DataFrame | None = None) -> DataFrame:
+    """Eigenvalue / sum, cumulative, label ``PC<N>``, first ``top`` axes.
+    The sum is the trace in ``totals``, or that of ``eig`` if it is complete."""
+    total = F.sum("eigenvalue").over(Window.partitionBy()) if totals is None else totals.select("trace").scalar()
     cum = F.sum("eigenvalue").over(Window.orderBy("n").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     df = eig.select(
         "n",
@@ -282,7 +330,7 @@ def parameter_sweep(geno: DataFrame, ld_values: list[float], outlier_iters: list
     """Every (LD threshold, outlier iterations) setting with the number of
     sites its LD pruning keeps.  The threshold is a grouping column: one r^2
     pass and one pruning job serve every threshold."""
-    g = V.biallelic_sites(V.filter_snps(V.filter_regions(geno)))
+    g = stored(pca_snps(geno, drop_x=False), "sweep-snps")
     kept = V.ld_prune_sweep(g, ld_values)
     counts = kept.groupBy("ld").agg(F.count(F.lit(1)).alias("kept_sites"))
     iters = F.explode(F.array(*[F.lit(int(x)) for x in outlier_iters])).alias("outlier_iterations")
@@ -320,28 +368,25 @@ def pca_sweep(geno: DataFrame, ld_values: list[float], k: int = N_VAR_EXPLAINED,
     and the eigen step by ld (one n x n matrix per setting).  Returns
     (ld, pc, eigenvalue, var_exp) for the top ``k`` axes of every setting."""
     ship_package(geno.sparkSession)
-    g = V.filter_regions(geno)
-    if drop_x:
-        g = g.filter(F.col("chrom") != "X")
-    snp = V.biallelic_sites(V.filter_snps(g))
+    snp = stored(pca_snps(geno, drop_x), "pca-snps")
     kept = V.ld_prune_sweep(snp, ld_values).select("ld", "site_id")
     base = V.complete_sites(V.exclude_sites(snp, V.singletons(snp)))
     z = normalize_genotypes(base)
     strains = strain_index(base)
     n = strains.agg(F.count(F.lit(1))).scalar()
     per_site = z.join(strains, "strain").groupBy("site_id", "chrom", "pos").agg(
-        F.map_from_entries(F.collect_list(F.struct("sidx", "z"))).alias("_m")
-    )
-    per_site = per_site.withColumn("_n", n.cast("int")).withColumn(
-        "zs", F.transform(F.sequence(F.lit(0), F.col("_n") - 1), lambda i: F.coalesce(F.element_at("_m", i), F.lit(0.0)))
+        F.collect_list(F.struct("sidx", "z")).alias("_e")
     )
+    per_site = per_site.withColumn("_n", n.cast("int")).withColumn("zs", G.dense("_e", "_n", "z", F.lit(0.0))).drop("_e", "_n")
     tagged = per_site.join(kept, "site_id").withColumn("chunk", F.floor(F.col("pos") / chunk_bp).cast("bigint"))
     parts = tagged.select("ld", "chrom", "chunk", "zs").groupBy("ld", "chrom", "chunk").applyInPandas(_chunk_gram_ld, _GRM_LD)
     tot = parts.groupBy("ld", "i", "j").agg(F.sum("zz").alias("zz"), F.sum("m").alias("markers"))
     s1 = strains.select(F.col("sidx").alias("i"), F.col("strain").alias("strain1"))
     s2 = strains.select(F.col("sidx").alias("j"), F.col("strain").alias("strain2"))
     grm = tot.join(s1, "i").join(s2, "j").select("ld", "strain1", "strain2", (F.col("zz") / F.col("markers")).alias("grm"))
+    grm = stored(grm, "grm-sweep")
     pcs = grm.groupBy("ld").applyInPandas(_eigen_ld(k), _EIG_LD)
     eig = pcs.groupBy("ld", "pc").agg(F.first("eigenvalue").alias("eigenvalue"))
-    total = F.sum("eigenvalue").over(Window.partitionBy("ld"))
-    return eig.select("ld", "pc", "eigenvalue", (F.col("eigenvalue") / total).alias("var_exp"))
+    return eig.join(spectrum_totals(grm, "ld"), "ld").select(
+        "ld", "pc", "eigenvalue", (F.col("eigenvalue") / F.col("trace")).alias("var_exp")
+    )

@@ -10,6 +10,7 @@ broadcast only when the materialised side is measured to be small.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from pyspark.sql import types as T
 from ..functions import genotype as G
 from ..functions.contigs import MARKER_CHROM_NAMES, NUCLEAR_CONTIGS
 from ..functions.ranking import block_islands, block_rank
-from ..session import materialize, ship_package, spread
+from ..session import materialize, ship_package
 
 SITE = ["site_id"]
 
@@ -31,6 +32,11 @@ LD_STEP = 10
 ISLANDS_PER_GROUP = 256
 
 
+def site_key():
+    """Deterministic site id of a record without one."""
+    return F.xxhash64("chrom", "pos", "ref", "alt")
+
+
 # --------------------------------------------------------------------- B1
 def subset_samples(geno: DataFrame, sheet: DataFrame, strain_col: str = "strain") -> DataFrame:
     """B1: keep the strains listed in the sample sheet (left semi join)."""
@@ -45,12 +51,10 @@ def polymorphic_sites(geno: DataFrame, min_af: float = MIN_AF, max_af: float = M
     w = Window.partitionBy(*SITE)
     ac = F.sum(G.nonref_alleles("gt")).over(w)
     an = F.sum(G.called_alleles("gt")).over(w)
-    af = ac / an
     return (
-        geno.withColumn("_an", an)
-        .withColumn("_af", af)
-        .filter((F.col("_an") > 0) & (F.col("_af") >= F.lit(min_af)) & (F.col("_af") <= F.lit(max_af)))
-        .drop("_an", "_af")
+        geno.withColumn("_af", F.try_divide(ac, an))  # NULL, and so dropped, without called alleles
+        .filter((F.col("_af") >= F.lit(min_af)) & (F.col("_af") <= F.lit(max_af)))
+        .drop("_af")
     )
 
 
@@ -123,20 +127,35 @@ def filter_regions(df: DataFrame, contigs: list[str] | None = None) -> DataFrame
 
 
 # --------------------------------------------------------------------- B9
-def merge_multiallelic(geno: DataFrame, ploidy: int = 2) -> DataFrame:
-    """Records at the same (chrom, pos, ref) become one multi-ALT record.
-
-    ALTs are the sorted distinct union; each strain's allele indexes are
-    re-mapped into it.  A strain with calls in several merged records takes,
-    per allele slot, the highest re-mapped allele (a non-reference allele
-    wins over the reference; missing only if missing in every record).
+def merge_multiallelic(geno: DataFrame) -> DataFrame:
+    """Records at the same (chrom, pos) become one multi-ALT record.
+
+    REF is the longest one of the position that starts with the record's own;
+    a shorter REF and its ALTs are extended by the bases it lacks (symbolic
+    ALTs and ``*`` stay).  ALTs are
+    the sorted distinct union; each strain's allele indexes are re-mapped into
+    it.  A strain with calls in several merged records takes, per allele slot,
+    the highest re-mapped allele (a non-reference allele wins over the
+    reference; missing only if missing in every record).  Any ploidy; the
+    record's ``site_id`` is a hash of chrom, pos, ref and alt.
     """
     key = ["chrom", "pos", "ref"]
-    recs = geno.select(*key, "alt").dropDuplicates()
-    merged = recs.select(*key, F.explode(G.alt_list("alt")).alias("_a")).groupBy(*key).agg(
+    refs = geno.groupBy("chrom", "pos").agg(F.collect_set("ref").alias("_refs"))  # a handful per position
+    fitting = F.filter("_refs", lambda r: F.startswith(r, F.col("ref")))
+    longest = F.array_max(F.transform(fitting, lambda r: F.struct(F.length(r).alias("n"), r.alias("r"))))["r"]
+    tail = F.expr("substring(_long, length(ref) + 1)")
+    extended = F.transform(G.alt_list("alt"), lambda a: F.when(a.rlike("^[A-Za-z]+$"), F.concat(a, tail)).otherwise(a))
+    geno = (
+        geno.join(refs, ["chrom", "pos"])
+        .withColumn("_long", longest)
+        .withColumn("_old", extended)
+        .withColumn("ref", F.col("_long"))
+        .select(*key, "strain", "gt", "_old")
+    )
+    merged = geno.select(*key, F.explode("_old").alias("_a")).groupBy(*key).agg(
         F.array_sort(F.collect_set("_a")).alias("_alts")
     )
-    g = geno.join(merged, key).withColumn("_old", G.alt_list("alt")).withColumn("_al", G.alleles("gt"))
+    g = geno.join(merged, key).withColumn("_al", G.alleles("gt"))
     remap = F.transform(
         "_al",
         lambda a: F.when(a.isNull(), F.lit(None).cast("int"))
@@ -144,12 +163,15 @@ def merge_multiallelic(geno: DataFrame, ploidy: int = 2) -> DataFrame:
         .otherwise(F.array_position(F.col("_alts"), F.element_at(F.col("_old"), a)).cast("int")),
     )
     g = g.withColumn("_new", remap)
-    slots = [F.max(F.element_at("_new", i + 1)).alias(f"_s{i}") for i in range(ploidy)]
-    out = g.groupBy(*key, "_alts", "strain").agg(*slots)
-    gt = F.concat_ws(
-        "/", *[F.coalesce(F.col(f"_s{i}").cast("string"), F.lit(".")) for i in range(ploidy)]
+    # one list per merged record: a handful per position and strain
+    out = g.groupBy(*key, "_alts", "strain").agg(F.collect_list("_new").alias("_calls"))
+    ploidy = F.array_max(F.transform("_calls", F.size))
+    gt = F.transform(
+        F.sequence(F.lit(0), ploidy - 1),
+        lambda s: F.coalesce(F.array_max(F.transform("_calls", lambda c: F.get(c, s))).cast("string"), F.lit(".")),
     )
-    return out.select(*key, F.array_join("_alts", ",").alias("alt"), "strain", gt.alias("gt"))
+    out = out.select(*key, F.array_join("_alts", ",").alias("alt"), "strain", F.array_join(gt, "/").alias("gt"))
+    return out.withColumn("site_id", site_key())
 
 
 # --------------------------------------------------------------------- B10 / B11
@@ -202,7 +224,7 @@ def ancestor_bed(geno: DataFrame, strains: list[str] | None = None) -> DataFrame
     one strain (the ancestor) or every strain when ``strains`` is None."""
     df = geno if strains is None else geno.filter(F.col("strain").isin(strains))
     bases = G.allele_bases("ref", "alt")
-    first = F.split(F.col("gt"), "/").getItem(0)
+    first = F.split(F.col("gt"), "[/|]").getItem(0)
     allele = F.when(first == F.lit("."), F.lit(".")).otherwise(F.element_at(bases, first.cast("int") + 1))
     return df.select(
         "strain",
@@ -286,39 +308,16 @@ def singletons(geno: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------- B20
-def site_dosage_arrays(geno: DataFrame, strains: DataFrame | None = None) -> DataFrame:
-    """Per site: dosages in a fixed strain order (sorted names), NULL = missing.
-
-    One group per site, bounded by the number of samples."""
-    d = geno.select("site_id", "chrom", "pos", "strain", G.dosage("gt").alias("d"))
-    return d.groupBy("site_id", "chrom", "pos").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("strain", "d"))), lambda x: x["d"]).alias("dos")
-    )
-
-
-def _r2(a, b):
-    """r^2 of two dosage arrays over pairwise-complete entries (JVM HOFs)."""
-    acc0 = F.struct(
-        F.lit(0.0).alias("n"), F.lit(0.0).alias("sx"), F.lit(0.0).alias("sy"),
-        F.lit(0.0).alias("sxx"), F.lit(0.0).alias("syy"), F.lit(0.0).alias("sxy"),
+def site_dosage_arrays(geno: DataFrame) -> DataFrame:
+    """Per site: dosages by sample index (sorted names), NULL = missing call or
+    no call row.  One group per site, bounded by the number of samples."""
+    strains = list_samples(geno).select("strain", (F.col("sample_idx") - 1).cast("int").alias("sidx"))
+    n = strains.agg(F.count(F.lit(1))).scalar()
+    d = geno.select("site_id", "chrom", "pos", "strain", G.dosage("gt").alias("d")).join(strains, "strain")
+    per_site = d.groupBy("site_id", "chrom", "pos").agg(F.collect_list(F.struct("sidx", "d")).alias("_e"))
+    return per_site.withColumn("_n", n.cast("int")).select(
+        "site_id", "chrom", "pos", G.dense("_e", "_n", "d", F.lit(None).cast("int")).alias("dos")
     )
-    pairs = F.filter(F.arrays_zip(a.alias("x"), b.alias("y")), lambda p: p["x"].isNotNull() & p["y"].isNotNull())
-
-    def step(acc, p):
-        x = p["x"].cast("double")
-        y = p["y"].cast("double")
-        return F.struct(
-            (acc["n"] + 1).alias("n"), (acc["sx"] + x).alias("sx"), (acc["sy"] + y).alias("sy"),
-            (acc["sxx"] + x * x).alias("sxx"), (acc["syy"] + y * y).alias("syy"), (acc["sxy"] + x * y).alias("sxy"),
-        )
-
-    def finish(s):
-        vx = s["n"] * s["sxx"] - s["sx"] * s["sx"]
-        vy = s["n"] * s["syy"] - s["sy"] * s["sy"]
-        cov = s["n"] * s["sxy"] - s["sx"] * s["sy"]
-        return F.when((vx > 0) & (vy > 0), (cov * cov) / (vx * vy))
-
-    return F.aggregate(pairs, acc0, step, finish)
 
 
 def site_ranks(geno: DataFrame) -> DataFrame:
@@ -334,37 +333,68 @@ def ld_r2(geno: DataFrame, window: int = LD_WINDOW) -> DataFrame:
     return ld_r2_ranked(site_ranks(geno), window)
 
 
-def ld_r2_ranked(ranked: DataFrame, window: int = LD_WINDOW) -> DataFrame:
+_PAIRS = "chrom string, site1 long, pos1 long, site2 long, pos2 long, r2 double"
+
+
+def _block_r2(window: int, above: float | None):
+    """r^2 of the pairs whose first site is in one block, over pairwise-complete
+    calls: six products of the block's rows with all rows sent to it."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("rank", ignore_index=True)
+        g = np.array(pdf["dos"].tolist(), dtype=np.float64)  # -1 = missing
+        called = (g >= 0).astype(np.float64)
+        x = np.where(g >= 0, g, 0.0)
+        own = np.flatnonzero(pdf["own"].to_numpy())
+        rank = pdf["rank"].to_numpy()
+        out = []
+        for at in range(0, len(own), 512):  # rows of products held at a time
+            i = own[at : at + 512]
+            hi = np.searchsorted(rank, rank[i[-1]] + window)
+            j = np.arange(i[0], hi)
+            c1, x1, c2, x2 = called[i], x[i], called[j], x[j]
+            n, sx, sy, sxy = c1 @ c2.T, x1 @ c2.T, c1 @ x2.T, x1 @ x2.T
+            vx, vy = n * ((x1 * x1) @ c2.T) - sx * sx, n * (c1 @ (x2 * x2).T) - sy * sy
+            near = (rank[j][None, :] > rank[i][:, None]) & (rank[j][None, :] < rank[i][:, None] + window)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                cov = n * sxy - sx * sy
+                r2 = np.where((vx > 0) & (vy > 0), cov * cov / (vx * vy), np.nan)
+            keep = near if above is None else near & (r2 > above)
+            a, b = np.nonzero(keep)
+            out.append(
+                pd.DataFrame(
+                    {
+                        "chrom": pdf["chrom"].iloc[0],
+                        "site1": pdf["site_id"].to_numpy()[i[a]],
+                        "pos1": pdf["pos"].to_numpy()[i[a]],
+                        "site2": pdf["site_id"].to_numpy()[j[b]],
+                        "pos2": pdf["pos"].to_numpy()[j[b]],
+                        "r2": [None if v != v else v for v in r2[a, b]],
+                    }
+                )
+            )
+        return pd.concat(out) if out else pd.DataFrame(columns=["chrom", "site1", "pos1", "site2", "pos2", "r2"])
+
+    return run
+
+
+def ld_r2_ranked(ranked: DataFrame, window: int = LD_WINDOW, above: float | None = None, block: int = 256) -> DataFrame:
     """r^2 of dosages for every pair of sites less than ``window``
-    variants apart on a chromosome (plink window semantics).
+    variants apart on a chromosome (plink window semantics); with ``above``
+    only pairs over that value leave a task.
 
-    Sites are ranked per chromosome; each site row is replicated to its
-    ``window - 1`` following ranks (a fixed fan-out, the window definition)
-    and equi-joined on (chrom, rank): no range or nested-loop join.  r^2 is
-    computed JVM-side over the two dosage arrays.
+    Sites are cut into blocks of ranks, at least a window long.  A site goes
+    to its own block and, as a right-hand site, to the block before it: two
+    copies, whatever the window.  A block's pairs are matrix products.
     """
-    last = F.broadcast(ranked.groupBy("chrom").agg(F.max("rank").alias("_last")))  # one row per contig
-    hi = F.least(F.col("rank") + window - 1, F.col("_last"))
-    left = ranked.join(last, "chrom").filter(F.col("rank") < F.col("_last")).select(
-        "chrom",
-        F.col("site_id").alias("site1"),
-        F.col("pos").alias("pos1"),
-        F.col("rank").alias("rank1"),
-        F.col("dos").alias("dos1"),
-        F.explode(F.sequence(F.col("rank") + 1, hi)).alias("rank2"),
-    )
-    right = ranked.select(
-        "chrom",
-        F.col("site_id").alias("site2"),
-        F.col("pos").alias("pos2"),
-        F.col("rank").alias("rank2"),
-        F.col("dos").alias("dos2"),
-    )
-    # r^2 is CPU-heavy for its byte size: AQE would coalesce the pair shuffle
-    # to a few partitions, so the join gets an explicit partition count
-    # (never coalesced) scaled to the cluster's cores.
-    pairs = spread(left, "chrom", "rank2").join(spread(right, "chrom", "rank2"), ["chrom", "rank2"])
-    return pairs.select("chrom", "site1", "pos1", "site2", "pos2", _r2(F.col("dos1"), F.col("dos2")).alias("r2"))
+    size = max(block, window)
+    ship_package(ranked.sparkSession)
+    b = F.floor((F.col("rank") - 1) / size).cast("bigint")
+    dos = F.transform("dos", lambda d: F.coalesce(d, F.lit(-1)).cast("int"))
+    copies = F.array(F.struct(b.alias("blk"), F.lit(True).alias("own")), F.struct((b - 1).alias("blk"), F.lit(False).alias("own")))
+    rows = ranked.select("chrom", "site_id", "pos", "rank", dos.alias("dos"), F.explode(copies).alias("c"))
+    rows = rows.select("chrom", "site_id", "pos", "rank", "dos", "c.blk", "c.own").filter("blk >= 0")
+    return rows.groupBy("chrom", "blk").applyInPandas(_block_r2(window, above), _PAIRS)
 
 
 # --------------------------------------------------------------------- B21
@@ -430,7 +460,7 @@ def ld_prune_sweep(
     # lookups: materialise it once instead of re-aggregating the genotypes
     ship_package(geno.sparkSession)
     ranked = materialize(site_ranks(geno))
-    r2 = ld_r2_ranked(ranked, window)
+    r2 = ld_r2_ranked(ranked, window, min(thresholds))
     called = F.aggregate(F.transform("dos", lambda d: F.when(d.isNull(), 0).otherwise(2)), F.lit(0), lambda a, b: a + b)
     alt = F.aggregate(F.transform("dos", lambda d: F.coalesce(d, F.lit(0))), F.lit(0), lambda a, b: a + b)
     p = alt / called

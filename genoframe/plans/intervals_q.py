@@ -21,7 +21,7 @@ def q_make_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _COUNT = _BINS + [
-    ("grid", "SELECT s.strain, b.* FROM (SELECT DISTINCT strain, chrom FROM f_geno) s JOIN bins b ON b.chrom = s.chrom"),
+    ("grid", "SELECT s.strain, b.* FROM (SELECT DISTINCT strain FROM f_geno) s CROSS JOIN bins b"),
     (
         "carriers",
         "SELECT strain, chrom, pos, ref FROM f_geno WHERE COALESCE(NULLIF(split_part(gt, '/', 1), '.') <> '0', FALSE) "
@@ -42,7 +42,7 @@ def q_interval_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _DEPTH = _BINS + [
-    ("agrid", "SELECT s.strain, b.* FROM (SELECT DISTINCT strain, chrom FROM f_align) s JOIN bins b ON b.chrom = s.chrom"),
+    ("agrid", "SELECT s.strain, b.* FROM (SELECT DISTINCT strain FROM f_align) s CROSS JOIN bins b"),
     (
         "dep",
         "SELECT g.strain, g.chrom, g.start_bin, g.end_bin, "
@@ -61,7 +61,7 @@ def q_interval_mean_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
 _MASK = _COUNT + _DEPTH[2:] + [
     (
         "mask",
-        "SELECT c.strain, c.chrom, c.start_bin, c.end_bin, c.var_count, d.coverage FROM cnt c JOIN dep d "
+        "SELECT c.strain, c.chrom, c.start_bin, c.end_bin, c.var_count, COALESCE(d.coverage, 0) AS coverage FROM cnt c LEFT JOIN dep d "
         "ON c.strain = d.strain AND c.chrom = d.chrom AND c.start_bin = d.start_bin",
     )
 ]

@@ -24,7 +24,7 @@ def q_vcf_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = io.scratch_path(spark, "vcf")
     io.write_vcf(fixture(spark, sf_dir, "f_geno"), path)
     _, geno = io.read_vcf(spark, path)
-    return geno
+    return geno.drop("site_id")
 
 
 @register("sample_sheet_scan", with_fixtures(["f_sheet"], "SELECT strain, bam FROM f_sheet"), "A")

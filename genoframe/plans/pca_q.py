@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import pca as P
+from ..session import stored
 from ..sources.fixtures import fixture, with_fixtures
 from .catalog import register
 
@@ -63,8 +64,12 @@ def q_relatedness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.relatedness(_sites(spark, sf_dir)).withColumn("grm", F.round("grm", 6))
 
 
+def _grm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(P.relatedness(_sites(spark, sf_dir)), "grm")
+
+
 def _pcs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.pca(P.relatedness(_sites(spark, sf_dir)))
+    return P.pca(_grm(spark, sf_dir))
 
 
 @register("pca", None, "G")
@@ -86,18 +91,22 @@ def q_pca_outlier_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("tracy_widom", None, "G")
 def q_tracy_widom(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.tracy_widom(P.eigenvalues(_pcs(spark, sf_dir)))
+    grm = _grm(spark, sf_dir)
+    return P.tracy_widom(P.eigenvalues(P.pca(grm)), P.spectrum_totals(grm))
 
 
 @register("variance_explained", None, "G")
 def q_variance_explained(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.variance_explained(P.eigenvalues(_pcs(spark, sf_dir)))
+    grm = _grm(spark, sf_dir)
+    return P.variance_explained(P.eigenvalues(P.pca(grm)), totals=P.spectrum_totals(grm))
 
 
 @register("pc_pairs", None, "G")
 def q_pc_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pcs = _pcs(spark, sf_dir)
-    return P.pc_pairs(P.pcs_wide(pcs), P.variance_explained(P.eigenvalues(pcs)))
+    grm = _grm(spark, sf_dir)
+    pcs = stored(P.pca(grm), "pcs")
+    explained = stored(P.variance_explained(P.eigenvalues(pcs), totals=P.spectrum_totals(grm)), "var-exp")
+    return P.pc_pairs(P.pcs_wide(pcs), explained)
 
 
 @register("parameter_sweep", None, "G")

@@ -202,7 +202,7 @@ _MERGE = [
 def q_merge_multiallelic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B9 on positions collapsed to 60 kb (FIXTURES: positions are distinct otherwise)."""
     g = _geno(spark, sf_dir).withColumn("pos", F.col("pos") - F.col("pos") % 60000)
-    return V.merge_multiallelic(g)
+    return V.merge_multiallelic(g).drop("site_id")
 
 
 # ------------------------------------------------------------------ B10-B13

@@ -122,17 +122,3 @@ def ship_package(spark: SparkSession) -> None:
         out.close()
     sc.addPyFile(target)
     _SHIPPED.add(app)
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-partition ``df`` on ``keys`` into an explicit number of partitions
-    (the larger of ``spark.sql.shuffle.partitions`` and twice the default
-    parallelism).  Used before the JVM r^2 step over site pairs, whose CPU
-    work is large for its bytes: AQE sizes partitions by bytes and would pack
-    it into a few tasks; an explicit count is never coalesced, and it
-    satisfies the join on the same keys without another exchange.  (Tried
-    before the pandas GEMM / IBD groups too: slower at test scale, and at
-    full scale their inputs are large enough for AQE's byte-based sizing.)"""
-    spark = df.sparkSession
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
-    return df.repartition(n, *keys)

@@ -60,11 +60,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def register_tables(spark: SparkSession, sf_dir: str, names: list[str] | None = None) -> None:
-    for name in names or TABLES:
-        table(spark, sf_dir, name).createOrReplaceTempView(name)
-
-
 _REF = re.compile(r"\b(FROM|JOIN)\s+(" + "|".join(TABLES + list(FIXTURE_SQL)) + r")\b")
 
 
@@ -93,10 +88,6 @@ def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return built[name]
 
 
-def fixtures(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
-    return [fixture(spark, sf_dir, n) for n in names]
-
-
 def with_fixtures(
     names: list[str], body: str, extra_ctes: list[tuple[str, str]] | None = None, recursive: bool = False
 ) -> str:

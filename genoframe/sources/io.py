@@ -8,13 +8,13 @@ never collect: files are written by the executors.
 
 from __future__ import annotations
 
-import uuid
+import tomllib
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import checkpoint_dir
+from ..session import scratch_path  # noqa: F401
 
 SEGMENT_SCHEMA = T.StructType(
     [
@@ -49,11 +49,6 @@ BED_SCHEMA = T.StructType(
 )
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh folder under the shared checkpoint folder (never a node-local path)."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/genoframe-io/{label}-{uuid.uuid4().hex}"
-
-
 def _tsv(spark: SparkSession, path: str, schema: T.StructType, header: bool = False) -> DataFrame:
     return spark.read.csv(path, schema=schema, sep="\t", header=header)
 
@@ -65,13 +60,25 @@ def read_vcf(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     Sample names come from the ``#CHROM`` header (``./`` stripped); ``#`` and
     blank lines are skipped; GT is the FORMAT field before the first ``:``.
     The header is exploded to (index, name), bounded by the sample count, and
-    joined to the data fields by position."""
-    lines = spark.read.text(path)
-    header = lines.filter(F.col("value").startswith("#CHROM")).select(F.split("value", "\t").alias("f")).dropDuplicates()
-    names = header.select(F.posexplode("f").alias("col", "strain")).filter(F.col("col") >= 9).select(
-        "col", F.regexp_replace("strain", r"\./", "").alias("strain")
+    joined to the data fields by file and position, so files may list their
+    samples in any order.  A file without a header takes that of its folder.
+    ``site_id`` is a hash of chrom, pos, ref and alt."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_file"))
+    header = lines.filter(F.col("value").startswith("#CHROM")).select("_file", F.split("value", "\t").alias("f"))
+    folder = F.regexp_replace("_file", "[^/]*$", "")
+    # a folder written by Spark holds its header in one part file: it counts for the folder
+    of_file = header.select("_file", F.posexplode("f").alias("col", "strain")).filter(F.col("col") >= 9)
+    names = of_file.select("_file", "col", F.regexp_replace("strain", r"\./", "").alias("strain"))
+    data = lines.filter(~F.col("value").startswith("#") & (F.trim("value") != "")).select("_file", F.split("value", "\t").alias("f"))
+    if any(f.endswith((".gz", ".bgz")) for f in lines.inputFiles()):  # one split per file: spread the rows
+        data = data.repartition(2 * spark.sparkContext.defaultParallelism)
+    own = header.select("_file", F.lit(True).alias("_own"))
+    shared = header.groupBy(folder.alias("_folder")).agg(F.min("_file").alias("_shared"))
+    data = (
+        data.withColumn("_folder", folder).join(own, "_file", "left").join(shared, "_folder", "left")
+        .withColumn("_head", F.when(F.col("_own"), F.col("_file")).otherwise(F.col("_shared")))
+        .drop("_file", "_folder", "_own", "_shared")
     )
-    data = lines.filter(~F.col("value").startswith("#") & (F.trim("value") != "")).select(F.split("value", "\t").alias("f"))
     sites = data.select(
         F.col("f")[0].alias("chrom"),
         F.col("f")[1].cast("bigint").alias("pos"),
@@ -82,12 +89,15 @@ def read_vcf(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
         F.col("f")[6].alias("filter"),
         F.col("f")[7].alias("info"),
         "f",
+        "_head",
+    ).withColumn("site_id", F.xxhash64("chrom", "pos", "ref", "alt"))
+    site = ["site_id", "chrom", "pos", "ref", "alt"]
+    fields = F.when(F.size("f") > 9, F.slice("f", F.lit(10), F.size("f") - 9)).otherwise(F.array().cast("array<string>"))
+    calls = sites.select(*site, "_head", F.posexplode(fields).alias("_i", "_field")).select(
+        *site, "_head", (F.col("_i") + 9).alias("col"), F.substring_index("_field", ":", 1).alias("gt")
     )
-    calls = sites.select(
-        "chrom", "pos", "ref", "alt", F.posexplode(F.slice("f", 10, 1_000_000)).alias("_i", "_field")
-    ).select("chrom", "pos", "ref", "alt", (F.col("_i") + 9).alias("col"), F.substring_index("_field", ":", 1).alias("gt"))
-    geno = calls.join(names, "col").drop("col")
-    return sites.drop("f"), geno
+    geno = calls.join(names.withColumnRenamed("_file", "_head"), ["_head", "col"]).drop("_head", "col")
+    return sites.drop("f", "_head"), geno
 
 
 def write_vcf(geno: DataFrame, path: str, source: str = "genoframe") -> None:
@@ -161,23 +171,28 @@ def read_masks(spark: SparkSession, path: str) -> DataFrame:
 
 def read_annotations(spark: SparkSession, sources: list[dict]) -> list[tuple[DataFrame, str, str]]:
     """Annotation BEDs configured as ``{file, columns, names, ops}``
-    entries (one value column each); returns (intervals, name, op)."""
+    entries; returns (intervals, name, op) for every value column."""
     out = []
     for src in sources:
-        col = int(src["columns"][0])
-        schema = T.StructType(
-            [T.StructField(f"c{i}", T.StringType()) for i in range(1, max(col, 4) + 1)]
-        )
-        df = _tsv(spark, src["file"], schema).select(
-            F.col("c1").alias("chrom"),
-            F.col("c2").cast("bigint").alias("start_pos"),
-            F.col("c3").cast("bigint").alias("end_pos"),
-            F.col(f"c{col}").alias(src["names"][0]),
-        )
-        out.append((df, src["names"][0], src["ops"][0]))
+        columns = [int(c) for c in src["columns"]]
+        schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(1, max(*columns, 4) + 1)])
+        rows = _tsv(spark, src["file"], schema)
+        for col, name, op in zip(columns, src["names"], src["ops"], strict=True):
+            df = rows.select(
+                F.col("c1").alias("chrom"),
+                F.col("c2").cast("bigint").alias("start_pos"),
+                F.col("c3").cast("bigint").alias("end_pos"),
+                F.col(f"c{col}").alias(name),
+            )
+            out.append((df, name, op))
     return out
 
 
+def annotation_config(text: str) -> list[dict]:
+    """The ``[[annotation]]`` tables of a TOML annotation configuration."""
+    return [dict(a) for a in tomllib.loads(text)["annotation"]]
+
+
 # --------------------------------------------------------------------- A8
 def write_table(
     df: DataFrame, path: str, fmt: str = "tsv", header: bool = True, partition_by: list[str] | None = None
@@ -205,8 +220,3 @@ def collate_runs(spark: SparkSession, path: str) -> DataFrame:
 def collect_tables(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """A10: many small CSVs with headers as one table (one header kept)."""
     return spark.read.csv(paths, header=True, inferSchema=False)
-
-
-def rank_strains(df: DataFrame) -> DataFrame:
-    """Sample order (sorted names) over a bounded strain list."""
-    return df.withColumn("sample_idx", F.row_number().over(Window.orderBy("strain")).cast("bigint"))

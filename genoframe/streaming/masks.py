@@ -54,10 +54,9 @@ def start_region_stream(
     ckpt = f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}"
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        masks = batch.withColumn("batch_id", F.lit(batch_id))
-        masks.write.mode("append").partitionBy("strain").parquet(masks_out)
-        regions = divergent_regions(batch).withColumn("batch_id", F.lit(batch_id))
-        regions.write.mode("append").partitionBy("strain").parquet(regions_out)
+        # a replayed batch overwrites its own folder
+        batch.write.mode("overwrite").partitionBy("strain").parquet(f"{masks_out}/batch_id={batch_id}")
+        divergent_regions(batch).write.mode("overwrite").partitionBy("strain").parquet(f"{regions_out}/batch_id={batch_id}")
 
     writer = mask_stream(spark, in_dir).writeStream.foreachBatch(per_batch).option("checkpointLocation", ckpt)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
