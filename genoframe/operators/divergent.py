@@ -4,7 +4,7 @@ Input: a mask table, one row per (strain, 1 kb bin) with the variant count and
 mean read depth of the bin: ``strain, chrom, start_bin, end_bin, var_count,
 coverage``.
 
-Plan shape: the per-strain mean coverage is a partial aggregate broadcast
+Plan shape: the per-strain mean coverage is a partial aggregate joined
 back (one row per strain: bounded by the sample count), then ONE hash
 shuffle on (strain, chrom) feeds every window of D3-D9: all later windows
 partition on (strain, chrom) or a superset, so Spark reuses that partitioning
@@ -42,19 +42,13 @@ def _w_bins() -> Window:
 
 
 # --------------------------------------------------------------------- D1
-def _per_sample(df: DataFrame, broadcast: bool) -> DataFrame:
-    """Tables with one row per strain (or per strain and contig) are bounded
-    by the sample count, not by the data: broadcasting them keeps the big
-    side from shuffling on the strain alone.  ``broadcast=False`` falls back
-    to a plain join (AQE still decides at runtime)."""
-    return F.broadcast(df) if broadcast else df
-
-
-def coverage_fraction(mask: DataFrame, broadcast: bool = True) -> DataFrame:
-    """Coverage divided by the strain's genome-wide mean coverage."""
+def coverage_fraction(mask: DataFrame) -> DataFrame:
+    """Coverage divided by the strain's genome-wide mean coverage; 0 for a
+    strain without any coverage.  The table of means (one row per strain) is
+    joined without a hint: its measured size decides."""
     mean_cov = mask.groupBy("strain").agg(F.avg("coverage").alias("mean_cov_genome"))
-    return mask.join(_per_sample(mean_cov, broadcast), "strain").withColumn(
-        "fraction_cov", F.col("coverage") / F.col("mean_cov_genome")
+    return mask.join(mean_cov, "strain").withColumn(
+        "fraction_cov", F.coalesce(F.try_divide("coverage", "mean_cov_genome"), F.lit(0.0))
     )
 
 
@@ -102,7 +96,7 @@ def two_flank_rescue(classified: DataFrame, contigs: list[str] | None = None) ->
         F.lag("_last_pass").over(we).alias("_chrom_prev_pass"),
         F.lead("_first_pass").over(we).alias("_chrom_next_pass"),
     )
-    df = df.join(F.broadcast(edges), KEYS, "left")  # two values per (strain, contig)
+    df = df.join(edges, KEYS, "left")  # two values per (strain, contig)
     prev_pass = F.coalesce(F.col("_prev_pass"), F.col("_chrom_prev_pass"), F.lit(False))
     next_pass = F.coalesce(F.col("_next_pass"), F.col("_chrom_next_pass"), F.lit(False))
     twoflank = is_pass & ~prev_pass & ~next_pass
@@ -348,6 +342,15 @@ def divergent_regions(
     )
 
 
+def region_bed(regions: DataFrame) -> DataFrame:
+    """The regions as BED lines, numbered per strain by chrom and start."""
+    line = F.row_number().over(Window.partitionBy("strain").orderBy("chrom", "cluster_start"))
+    return regions.select(
+        "chrom", F.col("cluster_start").alias("start_pos"), F.col("cluster_end").alias("end_pos"), "strain",
+        line.cast("bigint").alias("bed_line"),
+    )
+
+
 # --------------------------------------------------------------------- D11
 def total_divergent_size(final_bins: DataFrame) -> DataFrame:
     """Distinct divergent windows / 1e3, overall (``All``) and by freq_bin.

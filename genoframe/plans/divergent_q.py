@@ -55,8 +55,8 @@ def _base_ctes(rare: float = 0.01, intermediate: float = 0.05) -> list[tuple[str
         ("mc", "SELECT strain, AVG(coverage) AS mean_cov_genome FROM m GROUP BY strain"),
         (
             "c1",
-            "SELECT m.*, mc.mean_cov_genome, m.coverage / mc.mean_cov_genome AS fraction_cov, m.var_count > 15 AS is_count, "
-            "m.coverage / mc.mean_cov_genome < 0.35 AS is_lowcov FROM m JOIN mc ON m.strain = mc.strain",
+            "SELECT m.*, mc.mean_cov_genome, COALESCE(m.coverage / NULLIF(mc.mean_cov_genome, 0), 0) AS fraction_cov, m.var_count > 15 AS is_count, "
+            "COALESCE(m.coverage / NULLIF(mc.mean_cov_genome, 0), 0) < 0.35 AS is_lowcov FROM m JOIN mc ON m.strain = mc.strain",
         ),
         ("c2", "SELECT *, NOT (is_count OR is_lowcov) AS is_pass FROM c1"),
         (
@@ -230,9 +230,16 @@ def q_drop_deletions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.divergent_bins(_mask(spark, sf_dir)).select(*_FINAL_COLS)
 
 
-@register("strain_regions", _sql("SELECT * FROM reg"), "D")
+@register(
+    "strain_regions",
+    _sql(
+        "SELECT chrom, cluster_start AS start_pos, cluster_end AS end_pos, strain, "
+        "ROW_NUMBER() OVER (PARTITION BY strain ORDER BY chrom, cluster_start) AS bed_line FROM reg"
+    ),
+    "D",
+)
 def q_strain_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return D.divergent_regions(_mask(spark, sf_dir))
+    return D.region_bed(D.divergent_regions(_mask(spark, sf_dir)))
 
 
 @register("divergent_regions", _sql("SELECT * FROM reg"), "D")

@@ -8,6 +8,7 @@ from ..operators import intervals as I
 from ..operators import divergent as D
 from ..sources.fixtures import fixture, with_fixtures
 from .catalog import register
+from .divergent_q import _base_ctes
 
 _BINS = [
     ("bins0", "SELECT chrom, chrom_length, UNNEST(range(0, chrom_length, 1000)) AS start_bin FROM f_chrom"),
@@ -73,7 +74,12 @@ def q_assemble_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     return I.mask_from_calls(fixture(spark, sf_dir, "f_geno"), fixture(spark, sf_dir, "f_align"), lengths)
 
 
-@register("mask_divergent_regions", None, "C")
+def _regions_of_mask() -> list[tuple[str, str]]:
+    """The region CTEs over the assembled mask instead of the mask fixture."""
+    return _MASK + [(n, sql.replace("FROM f_mask", "FROM mask")) for n, sql in _base_ctes()]
+
+
+@register("mask_divergent_regions", with_fixtures(["f_geno", "f_align", "f_chrom"], "SELECT * FROM reg", _regions_of_mask()), "C")
 def q_mask_divergent_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """count_variant_coverage -> define_divergent_region: masks built from
     calls and alignments (C1-C3) feed the region calling (D17)."""
