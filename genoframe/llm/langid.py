@@ -20,12 +20,12 @@ result.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,12 +34,14 @@ from genoframe.session import stored
 from .common import fold
 
 ORDERS = (4, 3, 2, 1)
-LETTERS = regex.compile(r"\p{L}+")
+LETTERS = re.compile(r"[^\W\d_]+")  # also takes numerals that are not digits
 MARK = "\u0002"
 
 
 def words_of(text: str) -> list[str]:
-    return LETTERS.findall(text.lower())
+    """Lower-case words; none if the text has no letter."""
+    words = LETTERS.findall(text.lower())
+    return words if any(c.isalpha() for w in words for c in w) else []
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -63,36 +65,42 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Model:
-    """Log frequencies per language: one row of numbers per known word or gram."""
+    """Log frequencies per language, one row per known word or gram, and the
+    row numbers of the keys."""
 
     def __init__(self, langs: list[str], words: dict[str, np.ndarray], grams: dict[int, dict[str, np.ndarray]]):
-        self.langs, self.words, self.grams, self.memo = langs, words, grams, {}
-
-    def unseen(self, word: str) -> np.ndarray | None:
+        tables = [words, *(grams[n] for n in ORDERS)]
+        start = np.cumsum([0] + [len(t) for t in tables])
+        self.langs = langs
+        self.logs = np.array([row for t in tables for row in t.values()]).reshape(-1, len(langs))
+        self.words, *rest = ({k: int(s) + i for i, k in enumerate(t)} for t, s in zip(tables, start))
+        self.grams = dict(zip(ORDERS, rest))
+
+    def unseen(self, word: str) -> list[int]:
+        """Rows of the longest known n-grams of a word."""
         marked = f"{MARK}{word}{MARK}"
         for n in ORDERS:
-            table = self.grams[n]
-            rows = [r for i in range(len(marked) - n + 1) if (r := table.get(marked[i : i + n])) is not None]
+            known = self.grams[n]
+            rows = [known[g] for i in range(len(marked) - n + 1) if (g := marked[i : i + n]) in known]
             if rows:
-                return np.mean(rows, axis=0)
-        return None
+                return rows
+        return []
 
     def predict(self, text: str | None) -> tuple[str, float]:
         counts = Counter(words_of(text or ""))
         if not counts or not self.langs:
             return "und", 0.0
-        total = np.zeros(len(self.langs))
+        rows: list[int] = []
+        weights: list[float] = []
         for word, n in counts.items():
             row = self.words.get(word)
-            if row is None:
-                if word not in self.memo:
-                    if len(self.memo) >= 100_000:
-                        self.memo.clear()
-                    self.memo[word] = self.unseen(word)
-                row = self.memo[word]
-                if row is None:
-                    continue
-            total += n * row
+            if row is not None:
+                rows.append(row)
+                weights.append(n)
+            elif grams := self.unseen(word):
+                rows += grams
+                weights += [n / len(grams)] * len(grams)
+        total = np.array(weights) @ self.logs[rows] if rows else np.zeros(len(self.langs))
         best = int(total.argmax())
         return self.langs[best], float(1 / np.exp(total - total[best]).sum())
 
