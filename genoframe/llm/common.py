@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-#: A table of at most this many rows (of a few dozen bytes) may be broadcast.
-BROADCAST_ROWS = 200_000
+#: A stored table of at most this many bytes may be broadcast.
+BROADCAST_BYTES = 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,11 +34,30 @@ def fold(column: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if its counted rows are at most ``rows``,
-    else unchanged, so that Spark joins it by shuffle.  For stored tables of
-    fixed-width rows: the count reads parquet footers only."""
-    return F.broadcast(df) if df.count() <= rows else df
+def _bytes(field: T.StructField) -> Column:
+    """About how many bytes a value takes in memory."""
+    column, kind = F.col(f"`{field.name}`"), field.dataType
+    if isinstance(kind, T.StringType):
+        size = 16 + F.octet_length(column)
+    elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StringType):
+        size = 16 + 16 * F.size(column) + F.octet_length(F.array_join(column, ""))
+    elif isinstance(kind, T.ArrayType):
+        size = 16 + 24 * F.size(column)
+    else:
+        size = F.lit(16)
+    return F.coalesce(size, F.lit(16)).cast("long")
+
+
+def is_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+    """Whether the stored table ``df`` takes at most ``limit`` bytes, as measured."""
+    total = df.agg(F.coalesce(F.sum(sum((_bytes(f) for f in df.schema.fields), F.lit(0))), F.lit(0))).first()[0]
+    return total <= limit
+
+
+def small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint if it :func:`is_small`, else unchanged, so
+    that Spark joins it by shuffle."""
+    return F.broadcast(df) if is_small(df, limit) else df
 
 
 def keyed(docs: DataFrame, text: str = "text", doc: str = "doc_id") -> DataFrame:

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from genoframe.session import stored
 
-from .common import BROADCAST_ROWS, ascii_lower, keyed, small, text_of, without
+from .common import ascii_lower, is_small, keyed, small, text_of, without
 
 #: Everything that is not a word character.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -59,7 +59,7 @@ def item_table(items: DataFrame, text: str = "text", item: str = "item_id") -> D
 def frequencies(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """(word, n) over ``docs`` (keyed) for the words of ``vocabulary``."""
     corpus = docs.select(F.explode(words_of(F.col("_text"))).alias("word"))
-    if vocabulary.count() <= BROADCAST_ROWS:
+    if is_small(vocabulary):
         return corpus.join(F.broadcast(vocabulary), "word").groupBy("word").agg(F.count("*").alias("n"))
     return corpus.groupBy("word").agg(F.count("*").alias("n")).join(vocabulary, "word")
 
