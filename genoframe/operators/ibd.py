@@ -102,10 +102,15 @@ def _score_table(p, maf) -> F.Column:
     return F.array(*vals)
 
 
-def marker_table(geno: DataFrame, min_alleles: int = MIN_ALLELES) -> tuple[DataFrame, DataFrame]:
+def marker_table(
+    geno: DataFrame, min_alleles: int = MIN_ALLELES, r2max: float | None = None, window: int = R2_WINDOW
+) -> tuple[DataFrame, DataFrame]:
     """Markers with rank, score table and dosage array (sorted strain order,
-    -1 = not called), plus the strain index table."""
+    -1 = not called), plus the strain index table; with ``r2max`` only the
+    markers that the LD filter keeps."""
     mk = ibd_markers(geno, min_alleles)
+    if r2max is not None:
+        mk = mk.join(ibd_marker_ld_filter(geno, min_alleles, r2max, window).select("site_id"), "site_id", "left_semi")
     strains = geno.select("strain").dropDuplicates()
     strains = strains.withColumn("sidx", (F.row_number().over(Window.orderBy("strain")) - 1).cast("int"))
     calls = geno.select("site_id", "strain", F.coalesce(G.dosage("gt"), F.lit(-1)).alias("d"))
@@ -264,11 +269,14 @@ def ibd_segments(
     lod: float = IBD_LOD,
     chunk: int = CHUNK,
     pair_block: int = PAIR_BLOCK,
+    r2max: float | None = None,
+    r2window: int = R2_WINDOW,
 ) -> DataFrame:
     """IBD segments ``strain1, ind1, strain2, ind2, chrom, start_pos,
-    stop_pos, lod`` (strain1 < strain2), one per excursion with peak >= lod."""
+    stop_pos, lod`` (strain1 < strain2), one per excursion with peak >= lod.
+    With ``r2max`` (the reference's command has 0.3) over E1's LD filter."""
     ship_package(geno.sparkSession)
-    markers, strains = marker_table(geno, min_alleles)
+    markers, strains = marker_table(geno, min_alleles, r2max, r2window)
     # pass A, pass C and the position lookup all read the marker table:
     # materialise it once (one row per marker, arrays of n dosages)
     markers = materialize(markers)

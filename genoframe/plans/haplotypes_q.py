@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import haplotypes as H
+from ..session import stored
 from ..sources.fixtures import fixture, with_fixtures
 from .catalog import register
 
@@ -262,13 +263,16 @@ def q_haplotype_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 _CONTIGS = ["I", "II", "III", "IV", "V", "X"]
 
 
+_SWEEP_SUMMARY = (
+    "SELECT isotype, "
+    + ", ".join(f'MAX(CASE WHEN chrom = \'{c}\' THEN filtered_sweep_ratio END) AS "{c}"' for c in _CONTIGS)
+    + " FROM (SELECT DISTINCT chrom, isotype, filtered_sweep_ratio FROM plot) GROUP BY isotype"
+)
+
+
 @register(
     "sweep_summary",
-    _sql(
-        "SELECT isotype, "
-        + ", ".join(f'MAX(CASE WHEN chrom = \'{c}\' THEN filtered_sweep_ratio END) AS "{c}"' for c in _CONTIGS)
-        + " FROM (SELECT DISTINCT chrom, isotype, filtered_sweep_ratio FROM plot) GROUP BY isotype"
-    ),
+    _sql(_SWEEP_SUMMARY),
     "E",
 )
 def q_sweep_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -369,13 +373,18 @@ def q_ibd_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return IBD.ibd_markers(fixture(spark, sf_dir, "f_geno")).select("site_id", "chrom", "pos", "ac", "an", "p", "maf")
 
 
+_IBD_SEGMENTS = (
+    "SELECT s1 AS strain1, 1 AS ind1, s2 AS strain2, 1 AS ind2, chrom, MIN(pos) FILTER (WHERE NOT fall) AS start_pos, "
+    "MIN(pos) FILTER (WHERE dd = peak) AS stop_pos, CAST(MAX(peak) AS DOUBLE) / 1000000 AS lod FROM cx "
+    "GROUP BY s1, s2, chrom, exc HAVING MAX(peak) >= 3000000"
+)
+
+
 @register(
     "ibd_segments",
     with_fixtures(
         ["f_geno"],
-        "SELECT s1 AS strain1, 1 AS ind1, s2 AS strain2, 1 AS ind2, chrom, MIN(pos) FILTER (WHERE NOT fall) AS start_pos, "
-        "MIN(pos) FILTER (WHERE dd = peak) AS stop_pos, CAST(MAX(peak) AS DOUBLE) / 1000000 AS lod FROM cx "
-        "GROUP BY s1, s2, chrom, exc HAVING MAX(peak) >= 3000000",
+        _IBD_SEGMENTS,
         _IBD,
     ),
     "E",
@@ -389,3 +398,21 @@ def q_ibd_marker_ld_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E1 (LD part): markers kept by the r^2 <= 0.3 filter over 1500 markers;
     checked by invariant (no kept pair within the window above r2max)."""
     return IBD.ibd_marker_ld_filter(fixture(spark, sf_dir, "f_geno"))
+
+
+@register("ibd_segments_filtered", None, "E")
+def q_ibd_segments_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E1 -> E2: segments over the markers that the LD filter keeps; tested
+    against E2 on the kept markers."""
+    return IBD.ibd_segments(fixture(spark, sf_dir, "f_geno"), r2max=IBD.R2_MAX)
+
+
+@register(
+    "ibd_sweep_summary",
+    with_fixtures(["f_geno"], _SWEEP_SUMMARY, _IBD + [("f_seg", _IBD_SEGMENTS)] + _E, recursive=True),
+    "E",
+)
+def q_ibd_sweep_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calls -> E2 segments -> E3-E19 in one flow."""
+    segments = stored(IBD.ibd_segments(fixture(spark, sf_dir, "f_geno")), "ibd-segments")
+    return H.sweep_summary(H.plot_table(segments))

@@ -56,7 +56,7 @@ INVENTORY: dict[str, list[str]] = {
     "D16": ["strain_order"],
     "D17": ["divergent_regions"],
     "E1": ["ibd_markers", "ibd_marker_ld_filter"],
-    "E2": ["ibd_segments"],
+    "E2": ["ibd_segments", "ibd_segments_filtered"],
     "E3": ["breakpoint_intervals"],
     "E4": ["segment_interval_join"],
     "E5": ["haplotype_components"],
@@ -72,7 +72,7 @@ INVENTORY: dict[str, list[str]] = {
     "E16": ["swept_haplotype"],
     "E17": ["sweep_metrics"],
     "E18": ["haplotype_output"],
-    "E19": ["sweep_summary"],
+    "E19": ["sweep_summary", "ibd_sweep_summary"],
     "E20": ["haplotype_share"],
     "E21": ["haplotype_length_histogram"],
     "E22": ["haplotype_plot_rects", "haplotype_plot_labels"],

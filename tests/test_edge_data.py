@@ -167,3 +167,13 @@ def test_iupac_pairs(spark):
             (3, "I", 7, "G", "T", "w", "0/1"), (3, "I", 7, "G", "T", "x", "1/1"), (3, "I", 7, "G", "T", "y", "0/0")]
     got = {r.strain: r.seq for r in A.alignment_by_strain(geno(spark, rows), min_samples=1).collect()}
     assert got == {"w": "RYK", "x": "GCT", "y": "NYG"}
+
+
+def test_ibd_over_filtered_markers(spark, sf_dir):
+    from genoframe.operators import ibd as IBD
+
+    calls = fixture(spark, sf_dir, "f_geno")
+    kept = IBD.ibd_marker_ld_filter(calls).select("site_id")
+    alone = IBD.ibd_segments(calls.join(kept, "site_id", "left_semi"))
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    assert rows(IBD.ibd_segments(calls, r2max=IBD.R2_MAX)) == rows(alone)
