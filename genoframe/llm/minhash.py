@@ -13,9 +13,12 @@
    ``min_estimate`` go (5 standard deviations under the threshold), and so do
    pairs whose set sizes alone rule the threshold out.
 4. The rest is confirmed on the full sets.
-5. Members of one band key whose components still differ are compared with each
-   other in the same way (estimate first, inside the join), so no link between
-   different texts is lost.  Inside a component nothing is compared again.
+5. In ``rounds`` further turns, members outside the main component of a band
+   key are compared with another leader of it, drawn anew for every key.
+6. Members of one key that are still in different components are compared with
+   each other (estimate first, inside the join; each pair in one key only), so
+   no link between different texts is lost.  Nothing is compared inside a
+   component, and large groups are one component by then.
 
 Components come from :mod:`components`.  Defined cases: null or empty text has
 no shingles and is linked with nothing, an empty table gives an empty result, a
@@ -165,14 +168,18 @@ def near_duplicates(
     width: int = 5,
     percent: int = 80,
     min_estimate: float = 0.6,
+    rounds: int = 2,
     text: str = "text",
     doc: str = "doc_id",
 ) -> DataFrame:
     """(id, n_shingles, component_id, kept, n_links): one row per distinct id;
     n_links counts links of the document's class that were confirmed."""
     source = docs.select(F.col(doc).cast("long").alias("id"), F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8").alias("t"))
-    signed = stored(source.mapInArrow(_signatures(width), SIGNED), "mh-signed").filter(F.col("id").isNotNull())
-    signed = signed.dropDuplicates(["id"]) if signed.count() > signed.select("id").distinct().count() else signed
+    source = source.filter(F.col("id").isNotNull())
+    rows, distinct = source.agg(F.count("*"), F.count_distinct("id")).first()
+    if rows > distinct:  # one text per id, that with the smallest hash
+        source = stored(source.groupBy("id").agg(F.min_by("t", F.xxhash64("t")).alias("t")), "mh-texts")
+    signed = stored(source.mapInArrow(_signatures(width), SIGNED), "mh-signed")
     same = signed.filter("n > 0").groupBy("n", "total", "folded").agg(F.min("id").alias("rep"))
     shape = ["id", "n", "s0", "s1", "s2", "s3"]
     reps = signed.join(same.select(F.col("rep").alias("id")), "id", "left_semi")
@@ -184,11 +191,10 @@ def near_duplicates(
     ).filter("members > 1")
     members = stored(keys.join(shared, "key"), "mh-members")
     active = stored(
-        reps.select(*shape).join(members.select("id").distinct(), "id", "left_semi"), "mh-active"
+        reps.select(*shape, "bands").join(members.select("id").distinct(), "id", "left_semi"), "mh-active"
     )
     wanted = small(active.select("id"))
     sets = stored(source.join(wanted, "id", "left_semi").mapInArrow(_sets(width), "id long, items array<long>"), "mh-sets")
-    sets = sets.dropDuplicates(["id"]) if sets.count() > active.count() else sets
 
     stars = (
         members.select("id", F.explode(F.array("lead1", "lead2")).alias("lead"))
@@ -198,20 +204,27 @@ def near_duplicates(
     )
     known = stored(_screened(stars, active, percent, min_estimate), "mh-stars")
     links = stored(confirm(known, sets, percent), "mh-links")
-    labels = stored(components(links), "mh-labels")
 
-    # members of one key in different components: compare what was not compared yet
-    named = members.join(labels.withColumnRenamed("node", "id"), "id", "left").select(
-        "key", "id", F.coalesce("component", "id").alias("label")
-    )
-    named = stored(named, "mh-named")
-    sizes = named.groupBy("key", "label").agg(F.count("*").alias("c"))
-    top = (
-        sizes.groupBy("key")
-        .agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.count("*").alias("labels"))
-        .filter("labels > 1")
-    )
-    rows = stored(named.join(top, "key").join(active, "id").select("key", "label", "main", *shape), "mh-open")
+    # members of one key in different components: new leaders, another for each key
+    for turn in range(rounds):
+        rows, _ = _open(members, links)
+        lead = rows.filter("label = main").groupBy("key").agg(F.min_by("id", F.xxhash64("id", "key", F.lit(turn))).alias("lead"))
+        pairs = (
+            rows.filter("label <> main")
+            .join(lead, "key")
+            .select(F.greatest("id", "lead").alias("a"), F.least("id", "lead").alias("b"))
+            .distinct()
+            .join(known, ["a", "b"], "left_anti")
+        )
+        tried = stored(_screened(pairs, active, percent, min_estimate), "mh-turn")
+        found = stored(confirm(tried, sets, percent), "mh-found")
+        known, links = known.union(tried), links.union(found)
+        if found.isEmpty():
+            break
+
+    # what is still apart: every pair of one key, each in the first key it shares
+    rows, labels = _open(members, links)
+    rows = stored(rows.join(active, "id"), "mh-open")
     cross = (
         rows.filter("label <> main").alias("l")
         .join(
@@ -219,7 +232,8 @@ def near_duplicates(
             (F.col("l.key") == F.col("r.key"))
             & (F.col("l.label") != F.col("r.label"))
             & ((F.col("r.label") == F.col("r.main")) | (F.col("l.id") < F.col("r.id")))
-            & _plausible("l", "r", percent, min_estimate),
+            & _plausible("l", "r", percent, min_estimate)
+            & (F.array_min(F.array_intersect("l.bands", "r.bands")) == F.col("l.key")),
         )
         .select(F.greatest("l.id", "r.id").alias("a"), F.least("l.id", "r.id").alias("b"))
         .distinct()
@@ -227,7 +241,7 @@ def near_duplicates(
     )
     more = stored(confirm(stored(cross, "mh-cross"), sets, percent), "mh-more")
     every = stored(links.union(more), "mh-every")
-    final = stored(components(every), "mh-final")
+    final = stored(components(every) if not more.isEmpty() else labels, "mh-final")
 
     degree = every.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("links"))
     classes = (
@@ -244,9 +258,27 @@ def near_duplicates(
     )
 
 
+def _open(members: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(key, id, label, main): members of the keys of three members or more
+    (two are compared already) that hold more than one component; ``main`` is
+    the key's most frequent one.  And the components, (node, component)."""
+    labels = components(links)
+    named = members.filter("members > 2").join(labels.withColumnRenamed("node", "id"), "id", "left")
+    named = stored(named.select("key", "id", F.coalesce("component", "id").alias("label")), "mh-named")
+    sizes = named.groupBy("key", "label").agg(F.count("*").alias("c"))
+    top = (
+        sizes.groupBy("key")
+        .agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.count("*").alias("labels"))
+        .filter("labels > 1")
+        .drop("labels")
+    )
+    return stored(named.join(top, "key"), "mh-mixed-keys"), labels
+
+
 def _screened(pairs: DataFrame, active: DataFrame, percent: int, min_estimate: float) -> DataFrame:
-    left = active.select(F.struct(*active.columns).alias("l"))
-    right = active.select(F.struct(*active.columns).alias("r"))
+    shape = [c for c in active.columns if c != "bands"]
+    left = active.select(F.struct(*shape).alias("l"))
+    right = active.select(F.struct(*shape).alias("r"))
     return (
         pairs.join(left, F.col("a") == F.col("l.id"))
         .join(right, F.col("b") == F.col("r.id"))
