@@ -16,8 +16,8 @@
 5. In ``rounds`` further turns, members outside the main component of a band
    key are compared with another leader of it, drawn anew for every key.
 6. Members of one key that are still in different components are compared with
-   each other (estimate first, inside the join; each pair in one key only), so
-   no link between different texts is lost.  Nothing is compared inside a
+   each other (estimate first, then the full sets, all inside the join; each
+   pair in one key only), so no link between different texts is lost.  Nothing is compared inside a
    component, and large groups are one component by then.
 
 Components come from :mod:`components`.  Defined cases: null or empty text has
@@ -153,14 +153,13 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) with 100 * intersection >= percent * union."""
     left = sets.select(F.col("id").alias("a"), F.col("items").alias("x"))
     right = sets.select(F.col("id").alias("b"), F.col("items").alias("y"))
-    both = F.size(F.array_intersect("x", "y"))
-    return (
-        pairs.join(left, "a")
-        .join(right, "b")
-        .withColumn("_i", both)
-        .filter(F.col("_i") * 100 >= (F.size("x") + F.size("y") - F.col("_i")) * percent)
-        .select("a", "b")
-    )
+    return pairs.join(left, "a").join(right, "b").filter(_linked("x", "y", percent)).select("a", "b")
+
+
+def _linked(x: str, y: str, percent: int) -> Column:
+    """100 * intersection >= percent * union, for arrays without repeats."""
+    both = F.size(F.array_intersect(x, y)).cast("long")
+    return both * (100 + percent) >= (F.size(x) + F.size(y)) * percent
 
 
 def near_duplicates(
@@ -224,8 +223,8 @@ def near_duplicates(
 
     # what is still apart: every pair of one key, each in the first key it shares
     rows, labels = _open(members, links)
-    rows = stored(rows.join(active, "id"), "mh-open")
-    cross = (
+    rows = stored(rows.join(active, "id").join(sets, "id"), "mh-open")
+    more = (
         rows.filter("label <> main").alias("l")
         .join(
             rows.alias("r"),
@@ -233,13 +232,13 @@ def near_duplicates(
             & (F.col("l.label") != F.col("r.label"))
             & ((F.col("r.label") == F.col("r.main")) | (F.col("l.id") < F.col("r.id")))
             & _plausible("l", "r", percent, min_estimate)
-            & (F.array_min(F.array_intersect("l.bands", "r.bands")) == F.col("l.key")),
+            & (F.array_min(F.array_intersect("l.bands", "r.bands")) == F.col("l.key"))
+            & _linked("l.items", "r.items", percent),
         )
         .select(F.greatest("l.id", "r.id").alias("a"), F.least("l.id", "r.id").alias("b"))
         .distinct()
-        .join(known, ["a", "b"], "left_anti")
     )
-    more = stored(confirm(stored(cross, "mh-cross"), sets, percent), "mh-more")
+    more = stored(more, "mh-more")
     every = stored(links.union(more), "mh-every")
     final = stored(components(every) if not more.isEmpty() else labels, "mh-final")
 
