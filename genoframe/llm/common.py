@@ -60,6 +60,21 @@ def small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(df) if is_small(df, limit) else df
 
 
+def frequent(counts: DataFrame, limit: int, column: str = "n") -> DataFrame:
+    """The rows of the highest counts, ``limit`` at most, without a sort: counts
+    fall into at most 512 classes, eight to a doubling, and the highest whole
+    classes that fit are taken."""
+    place = F.floor(8 * F.log2(column)).cast("int")
+    sizes = dict(counts.groupBy(place.alias("place")).agg(F.count("*")).collect())
+    taken, lowest = 0, None
+    for p in sorted(sizes, reverse=True):
+        taken += sizes[p]
+        if taken > limit:
+            break
+        lowest = p
+    return counts.limit(0) if lowest is None else counts.filter(place >= lowest)
+
+
 def keyed(docs: DataFrame, text: str = "text", doc: str = "doc_id") -> DataFrame:
     """(``_doc``, ``_h``, ``_text``): the id, a 64-bit hash of the text and the
     text.  Rows that repeat an id stay apart unless their text repeats too."""

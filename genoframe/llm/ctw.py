@@ -14,11 +14,12 @@ Spark counts (three-byte context, next byte) over the training texts, each task
 adding up its own before the shuffle, and rolls the tree up one byte of context
 at a time by grouped sums.  The model sent to the scorers keeps the
 ``contexts`` most frequent deepest contexts and all shallower ones that have
-any (at most 65,793): a fixed bound.  Below a context that is not kept, the
+any (at most 65,793): a fixed bound, kept in whole classes of about equal
+counts.  Below a context that is not kept, the
 parent's own estimate stands.
 
-Word unigrams give the base score, add-one smoothed.  The ``frequent`` most
-frequent words go to the tasks; all other words of a document are joined with
+Word unigrams give the base score, add-one smoothed.  At most ``most`` of the
+most frequent words go to the tasks; all other words of a document are joined with
 the full table of counts by shuffle, so every count is exact.
 
 Defined cases: null text is empty text (its one token is the end), a null id is
@@ -39,7 +40,7 @@ from pyspark.sql import functions as F
 
 from genoframe.session import stored
 
-from .common import fold
+from .common import fold, frequent
 
 DEPTH = 3
 END = b"\n"  # no word holds white space, so this is free for the end token
@@ -277,7 +278,7 @@ def train(texts: DataFrame, contexts: int = 1 << 15) -> Model:
     at most ``contexts`` x 256 leaf counts and the nodes of depth 2 and less."""
     counted = texts.mapInArrow(count_contexts, "c long, b long, n long")
     leaves = stored(counted.groupBy("c", "b").agg(F.sum("n").alias("n")), "ctw-leaves")
-    top = leaves.groupBy("c").agg(F.sum("n").alias("m")).orderBy(F.desc("m"), "c").limit(contexts).select("c")
+    top = frequent(leaves.groupBy("c").agg(F.sum("n").alias("m")), contexts, "m").select("c")
     kept_rows = _rows(leaves.join(top, "c").select("c", "b", "n"))
     levels = [_rows(x.select("c", "node", "zeros", "ones", "own")) for x in reversed(tree(leaves))]
     kept = np.unique(kept_rows[:, 0].astype(np.int64)) if len(kept_rows) else np.zeros(0, np.int64)
@@ -353,7 +354,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def score(
-    docs: DataFrame, modulus: int = 7, held: int = 2, contexts: int = 1 << 15, frequent: int = 1 << 17,
+    docs: DataFrame, modulus: int = 7, held: int = 2, contexts: int = 1 << 15, most: int = 1 << 17,
     text: str = "text", doc: str = "doc_id",
 ) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score,
@@ -371,7 +372,7 @@ def score(
         train_text.mapInArrow(_word_counts, "w binary, n long").groupBy("w").agg(F.sum("n").alias("n")), "lm-words"
     )
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = words.orderBy(F.desc("n"), "w").limit(frequent).toArrow()
+    top = frequent(words, most).select("w", "n").toArrow()
     share = math.log10(total + distinct + 1)
     logs = {w: math.log10(n + 1) - share for w, n in zip(top.column(0).to_pylist(), top.column(1).to_pylist())}
     sc = spark.sparkContext

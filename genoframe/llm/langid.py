@@ -7,8 +7,8 @@ known n-grams of the greatest length that has any, from four characters down to
 one.  The language with the highest sum wins; the score is its posterior under
 equal priors.
 
-The model keeps the ``max_words`` most frequent words and the ``max_grams``
-most frequent n-grams of each length: a size fixed by parameters, not by the
+The model keeps at most ``max_words`` of the most frequent words and at most
+``max_grams`` of the most frequent n-grams of each length: a size fixed by parameters, not by the
 data, which is what every task receives.  Words beyond it take the n-gram path.
 
 Defined cases: null text, empty text and text without a letter give ``und`` and
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from genoframe.session import stored
 
-from .common import fold
+from .common import fold, frequent
 
 ORDERS = (4, 3, 2, 1)
 LETTERS = re.compile(r"[^\W\d_]+")  # also takes numerals that are not digits
@@ -127,7 +127,7 @@ def train(labelled: DataFrame, max_words: int = 30_000, max_grams: int = 20_000)
     def kept(counts: DataFrame, limit: int) -> dict[str, np.ndarray]:
         counts = stored(counts, "lang-counts") if limit == max_grams else counts
         per = dict(counts.groupBy("lang").agg(F.sum("n")).collect())
-        top = counts.groupBy("k").agg(F.sum("n").alias("m")).orderBy(F.desc("m"), "k").limit(limit).select("k")
+        top = frequent(counts.groupBy("k").agg(F.sum("n").alias("m")), limit, "m").select("k")
         rows = counts.join(top, "k").select("k", "lang", "n").toArrow()
         return _logs(rows, langs, np.array([float(per.get(lang, 0)) for lang in langs]))
 
