@@ -15,7 +15,9 @@ adding up its own before the shuffle, and rolls the tree up one byte of context
 at a time by grouped sums.  The model sent to the scorers keeps the
 ``contexts`` most frequent deepest contexts and all shallower ones that have
 any (at most 65,793): a fixed bound, kept in whole classes of about equal
-counts.  Below a context that is not kept, the
+counts.  That only saves time: a document's bytes in all other contexts are
+joined by shuffle with the estimates of those contexts, so every score is that
+of the whole tree.  Below a context that does not occur in training, the
 parent's own estimate stands.
 
 Word unigrams give the base score, add-one smoothed.  At most ``most`` of the
@@ -190,37 +192,49 @@ class Model:
     def __init__(self, kept: np.ndarray, levels: list[np.ndarray], leaves: np.ndarray):
         """``levels[d]``: node rows (c, node, zeros, ones, own) of depth d;
         ``leaves``: (row of ``kept``, byte, n)."""
-        root = np.full((1, 256), 0.5)
-        own0 = np.ones((1, 256))
         ids: list[np.ndarray] = []
         estimates: list[np.ndarray] = []
         owns: list[np.ndarray] = []
-        for depth, rows in enumerate(levels):
-            c = np.unique(rows[:, 0].astype(np.int64)) if len(rows) else np.zeros(1, np.int64)
-            p, own = np.repeat(root, len(c), 0), np.repeat(own0, len(c), 0)
-            if len(rows):
-                at, node = np.searchsorted(c, rows[:, 0].astype(np.int64)), rows[:, 1].astype(np.int64)
-                p[at, node] = (rows[:, 3] + 0.5) / (rows[:, 2] + rows[:, 3] + 1)
-                own[at, node] = rows[:, 4]
+        for rows in levels:
+            c, p, own = self._nodes(rows)
             ids.append(c)
             estimates.append(p)
             owns.append(own)
         self.kept = kept
         self.ids = ids
+        self.top = (ids[:2], estimates[:2], owns[:2])
+        self.partial = False  # whether training has deepest contexts besides ``kept``
         # the estimate of the deepest known context, mixed with those above it
         self.rows = [self._logs(self._mixed(ids[d], estimates[d], d - 1, ids, estimates, owns)) for d in range(3)]
         leaves = leaves[np.argsort(leaves[:, 0], kind="stable")] if len(leaves) else leaves
         deepest = [np.zeros((0, 256), np.float32)]
         for at in range(0, len(kept), 2048):  # contexts in blocks: 512 tree nodes each
             a, b = np.searchsorted(leaves[:, 0], (at, at + 2048))
-            n = np.zeros((min(2048, len(kept) - at), 512))
-            n[leaves[a:b, 0] - at, 256 + leaves[a:b, 1]] = leaves[a:b, 2]
-            for node in range(255, 0, -1):
-                n[:, node] = n[:, 2 * node] + n[:, 2 * node + 1]
-            p = (n[:, 1::2] + 0.5) / (n[:, 0::2] + n[:, 1::2] + 1)  # column k: ones of node k, its child 2k + 1
+            p = self._leaves(min(2048, len(kept) - at), leaves[a:b, 0] - at, leaves[a:b, 1], leaves[a:b, 2])
             deepest.append(self._logs(self._mixed(kept[at : at + 2048], p, 2, ids, estimates, owns)))
         self.rows.append(np.concatenate(deepest))
 
+    @staticmethod
+    def _nodes(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The contexts of node rows, and per context and node the estimate of
+        a one and the weight of that estimate."""
+        c = np.unique(rows[:, 0].astype(np.int64)) if len(rows) else np.zeros(1, np.int64)
+        p, own = np.full((len(c), 256), 0.5), np.ones((len(c), 256))
+        if len(rows):
+            at, node = np.searchsorted(c, rows[:, 0].astype(np.int64)), rows[:, 1].astype(np.int64)
+            p[at, node] = (rows[:, 3] + 0.5) / (rows[:, 2] + rows[:, 3] + 1)
+            own[at, node] = rows[:, 4]
+        return c, p, own
+
+    @staticmethod
+    def _leaves(size: int, row: np.ndarray, byte: np.ndarray, times: np.ndarray) -> np.ndarray:
+        """Estimates of the nodes of ``size`` deepest contexts from byte counts."""
+        n = np.zeros((size, 512))
+        n[row, 256 + byte] = times
+        for node in range(255, 0, -1):
+            n[:, node] = n[:, 2 * node] + n[:, 2 * node + 1]
+        return (n[:, 1::2] + 0.5) / (n[:, 0::2] + n[:, 1::2] + 1)  # column k: ones of node k, its child 2k + 1
+
     @staticmethod
     def _mixed(c, p, depth, ids, estimates, owns):
         for d in range(depth, -1, -1):
@@ -256,16 +270,26 @@ class Model:
             two = np.where(got >= 0, got, two)
         row.reshape(256, 1 << 16)[:] = two
         row[self.kept] = sizes[3] + np.arange(len(self.kept), dtype=np.int32)
-        self.row, self.flat = row, self.flat.reshape(-1)
+        self.row, self.flat, self.first = row, self.flat.reshape(-1), sizes[3]
 
-    def bits(self, text: bytes) -> float:
-        """Code length of ``text`` in bits."""
+    def bits(self, text: bytes) -> tuple[float, list[np.ndarray]]:
+        """Code length of ``text`` in bits; if the model is partial, also which
+        (context, byte) cells took a shallower context, how often, and the bits
+        that each time took."""
         total = 0.0
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32))]
         for at in range(0, len(text), 1 << 20):
             c, b = _codes(text[max(0, at - DEPTH) : at + (1 << 20)])
             skip = min(at, DEPTH)
-            total -= float(self.flat[self.row[c[skip:]].astype(np.int64) * 256 + b[skip:]].sum(dtype=np.float64))
-        return total
+            c, b = c[skip:], b[skip:]
+            row = self.row[c].astype(np.int64)
+            logs = self.flat[row * 256 + b]
+            total -= float(logs.sum(dtype=np.float64))
+            if self.partial:
+                out = row < self.first
+                cells, place, times = np.unique(c[out].astype(np.int64) * 256 + b[out], return_index=True, return_counts=True)
+                found.append((cells, times, -logs[out][place]))
+        return total, [np.concatenate(x) for x in zip(*found)]
 
 
 def _rows(df: DataFrame) -> np.ndarray:
@@ -273,26 +297,58 @@ def _rows(df: DataFrame) -> np.ndarray:
     return np.column_stack([got.column(i).to_numpy().astype(np.float64) for i in range(got.num_columns)])
 
 
-def train(texts: DataFrame, contexts: int = 1 << 15) -> Model:
+def _others(leaves: DataFrame, nodes: DataFrame, top: tuple) -> DataFrame:
+    """(c, logs): log2 P(byte | c) for the deepest contexts of ``leaves``, made in
+    groups of one two-byte context (256 deepest at most) with its ``nodes``."""
+    shipped = leaves.sparkSession.sparkContext.broadcast(top)
+
+    def estimate(group: pa.Table) -> pa.Table:
+        two, c, node, zeros, ones, own = (group.column(i).to_numpy() for i in range(6))
+        leaf = c >= 0
+        contexts, row = np.unique(c[leaf], return_inverse=True)
+        logs = np.zeros((0, 256), np.float32)
+        if len(contexts):
+            above = Model._nodes(np.column_stack([two, node, zeros, ones, own])[~leaf].astype(np.float64))
+            ids, estimates, owns = ([*x, y] for x, y in zip(shipped.value, above))
+            p = Model._leaves(len(contexts), row, node[leaf], ones[leaf])
+            logs = Model._logs(Model._mixed(contexts, p, 2, ids, estimates, owns))
+        return pa.table({"c": pa.array(contexts, pa.int64()), "logs": pa.array(list(logs), pa.list_(pa.float32()))})
+
+    both = leaves.select(
+        (F.col("c") % (1 << 16)).alias("two"), "c", F.col("b").alias("node"), F.lit(0).cast("long").alias("zeros"), F.col("n").alias("ones"), F.lit(0.0).alias("own")
+    ).unionByName(
+        nodes.select(F.col("c").alias("two"), F.lit(-1).cast("long").alias("c"), F.col("node").cast("long").alias("node"), "zeros", "ones", "own")
+    )
+    return both.groupBy("two").applyInArrow(estimate, "c long, logs array<float>")
+
+
+def train(texts: DataFrame, contexts: int = 1 << 15) -> tuple[Model, DataFrame | None]:
     """``texts``: one binary column ``t``.  What comes to the driver is the model:
-    at most ``contexts`` x 256 leaf counts and the nodes of depth 2 and less."""
+    at most ``contexts`` x 256 leaf counts and the nodes of depth 2 and less.
+    Beside it the stored (c, logs) of all other deepest contexts, if any."""
     counted = texts.mapInArrow(count_contexts, "c long, b long, n long")
     leaves = stored(counted.groupBy("c", "b").agg(F.sum("n").alias("n")), "ctw-leaves")
-    top = frequent(leaves.groupBy("c").agg(F.sum("n").alias("m")), contexts, "m").select("c")
+    every = leaves.groupBy("c").agg(F.sum("n").alias("m"))
+    top = frequent(every, contexts, "m").select("c")
     kept_rows = _rows(leaves.join(top, "c").select("c", "b", "n"))
-    levels = [_rows(x.select("c", "node", "zeros", "ones", "own")) for x in reversed(tree(leaves))]
+    nodes = tree(leaves)
+    levels = [_rows(x.select("c", "node", "zeros", "ones", "own")) for x in reversed(nodes)]
     kept = np.unique(kept_rows[:, 0].astype(np.int64)) if len(kept_rows) else np.zeros(0, np.int64)
     counts = kept_rows.astype(np.int64).reshape(-1, 3)
     if len(counts):
         counts[:, 0] = np.searchsorted(kept, counts[:, 0])
-    return Model(kept, levels, counts)
+    model = Model(kept, levels, counts)
+    model.partial = every.count() > len(kept)
+    if not model.partial:
+        return model, None
+    return model, stored(_others(leaves.join(top, "c", "left_anti"), nodes[0], model.top), "ctw-others")
 
 
 # ------------------------------------------------------------------- scoring
 
 SCORED = (
     "key long, id long, held_out boolean, n_tokens long, n_bytes long, known long, logs double, "
-    "rare array<binary>, times array<int>, bits double"
+    "rare array<binary>, times array<int>, bits double, cells array<long>, cell_times array<int>, cell_bits array<float>"
 )
 _WORKER: dict = {}
 
@@ -308,7 +364,7 @@ def _scorer(model, unigrams):
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                out = [[] for _ in range(7)]
+                out = [[] for _ in range(10)]
                 for text in part.column(3):
                     raw = text.as_py()
                     counts = Counter(tokens(raw))
@@ -322,9 +378,11 @@ def _scorer(model, unigrams):
                         else:
                             known += n
                             base += n * value
-                    for column, value in zip(out, (sum(counts.values()), len(raw), known, base, rare, times, ctw.bits(raw))):
+                    bits, cells = ctw.bits(raw)
+                    for column, value in zip(out, (sum(counts.values()), len(raw), known, base, rare, times, bits, *cells)):
                         column.append(value)
                 types = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.float64()]
+                types += [pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.float32())]
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(i) for i in range(3)), *(pa.array(c, t) for c, t in zip(out, types))],
                     names=[f.split()[0] for f in SCORED.split(", ")],
@@ -367,7 +425,7 @@ def score(
         F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8").alias("t"),
     )
     train_text = rows.filter(~F.col("held_out")).select("t")
-    model = train(train_text, contexts)
+    model, others = train(train_text, contexts)
     words = stored(
         train_text.mapInArrow(_word_counts, "w binary, n long").groupBy("w").agg(F.sum("n").alias("n")), "lm-words"
     )
@@ -391,14 +449,26 @@ def score(
         )
     )
     known = F.col("known") + F.coalesce("rare_known", F.lit(0))
-    return scored.drop("rare", "times").join(looked_up, "key", "left").select(
+    out = scored.drop("rare", "times", "cells", "cell_times", "cell_bits").join(looked_up, "key", "left")
+    bits = F.col("bits")
+    if others is not None:
+        cells = scored.select("key", F.explode(F.arrays_zip("cells", "cell_times", "cell_bits")).alias("r")).select(
+            "key", F.shiftright("r.cells", 8).alias("c"), (F.col("r.cells") % 256).cast("int").alias("b"), "r.cell_times", "r.cell_bits"
+        )
+        deeper = (
+            cells.join(others, "c")
+            .groupBy("key")
+            .agg(F.sum(F.col("cell_times") * (-F.get("logs", F.col("b")).cast("double") - F.col("cell_bits"))).alias("deeper"))
+        )
+        out, bits = out.join(deeper, "key", "left"), F.col("bits") + F.coalesce("deeper", F.lit(0.0))
+    return out.select(
         F.col("id").alias("doc_id"),
         "held_out",
         "n_tokens",
         known.cast("long").alias("n_known"),
         F.lit(int(total)).cast("long").alias("train_tokens"),
         (F.col("logs") + F.coalesce("rare_logs", F.lit(0.0))).alias("base_score"),
-        (-F.col("bits") * math.log10(2)).alias("score"),
+        (-bits * math.log10(2)).alias("score"),
         "n_bytes",
-        F.when(F.col("n_bytes") > 0, F.col("bits") / F.col("n_bytes")).otherwise(0.0).alias("bits_per_byte"),
+        F.when(F.col("n_bytes") > 0, bits / F.col("n_bytes")).otherwise(0.0).alias("bits_per_byte"),
     )

@@ -8,7 +8,7 @@ import zlib
 
 import numpy as np
 
-from genoframe.llm import decontaminate, line_dedup, minhash, pii, quality, topk, warc
+from genoframe.llm import ctw, decontaminate, line_dedup, minhash, pii, quality, topk, warc
 from genoframe.llm.common import keyed
 from genoframe.llm.components import components
 
@@ -134,3 +134,20 @@ def test_native_operators_run_no_python(spark, sf_dir):
     for name in ("op2_decontamination", "op3_pii", "op4_mixing", "op9_line_dedup"):
         plan = queries.QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "CartesianProduct", "NestedLoop")), name
+
+
+def test_contexts_outside_the_broadcast_model_are_looked_up(spark):
+    import brute
+
+    rng = random.Random(5)
+    letters = "abcdefgh ñöλжあ漢"
+    rows = [(i, "".join(rng.choice(letters) for _ in range(60))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    training = [t.encode() for i, t in rows if not brute.held(i, 7, 2)]
+    whole = {r.doc_id: r.score for r in ctw.score(docs).collect()}
+    for size in (64, 0):
+        got = {r.doc_id: r.score for r in ctw.score(docs, contexts=size).collect()}
+        assert all(abs(got[i] - whole[i]) < 1e-3 for i in whole)
+        for i, t in [r for r in rows if brute.held(r[0], 7, 2)][:2] + rows[:2]:
+            bits = brute.ctw_bits(training, t.encode(), ctw.DEPTH)
+            assert abs(got[i] / (-bits * np.log10(2)) - 1) < 1e-4
