@@ -8,7 +8,7 @@ import zlib
 
 import numpy as np
 
-from genoframe.llm import ctw, decontaminate, line_dedup, minhash, pii, quality, topk, warc
+from genoframe.llm import ctw, decontaminate, langid, line_dedup, minhash, pii, quality, topk, warc
 from genoframe.llm.common import keyed
 from genoframe.llm.components import components
 
@@ -151,3 +151,17 @@ def test_contexts_outside_the_broadcast_model_are_looked_up(spark):
         for i, t in [r for r in rows if brute.held(r[0], 7, 2)][:2] + rows[:2]:
             bits = brute.ctw_bits(training, t.encode(), ctw.DEPTH)
             assert abs(got[i] / (-bits * np.log10(2)) - 1) < 1e-4
+
+
+def test_words_outside_the_broadcast_model_are_looked_up(spark):
+    rng = random.Random(7)
+    letters = {"a": "abcdefghijk", "b": "fghijklmnop", "c": "aeioklmnstñ"}
+    vocabulary = {lang: ["".join(rng.choice(x) for _ in range(rng.randrange(1, 7))) for _ in range(150)] for lang, x in letters.items()}
+    rows = [(i, " ".join(rng.choice(vocabulary[lang]) for _ in range(6)), lang) for i, lang in enumerate("abaaac" * 20)] + [(900, " 12 ", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    whole = {r.doc_id: r for r in langid.identify(docs).collect()}
+    for sizes in ({"max_words": 40, "max_grams": 20}, {"max_words": 0, "max_grams": 0}, {"max_words": 40}, {"max_grams": 20}):
+        got = {r.doc_id: r for r in langid.identify(docs, **sizes).collect()}
+        assert got.keys() == whole.keys()
+        for i, r in whole.items():
+            assert got[i].lang_pred == r.lang_pred and abs(got[i].score - r.score) < 1e-9
