@@ -140,8 +140,12 @@ def test_contexts_outside_the_broadcast_model_are_looked_up(spark):
     import brute
 
     rng = random.Random(5)
-    letters = "abcdefgh ñöλжあ漢"
-    rows = [(i, "".join(rng.choice(letters) for _ in range(60))) for i in range(60)]
+    letters, follows, rows = "abcdefgh", {}, []
+    for i in range(40):  # three letters tell the next one
+        text = "あ漢"
+        while len(text) < 150:
+            text += rng.choice(letters) if rng.random() < 0.1 else follows.setdefault(text[-3:], rng.choice(letters))
+        rows.append((i, text))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     training = [t.encode() for i, t in rows if not brute.held(i, 7, 2)]
     whole = {r.doc_id: r.score for r in ctw.score(docs).collect()}
