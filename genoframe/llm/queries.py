@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ctw, decontaminate, langid, line_dedup, minhash, mixing, pii, quality, topk, warc
+from . import ctw, decontaminate, dialogue, langid, line_dedup, minhash, mixing, phrases, pii, quality, secret_scan, topk, warc
 from .common import table, text_of
 
 
@@ -74,8 +74,30 @@ def op10_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ctw.score(table(spark, sf_dir, "documents"))
 
 
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secret_scan.find(table(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id",
+        *[secret_scan.counted("base", kind).alias(f"n_{kind}") for kind in secret_scan.KINDS],
+        F.sha2(secret_scan.joined("base"), 256).alias("base_sha256"),
+        secret_scan.joined("spans").alias("spans"),
+    )
+
+
+def op12_dialogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dialogue.damaged_and_repaired(table(spark, sf_dir, "conversations"))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality, op2_decontamination, op3_pii, op4_mixing, op5_langid, op6_minhash, op7_warc, op8_topk, op9_line_dedup, op10_ctw)
-}
+    f.__name__: f
+    for f in (
+        op1_quality, op2_decontamination, op3_pii, op4_mixing, op5_langid, op6_minhash, op7_warc, op8_topk, op9_line_dedup, op10_ctw,
+        op11_secrets, op12_dialogue, op13_phrases,
+    )
+}
 
-ORACLES: dict[str, str] = {"op2_decontamination": decontaminate.ORACLE, "op4_mixing": mixing.ORACLE, "op8_topk": topk.ORACLE, "op9_line_dedup": line_dedup.ORACLE}
+ORACLES: dict[str, str] = {"op2_decontamination": decontaminate.ORACLE, "op4_mixing": mixing.ORACLE, "op8_topk": topk.ORACLE, "op9_line_dedup": line_dedup.ORACLE, "op13_phrases": phrases.ORACLE}
