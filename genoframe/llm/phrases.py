@@ -76,7 +76,7 @@ def _tokens(text: bytes) -> list[bytes]:
     return text.lower().translate(BREAKS).replace(b"\n", b" \xff ").split()
 
 
-def _encode(longest: int, flush: int = 1 << 20):
+def _encode(longest: int, flush: int = 1 << 21):
     over = longest - 1
 
     def counted(lang: str, known: Known, parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -267,7 +267,7 @@ def frequent_phrases(docs: DataFrame, support: int, longest: int, shard_words: i
     encoded = stored(source.mapInArrow(_encode(longest), ENCODED), "phrase-ids")
     rows = encoded.filter("ids IS NOT NULL").select("lang", "ids", "own")
     words = stored(
-        encoded.filter("ids IS NULL").groupBy("key").agg(F.first("lang").alias("lang"), F.first("word").alias("word"), F.sum("n").alias("n")),
+        encoded.filter("ids IS NULL").groupBy("key", "lang", "word").agg(F.sum("n").alias("n")),
         "phrase-words",
     )
     totals = {r.lang: r.n for r in words.groupBy("lang").agg(F.sum("n").alias("n")).collect()}  # one number a language
@@ -280,7 +280,7 @@ def frequent_phrases(docs: DataFrame, support: int, longest: int, shard_words: i
         if not lengths:
             break
         mined = rows.mapInArrow(_mine(totals, frequent, pairs, lengths, support, shard_words), MINED)
-        union = stored(mined.groupBy("key").agg(F.first("lang").alias("lang"), F.first("ids").alias("ids")), "phrase-candidates")
+        union = stored(mined.distinct(), "phrase-candidates")
         counted = rows.mapInArrow(_count(frequent, pairs, filter_of(union), lengths, shard_words), "key long, n long")
         exact = counted.groupBy("key").agg(F.sum("n").alias("a")).filter(F.col("a") >= support)
         found = stored(union.join(exact, "key").select("key", "lang", "ids", "a"), "phrases")
@@ -295,7 +295,7 @@ def collocations(
     longest: int = 5,
     top: int = 2000,
     scale: int = 1000,
-    shard_words: int = 4_000_000,
+    shard_words: int = 1 << 20,
     text: str = "text",
     lang: str = "lang",
 ) -> DataFrame:

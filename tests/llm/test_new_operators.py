@@ -179,8 +179,8 @@ def test_long_conversations_in_chunks(spark, passes):
     """One conversation holds most rows, another only roles that keep the cost
     vectors apart, so that speculation never converges there."""
     rng = random.Random(4)
-    rows = [(1, t, rng.choice(["user", "assistant", "assistant", "system", "tool"]), rng.choice([f"text {t}.", "again!", "cut off", " "])) for t in range(300)]
-    rows += [(2, t, "tool", f"call {t}.") for t in range(120)] + [(3, t, "user" if t % 2 == 0 else "assistant", f"line {t}.") for t in range(50)]
+    rows = [(1, t, rng.choice(["user", "assistant", "assistant", "system", "tool"]), rng.choice([f"text {t}.", "again!", "cut off", " "])) for t in range(120)]
+    rows += [(2, t, "tool", f"call {t}.") for t in range(60)] + [(3, t, "user" if t % 2 == 0 else "assistant", f"line {t}.") for t in range(50)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     check_dialogue(df, rows, block=8, passes=passes)
 
