@@ -23,7 +23,8 @@ never misses a phrase; the exact sets stay distributed and are joined.
 
 Score: the lowest of floor(scale * a * n / (l * r)) over all cuts in two, in
 128-bit decimals.  A phrase inside a longer frequent one that occurs as often
-is dropped.
+is dropped.  The words of the leading phrases are spelled from the texts at the
+end; until then only hashes move.
 
 Words and phrases are told apart by 64-bit hashes.  Defined cases: null text is
 empty, a null language counts as ``und``, an empty table gives an empty result,
@@ -35,6 +36,7 @@ columns play no part.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -54,55 +56,48 @@ END = b"\xff"  # in no UTF-8 text
 PART = 4096  # words of a row
 LOG_BITS = 26
 
-ENCODED = "lang string, ids binary, own int, word string, key long, n long"
-SCHEMA = pa.schema([("lang", pa.string()), ("ids", pa.binary()), ("own", pa.int32()), ("word", pa.string()), ("key", pa.int64()), ("n", pa.int64())])
+ENCODED = "lang string, ids binary, own int, key long, n long"
+SCHEMA = pa.schema([("lang", pa.string()), ("ids", pa.binary()), ("own", pa.int32()), ("key", pa.int64()), ("n", pa.int64())])
 
 
-class Known(dict):
-    """Word -> hash of one language, and back."""
+def _seed(lang: str) -> int:
+    return xxhash.xxh3_64_intdigest(lang.encode())
 
-    def __init__(self, lang: str):
-        self.seed = xxhash.xxh3_64_intdigest(lang.encode())
-        self.words: dict[int, bytes] = {}
-        self[END] = 0
 
-    def __missing__(self, word: bytes) -> int:
-        key = self[word] = xxhash.xxh3_64_intdigest(word, self.seed) or 1
-        self.words[key] = word
-        return key
+def _hashes(words: list[bytes], seed: int) -> np.ndarray:
+    keys = np.fromiter(map(xxhash.xxh3_64_intdigest, words, repeat(seed)), np.uint64, len(words))
+    keys[keys == 0] = 1
+    keys[keys == np.uint64(xxhash.xxh3_64_intdigest(END, seed))] = 0
+    return keys
 
 
 def _tokens(text: bytes) -> list[bytes]:
     return text.lower().translate(BREAKS).replace(b"\n", b" \xff ").split()
 
 
-def _encode(longest: int, flush: int = 1 << 21):
+def _encode(longest: int, flush: int = 1 << 20):
     over = longest - 1
 
-    def counted(lang: str, known: Known, parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    def counted(lang: str, parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         keys, counts = np.unique(np.concatenate(parts), return_counts=True)
         keys, counts = keys[keys > 0], counts[keys > 0]
-        for at in range(0, len(keys), 1 << 15):
-            some = keys[at : at + (1 << 15)]
-            words = [known.words[k].decode("utf-8", "replace") for k in some.tolist()]
+        for at in range(0, len(keys), 1 << 16):
+            some = keys[at : at + (1 << 16)]
             m = len(some)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * m), pa.nulls(m, pa.binary()), pa.nulls(m, pa.int32()), pa.array(words, pa.string()),
-                 pa.array(some.view(np.int64)), pa.array(counts[at : at + (1 << 15)].astype(np.int64))], schema=SCHEMA
+                [pa.array([lang] * m), pa.nulls(m, pa.binary()), pa.nulls(m, pa.int32()),
+                 pa.array(some.view(np.int64)), pa.array(counts[at : at + (1 << 16)].astype(np.int64))], schema=SCHEMA
             )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, Known] = {}
         held: dict[str, list[np.ndarray]] = {}
         size: dict[str, int] = {}
-        for batch in batches:
+        for batch in _small(batches):
             langs, ids, own = [], [], []
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                table = known.get(lang) or known.setdefault(lang, Known(lang))
-                words = _tokens(text.as_py())
-                if not words:
+                keys = _hashes(_tokens(text.as_py()), _seed(lang))
+                if not len(keys):
                     continue
-                keys = np.fromiter((table[w] for w in words), np.uint64, len(words))
                 for at in range(0, len(keys), PART):
                     langs.append(lang)
                     ids.append(keys[at : at + PART + over].tobytes())
@@ -110,20 +105,48 @@ def _encode(longest: int, flush: int = 1 << 21):
                 held.setdefault(lang, []).append(keys)
                 size[lang] = size.get(lang, 0) + len(keys)
                 if size[lang] >= flush:
-                    yield from counted(lang, known.pop(lang), held.pop(lang))
+                    yield from counted(lang, held.pop(lang))
                     size.pop(lang)
             m = len(langs)
             if m:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(langs, pa.string()), pa.array(ids, pa.binary()), pa.array(own, pa.int32()),
-                     pa.nulls(m, pa.string()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64())], schema=SCHEMA
+                     pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64())], schema=SCHEMA
                 )
         for lang in list(held):
-            yield from counted(lang, known[lang], held.pop(lang))
+            yield from counted(lang, held.pop(lang))
+
+    return run
+
+
+def _spell(needed):
+    """(key, word) of the words whose bit is set, each once a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        told: set[int] = set()
+        for batch in _small(batches):
+            found: dict[int, str] = {}
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                words = _tokens(text.as_py())
+                keys = _hashes(words, _seed(lang))
+                for at in np.flatnonzero(bits.test(needed.value, keys)).tolist():
+                    key = int(keys[at])
+                    if key not in told:
+                        told.add(key)
+                        found[key] = words[at].decode("utf-8", "replace")
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.array(list(found), np.uint64).view(np.int64)), pa.array(list(found.values()), pa.string())], names=["key", "word"]
+            )
 
     return run
 
 
+def _small(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def joined(key: np.ndarray, word: np.ndarray) -> np.ndarray:
     """Hash of a phrase with one word more."""
     out = (key ^ (word * MIX)) * np.uint64(0xD6E8FEB86659FD93)
@@ -257,35 +280,39 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([*some.columns, *lists], names=[f.split()[0] for f in PARTS.split(", ")])
 
 
-def frequent_phrases(docs: DataFrame, support: int, longest: int, shard_words: int, text: str, lang: str) -> tuple[DataFrame, DataFrame]:
-    """(key, lang, ids, a) of all frequent phrases, and (key, lang, word, n) of all words."""
-    spark = docs.sparkSession
-    source = docs.select(
+def _source(docs: DataFrame, text: str, lang: str) -> DataFrame:
+    return docs.select(
         F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
         F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8").alias("t"),
     )
-    encoded = stored(source.mapInArrow(_encode(longest), ENCODED), "phrase-ids")
+
+
+def _broadcast(keys: DataFrame, log_bits: int = LOG_BITS):
+    """A bitmap of the column ``key`` for the tasks."""
+    return keys.sparkSession.sparkContext.broadcast(bits.as_array(bits.bitmap(keys, "key", log_bits), log_bits))
+
+
+def frequent_phrases(docs: DataFrame, support: int, longest: int, shard_words: int, text: str, lang: str) -> tuple[DataFrame, DataFrame]:
+    """(key, lang, ids, a) of all frequent phrases, and (key, lang, n) of all words."""
+    encoded = stored(_source(docs, text, lang).mapInArrow(_encode(longest), ENCODED), "phrase-ids")
     rows = encoded.filter("ids IS NOT NULL").select("lang", "ids", "own")
     words = stored(
-        encoded.filter("ids IS NULL").groupBy("key", "lang", "word").agg(F.sum("n").alias("n")),
+        encoded.filter("ids IS NULL").groupBy("key", "lang").agg(F.sum("n").alias("n")),
         "phrase-words",
     )
     totals = {r.lang: r.n for r in words.groupBy("lang").agg(F.sum("n").alias("n")).collect()}  # one number a language
 
-    def filter_of(keys: DataFrame):
-        return spark.sparkContext.broadcast(bits.as_array(bits.bitmap(keys, "key", LOG_BITS), LOG_BITS))
-
-    frequent, pairs, out = filter_of(words.filter(F.col("n") >= support)), None, None
+    frequent, pairs, out = _broadcast(words.filter(F.col("n") >= support)), None, None
     for lengths in [(2,), tuple(range(3, longest + 1))]:
         if not lengths:
             break
         mined = rows.mapInArrow(_mine(totals, frequent, pairs, lengths, support, shard_words), MINED)
         union = stored(mined.distinct(), "phrase-candidates")
-        counted = rows.mapInArrow(_count(frequent, pairs, filter_of(union), lengths, shard_words), "key long, n long")
+        counted = rows.mapInArrow(_count(frequent, pairs, _broadcast(union), lengths, shard_words), "key long, n long")
         exact = counted.groupBy("key").agg(F.sum("n").alias("a")).filter(F.col("a") >= support)
         found = stored(union.join(exact, "key").select("key", "lang", "ids", "a"), "phrases")
         out = found if out is None else out.unionByName(found)
-        pairs = filter_of(found)
+        pairs = _broadcast(found)
     return out, words
 
 
@@ -322,9 +349,11 @@ def collocations(
     flat = best.select("key", "lang", "a", "n", "ids", "best.score", "best.l", "best.r")
     ahead = W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))
     leading = stored(flat.withColumn("_rank", F.rank().over(ahead)).filter(F.col("_rank") <= top), "phrase-leading")  # ties included
+    places = leading.select("key", F.posexplode("ids").alias("i", "w"))
+    needed = _broadcast(places.select(F.col("w").alias("key")), 22)
+    spelling = _source(docs, text, lang).mapInArrow(_spell(needed), "key long, word string").distinct()
     spelled = (
-        leading.select("key", F.posexplode("ids").alias("i", "w"))
-        .join(words.select(F.col("key").alias("w"), "word"), "w")
+        places.join(stored(spelling, "phrase-spelling").select(F.col("key").alias("w"), "word"), "w")
         .groupBy("key")
         .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "word"))), lambda x: x["word"]), " ").alias("phrase"))
     )
