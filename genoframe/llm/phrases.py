@@ -18,7 +18,7 @@ A phrase of ``shortest`` to ``longest`` words is frequent if it occurs
 
 Steps 2 to 4 run for pairs first and for the longer lengths afterwards, since
 only a place whose pairs are all frequent can hold a longer frequent phrase.
-Between the steps tasks receive a bitmap of fixed size (2^26 bits, 8 MB) that
+Between the steps tasks receive a bitmap of fixed size (2^24 bits, 2 MB) that
 never misses a phrase; the exact sets stay distributed and are joined.
 
 Score: the lowest of floor(scale * a * n / (l * r)) over all cuts in two, in
@@ -54,7 +54,7 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 BREAKS = bytes.maketrans(b".,;:!?\x0b\x0c\r", b"\n" * 9)
 END = b"\xff"  # in no UTF-8 text
 PART = 4096  # words of a row
-LOG_BITS = 26
+LOG_BITS = 24
 
 ENCODED = "lang string, ids binary, own int, key long, n long"
 SCHEMA = pa.schema([("lang", pa.string()), ("ids", pa.binary()), ("own", pa.int32()), ("key", pa.int64()), ("n", pa.int64())])
@@ -75,7 +75,7 @@ def _tokens(text: bytes) -> list[bytes]:
     return text.lower().translate(BREAKS).replace(b"\n", b" \xff ").split()
 
 
-def _encode(longest: int, flush: int = 1 << 20):
+def _encode(longest: int, flush: int = 1 << 19):
     over = longest - 1
 
     def counted(lang: str, parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -158,10 +158,13 @@ class Shard:
     own words are (a phrase that starts on another word belongs to the next part)."""
 
     def __init__(self, parts: list[tuple[bytes, int]]):
-        gap = np.zeros(1, np.uint64)
-        arrays = [np.frombuffer(b, np.uint64) for b, _ in parts]
-        self.ids = np.concatenate([x for a in arrays for x in (a, gap)])
-        self.own = np.concatenate([np.arange(len(a) + 1) < own for a, (_, own) in zip(arrays, parts)])
+        size = sum(len(b) // 8 + 1 for b, _ in parts)
+        self.ids, self.own, at = np.zeros(size, np.uint64), np.zeros(size, bool), 0
+        while parts:  # each part goes as it is copied
+            b, own = parts.pop()
+            self.ids[at : at + len(b) // 8] = np.frombuffer(b, np.uint64)
+            self.own[at : at + own] = True
+            at += len(b) // 8 + 1
         self.words = int(np.count_nonzero(self.ids[self.own]))
 
     def runs(self, frequent: np.ndarray) -> np.ndarray:
@@ -182,7 +185,7 @@ class Shard:
 def _shards(batches: Iterator[pa.RecordBatch], shard_words: int) -> Iterator[tuple[str, Shard]]:
     held: dict[str, list[tuple[bytes, int]]] = {}
     size: dict[str, int] = {}
-    for batch in batches:
+    for batch in _small(batches):
         for lang, ids, own in zip(*(c.to_pylist() for c in batch.columns)):
             held.setdefault(lang, []).append((ids, own))
             size[lang] = size.get(lang, 0) + own
@@ -209,13 +212,15 @@ def _mine(totals: dict[str, int], frequent, pairs, lengths: tuple[int, ...], sup
                     at, key = at[keep], key[keep]
                 if not len(at):
                     break
-                found, first, place = np.unique(key, return_index=True, return_inverse=True)
-                local = np.bincount(place, weights=shard.own[at], minlength=len(found)).astype(np.int64)
+                found, place = np.unique(key, return_inverse=True)
+                local = np.bincount(place[shard.own[at]], minlength=len(found))
                 # local count >= support * (words here) / (words of the language)
                 need = -(-support * shard.words // totals[lang])
                 often = local >= max(need, 1)
                 if size in lengths:
                     chosen = np.flatnonzero(often)
+                    first = np.empty(len(found), np.int32)
+                    first[place] = np.arange(len(place), dtype=np.int32)  # any occurrence will do
                     for cut in range(0, len(chosen), 1 << 15):
                         some = chosen[cut : cut + (1 << 15)]
                         starts = at[first[some]]
@@ -227,6 +232,8 @@ def _mine(totals: dict[str, int], frequent, pairs, lengths: tuple[int, ...], sup
                         )
                 keep = often[place]
                 at, key = at[keep], key[keep]
+                del place, found, local
+            del shard, at, key
 
     return run
 
@@ -251,6 +258,7 @@ def _count(frequent, pairs, candidates, lengths: tuple[int, ...], shard_words: i
                         [pa.array(found[cut : cut + (1 << 16)].view(np.int64)), pa.array(counts[cut : cut + (1 << 16)].astype(np.int64))],
                         names=["key", "n"],
                     )
+            del shard, at, key
 
     return run
 
