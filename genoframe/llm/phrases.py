@@ -53,7 +53,7 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Ends of pieces become line feeds; then every end is a word of its own.
 BREAKS = bytes.maketrans(b".,;:!?\x0b\x0c\r", b"\n" * 9)
 END = b"\xff"  # in no UTF-8 text
-PART = 4096  # words of a row
+PART = 512  # words of a row
 LOG_BITS = 24
 
 ENCODED = "lang string, ids binary, own int, key long, n long"
@@ -196,6 +196,15 @@ def _shards(batches: Iterator[pa.RecordBatch], shard_words: int) -> Iterator[tup
         yield lang, Shard(held.pop(lang))
 
 
+def _among(keys: np.ndarray, chosen: np.ndarray, step: int = 1 << 17) -> np.ndarray:
+    """Which ``keys`` are in the sorted array ``chosen``."""
+    out = np.zeros(len(keys), bool)
+    for at in range(0, len(keys) if len(chosen) else 0, step):
+        some = keys[at : at + step]
+        out[at : at + step] = chosen[np.minimum(np.searchsorted(chosen, some), len(chosen) - 1)] == some
+    return out
+
+
 MINED = "key long, lang string, ids array<long>"
 
 
@@ -212,27 +221,26 @@ def _mine(totals: dict[str, int], frequent, pairs, lengths: tuple[int, ...], sup
                     at, key = at[keep], key[keep]
                 if not len(at):
                     break
-                found, place = np.unique(key, return_inverse=True)
-                local = np.bincount(place[shard.own[at]], minlength=len(found))
+                found, local = np.unique(key[shard.own[at]], return_counts=True)
                 # local count >= support * (words here) / (words of the language)
                 need = -(-support * shard.words // totals[lang])
-                often = local >= max(need, 1)
-                if size in lengths:
-                    chosen = np.flatnonzero(often)
-                    first = np.empty(len(found), np.int32)
-                    first[place] = np.arange(len(place), dtype=np.int32)  # any occurrence will do
-                    for cut in range(0, len(chosen), 1 << 15):
-                        some = chosen[cut : cut + (1 << 15)]
-                        starts = at[first[some]]
-                        rows = shard.ids[starts[:, None] + np.arange(size)].view(np.int64)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(found[some].view(np.int64)), pa.array([lang] * len(some)),
-                             pa.ListArray.from_arrays(pa.array(np.arange(0, rows.size + 1, size, dtype=np.int32)), pa.array(rows.ravel()))],
-                            names=["key", "lang", "ids"],
-                        )
-                keep = often[place]
+                often = found[local >= max(need, 1)]
+                del found, local
+                keep = _among(key, often)
                 at, key = at[keep], key[keep]
-                del place, found, local
+                if size not in lengths:
+                    continue
+                for cut in range(0, len(often), 1 << 15):
+                    some = often[cut : cut + (1 << 15)]
+                    where = np.flatnonzero((key >= some[0]) & (key <= some[-1]))
+                    starts = np.empty(len(some), np.int64)
+                    starts[np.searchsorted(some, key[where])] = at[where]  # any occurrence will do
+                    rows = shard.ids[starts[:, None] + np.arange(size)].view(np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(some.view(np.int64)), pa.array([lang] * len(some)),
+                         pa.ListArray.from_arrays(pa.array(np.arange(0, rows.size + 1, size, dtype=np.int32)), pa.array(rows.ravel()))],
+                        names=["key", "lang", "ids"],
+                    )
             del shard, at, key
 
     return run
