@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from genoframe.session import stored
+
+from . import bits
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: A stored table of at most this many bytes may be broadcast.
@@ -89,7 +93,19 @@ def packed(docs: DataFrame, **keys: Column) -> DataFrame:
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[c.alias(k) for k, c in keys.items()])
 
 
+def parted(rows: DataFrame, h: str, found: DataFrame, found_h: str, tag: str) -> tuple[DataFrame, DataFrame]:
+    """(certain, possible): the rows whose text hash ``h`` is certainly not among
+    ``found_h`` of the stored table ``found``, and the others.  The certain ones
+    need no join: a bitmap of fixed size tells them apart, so that texts are only
+    shuffled where they may meet a partner."""
+    filled = stored(bits.bitmap(found, found_h), tag)
+    flagged = bits.marked(rows, F.col(h), filled, "_possible")
+    return flagged.filter("NOT _possible").drop("_possible"), flagged.filter("_possible").drop("_possible")
+
+
 def without(docs: DataFrame, gone: DataFrame, text: str, doc: str) -> DataFrame:
-    """The rows of ``docs`` whose (id, text hash) is not in ``gone`` (_doc, _h)."""
+    """The rows of ``docs`` whose (id, text hash) is not in the stored ``gone`` (_doc, _h)."""
     rows = packed(docs, key=F.col(doc), h=F.xxhash64(text_of(text)))
-    return rows.join(gone, F.col("key").eqNullSafe(F.col("_doc")) & (F.col("h") == F.col("_h")), "left_anti").select("row.*")
+    certain, possible = parted(rows, "h", gone, "_h", "gone-bits")
+    same = F.col("key").eqNullSafe(F.col("_doc")) & (F.col("h") == F.col("_h"))
+    return certain.select("row.*").union(possible.join(gone, same, "left_anti").select("row.*"))

@@ -18,8 +18,9 @@ shorter item.
 window stand up to ``slop`` words apart from their places.
 
 Tables of words and anchors come from the items alone; they are broadcast only
-after a count, and joined by shuffle beyond it.  A frequent passage costs one
-row per occurrence.  Defined cases: null text has no words; items without words
+after a count, and joined by shuffle beyond it.  Only documents that may hold a
+candidate are shuffled with their words.  A frequent passage costs one row per
+occurrence.  Defined cases: null text has no words; items without words
 or without an id take no part, items that repeat an id count as one; rows that
 repeat id and text are treated alike, an empty table gives an empty result (and
 no hits without items); extra columns are kept by :func:`drop_contaminated`.
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 
 from genoframe.session import stored
 
-from .common import ascii_lower, is_small, keyed, small, text_of, without
+from .common import ascii_lower, is_small, keyed, parted, small, text_of, without
 
 #: Everything that is not a word character.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -123,8 +124,10 @@ def phrase_matches(index: Index) -> DataFrame:
         .groupBy(*DOC)
         .agg(F.collect_set(F.struct("item_id", "at", "_iw")).alias("_c"))
     )
-    docs = index.docs.select(*DOC, words_of(F.col("_text")).alias("_w")).alias("d")
-    joined = docs.join(stored(near, "candidates").alias("c"), _same_doc("d", "c"), "left").select("d.*", "c._c")
+    near = stored(near, "candidates")
+    certain, possible = parted(index.docs, "_h", near, "_h", "candidate-bits")
+    docs = possible.select(*DOC, words_of(F.col("_text")).alias("_w")).alias("d")
+    joined = docs.join(near.alias("c"), _same_doc("d", "c"), "left").select("d.*", "c._c")
 
     def occurrences(c: Column) -> Column:
         need = F.least(F.size(c["_iw"]), F.lit(index.window))
@@ -137,12 +140,15 @@ def phrase_matches(index: Index) -> DataFrame:
         return F.struct(c["item_id"].alias("item_id"), hits.alias("hits"))
 
     found = F.filter(F.transform("_c", occurrences), lambda x: F.size(x["hits"]) > 0)
-    return joined.withColumn("_f", found).select(
+    met = joined.withColumn("_f", found).select(
         *DOC,
         F.size("_w").cast("long").alias("n_words"),
         F.array_distinct(F.flatten("_f.hits")).alias("hits"),
         F.array_sort(F.array_distinct("_f.item_id")).alias("found"),
     )
+    kinds = {f.name: f.dataType for f in met.schema.fields}
+    none = [F.lit(None).cast(kinds[c]).alias(c) for c in ("hits", "found")]
+    return met.union(certain.select(*DOC, F.size(words_of(F.col("_text"))).cast("long").alias("n_words"), *none))
 
 
 def proximity_matches(index: Index, slop: int = 5) -> DataFrame:
