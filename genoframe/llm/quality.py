@@ -1,6 +1,6 @@
 """Quality classifier: a sparse rule ensemble over text statistics.
 
-1. Statistics of the whole text, as column expressions, written once.
+1. Statistics of the whole text, as column expressions.
 2. A random forest of shallow trees is grown on a bounded sample of labelled
    rows; every path from a root to an inner or leaf node is one conjunctive
    rule (``symbol_ratio > 0.08 AND n_words <= 40``).
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from genoframe.session import stored
 
-from .common import fold, text_of, without
+from .common import fold, packed, text_of
 
 Rule = tuple[tuple[str, str, float], ...]
 
@@ -140,43 +140,66 @@ def fit(sample: DataFrame, trees: int = 20, depth: int = 3, lasso: float = 0.002
     return compiled(weights, model.intercept)
 
 
-def score(
+def learned(
     docs: DataFrame,
     labels: DataFrame,
     modulus: int = 5,
     held: int = 0,
-    threshold: float = 0.3,
     sample_rows: int = 20_000,
     text: str = "text",
     doc: str = "doc_id",
     label: str = "quality",
-) -> DataFrame:
-    """(doc_id, _h, held_out, score, predicted) per row of ``docs``; ``_h`` is the
-    hash of its text.  Learns from labelled rows whose crc32(id as text) mod
-    ``modulus`` is not ``held``."""
-    narrow = docs.select(F.col(doc).alias("doc_id"), F.xxhash64(text_of(text)).alias("_h"), F.col(text).alias("_text"))
-    stats = stored(statistics(narrow, "_text"), "quality-stats")
+) -> Column:
+    """The compiled score, learned from labelled rows whose crc32(id as text)
+    mod ``modulus`` is not ``held``.  Statistics are taken of sampled rows only;
+    the sample is sorted in one partition, so that the forest does not depend on
+    how the rows were laid out."""
     known = (
-        labels.select(F.col(doc).alias("doc_id"), F.col(label).cast("double").alias("label"))
-        .filter(F.col("doc_id").isNotNull() & F.col("label").isNotNull() & (fold("doc_id", modulus) != held))
-        .groupBy("doc_id")
+        labels.select(F.col(doc).alias("_id"), F.col(label).cast("double").alias("label"))
+        .filter(F.col("_id").isNotNull() & F.col("label").isNotNull() & (fold("_id", modulus) != held))
+        .groupBy("_id")
         .agg(F.max("label").alias("label"))
     )
     known = stored(known, "quality-labels")
     share = 0.97 * sample_rows / max(1, known.count())  # leaves room for chance
-    sample = (
-        stats.join(known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share * (1 << 20)), "doc_id")
-        .limit(sample_rows)
-        .select(*STATS, F.when(F.col("label") > 0, 1.0).otherwise(0.0).alias("label"))
+    chosen = stored(known.filter(F.pmod(F.xxhash64("_id"), F.lit(1 << 20)) < share * (1 << 20)).limit(sample_rows), "quality-chosen")
+    rows = docs.select(F.col(doc).alias("_doc"), F.col(text).alias("_text"))
+    texts = rows.join(F.broadcast(chosen), F.col("_doc") == F.col("_id")).select("_doc", "label", "_text")  # at most sample_rows ids
+    sample = statistics(texts, "_text").withColumn("label", F.when(F.col("label") > 0, 1.0).otherwise(0.0))
+    order = ["_doc", "label", *STATS]
+    sample = stored(sample.limit(sample_rows).repartition(1).sortWithinPartitions(*order), "quality-sample")
+    return fit(sample.select(*STATS, "label"))
+
+
+def score(
+    docs: DataFrame,
+    labels: DataFrame,
+    modulus: int = 5,
+    held: int = 0,
+    threshold: float = 0.3,
+    sample_rows: int = 20_000,
+    text: str = "text",
+    doc: str = "doc_id",
+    label: str = "quality",
+) -> DataFrame:
+    """(doc_id, _h, held_out, score, predicted) per row of ``docs``; ``_h`` is the
+    hash of its text."""
+    model = learned(docs, labels, modulus, held, sample_rows, text, doc, label)
+    narrow = docs.select(F.col(doc).alias("doc_id"), F.xxhash64(text_of(text)).alias("_h"), F.col(text).alias("_text"))
+    return (
+        statistics(narrow, "_text")
+        .select("doc_id", "_h", (fold("doc_id", modulus) == held).alias("held_out"), model.alias("score"))
+        .withColumn("predicted", F.when(F.col("score") >= threshold, 1).otherwise(0))
     )
-    sample = stored(sample, "quality-sample")
-    return stats.select(
-        "doc_id", "_h", (fold("doc_id", modulus) == held).alias("held_out"), fit(sample).alias("score")
-    ).withColumn("predicted", F.when(F.col("score") >= threshold, 1).otherwise(0))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, text: str = "text", doc: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` predicted 1, with the columns of ``docs``."""
-    scored = score(docs, labels, text=text, doc=doc, **options)
-    bad = scored.filter(F.col("predicted") == 0).select(F.col("doc_id").alias("_doc"), "_h").distinct()
-    return without(docs, stored(bad, "quality-bad"), text, doc)
+def keep_good(
+    docs: DataFrame, labels: DataFrame, threshold: float = 0.3, text: str = "text", doc: str = "doc_id", **options
+) -> DataFrame:
+    """The rows of ``docs`` predicted 1, with the columns of ``docs``: a filter on
+    the row itself, nothing is joined or shuffled.  The row number keeps the
+    filter above the statistics, which would else be computed again per rule."""
+    model = learned(docs, labels, text=text, doc=doc, **options)
+    stats = statistics(packed(docs, _text=F.col(text)), "_text")
+    scored = stats.select("row", model.alias("_score"), F.monotonically_increasing_id().alias("_at"))
+    return scored.filter((F.col("_score") >= threshold) & (F.col("_at") >= 0)).select("row.*")
