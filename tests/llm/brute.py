@@ -91,21 +91,28 @@ def near_components(docs, width, percent=80):
     return {i: (len(sets[i]), root(i)) for i in ids}
 
 
-def remove_lines(docs, min_sites=2, min_words=5):
-    """docs: (id, text, source) -> {id: text} with cross-site lines cut."""
-    sites, first = collections.defaultdict(set), {}
+def remove_lines(docs, min_sites=2):
+    """docs: (id, text, source) -> {id: text} with cross-site lines and repeated passages cut."""
+    sites, owners, first = collections.defaultdict(set), collections.defaultdict(set), {}
+
+    def boilerplate(line):
+        if len(line) >= 300 or len(line.split(" ")) > 50:
+            return len(owners[line]) >= 2
+        return len(sites[line]) >= (max(5, min_sites) if len(line) < 30 else min_sites)
+
     for doc, text, source in sorted(docs, key=lambda d: d[0]):
         for pos, raw in enumerate((text or "").split("\n")):
             line = raw.strip(" \t\r")
-            if len(line.split(" ")) >= min_words:
+            if line:
                 sites[line].add(source)
+                owners[line].add(doc)
                 first.setdefault(line, (doc, pos))
     out = {}
     for doc, text, _ in docs:
         parts = [
             raw
             for pos, raw in enumerate((text or "").split("\n"))
-            if len(sites.get(raw.strip(" \t\r"), ())) < min_sites or first[raw.strip(" \t\r")] == (doc, pos)
+            if not raw.strip(" \t\r") or not boilerplate(raw.strip(" \t\r")) or first[raw.strip(" \t\r")] == (doc, pos)
         ]
         out[doc] = "\n".join(parts)
     return out
