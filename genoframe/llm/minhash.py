@@ -4,8 +4,8 @@
    Their lowest two bits are packed into four longs; 32 bands of four whole
    minima give band keys (a pair of similarity 0.8 shares no band once in
    2 x 10^7 times).  Documents with the same shingle set (count, 64-bit sum and
-   xor of its hashes) are one class; from here on only the smallest id of a
-   class takes part.
+   xor of its hashes) are one class; from here on only one row of a class takes
+   part, under the hash of these three numbers.
 2. Star candidates: per band key, every member is compared with two leaders
    (smallest id, smallest hash), not with every other member.
 3. The estimated similarity comes from the count of equal two-bit fields,
@@ -20,11 +20,13 @@
    pair in one key only), so no link between different texts is lost.  Nothing is compared inside a
    component, and large groups are one component by then.
 
-Components come from :mod:`components`.  Defined cases: null or empty text has
-no shingles and is linked with nothing, an empty table gives an empty result, a
-text shorter than the shingle is one shingle, rows that repeat an id form one
-document whose set is that of the smallest text hash; null ids stay unlinked.
-Extra columns are kept.
+Components come from :mod:`components`; their nodes are classes, so rows that
+repeat an id with different texts are compared one by one.  The document that
+stays has the smallest id of its component.  Defined cases: null or empty text
+has no shingles and is linked with nothing, an empty table gives an empty
+result, a text shorter than the shingle is one shingle, rows that repeat id and
+text are treated alike, null ids come after all others (among themselves by the
+hash of their text).  Extra columns are kept.
 """
 
 from __future__ import annotations
@@ -39,7 +41,7 @@ from pyspark.sql import functions as F
 
 from genoframe.session import stored
 
-from .common import packed, small
+from .common import parted, small, text_of, without
 from .components import components
 
 HASHES, BANDS, BITS = 128, 32, 2
@@ -90,27 +92,28 @@ def band_keys(best: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-SIGNED = "id long, n long, total long, folded long, s0 long, s1 long, s2 long, s3 long, bands array<long>"
+SIGNED = "h long, n long, total long, folded long, s0 long, s1 long, s2 long, s3 long, bands array<long>"
 
 
 def _signatures(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for h, text in zip(batch.column(1).to_pylist(), batch.column(2)):
                 hashes = shingle_hashes(text.as_py() or b"", width)
                 if not len(hashes):
-                    rows.append((doc, 0, 0, 0, 0, 0, 0, 0, []))
+                    rows.append((h, 0, 0, 0, 0, 0, 0, 0, []))
                     continue
                 best = minima(hashes)
                 total, folded = hashes.sum(dtype=np.uint64), np.bitwise_xor.reduce(hashes)
                 rows.append(
-                    (doc, len(hashes), int(total.view(np.int64)), int(folded.view(np.int64)), *pack(best).tolist(), band_keys(best))
+                    (h, len(hashes), int(total.view(np.int64)), int(folded.view(np.int64)), *pack(best).tolist(), band_keys(best))
                 )
             columns = list(zip(*rows)) if rows else [[]] * 9
             types = [pa.int64()] * 8 + [pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types)], names=[f.split()[0] for f in SIGNED.split(", ")]
+                [batch.column(0), *[pa.array(c, t) for c, t in zip(columns, types)]],
+                names=["doc", *[f.split()[0] for f in SIGNED.split(", ")]],
             )
 
     return run
@@ -171,17 +174,28 @@ def near_duplicates(
     text: str = "text",
     doc: str = "doc_id",
 ) -> DataFrame:
-    """(id, n_shingles, component_id, kept, n_links): one row per distinct id;
-    n_links counts links of the document's class that were confirmed."""
-    source = docs.select(F.col(doc).cast("long").alias("id"), F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8").alias("t"))
-    source = source.filter(F.col("id").isNotNull())
-    rows, distinct = source.agg(F.count("*"), F.count_distinct("id")).first()
-    if rows > distinct:  # one text per id, that with the smallest hash
-        source = stored(source.groupBy("id").agg(F.min_by("t", F.xxhash64("t")).alias("t")), "mh-texts")
-    signed = stored(source.mapInArrow(_signatures(width), SIGNED), "mh-signed")
-    same = signed.filter("n > 0").groupBy("n", "total", "folded").agg(F.min("id").alias("rep"))
+    """(id, _h, n_shingles, component_id, kept, n_links): one row per distinct id and
+    text (``_h`` is its hash); n_links counts confirmed links of the row's class."""
+    source = docs.select(
+        F.col(doc).alias("doc"), F.xxhash64(text_of(text)).alias("h"), F.encode(text_of(text), "UTF-8").alias("t")
+    )
+    kind = source.schema["doc"].dataType.simpleString()
+    signed = stored(source.mapInArrow(_signatures(width), f"doc {kind}, {SIGNED}"), "mh-signed")
+    rows, distinct = signed.agg(F.count("*"), F.count_distinct(F.struct("doc", "h"))).first()
+    if rows > distinct:  # repeated rows
+        signed = stored(signed.dropDuplicates(["doc", "h"]), "mh-signed")
+    node = F.xxhash64("n", "total", "folded")
+    same = stored(
+        signed.filter("n > 0")
+        .groupBy("n", "total", "folded")
+        .agg(F.min("doc").alias("low"), F.min("h").alias("low_h"), F.min(F.struct("h", "doc")).alias("first"))
+        .withColumn("rep", node),
+        "mh-classes",
+    )
     shape = ["id", "n", "s0", "s1", "s2", "s3"]
-    reps = signed.join(same.select(F.col("rep").alias("id")), "id", "left_semi")
+    firsts = same.select(F.col("rep").alias("id"), F.col("first.doc").alias("_d"), F.col("first.h").alias("_g"))
+    own = F.col("doc").eqNullSafe(F.col("_d")) & (F.col("h") == F.col("_g"))
+    reps = signed.join(firsts, own).select("id", "n", "s0", "s1", "s2", "s3", "bands")
 
     # band keys with two members or more
     keys = reps.select("id", F.explode("bands").alias("key"))
@@ -192,8 +206,12 @@ def near_duplicates(
     active = stored(
         reps.select(*shape, "bands").join(members.select("id").distinct(), "id", "left_semi"), "mh-active"
     )
-    wanted = small(active.select("id"))
-    sets = stored(source.join(wanted, "id", "left_semi").mapInArrow(_sets(width), "id long, items array<long>"), "mh-sets")
+    wanted = stored(firsts.join(active.select("id"), "id", "left_semi"), "mh-wanted")
+    _, texts = parted(source, "h", wanted, "_g", "mh-bits")
+    texts = texts.join(small(wanted), own).select("id", "t")
+    if rows > distinct:
+        texts = texts.dropDuplicates(["id"])
+    sets = stored(texts.mapInArrow(_sets(width), "id long, items array<long>"), "mh-sets")
 
     stars = (
         members.select("id", F.explode(F.array("lead1", "lead2")).alias("lead"))
@@ -243,18 +261,24 @@ def near_duplicates(
     final = stored(components(every) if not more.isEmpty() else labels, "mh-final")
 
     degree = every.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("links"))
-    classes = (
+    classes = stored(
         same.join(final.select(F.col("node").alias("rep"), "component"), "rep", "left")
         .join(degree, "rep", "left")
-        .select("n", "total", "folded", F.coalesce("component", "rep").alias("component"), F.coalesce("links", F.lit(0)).alias("links"))
+        .select("n", "total", "folded", "low", "low_h", F.coalesce("component", "rep").alias("component"), F.coalesce("links", F.lit(0)).alias("links")),
+        "mh-labelled",
     )
-    return signed.join(classes, ["n", "total", "folded"], "left").select(
-        "id",
+    lowest = classes.groupBy("component").agg(F.min("low").alias("component_id"), F.min("low_h").alias("least_h"))
+    named = classes.join(lowest, "component").select("n", "total", "folded", "component_id", "least_h", "links")
+    alone = F.col("n") == 0
+    return signed.join(named, ["n", "total", "folded"], "left").select(
+        F.col("doc").alias("id"),
+        F.col("h").alias("_h"),
         F.col("n").alias("n_shingles"),
-        F.coalesce("component", "id").alias("component_id"),
-        (F.col("id") == F.coalesce("component", "id")).alias("kept"),
+        F.when(alone, F.col("doc")).otherwise(F.col("component_id")).alias("component_id"),
+        F.when(alone, True).when(F.col("component_id").isNull(), F.col("h") == F.col("least_h"))
+        .otherwise(F.col("doc").eqNullSafe(F.col("component_id"))).alias("kept"),
         F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
-    )
+    )
 
 
 def _open(members: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -286,9 +310,7 @@ def _screened(pairs: DataFrame, active: DataFrame, percent: int, min_estimate: f
     )
 
 
-def deduplicate(docs: DataFrame, doc: str = "doc_id", **options) -> DataFrame:
-    """``docs`` without the documents that another one of their group replaces;
-    rows with a null id stay."""
-    gone = near_duplicates(docs, doc=doc, **options).filter(~F.col("kept")).select(F.col("id").alias("_gone"))
-    rows = packed(docs, key=F.col(doc).cast("long"))
-    return rows.join(stored(gone, "mh-gone"), F.col("key") == F.col("_gone"), "left_anti").select("row.*")
+def deduplicate(docs: DataFrame, text: str = "text", doc: str = "doc_id", **options) -> DataFrame:
+    """``docs`` without the documents that another one of their group replaces."""
+    gone = near_duplicates(docs, text=text, doc=doc, **options).filter(~F.col("kept")).select(F.col("id").alias("_doc"), "_h")
+    return without(docs, stored(gone, "mh-gone"), text, doc)

@@ -47,8 +47,15 @@ def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = minhash.near_duplicates(table(spark, sf_dir, "documents"), width=4)
-    return out.withColumnRenamed("id", "doc_id")
+    """One row per id; of an id with several texts, the smallest component and
+    the shingles of the text with the smallest hash."""
+    out = minhash.near_duplicates(table(spark, sf_dir, "documents"), width=4).withColumnRenamed("id", "doc_id")
+    return out.groupBy("doc_id").agg(
+        F.min_by("n_shingles", "_h").alias("n_shingles"),
+        F.min("component_id").alias("component_id"),
+        F.max("n_links").alias("n_links"),
+        F.max("kept").alias("_kept"),
+    ).select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), "_kept").alias("kept"), "n_links")
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -55,6 +55,10 @@ def items(spark):
     return spark.createDataFrame(rows, "item_id long, text string")
 
 
+def spark_rows(like, rows):
+    return like.sparkSession.createDataFrame(rows, "doc_id long, text string")
+
+
 def by_row(df):
     return sorted(map(tuple, df.collect()), key=str)
 
@@ -114,6 +118,11 @@ def test_near_duplicates(docs, none):
     kept = minhash.deduplicate(docs, width=4)
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.select("doc_id").collect() if r.doc_id is not None) == [1, 1, 1, 3, 4, 5, 6, 7, 9, 10, 11]
+    three = "one two three four five six seven eight nine ten"
+    more = spark_rows(docs, [(1, three), (1, "another text with words that no other row has at all"), (2, three), (None, three),
+                             (None, "only here twice and without an id " + three[::-1]), (None, "ONLY here twice and without an id " + three[::-1])])
+    got = sorted((r.id or 0, r.component_id or 0, r.kept) for r in minhash.near_duplicates(more, width=4).collect())
+    assert got == [(0, 0, False), (0, 0, True), (0, 1, False), (1, 1, True), (1, 1, True), (2, 1, False)]
     assert minhash.near_duplicates(none).count() == 0 and minhash.deduplicate(none).count() == 0
 
 
