@@ -4,15 +4,15 @@
 * G3: the genetic relationship matrix (1/m) Z'Z as a block GEMM: sites are
   cut into chunks, each chunk's Z'Z (n x n, n = samples) is computed in
   numpy and only those partials are shuffled and summed.
-* G4: eigen-decomposition of the n x n GRM in one task (its size is bounded
-  by the number of samples, not by the data); sign fixed by the largest
-  loading.
-* G5: outlier removal is a driver loop over Spark jobs; only the (bounded)
-  list of removed strains comes back to the driver.
+* G4: leading eigenpairs by block Lanczos (:mod:`eigen`): tasks multiply their
+  share of the matrix with a narrow block; sign fixed by the largest loading.
+* G5: outlier removal refits from chunks of dosages; samples x axes numbers
+  come back to the driver in each round.
 * G6-G8: Tracy-Widom statistics, variance explained and PC-pair tables are
   windows over the eigenvalue table (one row per axis).
-* G9: LD thresholds are a grouping column of the pruning, so one job prunes
-  for every threshold.
+* G9: LD thresholds are a grouping column of the pruning and bits of a site's
+  tag afterwards, so every job serves all thresholds, and one chain of outlier
+  rounds serves every number of iterations.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 from ..functions import genotype as G
 from ..functions.ranking import block_rank
 from ..session import ship_package, stored
+from . import eigen as E
 from . import variants as V
 
 # Smartpca settings of the reference (numoutevec, outlier rule).
@@ -40,13 +41,14 @@ N_PC_PAIRS = 6  # PC1..PC6 -> 15 scatter panels
 
 
 # --------------------------------------------------------------------- G1
-def pca_input(geno: DataFrame, ld: float, drop_x: bool = True) -> DataFrame:
+def pca_input(geno: DataFrame, ld: float, drop_x: bool = True, drop_singletons: bool = True) -> DataFrame:
     """G1: nuclear contigs -> merge records -> SNP -> biallelic -> LD prune at
-    ``ld`` -> singletons out -> complete sites.  Returns genotypes."""
+    ``ld`` -> singletons out (if asked for) -> complete sites.  Returns genotypes."""
     snp = pca_snps(geno, drop_x)
     kept = V.ld_prune(snp, ld).select("site_id")
     g = snp.join(kept, "site_id", "left_semi")
-    g = V.exclude_sites(g, V.singletons(g))
+    if drop_singletons:
+        g = V.exclude_sites(g, V.singletons(g))
     return V.complete_sites(g)
 
 
@@ -133,33 +135,27 @@ _EIG = T.StructType(
 )
 
 
-def _eigen(k: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        names = sorted(set(pdf.strain1) | set(pdf.strain2))
-        pos = {s: i for i, s in enumerate(names)}
-        a = np.zeros((len(names), len(names)))
-        for s1, s2, v in zip(pdf.strain1, pdf.strain2, pdf.grm):
-            a[pos[s1], pos[s2]] = v
-            a[pos[s2], pos[s1]] = v
-        vals, vecs = np.linalg.eigh(a)
-        order = np.argsort(vals)[::-1][: min(k, len(names))]
-        rows = []
-        for r, c in enumerate(order):
-            v = vecs[:, c]
-            if v[np.argmax(np.abs(v))] < 0:
-                v = -v
-            for s, x in zip(names, v):
-                rows.append((s, r + 1, float(vals[c]), float(x)))
-        return pd.DataFrame(rows, columns=["strain", "pc", "eigenvalue", "loading"])
-
-    return run
-
-
 def pca(grm: DataFrame, k: int = NUM_EVEC) -> DataFrame:
     """Top-k eigenvalues and eigenvectors of the GRM, long form
-    (strain, pc, eigenvalue, loading).  One task holds the n x n matrix."""
-    ship_package(grm.sparkSession)
-    return grm.withColumn("_all", F.lit(0)).groupBy("_all").applyInPandas(_eigen(k), _EIG)
+    (strain, pc, eigenvalue, loading), by block Lanczos over the stored pair
+    rows: every task multiplies its rows, none holds the n x n matrix."""
+    spark = grm.sparkSession
+    ship_package(spark)
+    pairs = stored(grm.select("strain1", "strain2", "grm"), "grm-pairs")
+    ends = pairs.select(F.explode(F.array("strain1", "strain2")).alias("strain")).distinct()
+    names = sorted(r.strain for r in ends.collect())  # one name a sample
+    if not names:
+        return spark.createDataFrame([], _EIG)
+    index = {name: i for i, name in enumerate(names)}
+    values, vectors = E.leading({0: E.Problem(len(names), k)}, E.matrix_product(pairs, index))[0]
+    return spark.createDataFrame(_axes(names, values, vectors), _EIG)
+
+
+def _axes(names: list[str], values: np.ndarray, vectors: np.ndarray) -> list[tuple]:
+    """(strain, pc, eigenvalue, loading): samples x axes rows."""
+    return [
+        (name, c + 1, float(value), float(vectors[i, c])) for c, value in enumerate(values) for i, name in enumerate(names)
+    ]
 
 
 def spectrum_totals(grm: DataFrame, *by: str) -> DataFrame:
@@ -195,26 +191,14 @@ def pca_outlier_removal(
     ``iterations`` times.  Returns (removed strains with their iteration,
     final PCs)."""
     spark = geno.sparkSession
-    removed: list[tuple[str, int]] = []
-    current = geno
-    for it in range(1, iterations + 1):
-        pcs = pca(relatedness(current), k).filter(F.col("pc") <= n_evec)
-        w = Window.partitionBy("pc")
-        flagged = (
-            pcs.withColumn("_mu", F.avg("loading").over(w))
-            .withColumn("_sd", F.stddev_pop("loading").over(w))
-            .filter(F.abs(F.col("loading") - F.col("_mu")) > F.lit(sigma) * F.col("_sd"))
-            .select("strain")
-            .distinct()
-        )
-        out = [r.strain for r in flagged.collect()]  # bounded by the sample count
-        if not out:
-            break
-        removed += [(s, it) for s in out]
-        current = current.filter(~F.col("strain").isin(out))
-    schema = "strain string, iteration int"
-    gone = spark.createDataFrame(removed, schema) if removed else spark.createDataFrame([], schema)
-    return gone, pca(relatedness(current), k)
+    ship_package(spark)
+    chunks, strains = E.site_chunks(geno)
+    fits, removed = E.removal_chain(chunks, strains, [0], iterations, k, n_evec, sigma)
+    gone = spark.createDataFrame(sorted(removed[0].items()), "strain string, iteration int")
+    if not fits[0]:
+        return gone, spark.createDataFrame([], _EIG)
+    last = fits[0][-1]
+    return gone, spark.createDataFrame(_axes([strains[i] for i in last.active], last.values, last.vectors), _EIG)
 
 
 # --------------------------------------------------------------------- G6
@@ -338,55 +322,53 @@ def parameter_sweep(geno: DataFrame, ld_values: list[float], outlier_iters: list
 
 
 # --------------------------------------------------------------------- G9 (PCA per setting)
-_GRM_LD = T.StructType([T.StructField("ld", T.DoubleType())] + _GRM.fields)
-_EIG_LD = T.StructType([T.StructField("ld", T.DoubleType())] + _EIG.fields)
-
-
-def _chunk_gram_ld(pdf: pd.DataFrame) -> pd.DataFrame:
-    out = _chunk_gram(pdf)
-    out.insert(0, "ld", float(pdf["ld"].iloc[0]))
-    return out
+_SWEPT = "ld double, outlier_iterations int, strain string, removed_at int, pc int, eigenvalue double, var_exp double, loading double"
 
 
-def _eigen_ld(k: int):
-    inner = _eigen(k)
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = inner(pdf)
-        out.insert(0, "ld", float(pdf["ld"].iloc[0]))
-        return out
-
-    return run
+def sweep_chunks(geno: DataFrame, ld_values: list[float], drop_x: bool = True, drop_singletons: bool = True) -> tuple[DataFrame, list[str]]:
+    """The sites of all settings as chunks; bit i of a site's tag says that
+    pruning at ``ld_values[i]`` keeps it.  Pruning runs once for all thresholds;
+    singleton and completeness filters do not depend on the threshold."""
+    snp = stored(pca_snps(geno, drop_x), "pca-snps")
+    bit = F.create_map(*[F.lit(x) for i, t in enumerate(ld_values) for x in (float(t), 1 << i)])
+    kept = V.ld_prune_sweep(snp, ld_values)
+    tags = kept.groupBy("site_id").agg(F.sum(F.element_at(bit, F.col("ld"))).cast("bigint").alias("tag"))
+    base = V.exclude_sites(snp, V.singletons(snp)) if drop_singletons else snp
+    return E.site_chunks(V.complete_sites(base), tags)
 
 
-def pca_sweep(geno: DataFrame, ld_values: list[float], k: int = N_VAR_EXPLAINED, drop_x: bool = True,
-              chunk_bp: int = 1_000_000) -> DataFrame:
-    """G9 with G1-G4 per setting: the LD threshold is a grouping column of
-    every stage.  Pruning runs once for all thresholds; singleton and
-    completeness filters and the per-site normalisation do not depend on the
-    threshold and run once; the block GEMM groups by (ld, chrom, 1 Mb chunk)
-    and the eigen step by ld (one n x n matrix per setting).  Returns
-    (ld, pc, eigenvalue, var_exp) for the top ``k`` axes of every setting."""
-    ship_package(geno.sparkSession)
-    snp = stored(pca_snps(geno, drop_x), "pca-snps")
-    kept = V.ld_prune_sweep(snp, ld_values).select("ld", "site_id")
-    base = V.complete_sites(V.exclude_sites(snp, V.singletons(snp)))
-    z = normalize_genotypes(base)
-    strains = strain_index(base)
-    n = strains.agg(F.count(F.lit(1))).scalar()
-    per_site = z.join(strains, "strain").groupBy("site_id", "chrom", "pos").agg(
-        F.collect_list(F.struct("sidx", "z")).alias("_e")
-    )
-    per_site = per_site.withColumn("_n", n.cast("int")).withColumn("zs", G.dense("_e", "_n", "z", F.lit(0.0))).drop("_e", "_n")
-    tagged = per_site.join(kept, "site_id").withColumn("chunk", F.floor(F.col("pos") / chunk_bp).cast("bigint"))
-    parts = tagged.select("ld", "chrom", "chunk", "zs").groupBy("ld", "chrom", "chunk").applyInPandas(_chunk_gram_ld, _GRM_LD)
-    tot = parts.groupBy("ld", "i", "j").agg(F.sum("zz").alias("zz"), F.sum("m").alias("markers"))
-    s1 = strains.select(F.col("sidx").alias("i"), F.col("strain").alias("strain1"))
-    s2 = strains.select(F.col("sidx").alias("j"), F.col("strain").alias("strain2"))
-    grm = tot.join(s1, "i").join(s2, "j").select("ld", "strain1", "strain2", (F.col("zz") / F.col("markers")).alias("grm"))
-    grm = stored(grm, "grm-sweep")
-    pcs = grm.groupBy("ld").applyInPandas(_eigen_ld(k), _EIG_LD)
-    eig = pcs.groupBy("ld", "pc").agg(F.first("eigenvalue").alias("eigenvalue"))
-    return eig.join(spectrum_totals(grm, "ld"), "ld").select(
-        "ld", "pc", "eigenvalue", (F.col("eigenvalue") / F.col("trace")).alias("var_exp")
-    )
+def pca_outlier_sweep(
+    geno: DataFrame,
+    ld_values: list[float],
+    outlier_iters: list[int],
+    k: int = N_VAR_EXPLAINED,
+    n_evec: int = OUTLIER_EVEC,
+    sigma: float = OUTLIER_SIGMA,
+    drop_x: bool = True,
+    drop_singletons: bool = True,
+) -> DataFrame:
+    """The PCA of every (LD threshold, outlier iterations) setting: (ld,
+    outlier_iterations, strain, removed_at, pc, eigenvalue, var_exp, loading).
+    A strain removed at iteration r has one row with ``removed_at`` = r and no
+    axis.  All thresholds advance together over one chunk table, and the run
+    with most iterations contains those with fewer."""
+    spark = geno.sparkSession
+    ship_package(spark)
+    chunks, strains = sweep_chunks(geno, ld_values, drop_x, drop_singletons)
+    keys = list(range(len(ld_values)))
+    fits, removed = E.removal_chain(chunks, strains, keys, max(outlier_iters, default=0), k, n_evec, sigma)
+    rows: list[tuple] = []
+    for key, iters in ((key, iters) for key in keys for iters in outlier_iters if fits[key]):
+        fit = fits[key][min(iters, len(fits[key]) - 1)]
+        setting = float(ld_values[key]), int(iters)
+        for strain, pc, value, loading in _axes([strains[i] for i in fit.active], fit.values, fit.vectors):
+            rows.append((*setting, strain, None, pc, value, value / fit.trace if fit.trace else None, loading))
+        rows += [(*setting, strain, at, None, None, None, None) for strain, at in removed[key].items() if at <= iters]
+    return spark.createDataFrame(rows, _SWEPT)
+
+
+def pca_sweep(geno: DataFrame, ld_values: list[float], k: int = N_VAR_EXPLAINED, drop_x: bool = True) -> DataFrame:
+    """G9 with G1-G4 per LD setting, without outlier removal: (ld, pc,
+    eigenvalue, var_exp) for the top ``k`` axes."""
+    swept = pca_outlier_sweep(geno, ld_values, [0], k, drop_x=drop_x)
+    return swept.groupBy("ld", "pc").agg(F.first("eigenvalue").alias("eigenvalue"), F.first("var_exp").alias("var_exp"))

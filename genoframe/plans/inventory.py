@@ -92,5 +92,5 @@ INVENTORY: dict[str, list[str]] = {
     "G6": ["tracy_widom"],
     "G7": ["variance_explained"],
     "G8": ["pc_pairs"],
-    "G9": ["parameter_sweep", "pca_sweep"],
+    "G9": ["parameter_sweep", "pca_sweep", "pca_outlier_sweep"],
 }

@@ -9,7 +9,7 @@ G6-G8 against DuckDB on fixed eigenvalue / PC tables).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import pca as P
@@ -64,8 +64,13 @@ def q_relatedness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.relatedness(_sites(spark, sf_dir)).withColumn("grm", F.round("grm", 6))
 
 
+def _input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The genotypes that enter the PCA: G1 at LD 0.8."""
+    return stored(P.pca_input(fixture(spark, sf_dir, "f_geno"), SWEEP_LD[0]), "pca-input")
+
+
 def _grm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stored(P.relatedness(_sites(spark, sf_dir)), "grm")
+    return stored(P.relatedness(_input(spark, sf_dir)), "grm")
 
 
 def _pcs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,13 +87,35 @@ def q_pca(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_pca_outlier_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every strain with the iteration that removed it (NULL if kept) and
     its final PC1..PC6 (NULL if removed)."""
-    g = _sites(spark, sf_dir)
+    g = _input(spark, sf_dir)
     removed, final = P.pca_outlier_removal(g)
     strains = g.select("strain").distinct()
     wide = P.pcs_wide(final)
     return strains.join(removed.withColumnRenamed("iteration", "removed_iteration"), "strain", "left").join(wide, "strain", "left")
 
 
+def planted(geno: DataFrame, every: int = 3) -> DataFrame:
+    """``geno`` with the first two strains as outliers: at every third site they
+    carry an allele that few others keep (by a hash, so that LD stays low)."""
+    names = geno.select("strain").distinct().withColumn("_no", F.dense_rank().over(Window.orderBy("strain")))
+    pair = names.select(F.max(F.when(F.col("_no") <= 2, F.col("strain")))).scalar()
+    chosen = F.col("site_id") % every == 0
+    lost = F.pmod(F.xxhash64("site_id", "strain"), F.lit(10)) >= 3
+    gt = F.when(chosen & (F.col("strain") <= pair), "1/1").when(chosen & lost, "0/0").otherwise(F.col("gt"))
+    return geno.withColumn("gt", gt)
+
+
+@register("pca_outlier_sweep", None, "G")
+def q_pca_outlier_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G9 over LD thresholds and outlier iterations, with planted outliers; 25
+    strains cannot be 6 standard deviations away, so the bound is 3."""
+    geno = planted(fixture(spark, sf_dir, "f_geno"))
+    swept = P.pca_outlier_sweep(geno, SWEEP_LD, [0, 1, 5], n_evec=2, sigma=3.0)
+    return swept.select(
+        "ld", "outlier_iterations", "strain", "removed_at", "pc", *[F.round(c, 6).alias(c) for c in ("eigenvalue", "var_exp", "loading")]
+    )
+
+
 @register("tracy_widom", None, "G")
 def q_tracy_widom(spark: SparkSession, sf_dir: str) -> DataFrame:
     grm = _grm(spark, sf_dir)
