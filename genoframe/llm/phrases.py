@@ -7,8 +7,8 @@ A phrase of ``shortest`` to ``longest`` words is frequent if it occurs
 
 1. One pass turns each text into 64-bit word hashes (the language is part of
    the hash), 0 between pieces, and counts the words of every language.
-2. Mining: a shard is what a task has gathered of one language, at most
-   ``shard_words`` words.  Its local support is ``support`` times its share of
+2. Mining: a shard is what a task has gathered of one language, about
+   ``shard_words`` words and at most twice as many.  Its local support is ``support`` times its share of
    the language's words, so that a frequent phrase reaches it in at least one
    shard.  Each shard is mined completely, length by length; a phrase is looked
    at only if the two phrases of one word less inside it are locally frequent.
@@ -189,7 +189,7 @@ def _shards(batches: Iterator[pa.RecordBatch], shard_words: int) -> Iterator[tup
         for lang, ids, own in zip(*(c.to_pylist() for c in batch.columns)):
             held.setdefault(lang, []).append((ids, own))
             size[lang] = size.get(lang, 0) + own
-            if size[lang] >= shard_words:
+            if size[lang] >= 2 * shard_words:
                 size[lang] = 0
                 yield lang, Shard(held.pop(lang))
     for lang in list(held):
@@ -311,12 +311,14 @@ def _broadcast(keys: DataFrame, log_bits: int = LOG_BITS):
 def frequent_phrases(docs: DataFrame, support: int, longest: int, shard_words: int, text: str, lang: str) -> tuple[DataFrame, DataFrame]:
     """(key, lang, ids, a) of all frequent phrases, and (key, lang, n) of all words."""
     encoded = stored(_source(docs, text, lang).mapInArrow(_encode(longest), ENCODED), "phrase-ids")
-    rows = encoded.filter("ids IS NOT NULL").select("lang", "ids", "own")
     words = stored(
         encoded.filter("ids IS NULL").groupBy("key", "lang").agg(F.sum("n").alias("n")),
         "phrase-words",
     )
     totals = {r.lang: r.n for r in words.groupBy("lang").agg(F.sum("n").alias("n")).collect()}  # one number a language
+    rows = encoded.filter("ids IS NOT NULL").select("lang", "ids", "own")
+    # as few tasks as give the largest language whole shards: remainders have the lowest local support
+    rows = rows.coalesce(max(1, -(-max(totals.values(), default=0) // shard_words)))
 
     frequent, pairs, out = _broadcast(words.filter(F.col("n") >= support)), None, None
     for lengths in [(2,), tuple(range(3, longest + 1))]:
@@ -338,7 +340,7 @@ def collocations(
     longest: int = 5,
     top: int = 2000,
     scale: int = 1000,
-    shard_words: int = 1 << 20,
+    shard_words: int = 1 << 21,
     text: str = "text",
     lang: str = "lang",
 ) -> DataFrame:
