@@ -67,7 +67,8 @@ def small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
 def frequent(counts: DataFrame, limit: int, column: str = "n") -> DataFrame:
     """The rows of the highest counts, ``limit`` at most, without a sort: counts
     fall into at most 512 classes, eight to a doubling, and the highest whole
-    classes that fit are taken."""
+    classes that fit are taken.  If the very highest does not fit, a share of it
+    is taken by a hash of the row (a little under ``limit``)."""
     place = F.floor(8 * F.log2(column)).cast("int")
     sizes = dict(counts.groupBy(place.alias("place")).agg(F.count("*")).collect())
     taken, lowest = 0, None
@@ -76,7 +77,11 @@ def frequent(counts: DataFrame, limit: int, column: str = "n") -> DataFrame:
         if taken > limit:
             break
         lowest = p
-    return counts.limit(0) if lowest is None else counts.filter(place >= lowest)
+    if lowest is not None or not sizes:
+        return counts.limit(0) if lowest is None else counts.filter(place >= lowest)
+    share = max(0.0, limit - 4 * limit**0.5) / sizes[max(sizes)]
+    drawn = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in counts.columns]), F.lit(1 << 30)) < int(share * (1 << 30))
+    return counts.filter((place == max(sizes)) & drawn)
 
 
 def keyed(docs: DataFrame, text: str = "text", doc: str = "doc_id") -> DataFrame:

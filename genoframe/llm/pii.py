@@ -4,17 +4,18 @@ Base spans are the leftmost non-overlapping matches of four patterns, each
 checked afterwards (address parts, Luhn sum, digit counts).
 
 Bootstrapping: tokens that look like identifiers (a digit or ``@`` in them) are
-instances.  A lexical pattern is the two words before an instance and the
-instance's shape (letters and digits collapsed).  Base entities are the seeds.
-In each round a pattern's confidence for a kind is the score of its instances,
-weighted by occurrence and smoothed, and an unseen instance's score is the
-noisy-or of its patterns.  Patterns that enough distinct seeds support and
-whose confidence is high give spans of their kind for the unseen instances.
+instances.  A lexical pattern is the two words before an instance, once alone
+and once with the instance's shape (letters and digits collapsed).  Base
+entities are the first seeds.  In each round the patterns with enough distinct
+confirmed values are scored by their values, unseen values by the patterns they
+stand in, and values of a high score join the seeds, so that patterns which no
+base entity stands in are reached through discovered ones.  In the end the
+unseen instances of confident patterns give spans.
 
 Everything is a column expression or a grouped aggregate; rows that leave the
-text are matches, never characters, and the pattern-instance graph holds only
-patterns in which a seed occurs.  A pattern or an instance on a third of all
-rows is combined per task first.
+text are matches, never characters.  Patterns with too few distinct values ever
+to count leave the graph before the rounds.  A pattern or a value on a third of
+all rows is combined per task first.
 
 Matches are found with possessive quantifiers and a start condition, which give
 the same matches as the plain patterns in linear time on very long texts.
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 
 from genoframe.session import stored
 
-from .common import keyed
+from .common import keyed, small
 
 DOC = ["_doc", "_h"]
 KINDS = ("email", "ip", "card", "phone")
@@ -112,69 +113,78 @@ def base_spans(docs: DataFrame) -> DataFrame:
     return out
 
 
+def plausible(kind: str, value: Column) -> Column:
+    """Whether an unseen ``value`` may be of ``kind`` at all: an address needs
+    its ``@``, a number four digits."""
+    address = value.contains("@")
+    return address if kind == "email" else ~address & (F.char_length(_digits(value)) >= 4)
+
+
 def instances(docs: DataFrame) -> DataFrame:
-    """(_doc, _h, start, end, value, seed, pattern): identifier-like tokens, without
-    punctuation around them, and their lexical patterns."""
+    """(_doc, _h, start, end, value, seed, may, patterns): identifier-like tokens,
+    without punctuation around them; the kind of base entities; the kinds that
+    others may have; and their lexical patterns, with and without the shape.
+    Values and patterns are 64-bit hashes."""
     found = matches(docs, INSTANCE, "[0-9@]")
     whole = F.col("value")
     core = F.regexp_replace(F.regexp_replace(whole, r"[\p{Punct}&&[^+]]+$", ""), r"^[\p{Punct}&&[^+(]]+", "")
     lead = F.char_length(F.regexp_extract(whole, r"^[\p{Punct}&&[^+(]]+", 0))
     words = F.filter(F.split(F.lower("before"), r"\s+"), lambda w: w != "")
-    left = F.when(F.size(words) > 0, F.array_join(F.slice(words, F.greatest(F.size(words) - 1, F.lit(1)), 2), " ")).otherwise("#")
+    left = F.when(F.size(words) > 0, F.array_join(F.slice(words, F.greatest(F.size(words) - 1, F.lit(1)), 2), " "))
     shape = F.regexp_replace(F.regexp_replace("core", r"\p{L}+", "a"), "[0-9]+", "9")
     seed = F.lit(None).cast("string")
     for kind in reversed(KINDS):
         plain = PATTERNS[kind]
         seed = F.when(F.col("core").rlike(rf"^(?:{plain})$") & valid(kind, F.col("core")), kind).otherwise(seed)
+    may = F.array_compact(F.array(*[F.when(plausible(k, F.col("core")), k) for k in KINDS]))
+    # a place without words before it has a pattern only with the shape
+    patterns = F.array_compact(F.array(F.xxhash64(F.coalesce(left, F.lit("")), shape), F.when(left.isNotNull(), F.xxhash64(left))))
     return (
         found.withColumn("core", core)
         .filter("core <> ''")
         .withColumn("start", F.col("start") + lead)
         .withColumn("end", F.col("start") + F.char_length("core"))
-        .select(*DOC, "start", "end", F.col("core").alias("value"), seed.alias("seed"), F.struct(left.alias("left"), shape.alias("shape")).alias("pattern"))
+        .select(*DOC, "start", "end", F.xxhash64("core").alias("value"), seed.alias("seed"), may.alias("may"), patterns.alias("patterns"))
     )
 
 
-def bootstrap(found: DataFrame, rounds: int = 3, support: int = 3, confidence: float = 0.8, smoothing: float = 1.0) -> DataFrame:
-    """(_doc, _h, kind, start, end): unseen instances of confident patterns."""
-    seeded = found.filter("seed IS NOT NULL").groupBy("pattern").agg(F.approx_count_distinct("value").alias("about"))
-    edges = (
-        found.join(seeded.filter("about >= 1").select("pattern"), "pattern", "left_semi")
-        .groupBy("pattern", "value", "seed")
-        .agg(F.count("*").alias("n"))
-    )
-    edges = stored(edges, "pii-graph")
-    total = edges.groupBy("pattern").agg(F.sum("n").alias("total"))
-    supported = (
-        edges.filter("seed IS NOT NULL").groupBy("pattern", F.col("seed").alias("kind")).agg(F.count_distinct("value").alias("seeds"))
-    )
-    scores = edges.filter("seed IS NOT NULL").select("value", F.col("seed").alias("kind"), F.lit(1.0).alias("score")).distinct()
+def bootstrap(found: DataFrame, rounds: int = 4, support: int = 3, confidence: float = 0.8, smoothing: float = 1.0) -> DataFrame:
+    """(_doc, _h, kind, start, end): unseen instances of confident patterns, over
+    the stored instances ``found``.
+
+    A pattern speaks for a kind once ``support`` distinct confirmed values of the
+    kind stand in it.  Its trust is the summed score of its places over their
+    number (smoothed).  An unseen value's score is the noisy-or of the patterns
+    that speak for it; from ``confidence`` on it is confirmed and supports
+    further patterns in the next round, as the base entities do."""
+    edges = found.select("value", "seed", "may", F.explode("patterns").alias("pattern"))
+    edges = edges.groupBy("pattern", "value").agg(F.first("seed").alias("seed"), F.first("may").alias("may"), F.count("*").alias("n"))
+    edges = stored(edges, "pii-edges")
+    total = edges.groupBy("pattern").agg(F.sum("n").alias("total"), F.count("*").alias("_values"))
+    total = stored(total.filter(F.col("_values") >= support).drop("_values"), "pii-total")  # the others never speak
+    edges = stored(edges.join(small(total), "pattern"), "pii-graph")
+    known = edges.filter("seed IS NOT NULL").select("value", F.col("seed").alias("kind"), F.lit(1.0).alias("score")).distinct()
+    scores = known = stored(known, "pii-scores")
     for _ in range(rounds):
-        weight = (
-            edges.join(scores, "value")
-            .groupBy("pattern", "kind")
-            .agg(F.sum(F.col("n") * F.col("score")).alias("mass"))
-            .join(total, "pattern")
-            .select("pattern", "kind", (F.col("mass") / (F.col("total") + smoothing)).alias("trust"))
-        )
-        weight = stored(weight, "pii-patterns")
+        trust = F.round(F.sum(F.col("n") * F.col("score")) / (F.first("total") + smoothing), 9)
+        confirmed = F.count(F.when(F.col("score") >= confidence, 1))
+        weight = edges.join(small(scores), "value").groupBy("pattern", "kind").agg(trust.alias("trust"), confirmed.alias("confirmed"))
+        weight = stored(weight.filter(F.col("confirmed") >= support).drop("confirmed"), "pii-patterns")
         unseen = (
             edges.filter("seed IS NULL")
-            .join(weight, "pattern")
+            .join(small(weight), "pattern")
+            .filter(F.array_contains("may", F.col("kind")))
             .groupBy("value", "kind")
-            .agg((1 - F.exp(F.sum(F.log1p(-F.least("trust", F.lit(0.999)))))).alias("score"))
+            .agg(F.round(1 - F.exp(F.sum(F.log1p(-F.least("trust", F.lit(0.999))))), 9).alias("score"))
         )
-        known = edges.filter("seed IS NOT NULL").select("value", F.col("seed").alias("kind"), F.lit(1.0).alias("score")).distinct()
         scores = stored(known.unionByName(unseen), "pii-scores")
-    good = (
-        weight.join(supported, ["pattern", "kind"])
-        .filter((F.col("seeds") >= support) & (F.col("trust") >= confidence))
-        .groupBy("pattern")
-        .agg(F.max_by("kind", F.struct("trust", "kind")).alias("kind"))
-    )
-    sure = scores.filter(F.col("score") >= confidence).select("value", "kind")
+    good = small(stored(weight.filter(F.col("trust") >= confidence), "pii-good"))
+    places = found.filter("seed IS NULL").select(*DOC, "start", "end", "may", F.explode("patterns").alias("pattern"))
     return (
-        found.filter("seed IS NULL").join(good, "pattern").join(sure, ["value", "kind"], "left_semi").select(*DOC, "kind", "start", "end")
+        places.join(good, "pattern")
+        .filter(F.array_contains("may", F.col("kind")))
+        .groupBy(*DOC, "start", "end")
+        .agg(F.max_by("kind", F.struct("trust", "kind")).alias("kind"))
     )
 
 

@@ -6,6 +6,7 @@ import collections
 import hashlib
 import math
 import re
+import string
 import zlib
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -194,3 +195,59 @@ def ctw_bits(training, text, depth=3):
                 p = own if p is None else share * own + (1 - share) * p
             bits -= math.log2(p if value else 1 - p)
     return bits
+
+
+def discovered(rows, spans, rounds=4, support=3, confidence=0.8, smoothing=1.0):
+    """Spans found by contexts: {(id, kind, start, end)}.  ``spans`` gives the
+    base spans (kind, start, end) of a text."""
+    import math
+    from collections import defaultdict
+
+    kinds = ("email", "ip", "card", "phone")
+    mark = string.punctuation
+    token = re.compile(r"\+[0-9][ ().0-9-]+[0-9]|(?<!\S)[^\s0-9@]*[0-9@]\S*")
+    places = []
+    for doc, text in rows:
+        at = 0
+        for m in token.finditer(text):
+            before, whole = text[at : m.start()], m.group()
+            at = m.end()
+            core = whole.rstrip(mark.replace("+", "")).lstrip(mark.replace("+", "").replace("(", ""))
+            if not core:
+                continue
+            start = m.start() + len(whole.rstrip(mark.replace("+", ""))) - len(core)
+            own = [k for k, a, b in spans(core) if (a, b) == (0, len(core))]
+            words = before[-80:].lower().split()[-2:]
+            left = " ".join(words)
+            shape = re.sub("[0-9]+", "9", re.sub(r"[^\W\d_]+", "a", core))
+            patterns = [(left, shape)] + ([left] if words else [])
+            digits = sum(c.isdigit() for c in core)
+            may = ["email"] if "@" in core else [k for k in kinds[1:] if digits >= 4]
+            places.append((doc, start, start + len(core), core, own[0] if own else None, may, patterns))
+    count = defaultdict(lambda: defaultdict(int))
+    facts = {}
+    for _, _, _, core, seed, may, patterns in places:
+        facts[core] = (seed, may)
+        for p in patterns:
+            count[p][core] += 1
+    known = {(v, seed): 1.0 for v, (seed, _) in facts.items() if seed}
+    scores, weight = dict(known), {}
+    for _ in range(rounds):
+        weight = {}
+        for p, values in count.items():
+            for k in kinds:
+                if sum(scores.get((v, k), 0) >= confidence for v in values) >= support:
+                    mass = sum(n * scores.get((v, k), 0) for v, n in values.items())
+                    weight[p, k] = round(mass / (sum(values.values()) + smoothing), 9)
+        scores = dict(known)
+        for v, (seed, may) in facts.items():
+            for k in may if seed is None else ():
+                own = [weight[p, k] for p in count if v in count[p] and (p, k) in weight]
+                if own:
+                    scores[v, k] = round(1 - math.prod(1 - min(t, 0.999) for t in own), 9)
+    out = set()
+    for doc, a, b, _, seed, may, patterns in places:
+        own = [(weight[p, k], k) for p in patterns for k in may if weight.get((p, k), 0) >= confidence]
+        if seed is None and own:
+            out.add((doc, max(own)[1], a, b))
+    return out
