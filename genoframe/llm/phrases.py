@@ -6,14 +6,15 @@ A phrase of ``shortest`` to ``longest`` words is frequent if it occurs
 ``support`` times or more, overlaps included.
 
 1. One pass turns each text into 64-bit word hashes (the language is part of
-   the hash), 0 between pieces, and counts the words of every language.
-2. Mining: a shard is what a task has gathered of one language, about
-   ``shard_words`` words and at most twice as many.  Its local support is ``support`` times its share of
-   the language's words, so that a frequent phrase reaches it in at least one
-   shard.  Each shard is mined completely, length by length; a phrase is looked
-   at only if the two phrases of one word less inside it are locally frequent.
+   the hash), 0 between pieces, counts the words of every language, and deals
+   the input's partitions to ``shards`` shards.
+2. Mining: the local support of a shard is ``support`` times its share of the
+   language, so that a frequent phrase reaches it in at least one shard.  The
+   number of shards is fixed: local support does not fall, and candidates do not
+   multiply, as the corpus grows.  A shard is a grouping key, not a task: tasks
+   count what they gather of it, and the counts are summed by (shard, phrase).
 3. The locally frequent phrases of all shards are united.
-4. Counting: every shard counts all its occurrences of the united candidates;
+4. Counting: all occurrences of the united candidates in all shards are counted;
    the sums are exact.
 
 Steps 2 to 4 run for pairs first and for the longer lengths afterwards, since
@@ -154,7 +155,7 @@ def joined(key: np.ndarray, word: np.ndarray) -> np.ndarray:
 
 
 class Shard:
-    """The words of one shard: ``ids`` with 0 between pieces, and where the parts'
+    """Words of one shard: ``ids`` with 0 between pieces, and where the parts'
     own words are (a phrase that starts on another word belongs to the next part)."""
 
     def __init__(self, parts: list[tuple[bytes, int]]):
@@ -165,7 +166,6 @@ class Shard:
             self.ids[at : at + len(b) // 8] = np.frombuffer(b, np.uint64)
             self.own[at : at + own] = True
             at += len(b) // 8 + 1
-        self.words = int(np.count_nonzero(self.ids[self.own]))
 
     def runs(self, frequent: np.ndarray) -> np.ndarray:
         """Places of words that may be frequent."""
@@ -182,91 +182,82 @@ class Shard:
         return at, joined(key[keep], self.ids[at + size - 1])
 
 
-def _shards(batches: Iterator[pa.RecordBatch], shard_words: int) -> Iterator[tuple[str, Shard]]:
-    held: dict[str, list[tuple[bytes, int]]] = {}
-    size: dict[str, int] = {}
+def _gathered(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple[str, int, Shard]]:
+    """Pieces of at most twice ``words`` words of one language and shard."""
+    held: dict[tuple[str, int], list[tuple[bytes, int]]] = {}
+    size: dict[tuple[str, int], int] = {}
     for batch in _small(batches):
-        for lang, ids, own in zip(*(c.to_pylist() for c in batch.columns)):
-            held.setdefault(lang, []).append((ids, own))
-            size[lang] = size.get(lang, 0) + own
-            if size[lang] >= 2 * shard_words:
-                size[lang] = 0
-                yield lang, Shard(held.pop(lang))
-    for lang in list(held):
-        yield lang, Shard(held.pop(lang))
+        for lang, ids, own, shard in zip(*(c.to_pylist() for c in batch.columns)):
+            place = (lang, shard)
+            held.setdefault(place, []).append((ids, own))
+            size[place] = size.get(place, 0) + own
+            if size[place] >= words:
+                size[place] = 0
+                yield *place, Shard(held.pop(place))
+    for place in list(held):
+        yield *place, Shard(held.pop(place))
+
+
+def _phrases(piece: Shard, frequent, pairs, lengths: tuple[int, ...], among) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(size, places, hashes) of the phrases of ``lengths`` whose words, and
+    pairs if given, may be frequent and which may be ``among`` the given ones,
+    as their ends must be."""
+    at = piece.runs(frequent.value)
+    key = piece.ids[at]
+    for size in range(2, lengths[-1] + 1):
+        at, key = piece.longer(at, key, size)
+        for table in (pairs if size == 2 else None, among if size in lengths else None):
+            if table is not None:
+                keep = bits.test(table.value, key)
+                at, key = at[keep], key[keep]
+        if size in lengths and len(at):
+            own = piece.own[at]
+            yield size, at[own], key[own]
+
 
+def _batches(step: int, **columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for cut in range(0, len(next(iter(columns.values()))), step):
+        yield pa.RecordBatch.from_arrays([pa.array(c[cut : cut + step]) for c in columns.values()], names=list(columns))
 
-def _among(keys: np.ndarray, chosen: np.ndarray, step: int = 1 << 17) -> np.ndarray:
-    """Which ``keys`` are in the sorted array ``chosen``."""
-    out = np.zeros(len(keys), bool)
-    for at in range(0, len(keys) if len(chosen) else 0, step):
-        some = keys[at : at + step]
-        out[at : at + step] = chosen[np.minimum(np.searchsorted(chosen, some), len(chosen) - 1)] == some
-    return out
 
+def _mine(needs: dict[tuple[str, int], int], frequent, pairs, lengths: tuple[int, ...], words: int):
+    """Counts by ``place``: the shard, and below 2^32 its local support."""
 
-MINED = "key long, lang string, ids array<long>"
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, shard, piece in _gathered(batches, words):
+            place = shard << 32 | needs[lang, shard]
+            for _, _, key in _phrases(piece, frequent, pairs, lengths, None):
+                found, n = np.unique(key, return_counts=True)
+                yield from _batches(1 << 16, key=found.view(np.int64), place=np.full(len(found), place), n=n.astype(np.int64))
+
+    return run
 
 
-def _mine(totals: dict[str, int], frequent, pairs, lengths: tuple[int, ...], support: int, shard_words: int):
+def _count(frequent, pairs, candidates, lengths: tuple[int, ...], words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, shard in _shards(batches, shard_words):
-            at = shard.runs(frequent.value)
-            key = shard.ids[at]
-            for size in range(1, lengths[-1] + 1):
-                if size > 1:
-                    at, key = shard.longer(at, key, size)
-                if size == 2 and pairs is not None:
-                    keep = bits.test(pairs.value, key)
-                    at, key = at[keep], key[keep]
-                if not len(at):
-                    break
-                found, local = np.unique(key[shard.own[at]], return_counts=True)
-                # local count >= support * (words here) / (words of the language)
-                need = -(-support * shard.words // totals[lang])
-                often = found[local >= max(need, 1)]
-                del found, local
-                keep = _among(key, often)
-                at, key = at[keep], key[keep]
-                if size not in lengths:
-                    continue
-                for cut in range(0, len(often), 1 << 15):
-                    some = often[cut : cut + (1 << 15)]
-                    where = np.flatnonzero((key >= some[0]) & (key <= some[-1]))
-                    starts = np.empty(len(some), np.int64)
-                    starts[np.searchsorted(some, key[where])] = at[where]  # any occurrence will do
-                    rows = shard.ids[starts[:, None] + np.arange(size)].view(np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(some.view(np.int64)), pa.array([lang] * len(some)),
-                         pa.ListArray.from_arrays(pa.array(np.arange(0, rows.size + 1, size, dtype=np.int32)), pa.array(rows.ravel()))],
-                        names=["key", "lang", "ids"],
-                    )
-            del shard, at, key
+        for _, _, piece in _gathered(batches, words):
+            for _, _, key in _phrases(piece, frequent, pairs, lengths, candidates):
+                found, n = np.unique(key, return_counts=True)
+                yield from _batches(1 << 16, key=found.view(np.int64), n=n.astype(np.int64))
 
     return run
 
 
-def _count(frequent, pairs, candidates, lengths: tuple[int, ...], shard_words: int):
+def _show(frequent, pairs, chosen, lengths: tuple[int, ...], words: int):
+    """The words of the chosen phrases, each phrase once a piece."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, shard in _shards(batches, shard_words):
-            at = shard.runs(frequent.value)
-            key = shard.ids[at]
-            for size in range(2, lengths[-1] + 1):
-                at, key = shard.longer(at, key, size)
-                if size == 2 and pairs is not None:
-                    keep = bits.test(pairs.value, key)
-                    at, key = at[keep], key[keep]
-                if size not in lengths:
-                    continue
-                keep = bits.test(candidates.value, key)  # a candidate's ends are candidates too
-                at, key = at[keep], key[keep]
-                found, counts = np.unique(key[shard.own[at]], return_counts=True)
-                for cut in range(0, len(found), 1 << 16):
+        for lang, _, piece in _gathered(batches, words):
+            for size, at, key in _phrases(piece, frequent, pairs, lengths, chosen):
+                found, first = np.unique(key, return_index=True)
+                for cut in range(0, len(found), 1 << 15):
+                    some, starts = found[cut : cut + (1 << 15)], at[first[cut : cut + (1 << 15)]]
+                    rows = piece.ids[starts[:, None] + np.arange(size)].view(np.int64)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(found[cut : cut + (1 << 16)].view(np.int64)), pa.array(counts[cut : cut + (1 << 16)].astype(np.int64))],
-                        names=["key", "n"],
-                    )
-            del shard, at, key
+                        [pa.array(some.view(np.int64)), pa.array([lang] * len(some)),
+                         pa.ListArray.from_arrays(pa.array(np.arange(0, rows.size + 1, size, dtype=np.int32)), pa.array(rows.ravel()))],
+                        names=["key", "lang", "ids"],
+                    )
 
     return run
 
@@ -308,29 +299,38 @@ def _broadcast(keys: DataFrame, log_bits: int = LOG_BITS):
     return keys.sparkSession.sparkContext.broadcast(bits.as_array(bits.bitmap(keys, "key", log_bits), log_bits))
 
 
-def frequent_phrases(docs: DataFrame, support: int, longest: int, shard_words: int, text: str, lang: str) -> tuple[DataFrame, DataFrame]:
+def frequent_phrases(
+    docs: DataFrame, support: int, longest: int, shards: int, piece_words: int, text: str, lang: str
+) -> tuple[DataFrame, DataFrame]:
     """(key, lang, ids, a) of all frequent phrases, and (key, lang, n) of all words."""
-    encoded = stored(_source(docs, text, lang).mapInArrow(_encode(longest), ENCODED), "phrase-ids")
+    encoded = _source(docs, text, lang).mapInArrow(_encode(longest), ENCODED).withColumn("shard", F.spark_partition_id() % shards)
+    encoded = stored(encoded, "phrase-ids")
     words = stored(
         encoded.filter("ids IS NULL").groupBy("key", "lang").agg(F.sum("n").alias("n")),
         "phrase-words",
     )
-    totals = {r.lang: r.n for r in words.groupBy("lang").agg(F.sum("n").alias("n")).collect()}  # one number a language
-    rows = encoded.filter("ids IS NOT NULL").select("lang", "ids", "own")
-    # as few tasks as give the largest language whole shards: remainders have the lowest local support
-    rows = rows.coalesce(max(1, -(-max(totals.values(), default=0) // shard_words)))
+    rows = encoded.filter("ids IS NOT NULL").select("lang", "ids", "own", "shard")
+    sizes = {(r.lang, r.shard): r.n for r in rows.groupBy("lang", "shard").agg(F.sum("own").alias("n")).collect()}  # langs x shards
+    totals: dict[str, int] = {}
+    for (name, _), n in sizes.items():
+        totals[name] = totals.get(name, 0) + n
+    needs = {place: -(-support * n // totals[place[0]]) for place, n in sizes.items()}  # rounded up
 
     frequent, pairs, out = _broadcast(words.filter(F.col("n") >= support)), None, None
     for lengths in [(2,), tuple(range(3, longest + 1))]:
         if not lengths:
             break
-        mined = rows.mapInArrow(_mine(totals, frequent, pairs, lengths, support, shard_words), MINED)
-        union = stored(mined.distinct(), "phrase-candidates")
-        counted = rows.mapInArrow(_count(frequent, pairs, _broadcast(union), lengths, shard_words), "key long, n long")
+        local = rows.mapInArrow(_mine(needs, frequent, pairs, lengths, piece_words), "key long, place long, n long")
+        local = local.groupBy("key", "place").agg(F.sum("n").alias("n")).filter("n >= (place & 4294967295L)")
+        union = stored(local.select("key").distinct(), "phrase-candidates")
+        counted = rows.mapInArrow(_count(frequent, pairs, _broadcast(union), lengths, piece_words), "key long, n long")
         exact = counted.groupBy("key").agg(F.sum("n").alias("a")).filter(F.col("a") >= support)
-        found = stored(union.join(exact, "key").select("key", "lang", "ids", "a"), "phrases")
+        exact = stored(union.join(exact, "key"), "phrase-counts")
+        chosen = _broadcast(exact)
+        shown = rows.mapInArrow(_show(frequent, pairs, chosen, lengths, piece_words), "key long, lang string, ids array<long>")
+        found = stored(exact.join(shown.distinct(), "key").select("key", "lang", "ids", "a"), "phrases")
         out = found if out is None else out.unionByName(found)
-        pairs = _broadcast(found)
+        pairs = chosen
     return out, words
 
 
@@ -340,13 +340,14 @@ def collocations(
     longest: int = 5,
     top: int = 2000,
     scale: int = 1000,
-    shard_words: int = 1 << 21,
+    shards: int = 16,
+    piece_words: int = 1 << 20,
     text: str = "text",
     lang: str = "lang",
 ) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's ``top`` phrases of
     2 to ``longest`` words by score, then a (descending), then phrase."""
-    found, words = frequent_phrases(docs, support, longest, shard_words, text, lang)
+    found, words = frequent_phrases(docs, support, longest, shards, piece_words, text, lang)
     split = stored(found.select("key", "lang", "a", "ids").mapInArrow(_parts, PARTS), "phrase-parts")
     counts = words.select("key", "n").union(split.select("key", "a"))
     inside = split.select(F.explode("inner").alias("key"), F.col("a").alias("b")).groupBy("key").agg(F.max("b").alias("b"))

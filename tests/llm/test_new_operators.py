@@ -231,10 +231,10 @@ def phrase_rows():
     return rows + [(None, "en"), ("", None), (" .,;\n", "xx"), ("long " * 9000 + "end of the line", "en"), ("one two", "rare")] + rows[:3]
 
 
-@pytest.mark.parametrize("support, longest, shard_words", [(12, 5, 300), (12, 5, 10**6), (5, 3, 50), (9, 2, 200)])
-def test_phrases_in_shards(spark, phrase_rows, support, longest, shard_words):
+@pytest.mark.parametrize("support, longest, piece_words, shards", [(12, 5, 300, 16), (12, 5, 10**6, 3), (5, 3, 50, 5), (9, 2, 200, 1)])
+def test_phrases_in_shards(spark, phrase_rows, support, longest, piece_words, shards):
     df = spark.createDataFrame([(*r, 1, "w") for r in phrase_rows], "text string, lang string, n int, word string").repartition(5)
-    got = phrases.collocations(df, support=support, longest=longest, top=30, shard_words=shard_words).collect()
+    got = phrases.collocations(df, support=support, longest=longest, top=30, piece_words=piece_words, shards=shards).collect()
     assert sorted(map(tuple, got)) == plain_phrases(phrase_rows, support, longest, 30)
 
 
