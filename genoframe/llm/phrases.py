@@ -54,7 +54,7 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Ends of pieces become line feeds; then every end is a word of its own.
 BREAKS = bytes.maketrans(b".,;:!?\x0b\x0c\r", b"\n" * 9)
 END = b"\xff"  # in no UTF-8 text
-PART = 512  # words of a row
+PART = 128  # words of a row; tasks receive 10,000 rows at a time
 LOG_BITS = 24
 
 ENCODED = "lang string, ids binary, own int, key long, n long"
@@ -183,16 +183,21 @@ class Shard:
 
 
 def _gathered(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple[str, int, Shard]]:
-    """Pieces of at most twice ``words`` words of one language and shard."""
+    """Pieces of one language and shard.  What a task holds is bounded by about
+    twice ``words``, however many languages and shards it meets."""
     held: dict[tuple[str, int], list[tuple[bytes, int]]] = {}
     size: dict[tuple[str, int], int] = {}
+    total = 0
     for batch in _small(batches):
         for lang, ids, own, shard in zip(*(c.to_pylist() for c in batch.columns)):
             place = (lang, shard)
             held.setdefault(place, []).append((ids, own))
             size[place] = size.get(place, 0) + own
-            if size[place] >= words:
-                size[place] = 0
+            total += own
+            if size[place] >= words or total >= 2 * words:
+                if size[place] < words:
+                    place = max(size, key=size.__getitem__)
+                total -= size.pop(place)
                 yield *place, Shard(held.pop(place))
     for place in list(held):
         yield *place, Shard(held.pop(place))
@@ -341,7 +346,7 @@ def collocations(
     top: int = 2000,
     scale: int = 1000,
     shards: int = 16,
-    piece_words: int = 1 << 20,
+    piece_words: int = 1 << 19,
     text: str = "text",
     lang: str = "lang",
 ) -> DataFrame:
