@@ -15,7 +15,7 @@ INVENTORY: dict[str, list[str]] = {
     "B2": ["polymorphic_sites"],
     "B3": ["site_counts"],
     "B4": ["rename_samples", "isotype_variants"],
-    "B5": ["filter_snps"],
+    "B5": ["filter_snps", "snv_site_counts"],
     "B6": ["genotype_only"],
     "B7": ["list_samples"],
     "B8": ["filter_regions"],

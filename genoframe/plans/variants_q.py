@@ -135,6 +135,31 @@ def q_filter_snps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.filter_snps(fixture(spark, sf_dir, "f_site")).select("site_id", "chrom", "pos", "ref", "alt")
 
 
+@register(
+    "snv_site_counts",
+    _gsql(
+        "SELECT a.site_id, a.chrom, a.pos, a.ref, CAST(a.alt_index AS INT) AS alt_index, a.alt_allele, COALESCE(c.ac, 0) AS ac, n.an, "
+        "CASE WHEN n.an > 0 THEN COALESCE(c.ac, 0) / n.an END AS af, n.ns FROM alts a JOIN ans n ON a.site_id = n.site_id "
+        "JOIN snv ON snv.site_id = a.site_id LEFT JOIN acs c ON c.site_id = a.site_id AND c.alt_index = a.alt_index",
+        ["f_site"],
+        _COUNTS
+        + [
+            ("nr", "SELECT site_id, SUM(nonref) AS ac, SUM(called) AS an FROM gb GROUP BY site_id"),
+            (
+                "snv",
+                "SELECT s.site_id FROM f_site s JOIN nr ON nr.site_id = s.site_id WHERE length(s.ref) = 1 "
+                "AND (length(split_part(s.alt, ',', 1)) = 1 OR (s.alt LIKE '%,%' AND length(split_part(s.alt, ',', 2)) = 1)) "
+                "AND nr.an > 0 AND nr.ac / nr.an >= 0.000001 AND nr.ac / nr.an <= 0.999999",
+            ),
+        ],
+    ),
+    "B",
+)
+def q_snv_site_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The SNV flow: B5 (any ALT of one base) -> B2 -> B3."""
+    return V.site_counts(V.polymorphic_sites(V.filter_snps(_geno(spark, sf_dir), mode="any")))
+
+
 @register("genotype_only", _gsql("SELECT site_id, chrom, pos, ref, alt, strain, gt FROM f_geno"), "B")
 def q_genotype_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.genotype_only(_geno(spark, sf_dir))

@@ -177,3 +177,12 @@ def test_ibd_over_filtered_markers(spark, sf_dir):
     alone = IBD.ibd_segments(calls.join(kept, "site_id", "left_semi"))
     rows = lambda df: sorted(map(tuple, df.collect()))
     assert rows(IBD.ibd_segments(calls, r2max=IBD.R2_MAX)) == rows(alone)
+
+
+def test_any_snp_alt_keeps_mixed_sites(spark):
+    from genoframe.operators import variants
+
+    sites = [(1, "A", "C"), (2, "A", "C,GT"), (3, "A", "GT,TT"), (4, "AC", "C,T"), (5, "A", "C,T")]
+    df = spark.createDataFrame(sites, "site_id int, ref string, alt string")
+    kept = lambda mode: {r.site_id for r in variants.filter_snps(df, mode).collect()}
+    assert kept("all") == {1, 5} and kept("any") == {1, 2, 5}
