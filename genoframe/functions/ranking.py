@@ -1,4 +1,4 @@
-"""Distributed ordinal ranks and running sums along a chromosome.
+"""Distributed ordinal ranks along a chromosome.
 
 ``row_number() over (partition by chrom order by pos)`` puts a whole
 chromosome in one task.  These helpers split the chromosome into blocks of
@@ -31,29 +31,3 @@ def block_rank(
         .withColumn(out, (F.col("_off") + F.row_number().over(wr)).cast("bigint"))
         .drop("_blk", "_off")
     )
-
-
-def block_islands(
-    edges: DataFrame, part: str, lo: str, hi: str, out: str = "island", block: int = DEFAULT_BLOCK
-) -> DataFrame:
-    """Label maximal runs of intervals ``[lo, hi]`` (sorted by lo, hi) that
-    overlap or chain: a new island starts where ``lo`` is past every earlier
-    ``hi`` (intervals sharing an endpoint chain).  Running max and running count are carried across blocks
-    through the per-block table."""
-    d = edges.withColumn("_blk", F.floor(F.col(lo) / F.lit(block)).cast("bigint"))
-    wb_prev = Window.partitionBy(part).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    per_blk = d.groupBy(part, "_blk").agg(F.max(hi).alias("_bmax"))
-    per_blk = per_blk.withColumn("_carry", F.max("_bmax").over(wb_prev)).drop("_bmax")
-    w_prev = Window.partitionBy(part, "_blk").orderBy(lo, hi).rowsBetween(Window.unboundedPreceding, -1)
-    d = d.join(per_blk, [part, "_blk"]).withColumn(
-        "_reach", F.greatest(F.max(hi).over(w_prev), F.col("_carry"))
-    )
-    d = d.withColumn("_new", F.when(F.coalesce(F.col("_reach"), F.lit(-1)) < F.col(lo), 1).otherwise(0))
-    starts = d.groupBy(part, "_blk").agg(F.sum("_new").alias("_ns"))
-    starts = starts.withColumn("_soff", F.coalesce(F.sum("_ns").over(wb_prev), F.lit(0))).drop("_ns")
-    w_run = Window.partitionBy(part, "_blk").orderBy(lo, hi).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        d.join(starts, [part, "_blk"])
-        .withColumn(out, (F.col("_soff") + F.sum("_new").over(w_run)).cast("bigint"))
-        .drop("_blk", "_carry", "_reach", "_new", "_soff")
-    )

@@ -1,9 +1,9 @@
 """Interval operators (inventory C, and A4 bin generation).
 
-Range predicates are never left to a nested-loop join: both sides are
-exploded to fixed-size genomic bins, equi-joined on (chrom, bin), and the
-overlap is a residual filter.  A pair is emitted only in the bin where the
-overlap begins, so no de-duplication shuffle is needed.
+Range predicates are never left to a nested-loop join: overlaps are equi-joins
+on nested bins (``functions.bins``).  The bin grids of C1-C3 come from at most
+three rows per interval, however many bins it covers: where it starts and ends,
+and where the run of wholly covered bins begins and stops.
 """
 
 from __future__ import annotations
@@ -11,16 +11,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import bins as B
 from ..functions import genotype as G
 
 BIN_SIZE = 1000
 
 
-def _bins_of(start: Column, end: Column, size: int) -> Column:
-    """Bins touched by the half-open span [start, end)."""
-    return F.sequence(F.floor(start / size).cast("bigint"), F.floor((end - 1) / size).cast("bigint"))
-
-
 # --------------------------------------------------------------------- A4
 def make_bins(lengths: DataFrame, size: int = BIN_SIZE, length_col: str = "chrom_length") -> DataFrame:
     """A4: fixed bins over each chromosome, BED 0-based half-open; the last
@@ -31,34 +27,38 @@ def make_bins(lengths: DataFrame, size: int = BIN_SIZE, length_col: str = "chrom
 
 
 def _gap_fill(sparse: DataFrame, values: list[str], lengths: DataFrame, size: int, length_col: str) -> DataFrame:
-    """Dense bins from sparse rows ``strain, chrom, _b, values...`` (``_b =
-    -1`` only registers the (strain, chrom) pair).
+    """Dense bins from sparse rows ``strain, chrom, _b`` (``_b = -1`` only
+    registers the (strain, chrom) pair) with, for every value ``v``, an amount
+    ``v`` for that bin alone and a change ``v_run`` that holds from that bin on.
 
     Ordered by bin within (strain, chrom), each sparse row generates its own
-    bin plus the empty bins since the previous sparse row (and the last row
-    also the empty tail up to the chromosome end), so every output row is
-    produced exactly once: linear work, and only the sparse rows are
-    shuffled.  A window partition holds at most one row per bin of one
-    chromosome of one strain: a bound set by the genome."""
+    bin and the bins up to the next sparse row (the first one also those before
+    it), so every output row is produced exactly once: linear work, and only
+    the sparse rows are shuffled.  A window partition holds at most one row per
+    bin of one chromosome of one strain: a bound set by the genome."""
     lens = lengths.select("chrom", F.col(length_col).cast("bigint").alias("_len"))
+    zero = F.lit(0).cast("bigint")
     w = Window.partitionBy("strain", "chrom").orderBy("_b")
-    sparse = sparse.groupBy("strain", "chrom", "_b").agg(*[F.sum(v).cast("bigint").alias(v) for v in values])
-    df = sparse.join(lens, "chrom").withColumn("_nb", F.ceil(F.col("_len") / F.lit(size)).cast("bigint"))
-    df = df.withColumn("_prev", F.coalesce(F.lag("_b").over(w), F.lit(-1).cast("bigint"))).withColumn(
-        "_last", F.lead("_b").over(w).isNull()
+    sums = [F.coalesce(F.sum(c), zero).cast("bigint").alias(c) for v in values for c in (v, f"{v}_run")]
+    df = sparse.groupBy("strain", "chrom", "_b").agg(*sums).join(lens, "chrom")
+    df = df.withColumns({f"{v}_run": F.sum(f"{v}_run").over(w) for v in values}).withColumns(
+        {"_first": F.lag("_b").over(w).isNull(), "_next": F.lead("_b").over(w)}
     )
-    hi = F.when(F.col("_last"), F.col("_nb") - 1).otherwise(F.col("_b"))
-    lo = F.greatest(F.col("_prev") + 1, F.lit(0).cast("bigint"))
+    n_bins = F.ceil(F.col("_len") / F.lit(size)).cast("bigint")
+    lo = F.when(F.col("_first"), zero).otherwise(F.greatest("_b", zero))
+    hi = F.least(F.coalesce(F.col("_next"), n_bins), n_bins) - 1
     seq = F.when(hi >= lo, F.sequence(lo, hi)).otherwise(F.array().cast("array<bigint>"))
-    gen = df.select("strain", "chrom", "_len", "_b", *values, F.explode(seq).alias("_i"))
+    gen = df.withColumn("_i", F.explode(seq))
     start = (F.col("_i") * size).cast("bigint")
+    at = lambda v: F.when(F.col("_i") < F.col("_b"), zero).otherwise(
+        F.col(f"{v}_run") + F.when(F.col("_i") == F.col("_b"), F.col(v)).otherwise(zero)
+    )
     return gen.select(
         "strain",
         "chrom",
         start.alias("start_bin"),
         F.least(start + size, F.col("_len")).alias("end_bin"),
-        *[F.when(F.col("_i") == F.col("_b"), F.coalesce(v, F.lit(0).cast("bigint"))).otherwise(F.lit(0).cast("bigint")).alias(v)
-          for v in values],
+        *[at(v).cast("bigint").alias(v) for v in values],
     )
 
 
@@ -70,23 +70,40 @@ def _registered(sparse: DataFrame, strains: DataFrame, lengths: DataFrame) -> Da
     return sparse.unionByName(every.withColumn("_b", F.lit(-1).cast("bigint")), allowMissingColumns=True)
 
 
+def _change(b: Column, amount: Column, run: Column) -> Column:
+    return F.struct(b.cast("bigint").alias("b"), amount.cast("bigint").alias("v"), run.cast("bigint").alias("run"))
+
+
+def _changes(df: DataFrame, changes: Column, value: str) -> DataFrame:
+    rows = df.select("strain", "chrom", F.explode(changes).alias("_c"))
+    return rows.select("strain", "chrom", F.col("_c.b").alias("_b"), F.col("_c.v").alias(value), F.col("_c.run").alias(f"{value}_run"))
+
+
 def _count_sparse(geno: DataFrame, size: int) -> DataFrame:
-    start = F.col("pos") - 1
-    bins = F.when(G.has_alt("gt"), _bins_of(start, start + F.length("ref"), size)).otherwise(
-        F.array(F.lit(-1).cast("bigint"))
-    )
-    hits = geno.select("strain", "chrom", F.explode(bins).alias("_b"))
-    return hits.groupBy("strain", "chrom", "_b").agg(
-        F.sum(F.when(F.col("_b") >= 0, 1).otherwise(0)).cast("bigint").alias("var_count")
-    )
+    """A call adds one to the only bin it touches, or one from its first bin on
+    until after its last."""
+    calls = geno.filter(G.has_alt("gt"))
+    first = F.floor((F.col("pos") - 1) / size)
+    last = F.floor((F.col("pos") - 2 + F.greatest(F.length("ref"), F.lit(1))) / size)
+    zero, one = F.lit(0), F.lit(1)
+    spread = F.array(_change(first, zero, one), _change(last + 1, zero, -one))
+    return _changes(calls, F.when(first == last, F.array(_change(first, one, zero))).otherwise(spread), "var_count")
 
 
 def _depth_sparse(aligned: DataFrame, size: int) -> DataFrame:
-    pieces = aligned.select(
-        "strain", "chrom", "start_pos", "end_pos", F.explode(_bins_of(F.col("start_pos"), F.col("end_pos"), size)).alias("_b")
+    """An alignment adds its bases to its first and to its last bin, and the bin
+    length from the bin after the first on until its last."""
+    start, end, zero = F.col("start_pos"), F.col("end_pos"), F.lit(0)
+    first, last = F.floor(start / size), F.floor((end - 1) / size)
+    inner = F.when(last - first > 1, size).otherwise(0)
+    spread = F.array(
+        _change(first, (first + 1) * size - start, zero),
+        _change(first + 1, zero, inner),
+        _change(last, end - last * size, -inner),
     )
-    bases = F.least(F.col("end_pos"), (F.col("_b") + 1) * size) - F.greatest(F.col("start_pos"), F.col("_b") * size)
-    return pieces.groupBy("strain", "chrom", "_b").agg(F.sum(bases).cast("bigint").alias("_bases"))
+    spread = F.filter(spread, lambda c: (c["v"] != 0) | (c["run"] != 0))
+    one_bin = F.array(_change(first, end - start, zero))
+    return _changes(aligned.filter(end > start), F.when(first == last, one_bin).otherwise(spread), "_bases")
 
 
 def _depth(bases: str = "_bases") -> Column:
@@ -136,15 +153,10 @@ def mask_from_calls(
     """C1 + C2 + C3 fused: the two sparse tables are added up by (strain, chrom,
     bin) and the dense mask of all contigs of the sample list (default: the
     strains with calls) is generated once by the gap fill."""
-    keys = ["strain", "chrom", "_b"]
     names = (strains or geno).select("strain").distinct()
     sparse = _count_sparse(geno, size).unionByName(_depth_sparse(aligned, size), allowMissingColumns=True)
-    merged = (
-        _registered(sparse.join(names, "strain", "left_semi"), names, lengths)
-        .groupBy(*keys)
-        .agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in ("var_count", "_bases")])
-    )
-    filled = _gap_fill(merged, ["var_count", "_bases"], lengths, size, length_col)
+    sparse = _registered(sparse.join(names, "strain", "left_semi"), names, lengths)
+    filled = _gap_fill(sparse, ["var_count", "_bases"], lengths, size, length_col)
     return filled.select("strain", "chrom", "start_bin", "end_bin", "var_count", _depth().alias("coverage"))
 
 
@@ -163,7 +175,6 @@ def interval_overlap_join(
     right: DataFrame,
     left_cols: tuple[str, str, str] = ("chrom", "start_pos", "stop_pos"),
     right_cols: tuple[str, str, str] = ("chrom", "start_pos", "end_pos"),
-    bin_size: int = 100_000,
 ) -> DataFrame:
     """C4: pairs of closed intervals that overlap (an endpoint of one lies
     within the other: ``a.start <= b.end AND b.start <= a.end``).
@@ -171,15 +182,7 @@ def interval_overlap_join(
     Columns of ``right`` are prefixed ``r_``; chromosome columns are kept
     from ``left``."""
     lc, ls, le = left_cols
-    rc, rs, re = right_cols
-    a = left.withColumn("_ab", F.explode(F.sequence(F.floor(F.col(ls) / bin_size), F.floor(F.col(le) / bin_size))))
+    rc, rs, re = (f"r_{c}" for c in right_cols)
     r = right.select([F.col(c).alias(f"r_{c}") for c in right.columns])
-    b = r.withColumn("_bb", F.explode(F.sequence(F.floor(F.col(f"r_{rs}") / bin_size), F.floor(F.col(f"r_{re}") / bin_size))))
-    cond = (
-        (a[lc] == b[f"r_{rc}"])
-        & (a["_ab"] == b["_bb"])
-        & (a[ls] <= b[f"r_{re}"])
-        & (b[f"r_{rs}"] <= a[le])
-        & (F.floor(F.greatest(a[ls], b[f"r_{rs}"]) / bin_size) == a["_ab"])
-    )
-    return a.join(b, cond).drop("_ab", "_bb", f"r_{rc}")
+    pairs = B.overlap_join(left, r, (lc, F.col(ls), F.col(le) + 1), (rc, F.col(rs), F.col(re) + 1))
+    return pairs.drop(rc)

@@ -14,12 +14,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from ..functions import bins as B
 from ..functions import genotype as G
 from ..functions.contigs import MARKER_CHROM_NAMES, NUCLEAR_CONTIGS
-from ..functions.ranking import block_islands, block_rank
+from ..functions.ranking import block_rank
 from ..session import materialize, ship_package
+from .pruning import greedy_removals
 
 SITE = ["site_id"]
 
@@ -29,7 +30,6 @@ MAX_AF = 0.999999
 # LD pruning window (variants) and step of --indep-pairwise 50 10.
 LD_WINDOW = 50
 LD_STEP = 10
-ISLANDS_PER_GROUP = 256
 
 
 def site_key():
@@ -242,35 +242,25 @@ def interval_annotate(
     value_col: str,
     name: str | None = None,
     key: str = "site_id",
-    bin_size: int = 10_000,
 ) -> DataFrame:
     """Add the value of the overlapping annotation interval to each site.
 
     Intervals are 0-based half-open ``start_pos, end_pos``; a site spans
-    ``[pos-1, pos-1+len(ref))``.  Bin-keyed equi-join on (chrom, bin) with the
-    overlap as residual; a pair is kept only in the bin where the overlap
-    starts, so no duplicates arise and no nested-loop join is planned.
+    ``[pos-1, pos-1+len(ref))``.  Equi-join on nested bins, so a contig-long
+    interval takes a few rows and no nested-loop join is planned.
     ``op = self``: the value of the overlapping interval (first by start if
     several), plus the number of overlaps.  Left outer: unmatched sites stay.
     """
     name = name or value_col
-    s = sites.select(key, "chrom", (F.col("pos") - 1).alias("_s0"), (F.col("pos") - 1 + F.length("ref")).alias("_s1"))
-    s = s.withColumn("_bin", F.explode(F.sequence(F.floor(F.col("_s0") / bin_size), F.floor((F.col("_s1") - 1) / bin_size))))
+    s = sites.select(key, F.col("chrom").alias("_schrom"), "pos", F.length("ref").alias("_ref"))
     iv = intervals.select(
         F.col("chrom").alias("_ichrom"),
         F.col("start_pos").alias("_i0"),
         F.col("end_pos").alias("_i1"),
         F.col(value_col).alias("_val"),
     )
-    iv = iv.withColumn("_ibin", F.explode(F.sequence(F.floor(F.col("_i0") / bin_size), F.floor((F.col("_i1") - 1) / bin_size))))
-    hits = s.join(
-        iv,
-        (s["chrom"] == iv["_ichrom"])
-        & (s["_bin"] == iv["_ibin"])
-        & (s["_s0"] < iv["_i1"])
-        & (iv["_i0"] < s["_s1"])
-        & (F.floor(F.greatest(s["_s0"], iv["_i0"]) / bin_size) == s["_bin"]),
-    )
+    start = F.col("pos") - 1
+    hits = B.overlap_join(s, iv, ("_schrom", start, start + F.col("_ref")), ("_ichrom", F.col("_i0"), F.col("_i1")))
     per_site = hits.groupBy(key).agg(
         F.min_by("_val", F.struct("_i0", "_val")).alias(name), F.count(F.lit(1)).alias(f"{name}_n")
     )
@@ -334,11 +324,13 @@ def ld_r2(geno: DataFrame, window: int = LD_WINDOW) -> DataFrame:
 
 
 _PAIRS = "chrom string, site1 long, pos1 long, site2 long, pos2 long, r2 double"
+_EDGES = "chrom string, a long, b long, r2 double, maf1 double, maf2 double"
 
 
-def _block_r2(window: int, above: float | None):
+def _block_r2(window: int, above: float | None, edges: bool = False):
     """r^2 of the pairs whose first site is in one block, over pairwise-complete
-    calls: six products of the block's rows with all rows sent to it."""
+    calls: six products of the block's rows with all rows sent to it.  Rows are
+    pairs of sites or, with ``edges``, of ranks with their minor allele frequency."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("rank", ignore_index=True)
@@ -347,6 +339,8 @@ def _block_r2(window: int, above: float | None):
         x = np.where(g >= 0, g, 0.0)
         own = np.flatnonzero(pdf["own"].to_numpy())
         rank = pdf["rank"].to_numpy()
+        maf = _maf(x.sum(axis=1), 2 * called.sum(axis=1)) if edges else None
+        empty = ["chrom", "a", "b", "r2", "maf1", "maf2"] if edges else ["chrom", "site1", "pos1", "site2", "pos2", "r2"]
         out = []
         for at in range(0, len(own), 512):  # rows of products held at a time
             i = own[at : at + 512]
@@ -361,6 +355,10 @@ def _block_r2(window: int, above: float | None):
                 r2 = np.where((vx > 0) & (vy > 0), cov * cov / (vx * vy), np.nan)
             keep = near if above is None else near & (r2 > above)
             a, b = np.nonzero(keep)
+            if edges:
+                ends = {"a": rank[i[a]], "b": rank[j[b]], "r2": r2[a, b], "maf1": maf[i[a]], "maf2": maf[j[b]]}
+                out.append(pd.DataFrame({"chrom": pdf["chrom"].iloc[0], **ends}))
+                continue
             out.append(
                 pd.DataFrame(
                     {
@@ -373,11 +371,17 @@ def _block_r2(window: int, above: float | None):
                     }
                 )
             )
-        return pd.concat(out) if out else pd.DataFrame(columns=["chrom", "site1", "pos1", "site2", "pos2", "r2"])
+        return pd.concat(out) if out else pd.DataFrame(columns=empty)
 
     return run
 
 
+def _maf(alt: np.ndarray, called: np.ndarray) -> np.ndarray:
+    """Minor allele frequency from ALT and called allele counts; 0 without calls."""
+    p = alt / np.maximum(called, 1)
+    return np.where(called > 0, np.minimum(p, 1 - p), 0.0)
+
+
 def ld_r2_ranked(ranked: DataFrame, window: int = LD_WINDOW, above: float | None = None, block: int = 256) -> DataFrame:
     """r^2 of dosages for every pair of sites less than ``window``
     variants apart on a chromosome (plink window semantics); with ``above``
@@ -387,6 +391,16 @@ def ld_r2_ranked(ranked: DataFrame, window: int = LD_WINDOW, above: float | None
     to its own block and, as a right-hand site, to the block before it: two
     copies, whatever the window.  A block's pairs are matrix products.
     """
+    return _by_rank_block(ranked, window, block, _block_r2(window, above), _PAIRS)
+
+
+def ld_edges(ranked: DataFrame, window: int, above: float, block: int = 256) -> DataFrame:
+    """The linked pairs of ``ld_r2_ranked`` as ranks a < b, with the minor allele
+    frequency of both, for pruning."""
+    return _by_rank_block(ranked, window, block, _block_r2(window, above, edges=True), _EDGES)
+
+
+def _by_rank_block(ranked: DataFrame, window: int, block: int, run, schema: str) -> DataFrame:
     size = max(block, window)
     ship_package(ranked.sparkSession)
     b = F.floor((F.col("rank") - 1) / size).cast("bigint")
@@ -394,52 +408,17 @@ def ld_r2_ranked(ranked: DataFrame, window: int = LD_WINDOW, above: float | None
     copies = F.array(F.struct(b.alias("blk"), F.lit(True).alias("own")), F.struct((b - 1).alias("blk"), F.lit(False).alias("own")))
     rows = ranked.select("chrom", "site_id", "pos", "rank", dos.alias("dos"), F.explode(copies).alias("c"))
     rows = rows.select("chrom", "site_id", "pos", "rank", "dos", "c.blk", "c.own").filter("blk >= 0")
-    return rows.groupBy("chrom", "blk").applyInPandas(_block_r2(window, above), _PAIRS)
+    return rows.groupBy("chrom", "blk").applyInPandas(run, schema)
 
 
 # --------------------------------------------------------------------- B21
-_PRUNE_SCHEMA = T.StructType(
-    [
-        T.StructField("ld", T.DoubleType()),
-        T.StructField("chrom", T.StringType()),
-        T.StructField("site_id", T.LongType()),
-        T.StructField("pruned", T.BooleanType()),
-    ]
-)
-
-
-def _greedy_prune(window: int, step: int, victim: str = "maf"):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        # pdf: the edges (r2 > t) of whole islands of one chromosome: rank1 < rank2.
-        maf = dict(zip(pdf.rank1, pdf.maf1))
-        maf.update(zip(pdf.rank2, pdf.maf2))
-        site = dict(zip(pdf.rank1, pdf.site1))
-        site.update(zip(pdf.rank2, pdf.site2))
-        # An edge is first visited in the first window (starts 1, 1+step, ...)
-        # holding both ends; later visits find one end already removed.
-        j = pdf.rank2.to_numpy()
-        first_w = ((j - window).clip(min=0) // step) * step + 1
-        first_w = first_w + step * ((first_w + window) <= j)
-        order = sorted(zip(first_w.tolist(), pdf.rank1.tolist(), pdf.rank2.tolist()))
-        removed: set[int] = set()
-        for _, a, b in order:
-            if a not in removed and b not in removed:
-                removed.add(b if victim == "later" or maf[a] >= maf[b] else a)
-        ranks = sorted(maf)
-        return pd.DataFrame(
-            {
-                "ld": float(pdf.ld.iloc[0]),
-                "chrom": pdf.chrom.iloc[0],
-                "site_id": [site[r] for r in ranks],
-                "pruned": [r in removed for r in ranks],
-            }
-        )
-
-    return run
-
-
 def ld_prune_sweep(
-    geno: DataFrame, thresholds: list[float], window: int = LD_WINDOW, step: int = LD_STEP, victim: str = "maf"
+    geno: DataFrame,
+    thresholds: list[float],
+    window: int = LD_WINDOW,
+    step: int = LD_STEP,
+    victim: str = "maf",
+    block: int | None = None,
 ) -> DataFrame:
     """B21 for several r^2 thresholds at once (the threshold is a grouping
     column, G9).  plink-style greedy pruning: windows of ``window`` variants
@@ -450,40 +429,24 @@ def ld_prune_sweep(
     ``step=1`` is the forward filter "drop a marker linked to an earlier
     kept marker within the window".
 
-    Only edges above the threshold reach Python.  They are split into
-    independent islands (maximal rank ranges that no edge crosses: removals
-    in one island never affect another) by a distributed running max, so
-    each ``applyInPandas`` group is one LD block, not a chromosome.
+    A pair that no window holds is not visited.  Only edges above the threshold
+    reach the greedy step, which works on blocks of windows
+    (``operators.pruning``), however far linkage reaches.
     Returns the kept sites (``prune.in``) per threshold.
     """
-    # the ranked dosage table feeds both sides of the pair join and the MAF
-    # lookups: materialise it once instead of re-aggregating the genotypes
+    # ranked feeds the pairs and the result: one computation for both
     ship_package(geno.sparkSession)
     ranked = materialize(site_ranks(geno))
-    r2 = ld_r2_ranked(ranked, window, min(thresholds))
     called = F.aggregate(F.transform("dos", lambda d: F.when(d.isNull(), 0).otherwise(2)), F.lit(0), lambda a, b: a + b)
     alt = F.aggregate(F.transform("dos", lambda d: F.coalesce(d, F.lit(0))), F.lit(0), lambda a, b: a + b)
     p = alt / called
-    ranked = ranked.withColumn("maf", F.when(called > 0, F.least(p, 1 - p)).otherwise(F.lit(0.0)))
-    s1 = ranked.select(F.col("site_id").alias("site1"), F.col("rank").alias("rank1"), F.col("maf").alias("maf1"))
-    s2 = ranked.select(F.col("site_id").alias("site2"), F.col("rank").alias("rank2"), F.col("maf").alias("maf2"))
+    maf = F.when(called > 0, F.least(p, 1 - p)).otherwise(F.lit(0.0))
     ts = F.array(*[F.lit(float(t)) for t in thresholds])
-    edges = r2.filter(F.col("r2") > F.lit(min(thresholds))).withColumn("ld", F.explode(ts)).filter(F.col("r2") > F.col("ld"))
-    edges = edges.join(s1, "site1").join(s2, "site2").withColumn("_lk", F.concat_ws("|", F.col("ld").cast("string"), "chrom"))
-    # the island labelling reads the edge list several times: materialise the
-    # (thresholded, small) edge list instead of recomputing r^2 for each read
-    edges = materialize(edges.select("ld", "chrom", "_lk", "rank1", "rank2", "site1", "site2", "maf1", "maf2"))
-    edges = block_islands(edges, "_lk", "rank1", "rank2", "island", block=100_000)
-    # Islands have disjoint sites, so a group may hold several whole islands
-    # (one sorted pass over them is exact); buckets of consecutive islands
-    # cut the per-group Python overhead.
-    edges = edges.withColumn("_bucket", F.floor(F.col("island") / F.lit(ISLANDS_PER_GROUP)))
-    decided = edges.select("ld", "chrom", "_bucket", "rank1", "rank2", "site1", "site2", "maf1", "maf2").groupBy(
-        "ld", "chrom", "_bucket"
-    ).applyInPandas(_greedy_prune(window, step, victim), _PRUNE_SCHEMA)
-    removed = decided.filter("pruned").select("ld", "site_id")
-    sites = ranked.select("site_id", "chrom", "pos", "maf").withColumn("ld", F.explode(ts))
-    return sites.join(removed, ["ld", "site_id"], "left_anti")
+    edges = ld_edges(ranked, window, min(thresholds)).withColumn("ld", F.explode(ts)).filter(F.col("r2") > F.col("ld"))
+    loser = F.col("b") if victim == "later" else F.when(F.col("maf1") >= F.col("maf2"), F.col("b")).otherwise(F.col("a"))
+    removed = greedy_removals(edges.withColumn("victim", loser), window, step, block)
+    sites = ranked.select("site_id", "chrom", "pos", "rank", maf.alias("maf")).withColumn("ld", F.explode(ts))
+    return sites.join(removed, ["ld", "chrom", "rank"], "left_anti").select("ld", "site_id", "chrom", "pos", "maf")
 
 
 def ld_prune(

@@ -393,10 +393,47 @@ def q_ibd_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return IBD.ibd_segments(fixture(spark, sf_dir, "f_geno"))
 
 
-@register("ibd_marker_ld_filter", None, "E")
+_MARKER_LD = [
+    ("mkr", "SELECT site_id, chrom, pos, ROW_NUMBER() OVER (PARTITION BY chrom ORDER BY pos, site_id) AS rk FROM mk2"),
+    (
+        "md",
+        "SELECT m.chrom, m.rk, g.strain, CAST(CASE WHEN g.gt NOT LIKE '%.%' THEN CAST(split_part(g.gt, '/', 1) <> '0' AS INT) "
+        "+ CAST(split_part(g.gt, '/', 2) <> '0' AS INT) END AS DOUBLE) AS d FROM f_geno g JOIN mkr m ON m.site_id = g.site_id",
+    ),
+    (
+        "mr",
+        "SELECT chrom, a, b FROM (SELECT x.chrom, x.rk AS a, y.rk AS b, COUNT(*) * SUM(x.d * x.d) - SUM(x.d) * SUM(x.d) AS vx, "
+        "COUNT(*) * SUM(y.d * y.d) - SUM(y.d) * SUM(y.d) AS vy, COUNT(*) * SUM(x.d * y.d) - SUM(x.d) * SUM(y.d) AS cv FROM md x JOIN md y "
+        "ON y.chrom = x.chrom AND y.strain = x.strain AND y.rk > x.rk AND y.rk < x.rk + 1500 WHERE x.d IS NOT NULL AND y.d IS NOT NULL "
+        "GROUP BY x.chrom, x.rk, y.rk) WHERE vx > 0 AND vy > 0 AND (cv * cv) / (vx * vy) > 0.3",
+    ),
+    ("mn", "SELECT m.chrom, m.rk, COALESCE(n.earlier, CAST([] AS BIGINT[])) AS earlier FROM mkr m "
+     "LEFT JOIN (SELECT chrom, b, LIST(a) AS earlier FROM mr GROUP BY chrom, b) n ON n.chrom = m.chrom AND n.b = m.rk"),
+    # marker by marker: kept unless linked to an earlier kept one
+    (
+        "mwalk",
+        "SELECT DISTINCT chrom, CAST(0 AS BIGINT) AS rk, CAST([] AS BIGINT[]) AS kept FROM mn UNION ALL "
+        "SELECT m.chrom, m.rk, CASE WHEN list_has_any(w.kept, m.earlier) THEN w.kept ELSE list_append(w.kept, m.rk) END "
+        "FROM mwalk w JOIN mn m ON m.chrom = w.chrom AND m.rk = w.rk + 1",
+    ),
+    ("mkept", "SELECT chrom, UNNEST(kept) AS rk FROM (SELECT chrom, ARG_MAX(kept, rk) AS kept FROM mwalk GROUP BY chrom)"),
+    ("mf", "SELECT chrom, rk, LEAST(p, 1 - p) AS maf FROM (SELECT chrom, rk, SUM(d) / (2 * COUNT(d)) AS p FROM md GROUP BY chrom, rk)"),
+]
+
+
+@register(
+    "ibd_marker_ld_filter",
+    with_fixtures(
+        ["f_geno"],
+        "SELECT m.site_id, m.chrom, m.pos, mf.maf FROM mkept k JOIN mkr m ON m.chrom = k.chrom AND m.rk = k.rk "
+        "JOIN mf ON mf.chrom = k.chrom AND mf.rk = k.rk",
+        _IBD[:3] + _MARKER_LD,
+        recursive=True,
+    ),
+    "E",
+)
 def q_ibd_marker_ld_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E1 (LD part): markers kept by the r^2 <= 0.3 filter over 1500 markers;
-    checked by invariant (no kept pair within the window above r2max)."""
+    """E1 (LD part): markers kept by the r^2 <= 0.3 filter over 1500 markers."""
     return IBD.ibd_marker_ld_filter(fixture(spark, sf_dir, "f_geno"))
 
 

@@ -378,7 +378,47 @@ def q_ld_r2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.withColumn("r2", F.round("r2", 6))
 
 
-@register("ld_prune", None, "B")
+_PRUNE = _LD + [
+    (
+        "r2",
+        "SELECT chrom, site1, site2, (cv * cv) / (vx * vy) AS r2 FROM (SELECT chrom, site1, site2, COUNT(*) * SUM(x * x) - SUM(x) * SUM(x) AS vx, "
+        "COUNT(*) * SUM(y * y) - SUM(y) * SUM(y) AS vy, COUNT(*) * SUM(x * y) - SUM(x) * SUM(y) AS cv FROM xy GROUP BY chrom, site1, site2) "
+        "WHERE vx > 0 AND vy > 0",
+    ),
+    (
+        "mf",
+        "SELECT site_id, CASE WHEN called > 0 THEN LEAST(alt / called, 1 - alt / called) ELSE CAST(0 AS DOUBLE) END AS maf FROM "
+        "(SELECT site_id, CAST(COALESCE(SUM(d), 0) AS DOUBLE) AS alt, CAST(2 * COUNT(d) AS DOUBLE) AS called FROM dd GROUP BY site_id)",
+    ),
+    (
+        "ed0",
+        "SELECT r2.chrom, a.rk AS a, b.rk AS b, CASE WHEN ma.maf >= mb.maf THEN b.rk ELSE a.rk END AS victim, "
+        "CAST(CEIL(GREATEST(b.rk - 50, 0) / 10) AS BIGINT) * 10 + 1 AS w FROM r2 JOIN rk a ON a.site_id = r2.site1 "
+        "JOIN rk b ON b.site_id = r2.site2 JOIN mf ma ON ma.site_id = r2.site1 JOIN mf mb ON mb.site_id = r2.site2 WHERE r2.r2 > 0.8",
+    ),
+    # every edge in the order of the windows; an edge with both ends kept removes its victim
+    ("ed", "SELECT chrom, a, b, victim, ROW_NUMBER() OVER (PARTITION BY chrom ORDER BY w, a, b) AS n FROM ed0 WHERE w <= a"),
+    (
+        "walk",
+        "SELECT DISTINCT chrom, CAST(0 AS BIGINT) AS n, CAST([] AS BIGINT[]) AS gone FROM ed UNION ALL "
+        "SELECT e.chrom, e.n, CASE WHEN list_contains(w.gone, e.a) OR list_contains(w.gone, e.b) THEN w.gone ELSE list_append(w.gone, e.victim) END "
+        "FROM walk w JOIN ed e ON e.chrom = w.chrom AND e.n = w.n + 1",
+    ),
+    ("rm", "SELECT chrom, UNNEST(gone) AS rk FROM (SELECT chrom, ARG_MAX(gone, n) AS gone FROM walk GROUP BY chrom)"),
+]
+
+
+@register(
+    "ld_prune",
+    with_fixtures(
+        ["f_geno", "f_site"],
+        "SELECT rk.site_id, rk.chrom, rk.pos, mf.maf FROM rk JOIN mf ON mf.site_id = rk.site_id "
+        "WHERE NOT EXISTS (SELECT 1 FROM rm WHERE rm.chrom = rk.chrom AND rm.rk = rk.rk)",
+        [GA, GA2] + _PRUNE,
+        recursive=True,
+    ),
+    "B",
+)
 def q_ld_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B21 at r^2 threshold 0.8 (the reference's debug setting); kept sites."""
     return V.ld_prune(_snp_geno(spark, sf_dir), 0.8)
