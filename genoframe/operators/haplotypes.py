@@ -7,9 +7,9 @@ Segments: ``strain1, ind1, strain2, ind2, chrom, start_pos, stop_pos, lod``
   rank; interval *i* = (breakpoint i, breakpoint i+1) by an equi-join on rank.
 * E4: a segment covers the intervals whose rank lies in
   [rank(start), rank(stop) - 1]: two equi-joins and a generator, no range join.
-* E5: connected components per interval (union-find in ``applyInPandas``;
-  a group holds the edges of one interval, at most n(n-1)/2 for n strains).
-  The membership grid (every interval x every strain, the reference's
+* E5: connected components along the chromosome (``operators.connectivity``):
+  segments enter blocks and tree nodes, never single intervals, and runs of
+  intervals with an unchanged component come out.  The membership grid (every interval x every strain, the reference's
   membership matrix) is produced by exploding the sorted strain list, which
   is bounded by the number of samples; strains without an edge are
   singleton components.
@@ -19,14 +19,13 @@ Segments: ``strain1, ind1, strain2, ind2, chrom, start_pos, stop_pos, lod``
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.contigs import NUCLEAR_CONTIGS
 from ..functions.ranking import block_rank
-from ..session import materialize, ship_package
+from ..session import materialize
+from .connectivity import component_runs
 
 IV = ["chrom", "rank"]
 
@@ -45,7 +44,7 @@ def breakpoints(seg: DataFrame) -> DataFrame:
         .unionByName(seg.select("chrom", F.col("stop_pos").alias("bp")))
         .dropDuplicates()
     )
-    return block_rank(bps, "chrom", "bp", "rank", block=10_000_000)
+    return block_rank(bps, "chrom", "bp", "rank", block=100_000)
 
 
 def breakpoint_intervals(seg: DataFrame, remove_small: bool = False, size: int = 0) -> DataFrame:
@@ -60,71 +59,27 @@ def breakpoint_intervals(seg: DataFrame, remove_small: bool = False, size: int =
 
 
 # --------------------------------------------------------------------- E4
-def segment_interval_join(seg: DataFrame, intervals: DataFrame | None = None) -> DataFrame:
-    """Every (segment, interval it contains) pair as a strain-graph edge."""
+def covered_ranks(seg: DataFrame) -> DataFrame:
+    """Segments as ranks of the intervals they contain: ``chrom, strain1,
+    strain2, lo, hi``."""
     bp = breakpoints(seg)
-    intervals = intervals if intervals is not None else breakpoint_intervals(seg)
-    s = (
-        seg.join(bp.select("chrom", F.col("bp").alias("start_pos"), F.col("rank").alias("_r1")), ["chrom", "start_pos"])
-        .join(bp.select("chrom", F.col("bp").alias("stop_pos"), F.col("rank").alias("_r2")), ["chrom", "stop_pos"])
-        .filter(F.col("_r2") > F.col("_r1"))
+    return (
+        seg.join(bp.select("chrom", F.col("bp").alias("start_pos"), F.col("rank").alias("lo")), ["chrom", "start_pos"])
+        .join(bp.select("chrom", F.col("bp").alias("stop_pos"), (F.col("rank") - 1).alias("hi")), ["chrom", "stop_pos"])
+        .filter(F.col("hi") >= F.col("lo"))
+        .select("chrom", "strain1", "strain2", "lo", "hi")
     )
-    s = s.select("chrom", "strain1", "strain2", F.explode(F.sequence("_r1", F.col("_r2") - 1)).alias("rank"))
-    return s.join(intervals, IV).select("chrom", "rank", "start", "stop", "strain1", "strain2")
 
 
-# --------------------------------------------------------------------- E5
-_COMP_SCHEMA = T.StructType(
-    [
-        T.StructField("chrom", T.StringType()),
-        T.StructField("rank", T.LongType()),
-        T.StructField("strain", T.StringType()),
-        T.StructField("component", T.StringType()),
-    ]
-)
-
-
-INTERVALS_PER_GROUP = 64
-
-
-def _union_find(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Components of every interval in the group (a bucket of consecutive
-    intervals of one chromosome; each interval is solved on its own)."""
-    return pd.concat([_components(part) for _, part in pdf.groupby("rank", sort=False)], ignore_index=True)
-
-
-def _components(pdf: pd.DataFrame) -> pd.DataFrame:
-    parent: dict[str, str] = {}
-
-    def find(x: str) -> str:
-        root = x
-        while parent[root] != root:
-            root = parent[root]
-        while parent[x] != root:
-            parent[x], x = root, parent[x]
-        return root
-
-    for a, b in zip(pdf.strain1.tolist(), pdf.strain2.tolist()):
-        parent.setdefault(a, a)
-        parent.setdefault(b, b)
-        ra, rb = find(a), find(b)
-        if ra != rb:
-            # keep the smallest name as the root: the root is the label
-            if ra < rb:
-                parent[rb] = ra
-            else:
-                parent[ra] = rb
-    nodes = sorted(parent)
-    return pd.DataFrame(
-        {
-            "chrom": pdf.chrom.iloc[0],
-            "rank": int(pdf["rank"].iloc[0]),
-            "strain": nodes,
-            "component": [find(x) for x in nodes],
-        }
-    )
+def segment_interval_join(seg: DataFrame, intervals: DataFrame | None = None) -> DataFrame:
+    """Every (segment, interval it contains) pair as a strain-graph edge.
+    The pairs are the result here; E5 does without them."""
+    intervals = intervals if intervals is not None else breakpoint_intervals(seg)
+    s = covered_ranks(seg).select("chrom", "strain1", "strain2", F.explode(F.sequence("lo", "hi")).alias("rank"))
+    return s.join(intervals, IV).select("chrom", "rank", "start", "stop", "strain1", "strain2")
 
 
+# --------------------------------------------------------------------- E5
 def strain_universe(seg: DataFrame) -> DataFrame:
     """Strains that appear in at least one segment (the reference's universe)."""
     return seg.select(F.col("strain1").alias("strain")).unionByName(seg.select(F.col("strain2").alias("strain"))).dropDuplicates()
@@ -135,17 +90,8 @@ def haplotype_components(seg: DataFrame, strains: DataFrame | None = None) -> Da
     and every strain; component = smallest strain name in the connected
     component (a strain without an edge is its own component)."""
     intervals = breakpoint_intervals(seg)
-    edges = segment_interval_join(seg, intervals)
-    # one pandas call per bucket of consecutive intervals (bounded: at most
-    # INTERVALS_PER_GROUP graphs of <= n(n-1)/2 edges), not per interval
-    ship_package(seg.sparkSession)
-    buckets = edges.select("chrom", "rank", "strain1", "strain2").withColumn(
-        "_bucket", F.floor(F.col("rank") / F.lit(INTERVALS_PER_GROUP))
-    )
-    labels = (
-        buckets.groupBy("chrom", "_bucket")
-        .applyInPandas(_union_find, _COMP_SCHEMA)
-    )
+    runs = component_runs(covered_ranks(seg))
+    labels = runs.select("chrom", "strain", "component", F.explode(F.sequence("first", "last")).alias("rank"))
     universe = strains if strains is not None else strain_universe(seg)
     names = universe.agg(F.array_sort(F.collect_set("strain"))).scalar()
     grid = intervals.select("chrom", "rank", "start", "stop", F.explode(names).alias("strain"))
@@ -153,7 +99,7 @@ def haplotype_components(seg: DataFrame, strains: DataFrame | None = None) -> Da
         "component", F.coalesce("component", "strain")
     )
     # Every downstream operator reads the grid several times: materialise it
-    # once in the checkpoint folder instead of re-running the union-find.
+    # once in the checkpoint folder instead of solving the components again.
     return materialize(grid)
 
 
