@@ -139,23 +139,33 @@ def merge_multiallelic(geno: DataFrame) -> DataFrame:
     reference; missing only if missing in every record).  Any ploidy; the
     record's ``site_id`` is a hash of chrom, pos, ref and alt.
     """
-    key = ["chrom", "pos", "ref"]
-    refs = geno.groupBy("chrom", "pos").agg(F.collect_set("ref").alias("_refs"))  # a handful per position
-    fitting = F.filter("_refs", lambda r: F.startswith(r, F.col("ref")))
-    longest = F.array_max(F.transform(fitting, lambda r: F.struct(F.length(r).alias("n"), r.alias("r"))))["r"]
-    tail = F.expr("substring(_long, length(ref) + 1)")
-    extended = F.transform(G.alt_list("alt"), lambda a: F.when(a.rlike("^[A-Za-z]+$"), F.concat(a, tail)).otherwise(a))
-    geno = (
-        geno.join(refs, ["chrom", "pos"])
-        .withColumn("_long", longest)
-        .withColumn("_old", extended)
-        .withColumn("ref", F.col("_long"))
-        .select(*key, "strain", "gt", "_old")
-    )
-    merged = geno.select(*key, F.explode("_old").alias("_a")).groupBy(*key).agg(
-        F.array_sort(F.collect_set("_a")).alias("_alts")
+    # one row per position (its records are a handful, its calls bounded by the samples):
+    # the only exchange, the grouping by strain below keeps its partitioning
+    packed = geno.groupBy("chrom", "pos").agg(F.collect_list(F.struct("ref", "alt", "strain", "gt")).alias("_c"))
+    packed = packed.withColumn("_recs", F.array_distinct(F.transform("_c", lambda c: F.struct(c["ref"].alias("ref"), c["alt"].alias("alt")))))
+
+    def merged(rec):
+        fitting = F.filter("_recs", lambda o: F.startswith(o["ref"], rec["ref"]))
+        longest = F.array_max(F.transform(fitting, lambda o: F.struct(F.length(o["ref"]).alias("n"), o["ref"].alias("r"))))["r"]
+        return F.struct(rec["ref"].alias("ref"), rec["alt"].alias("alt"), longest.alias("long"))
+
+    def extended(rec):
+        tail = F.substr(rec["long"], F.length(rec["ref"]) + 1)
+        old = F.transform(G.alt_list(rec["alt"]), lambda a: F.when(a.rlike("^[A-Za-z]+$"), F.concat(a, tail)).otherwise(a))
+        return F.struct(*[rec[c].alias(c) for c in ("ref", "alt", "long")], old.alias("old"))
+
+    def united(rec):
+        same = F.filter("_recs", lambda o: o["long"] == rec["long"])
+        alts = F.array_sort(F.array_distinct(F.flatten(F.transform(same, lambda o: o["old"]))))
+        return F.struct(*[rec[c].alias(c) for c in ("ref", "alt", "long", "old")], alts.alias("alts"))
+
+    for step in (merged, extended, united):
+        packed = packed.withColumn("_recs", F.transform("_recs", step))
+    g = packed.select("chrom", "pos", "_recs", F.explode("_c").alias("_c"))
+    g = g.withColumn("_r", F.filter("_recs", lambda r: (r["ref"] == F.col("_c.ref")) & r["alt"].eqNullSafe(F.col("_c.alt")))[0])
+    g = g.select(
+        "chrom", "pos", F.col("_r.long").alias("ref"), F.col("_r.alts").alias("_alts"), F.col("_r.old").alias("_old"), "_c.strain", G.alleles("_c.gt").alias("_al")
     )
-    g = geno.join(merged, key).withColumn("_al", G.alleles("gt"))
     remap = F.transform(
         "_al",
         lambda a: F.when(a.isNull(), F.lit(None).cast("int"))
@@ -163,8 +173,9 @@ def merge_multiallelic(geno: DataFrame) -> DataFrame:
         .otherwise(F.array_position(F.col("_alts"), F.element_at(F.col("_old"), a)).cast("int")),
     )
     g = g.withColumn("_new", remap)
+    key = ["chrom", "pos", "ref"]
     # one list per merged record: a handful per position and strain
-    out = g.groupBy(*key, "_alts", "strain").agg(F.collect_list("_new").alias("_calls"))
+    out = g.groupBy(*key, "strain").agg(F.first("_alts").alias("_alts"), F.collect_list("_new").alias("_calls"))
     ploidy = F.array_max(F.transform("_calls", F.size))
     gt = F.transform(
         F.sequence(F.lit(0), ploidy - 1),

@@ -181,11 +181,18 @@ def q_list_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "filter_regions",
-    with_fixtures(["f_site"], "SELECT site_id, chrom, pos FROM f_site WHERE chrom IN ('I', 'II', 'III', 'IV', 'V', 'X')"),
+    with_fixtures(
+        ["f_site"],
+        "SELECT site_id, chrom, pos FROM (SELECT site_id, pos, CASE WHEN pos % 7 = 0 THEN 'MtDNA' ELSE chrom END AS chrom FROM f_site) "
+        "WHERE chrom IN ('I', 'II', 'III', 'IV', 'V', 'X')",
+    ),
     "B",
 )
 def q_filter_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return V.filter_regions(fixture(spark, sf_dir, "f_site")).select("site_id", "chrom", "pos")
+    """B8 over sites of which some lie on a seventh contig."""
+    sites = fixture(spark, sf_dir, "f_site").select("site_id", "chrom", "pos")
+    other = F.when(F.col("pos") % 7 == 0, "MtDNA").otherwise(F.col("chrom"))
+    return V.filter_regions(sites.withColumn("chrom", other))
 
 
 @register("biallelic_sites", with_fixtures(["f_site"], "SELECT site_id, chrom, pos, ref, alt FROM f_site WHERE alt NOT LIKE '%,%'"), "B")
@@ -281,12 +288,14 @@ def q_complete_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     with_fixtures(
         ["f_site"],
         "SELECT site_id, id, split_part(id, ':', 1) AS id_chrom, CAST(split_part(id, ':', 2) AS BIGINT) AS id_pos "
-        "FROM (SELECT site_id, chrom || ':' || CAST(pos AS VARCHAR) AS id FROM f_site)",
+        "FROM (SELECT site_id, chrom || ':' || CAST(CASE WHEN pos % 3 = 0 THEN pos + 1 ELSE pos END AS VARCHAR) AS id FROM f_site)",
     ),
     "B",
 )
 def q_assign_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = V.assign_ids(fixture(spark, sf_dir, "f_site").select("site_id", "chrom", "pos"))
+    """B15 over sites of which a third has an id (another one than its own place)."""
+    given = F.when(F.col("pos") % 3 == 0, F.concat("chrom", F.lit(":"), (F.col("pos") + 1).cast("string")))
+    s = V.assign_ids(fixture(spark, sf_dir, "f_site").select("site_id", "chrom", "pos", given.alias("id")))
     m = V.ids_to_markers(s.select("site_id", "id"))
     return m.withColumnRenamed("chrom", "id_chrom").withColumnRenamed("pos", "id_pos")
 
@@ -320,13 +329,17 @@ def q_interval_annotate(spark: SparkSession, sf_dir: str) -> DataFrame:
     "drop_flagged",
     with_fixtures(
         ["f_site", "f_annot"],
-        f"SELECT * FROM ({_ANNOT}) WHERE NOT contains(concat_ws('\t', site_id, chrom, pos, ref, alt, COALESCE(CAST(cm AS VARCHAR), ''), cm_n), 'Masked')",
+        f"SELECT * FROM (SELECT *, CASE WHEN cm_n = 0 THEN 'none' WHEN pos % 4 = 0 THEN 'repeatMasked' ELSE 'PASS' END AS flag FROM ({_ANNOT})) "
+        "WHERE NOT contains(concat_ws('\t', site_id, chrom, pos, ref, alt, COALESCE(CAST(cm AS VARCHAR), ''), cm_n, flag), 'Masked')",
     ),
     "B",
 )
 def q_drop_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B18 over annotated sites of which some bear a masked flag."""
     sites = fixture(spark, sf_dir, "f_site").select("site_id", "chrom", "pos", "ref", "alt")
-    return V.drop_flagged(V.interval_annotate(sites, fixture(spark, sf_dir, "f_annot"), "cm"))
+    annotated = V.interval_annotate(sites, fixture(spark, sf_dir, "f_annot"), "cm")
+    flag = F.when(F.col("cm_n") == 0, "none").when(F.col("pos") % 4 == 0, "repeatMasked").otherwise("PASS")
+    return V.drop_flagged(annotated.withColumn("flag", flag))
 
 
 @register("singletons", _gsql("SELECT * FROM single", None, SINGLE), "B")
