@@ -20,7 +20,7 @@ from ..functions import genotype as G
 from ..functions.contigs import MARKER_CHROM_NAMES, NUCLEAR_CONTIGS
 from ..functions.ranking import block_rank
 from ..session import materialize, ship_package
-from .pruning import greedy_removals
+from .pruning import forward_kept, greedy_removals
 
 SITE = ["site_id"]
 
@@ -452,6 +452,11 @@ def ld_prune_sweep(
     alt = F.aggregate(F.transform("dos", lambda d: F.coalesce(d, F.lit(0))), F.lit(0), lambda a, b: a + b)
     p = alt / called
     maf = F.when(called > 0, F.least(p, 1 - p)).otherwise(F.lit(0.0))
+    if victim == "later" and step == 1 and len(thresholds) == 1:  # most pairs may be linked: compare with kept sites only
+        dos = F.transform("dos", lambda d: F.coalesce(d, F.lit(-1)).cast("int"))
+        kept = forward_kept(ranked.select("chrom", "rank", dos.alias("dos")), window, thresholds[0], block)
+        sites = ranked.select("site_id", "chrom", "pos", "rank", maf.alias("maf")).join(kept, ["chrom", "rank"], "left_semi")
+        return sites.select(F.lit(float(thresholds[0])).alias("ld"), "site_id", "chrom", "pos", "maf")
     ts = F.array(*[F.lit(float(t)) for t in thresholds])
     edges = ld_edges(ranked, window, min(thresholds)).withColumn("ld", F.explode(ts)).filter(F.col("r2") > F.col("ld"))
     loser = F.col("b") if victim == "later" else F.when(F.col("maf1") >= F.col("maf2"), F.col("b")).otherwise(F.col("a"))

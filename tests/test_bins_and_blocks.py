@@ -119,3 +119,39 @@ def test_ld_prune_does_not_depend_on_the_block(spark, sf_dir):
     g = V.biallelic_sites(V.filter_snps(fixture(spark, sf_dir, "f_geno")))
     kept = lambda block: {tuple(r) for r in V.ld_prune_sweep(g, [0.8, 0.3], block=block).collect()}
     assert kept(None) == kept(V.LD_WINDOW)
+
+
+@pytest.mark.parametrize("window", [5, 40])
+def test_forward_filter_in_blocks(spark, window):
+    """Kept sites only are compared; every block needs the end of the one before."""
+    import numpy as np
+
+    rnd = random.Random(window)
+    dos = [[rnd.choice([-1, 0, 0, 1, 2, 2]) for _ in range(7)] for _ in range(230)]
+
+    def r2(a, b):
+        xy = np.array([(x, y) for x, y in zip(a, b) if x >= 0 and y >= 0], dtype=float).reshape(-1, 2)
+        n, (x, y) = len(xy), xy.T
+        vx, vy = n * (x * x).sum() - x.sum() ** 2, n * (y * y).sum() - y.sum() ** 2
+        return (n * (x * y).sum() - x.sum() * y.sum()) ** 2 / (vx * vy) if vx > 0 and vy > 0 else 0.0
+
+    want = []
+    for i, d in enumerate(dos):
+        if not any(i - j < window and r2(dos[j], d) > 0.3 for j in want):
+            want.append(i)
+    assert 10 < len(want) < 200
+    df = spark.createDataFrame([("I", i + 1, d) for i, d in enumerate(dos)], "chrom string, rank long, dos array<int>")
+    for span in (None, window):
+        got = sorted(r["rank"] - 1 for r in pruning.forward_kept(df, window, 0.3, span).collect())
+        assert got == want
+
+
+def test_linked_markers_leave_no_pair_table(spark, monkeypatch):
+    """E1 over markers that are all alike: one stays and no linked pair is made."""
+    from genoframe.operators import ibd
+
+    monkeypatch.setattr(V, "ld_edges", lambda *a, **k: pytest.fail("linked pairs were made"))
+    gts = ["0/0", "1/1", "0/1", "1/1", "0/0"]
+    rows = [(p, "I", 10 * p, "A", "T", f"s{k}", gt) for p in range(1, 40) for k, gt in enumerate(gts)]
+    geno = spark.createDataFrame(rows, "site_id long, chrom string, pos long, ref string, alt string, strain string, gt string")
+    assert [r.site_id for r in ibd.ibd_marker_ld_filter(geno).collect()] == [1]
