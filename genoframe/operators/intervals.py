@@ -67,6 +67,9 @@ def _registered(sparse: DataFrame, strains: DataFrame, lengths: DataFrame) -> Da
     list and every contig, so that strains and contigs without data get bins."""
     contigs = lengths.agg(F.collect_set("chrom")).scalar()  # one name per contig
     every = strains.select("strain").distinct().select("strain", F.explode(contigs).alias("chrom"))
+    # dealt by both columns: a union of two tables that are both dealt by strain counts as
+    # dealt by strain, and the grouping above it would put a strain in one task
+    every = every.repartition("strain", "chrom")
     return sparse.unionByName(every.withColumn("_b", F.lit(-1).cast("bigint")), allowMissingColumns=True)
 
 

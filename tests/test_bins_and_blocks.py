@@ -155,3 +155,22 @@ def test_linked_markers_leave_no_pair_table(spark, monkeypatch):
     rows = [(p, "I", 10 * p, "A", "T", f"s{k}", gt) for p in range(1, 40) for k, gt in enumerate(gts)]
     geno = spark.createDataFrame(rows, "site_id long, chrom string, pos long, ref string, alt string, strain string, gt string")
     assert [r.site_id for r in ibd.ibd_marker_ld_filter(geno).collect()] == [1]
+
+
+def test_regions_of_masks_built_from_calls(spark):
+    """C1-C3 feed D17 under the usual 200 shuffle partitions: the union in the gap fill
+    must not count as dealt by strain."""
+    from genoframe.operators import divergent as D
+
+    lengths = spark.createDataFrame([("I", 60_000)], "chrom string, chrom_length long")
+    calls = [(s, "I", p, "A", "1/1") for s in "wx" for p in range(20_001, 32_000, 50)]
+    geno = spark.createDataFrame(calls, "strain string, chrom string, pos long, ref string, gt string")
+    reads = [(s, "I", p, p + 1000) for s in "wx" for p in range(0, 60_000, 1000)]
+    aligned = spark.createDataFrame(reads, "strain string, chrom string, start_pos long, end_pos long")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        got = D.divergent_regions(I.mask_from_calls(geno, aligned, lengths)).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sorted(map(tuple, got)) == [(s, "I", 20_000, 12_000, 32_000) for s in "wx"]
