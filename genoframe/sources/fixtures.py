@@ -56,10 +56,22 @@ def _closure(names: list[str]) -> list[str]:
     return out
 
 
+# Tables whose rows the views multiply (by strain), with the key they are spread by.
+FANNED_OUT = {"part": "p_partkey"}
+ROWS_PER_TASK = 4000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """``df`` in partitions of about ``ROWS_PER_TASK`` rows: a small file, which Spark
+    reads in one task, may hold the rows of a large view.  The count is file metadata."""
+    tasks = -(-df.count() // ROWS_PER_TASK)
+    return df.repartition(tasks, key) if tasks > 1 else df
+
+
 _REF = re.compile(r"\b(FROM|JOIN)\s+(" + "|".join(TABLES + list(FIXTURE_SQL)) + r")\b")
 
 
@@ -84,6 +96,7 @@ def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     for n in _closure([name]):
         text, refs = _parameterised(FIXTURE_SQL[n])
         args = {r: built[r] if r in built else table(spark, sf_dir, r) for r in refs}
+        args |= {r: _spread(args[r], FANNED_OUT[r]) for r in refs if r in FANNED_OUT and r not in built}
         built[n] = spark.sql(text, **args)
     return built[name]
 

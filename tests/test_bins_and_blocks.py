@@ -174,3 +174,15 @@ def test_regions_of_masks_built_from_calls(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert sorted(map(tuple, got)) == [(s, "I", 20_000, 12_000, 32_000) for s in "wx"]
+
+
+def test_views_spread_small_files(spark, tmp_path, monkeypatch):
+    """A file that one task would read is dealt by its rows before a view multiplies them."""
+    from genoframe.sources import fixtures
+
+    monkeypatch.setattr(fixtures, "ROWS_PER_TASK", 50)
+    names = "'n' || id n_name, id n_nationkey"
+    spark.range(4).selectExpr(*names.split(", ")).write.parquet(f"{tmp_path}/nation.parquet")
+    spark.range(1, 201).selectExpr("id p_partkey", "cast(id % 50 as int) p_size").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    geno = fixtures.fixture(spark, str(tmp_path), "f_geno")
+    assert geno.rdd.getNumPartitions() == 4 and geno.count() == 800
