@@ -198,10 +198,13 @@ def write_table(
     df: DataFrame, path: str, fmt: str = "tsv", header: bool = True, partition_by: list[str] | None = None
 ) -> None:
     """TSV / BED / CSV with or without header, or Parquet; optionally
-    partitioned (e.g. by chrom) for partition pruning downstream."""
-    w = df.write.mode("overwrite")
+    partitioned (e.g. by chrom) for partition pruning downstream.  A task sorts
+    what it writes by the partition columns, so its share is set by size first
+    (a rebalance splits large partitions and joins small ones)."""
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        w = df.hint("rebalance", *[F.col(c) for c in partition_by]).write.mode("overwrite").partitionBy(*partition_by)
+    else:
+        w = df.write.mode("overwrite")
     if fmt == "parquet":
         w.parquet(path)
     elif fmt == "csv":

@@ -186,3 +186,13 @@ def test_views_spread_small_files(spark, tmp_path, monkeypatch):
     spark.range(1, 201).selectExpr("id p_partkey", "cast(id % 50 as int) p_size").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
     geno = fixtures.fixture(spark, str(tmp_path), "f_geno")
     assert geno.rdd.getNumPartitions() == 4 and geno.count() == 800
+
+
+def test_partitioned_writes_are_dealt_by_size(spark, tmp_path):
+    """Before, every task of the source sorted all its rows and wrote to every folder."""
+    from genoframe.sources import io
+
+    rows = spark.range(1000).selectExpr("id v", "concat('s', id % 3) strain").repartition(4)
+    io.write_table(rows, f"{tmp_path}/out", partition_by=["strain"])
+    assert [len([*f.glob("part-*")]) for f in sorted((tmp_path / "out").glob("strain=*"))] == [1, 1, 1]
+    assert spark.read.csv(f"{tmp_path}/out", sep="\t", header=True).count() == 1000
