@@ -4,9 +4,10 @@ Input: a mask table, one row per (strain, 1 kb bin) with the variant count and
 mean read depth of the bin: ``strain, chrom, start_bin, end_bin, var_count,
 coverage``.
 
-Plan shape: the per-strain mean coverage is a partial aggregate joined
-back (one row per strain: bounded by the sample count), then ONE hash
-shuffle on (strain, chrom) feeds every window of D3-D9: all later windows
+Plan shape: the per-strain mean coverage and number of bins are stored
+(one row per strain: bounded by the sample count), then ONE hash
+shuffle on (strain, chrom), in as many partitions as the number of bins
+asks for, feeds every window of D3-D9: all later windows
 partition on (strain, chrom) or a superset, so Spark reuses that partitioning
 and only sorts within partitions.  Neighbours across a chromosome boundary
 (D3 looks at the previous/next bin of the same strain) come from a
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.contigs import contig_rank
-from ..session import materialize
+from ..session import materialize, stored
 
 # Long-read optimised thresholds of the reference's calling.
 COVERAGE_FRACTION = 0.35  # bins below this fraction of the strain's mean depth
@@ -30,6 +31,7 @@ CLUSTER_THRESHOLD = 9000  # minimum region size in bp
 GAP_CLUSTER_THRESHOLD = 9000  # minimum size of clusters whose gaps are joined
 GAP = 5000  # largest gap (bp) joined between two clusters
 BIN_SIZE = 1000
+BINS_PER_TASK = 100_000
 GAP_FILL_BINS = 4  # only bins 1..4 after a joined cluster are filled
 FREQ_RARE = 0.01
 FREQ_INTERMEDIATE = 0.05
@@ -41,18 +43,31 @@ def _w_bins() -> Window:
     return Window.partitionBy(*KEYS).orderBy("start_bin")
 
 
+def _w_bins_back(*ties: str) -> Window:
+    return Window.partitionBy(*KEYS).orderBy(F.col("start_bin").desc(), *[F.col(c).desc() for c in ties])
+
+
 # --------------------------------------------------------------------- D1
-def coverage_fraction(mask: DataFrame) -> DataFrame:
+def strain_means(mask: DataFrame) -> DataFrame:
+    """Mean coverage and number of bins of every strain."""
+    return mask.groupBy("strain").agg(F.avg("coverage").alias("mean_cov_genome"), F.count(F.lit(1)).alias("bins"))
+
+
+def coverage_fraction(mask: DataFrame, means: DataFrame | None = None) -> DataFrame:
     """Coverage divided by the strain's genome-wide mean coverage; 0 for a
     strain without any coverage.  The table of means (one row per strain) is
     joined without a hint: its measured size decides."""
-    mean_cov = mask.groupBy("strain").agg(F.avg("coverage").alias("mean_cov_genome"))
-    return mask.join(mean_cov, "strain").withColumn(
+    means = strain_means(mask) if means is None else means
+    return mask.join(means.drop("bins"), "strain").withColumn(
         "fraction_cov", F.coalesce(F.try_divide("coverage", "mean_cov_genome"), F.lit(0.0))
     )
 
 
 # --------------------------------------------------------------------- D2
+def _window_id() -> Column:
+    return F.concat_ws(" ", F.col("chrom"), F.col("start_bin").cast("string"), F.col("end_bin").cast("string"))
+
+
 def classify_bins(
     cov: DataFrame, ct: int = VAR_COUNT_THRESHOLD, cov_fraction: float = COVERAGE_FRACTION
 ) -> DataFrame:
@@ -60,10 +75,7 @@ def classify_bins(
     return (
         cov.withColumn("is_count", F.col("var_count") > F.lit(ct))
         .withColumn("is_lowcov", F.col("fraction_cov") < F.lit(cov_fraction))
-        .withColumn(
-            "window_id",
-            F.concat_ws(" ", F.col("chrom"), F.col("start_bin").cast("string"), F.col("end_bin").cast("string")),
-        )
+        .withColumn("window_id", _window_id())
         .withColumn(
             "div_class",
             F.when(F.col("is_count") | F.col("is_lowcov"), F.lit("Divergent")).otherwise(F.lit("Pass")),
@@ -134,17 +146,26 @@ def cluster_bins(df: DataFrame, bin_size: int = BIN_SIZE) -> DataFrame:
         "cluster",
         is_div & (F.coalesce(F.lag(is_div).over(w), F.lit(False)) | F.coalesce(F.lead(is_div).over(w), F.lit(False))),
     )
-    run_start = F.col("cluster") & ~F.coalesce(F.lag("cluster").over(w), F.lit(False))
-    df = df.withColumn("_run_mark", F.when(run_start, F.col("start_bin")))
-    carry = F.last("_run_mark", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    df = df.withColumn("cluster_start", F.when(F.col("cluster"), carry)).drop("_run_mark")
-    run_len = F.count(F.lit(1)).over(Window.partitionBy("strain", "chrom", "cluster_start"))
-    return df.withColumn(
-        "cluster_size",
-        F.when(~is_div, F.lit(None).cast("bigint"))
-        .when(F.col("cluster_start").isNull(), F.lit(bin_size).cast("bigint"))
-        .otherwise((run_len * bin_size).cast("bigint")),
-    ).withColumn("cluster_end", F.col("cluster_start") + F.col("cluster_size"))
+    run_start = F.col("cluster") & ~F.coalesce(F.lag("cluster").over(w), F.lit(False)) & F.col("start_bin").isNotNull()
+    df = df.withColumn("_row", F.row_number().over(w)).withColumn("_mark", F.when(run_start, F.struct("start_bin", "_row")))
+    carry = F.last("_mark", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    df = df.withColumn("_run", F.when(F.col("cluster"), carry)).withColumn("cluster_start", F.col("_run.start_bin"))
+    # the row that ends the run comes from the other direction, in the order that D5 needs
+    back = _w_bins_back("_row")
+    run_end = F.when(F.col("cluster") & ~F.coalesce(F.lag("cluster").over(back), F.lit(False)), F.col("_row"))
+    last_row = F.last("_mark", ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    df = df.withColumn("_mark", run_end)
+    run_len = last_row - F.col("_run._row") + 1
+    return (
+        df.withColumn(
+            "cluster_size",
+            F.when(~is_div, F.lit(None).cast("bigint"))
+            .when(F.col("cluster_start").isNull(), F.lit(bin_size).cast("bigint"))
+            .otherwise((run_len * bin_size).cast("bigint")),
+        )
+        .drop("_mark", "_run", "_row")
+        .withColumn("cluster_end", F.col("cluster_start") + F.col("cluster_size"))
+    )
 
 
 # --------------------------------------------------------------------- D5
@@ -154,11 +175,7 @@ def _next_big_cluster(df: DataFrame, threshold: int) -> DataFrame:
     O(n) per partition, no self-join)."""
     big = F.coalesce(F.col("cluster_size") >= F.lit(threshold), F.lit(False))
     first_row = big & (F.col("start_bin") == F.col("cluster_start"))
-    after = (
-        Window.partitionBy(*KEYS)
-        .orderBy(F.col("start_bin").desc())
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    after = _w_bins_back().rowsBetween(Window.unboundedPreceding, -1)
     return (
         df.withColumn("_big", big)
         .withColumn("_next_start", F.when(big, F.last(F.when(first_row, F.col("cluster_start")), ignorenulls=True).over(after)))
@@ -233,15 +250,19 @@ _BIN_COLS = [
     "var_count",
     "coverage",
     "fraction_cov",
-    "window_id",
     "div_class",
     "div_id",
 ]
 
 
 def gap_joined_clusters(mask: DataFrame, contigs: list[str] | None = None) -> DataFrame:
-    """Every bin with its final class, reason and cluster."""
-    cov = coverage_fraction(mask)
+    """Every bin with its final class, reason and cluster.
+
+    The bins are dealt to tasks by their number, not by shuffled bytes: a bin
+    takes a few compressed bytes in a shuffle and far more in a sort."""
+    means = stored(strain_means(mask), "strain-means")  # one row per strain
+    bins = means.agg(F.sum("bins")).first()[0] or 0
+    cov = coverage_fraction(mask, means).repartition(max(1, -(-bins // BINS_PER_TASK)), *KEYS)
     flagged = two_flank_rescue(classify_bins(cov), contigs).select(*_BIN_COLS)
     first = cluster_bins(flagged)
     filled = fill_gaps(first).select(*_BIN_COLS)
@@ -254,7 +275,7 @@ def _with_final_flags(reclustered: DataFrame, threshold: int = CLUSTER_THRESHOLD
     deletions (no Count / CountLowCoverage bin in the cluster)."""
     big = F.coalesce(F.col("cluster_size") >= F.lit(threshold), F.lit(False))
     is_count = F.col("div_id").isin("Count", "CountLowCoverage").cast("int")
-    per_cluster = Window.partitionBy("strain", "chrom", "cluster_start", "cluster_end")
+    per_cluster = Window.partitionBy("strain", "chrom", "cluster_start")
     return (
         reclustered.withColumn("is_big", big)
         .withColumn("is_count", is_count)
@@ -295,7 +316,7 @@ def divergent_bins(
     deletion clusters included (frequency is computed before they drop).
     The strain count is a scalar subquery (its own small job), not a join.
     """
-    flagged = _with_final_flags(gap_joined_clusters(mask, contigs), threshold).filter(F.col("is_big"))
+    flagged = _with_final_flags(gap_joined_clusters(mask, contigs).filter(F.col("cluster_size") >= F.lit(threshold)), threshold)
     per_window = Window.partitionBy("chrom", "start_bin", "end_bin")
     n = strain_count(mask).scalar()
     df = (
@@ -311,7 +332,7 @@ def divergent_bins(
         "chrom",
         "start_bin",
         "end_bin",
-        "window_id",
+        _window_id().alias("window_id"),
         "var_count",
         "fraction_cov",
         "div_class",
@@ -336,7 +357,7 @@ def divergent_regions(
     One row per final cluster, taken from the cluster's first bin, so no
     distinct / extra shuffle is needed; frequency does not filter regions.
     """
-    flagged = _with_final_flags(gap_joined_clusters(mask, contigs), threshold)
+    flagged = _with_final_flags(gap_joined_clusters(mask, contigs).filter(F.col("cluster_size") >= F.lit(threshold)), threshold)
     return flagged.filter(F.col("is_final") & (F.col("start_bin") == F.col("cluster_start"))).select(
         "strain", "chrom", "cluster_start", "cluster_size", "cluster_end"
     )

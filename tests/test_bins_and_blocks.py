@@ -196,3 +196,18 @@ def test_partitioned_writes_are_dealt_by_size(spark, tmp_path):
     io.write_table(rows, f"{tmp_path}/out", partition_by=["strain"])
     assert [len([*f.glob("part-*")]) for f in sorted((tmp_path / "out").glob("strain=*"))] == [1, 1, 1]
     assert spark.read.csv(f"{tmp_path}/out", sep="\t", header=True).count() == 1000
+
+
+def test_bins_are_dealt_by_their_number(spark, monkeypatch):
+    """As many partitions as the bins ask for, and one sort for each direction of a pass."""
+    from genoframe.operators import divergent as D
+
+    monkeypatch.setattr(D, "BINS_PER_TASK", 100)
+    mask = spark.range(700).selectExpr(
+        "concat('s', id % 7) strain", "'I' chrom", "id div 7 * 1000 start_bin", "id div 7 * 1000 + 1000 end_bin", "id % 20 var_count", "10.0D coverage"
+    )
+    out = D.gap_joined_clusters(mask, ["I"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan
+    assert ", 7), REPARTITION_BY_NUM" in plan
+    assert out.count() == 700
