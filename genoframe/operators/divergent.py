@@ -5,15 +5,16 @@ mean read depth of the bin: ``strain, chrom, start_bin, end_bin, var_count,
 coverage``.
 
 Plan shape: the per-strain mean coverage and number of bins are stored
-(one row per strain: bounded by the sample count), then ONE hash
+(one row per strain: bounded by the sample count), then one hash
 shuffle on (strain, chrom), in as many partitions as the number of bins
-asks for, feeds every window of D3-D9: all later windows
-partition on (strain, chrom) or a superset, so Spark reuses that partitioning
-and only sorts within partitions.  Neighbours across a chromosome boundary
-(D3 looks at the previous/next bin of the same strain) come from a
-per-(strain, chrom) edge table of two values per chromosome, not from a
-strain-wide window, so no task ever holds a whole strain.  Only the
-population frequency (D8) needs a second shuffle, on the bin key.
+asks for, feeds D3 and the cut of contigs into stretches that nothing of
+D4-D9 reaches over (``segments``).  A second one on (strain, chrom, seg)
+feeds all windows of D4-D9, which partition on these or a superset, so Spark
+reuses that partitioning and only sorts within partitions.  Neighbours across
+a chromosome boundary (D3 looks at the previous/next bin of the same strain)
+come from a per-(strain, chrom) edge table of two values per chromosome, not
+from a strain-wide window, so no task ever holds a whole strain.  Only the
+population frequency (D8) needs another shuffle, on the bin key.
 """
 
 from __future__ import annotations
@@ -37,14 +38,15 @@ FREQ_RARE = 0.01
 FREQ_INTERMEDIATE = 0.05
 
 KEYS = ["strain", "chrom"]
+SEG_KEYS = [*KEYS, "seg"]
 
 
-def _w_bins() -> Window:
-    return Window.partitionBy(*KEYS).orderBy("start_bin")
+def _w_bins(keys: list[str] = KEYS) -> Window:
+    return Window.partitionBy(*keys).orderBy("start_bin")
 
 
-def _w_bins_back(*ties: str) -> Window:
-    return Window.partitionBy(*KEYS).orderBy(F.col("start_bin").desc(), *[F.col(c).desc() for c in ties])
+def _w_bins_back(*ties: str, keys: list[str] = KEYS) -> Window:
+    return Window.partitionBy(*keys).orderBy(F.col("start_bin").desc(), *[F.col(c).desc() for c in ties])
 
 
 # --------------------------------------------------------------------- D1
@@ -133,14 +135,9 @@ def two_flank_rescue(classified: DataFrame, contigs: list[str] | None = None) ->
 
 
 # --------------------------------------------------------------------- D4 / D7
-def cluster_bins(df: DataFrame, bin_size: int = BIN_SIZE) -> DataFrame:
-    """D4 (and D7): gaps-and-islands over divergent bins per (strain, chrom).
-
-    ``cluster``: divergent with a divergent neighbour.  ``cluster_start``: the
-    first bin of the run (NULL for bins outside a run).  ``cluster_size``:
-    run length x bin size; 1000 for an isolated divergent bin; NULL for Pass.
-    """
-    w = _w_bins()
+def _runs(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``cluster``, the bin's ``_row`` and ``_run``: first bin and row of its run."""
+    w = _w_bins(keys)
     is_div = F.col("div_class") == F.lit("Divergent")
     df = df.withColumn(
         "cluster",
@@ -149,9 +146,24 @@ def cluster_bins(df: DataFrame, bin_size: int = BIN_SIZE) -> DataFrame:
     run_start = F.col("cluster") & ~F.coalesce(F.lag("cluster").over(w), F.lit(False)) & F.col("start_bin").isNotNull()
     df = df.withColumn("_row", F.row_number().over(w)).withColumn("_mark", F.when(run_start, F.struct("start_bin", "_row")))
     carry = F.last("_mark", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    df = df.withColumn("_run", F.when(F.col("cluster"), carry)).withColumn("cluster_start", F.col("_run.start_bin"))
+    return df.withColumn("_run", F.when(F.col("cluster"), carry)).drop("_mark")
+
+
+def cluster_bins(df: DataFrame, bin_size: int = BIN_SIZE, keys: list[str] = KEYS) -> DataFrame:
+    """D4 (and D7): gaps-and-islands over divergent bins per (strain, chrom).
+
+    ``cluster``: divergent with a divergent neighbour.  ``cluster_start``: the
+    first bin of the run (NULL for bins outside a run).  ``cluster_size``:
+    run length x bin size; 1000 for an isolated divergent bin; NULL for Pass.
+    """
+    return _sized(_runs(df, keys), bin_size, keys)
+
+
+def _sized(runs: DataFrame, bin_size: int, keys: list[str]) -> DataFrame:
+    is_div = F.col("div_class") == F.lit("Divergent")
+    df = runs.withColumn("cluster_start", F.col("_run.start_bin"))
     # the row that ends the run comes from the other direction, in the order that D5 needs
-    back = _w_bins_back("_row")
+    back = _w_bins_back("_row", keys=keys)
     run_end = F.when(F.col("cluster") & ~F.coalesce(F.lag("cluster").over(back), F.lit(False)), F.col("_row"))
     last_row = F.last("_mark", ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     df = df.withColumn("_mark", run_end)
@@ -169,13 +181,13 @@ def cluster_bins(df: DataFrame, bin_size: int = BIN_SIZE) -> DataFrame:
 
 
 # --------------------------------------------------------------------- D5
-def _next_big_cluster(df: DataFrame, threshold: int) -> DataFrame:
+def _next_big_cluster(df: DataFrame, threshold: int, keys: list[str] = KEYS) -> DataFrame:
     """For bins of clusters >= threshold: start and end of the next such
     cluster on the same strain and chromosome (a reverse running ``last``,
     O(n) per partition, no self-join)."""
     big = F.coalesce(F.col("cluster_size") >= F.lit(threshold), F.lit(False))
     first_row = big & (F.col("start_bin") == F.col("cluster_start"))
-    after = _w_bins_back().rowsBetween(Window.unboundedPreceding, -1)
+    after = _w_bins_back(keys=keys).rowsBetween(Window.unboundedPreceding, -1)
     return (
         df.withColumn("_big", big)
         .withColumn("_next_start", F.when(big, F.last(F.when(first_row, F.col("cluster_start")), ignorenulls=True).over(after)))
@@ -222,11 +234,12 @@ def fill_gaps(
     threshold: int = GAP_CLUSTER_THRESHOLD,
     gap: int = GAP,
     fill_bins: int = GAP_FILL_BINS,
+    keys: list[str] = KEYS,
 ) -> DataFrame:
     """A non-divergent bin 1..4 bins after the end of a joined cluster
     becomes Divergent with div_id ``gap``.  A five-bin gap fills four bins."""
-    w = _w_bins()
-    df = _gap_columns(_next_big_cluster(clustered, threshold), gap)
+    w = _w_bins(keys)
+    df = _gap_columns(_next_big_cluster(clustered, threshold, keys), gap)
     ends_joined = (F.col("end_bin") == F.col("cluster_end")) & F.col("gap_join")
     df = df.withColumn("_ends_joined", F.coalesce(ends_joined, F.lit(False)))
     hit = F.lit(False)
@@ -255,27 +268,52 @@ _BIN_COLS = [
 ]
 
 
+def segments(
+    flagged: DataFrame, bin_size: int = BIN_SIZE, gap: int = GAP, fill_bins: int = GAP_FILL_BINS, apart: int = 1024
+) -> DataFrame:
+    """Number the stretches (``seg``) of a contig that D4-D7 can treat on their own.
+
+    A stretch may begin at a bin with more than ``fill_bins`` bins between it and
+    the last divergent one, and more than ``gap`` bp beyond the end of every
+    cluster so far: no run, joined gap or filled bin reaches over such a place.
+    It begins at a divergent bin, or at every ``apart``-th one if none is.  The
+    columns of ``_runs`` are kept: no run is cut."""
+    w = _w_bins()
+    upto, before = (w.rowsBetween(Window.unboundedPreceding, at) for at in (Window.currentRow, -1))
+    is_div = F.col("div_class") == F.lit("Divergent")
+    end = F.col("_run.start_bin") + (F.col("_row") - F.col("_run._row") + 1) * bin_size
+    df = _runs(flagged, KEYS)
+    last_div = F.max(F.when(is_div, F.col("_row"))).over(before)
+    df = df.withColumn("_far", F.coalesce(F.col("_row") - last_div > fill_bins + 1, F.lit(True)))
+    df = df.withColumn("_end", F.max(end).over(before))
+    clear = F.col("_end").isNull() | F.coalesce(F.col("start_bin") - F.col("_end") > gap, F.lit(False))
+    cut = F.col("_far") & clear & (is_div | (F.col("_row") % apart == 0))
+    return df.withColumn("seg", F.sum(cut.cast("int")).over(upto)).drop("_far", "_end")
+
+
 def gap_joined_clusters(mask: DataFrame, contigs: list[str] | None = None) -> DataFrame:
-    """Every bin with its final class, reason and cluster.
+    """Every bin with its final class, reason and cluster, and the stretch
+    ``seg`` of its contig that holds all of the cluster.
 
     The bins are dealt to tasks by their number, not by shuffled bytes: a bin
-    takes a few compressed bytes in a shuffle and far more in a sort."""
+    takes a few compressed bytes in a shuffle and far more in a sort.  Only the
+    one sort of D3 sees a whole contig; the others see stretches of it."""
     means = stored(strain_means(mask), "strain-means")  # one row per strain
-    bins = means.agg(F.sum("bins")).first()[0] or 0
-    cov = coverage_fraction(mask, means).repartition(max(1, -(-bins // BINS_PER_TASK)), *KEYS)
-    flagged = two_flank_rescue(classify_bins(cov), contigs).select(*_BIN_COLS)
-    first = cluster_bins(flagged)
-    filled = fill_gaps(first).select(*_BIN_COLS)
-    return cluster_bins(filled)
+    tasks = max(1, -(-(means.agg(F.sum("bins")).first()[0] or 0) // BINS_PER_TASK))
+    cov = coverage_fraction(mask, means).repartition(tasks, *KEYS)
+    flagged = segments(two_flank_rescue(classify_bins(cov), contigs).select(*_BIN_COLS)).repartition(tasks, *SEG_KEYS)
+    first = _sized(flagged, BIN_SIZE, SEG_KEYS)
+    filled = fill_gaps(first, keys=SEG_KEYS).select(*_BIN_COLS, "seg")
+    return cluster_bins(filled, keys=SEG_KEYS)
 
 
 def _with_final_flags(reclustered: DataFrame, threshold: int = CLUSTER_THRESHOLD) -> DataFrame:
-    """D9 flags inside the (strain, chrom) partitioning: ``is_big`` for bins
+    """D9 flags inside the (strain, chrom, seg) partitioning: ``is_big`` for bins
     of clusters >= threshold and ``is_final`` for those not dropped as
     deletions (no Count / CountLowCoverage bin in the cluster)."""
     big = F.coalesce(F.col("cluster_size") >= F.lit(threshold), F.lit(False))
     is_count = F.col("div_id").isin("Count", "CountLowCoverage").cast("int")
-    per_cluster = Window.partitionBy("strain", "chrom", "cluster_start")
+    per_cluster = Window.partitionBy(*SEG_KEYS, "cluster_start")
     return (
         reclustered.withColumn("is_big", big)
         .withColumn("is_count", is_count)

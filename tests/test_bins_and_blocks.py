@@ -211,3 +211,31 @@ def test_bins_are_dealt_by_their_number(spark, monkeypatch):
     assert "REPARTITION_BY_NUM" in plan
     assert ", 7), REPARTITION_BY_NUM" in plan
     assert out.count() == 700
+
+
+def test_stretches_of_a_contig_are_clustered_apart(spark, monkeypatch):
+    """No task of D4-D7 holds a contig, and every bin gets what it gets in one piece."""
+    from genoframe.operators import divergent as D
+
+    monkeypatch.setattr(D, "BINS_PER_TASK", 1000)
+    rnd, rows = random.Random(11), []
+    for strain in ("A", "B"):
+        at = 0
+        while at < 9000:  # runs of 1 to 30 bins, gaps of 1 to 40, some bins missing, some twice
+            for count, size in ((20, rnd.choice([1, 2, 8, 9, 10, 30])), (1, rnd.choice([1, 2, 3, 4, 5, 6, 7, 40]))):
+                for _ in range(size):
+                    copies = rnd.choice([0, 1, 1, 1, 1, 1, 1, 2])
+                    rows += [(strain, "I", at * 1000, at * 1000 + 1000, count, 20.0)] * copies
+                    at += 1
+        rows += [(strain, "I", None, None, 20, 20.0)] * 3
+        rows += [(strain, "II", i * 1000, i * 1000 + 1000, 1, 20.0) for i in range(5000)]
+    mask = spark.createDataFrame(rows, "strain string, chrom string, start_bin long, end_bin long, var_count int, coverage double")
+    flagged = D.two_flank_rescue(D.classify_bins(D.coverage_fraction(mask)), ["I", "II"]).select(*D._BIN_COLS)
+    want = D.cluster_bins(D.fill_gaps(D.cluster_bins(flagged)).select(*D._BIN_COLS))
+    got = D.gap_joined_clusters(mask, ["I", "II"])
+    held = [r[0] for r in got.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert max(held) < 4500 and len(held) > 10  # before: a contig of 9,000 bins in one task
+    columns = ["strain", "chrom", "start_bin", "div_class", "div_id", "cluster", "cluster_start", "cluster_size", "cluster_end"]
+    assert got.select(*columns).exceptAll(want.select(*columns)).isEmpty()
+    assert got.count() == len(rows) == want.count()
+    assert got.filter("div_id = 'gap'").count() > 20
