@@ -43,8 +43,11 @@ N_PC_PAIRS = 6  # PC1..PC6 -> 15 scatter panels
 # --------------------------------------------------------------------- G1
 def pca_input(geno: DataFrame, ld: float, drop_x: bool = True, drop_singletons: bool = True) -> DataFrame:
     """G1: nuclear contigs -> merge records -> SNP -> biallelic -> LD prune at
-    ``ld`` -> singletons out (if asked for) -> complete sites.  Returns genotypes."""
-    snp = pca_snps(geno, drop_x)
+    ``ld`` -> singletons out (if asked for) -> complete sites.  Returns genotypes.
+
+    The merged records are stored: pruning and the filters after it read them
+    several times, and merging costs more than all of these."""
+    snp = stored(pca_snps(geno, drop_x), "pca-snps")
     kept = V.ld_prune(snp, ld).select("site_id")
     g = snp.join(kept, "site_id", "left_semi")
     if drop_singletons:

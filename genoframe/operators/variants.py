@@ -139,9 +139,11 @@ def merge_multiallelic(geno: DataFrame) -> DataFrame:
     reference; missing only if missing in every record).  Any ploidy; the
     record's ``site_id`` is a hash of chrom, pos, ref and alt.
     """
-    # one row per position (its records are a handful, its calls bounded by the samples):
-    # the only exchange, the grouping by strain below keeps its partitioning
-    packed = geno.groupBy("chrom", "pos").agg(F.collect_list(F.struct("ref", "alt", "strain", "gt")).alias("_c"))
+    # one row per position (its records are a handful, its calls bounded by the samples): the
+    # only exchange, the grouping by strain below keeps its partitioning.  The number of tasks
+    # is given, since calls take few bytes in a shuffle and far more work after it
+    tasks = int(geno.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    packed = geno.repartition(tasks, "chrom", "pos").groupBy("chrom", "pos").agg(F.collect_list(F.struct("ref", "alt", "strain", "gt")).alias("_c"))
     packed = packed.withColumn("_recs", F.array_distinct(F.transform("_c", lambda c: F.struct(c["ref"].alias("ref"), c["alt"].alias("alt")))))
 
     def merged(rec):
@@ -161,18 +163,32 @@ def merge_multiallelic(geno: DataFrame) -> DataFrame:
 
     for step in (merged, extended, united):
         packed = packed.withColumn("_recs", F.transform("_recs", step))
-    g = packed.select("chrom", "pos", "_recs", F.explode("_c").alias("_c"))
+
+    def remapped(calls, alts, old):
+        return F.transform(
+            calls,
+            lambda a: F.when(a.isNull(), F.lit(None).cast("int"))
+            .when(a == 0, F.lit(0))
+            .otherwise(F.array_position(alts, F.element_at(old, a)).cast("int")),
+        )
+
+    # the usual position has one record with one call a strain: each distinct call is re-mapped once
+    strains = F.transform("_c", lambda c: c["strain"])
+    first = F.col("_recs")[0]
+    packed = packed.withColumn("_alone", (F.size("_recs") == 1) & first["ref"].isNotNull() & (F.size(F.array_distinct(strains)) == F.size("_c")))
+    alone = packed.filter("_alone").select("chrom", "pos", "_c", first.alias("_r"), F.array_distinct(F.transform("_c", lambda c: c["gt"])).alias("_gts"))
+    text = lambda calls: F.array_join(F.transform(calls, lambda a: F.coalesce(a.cast("string"), F.lit("."))), "/")
+    alone = alone.withColumn("_new", F.transform("_gts", lambda gt: text(remapped(G.alleles(gt), F.col("_r.alts"), F.col("_r.old")))))
+    alone = alone.select("chrom", "pos", F.col("_r.long").alias("ref"), F.array_join("_r.alts", ",").alias("alt"), "_gts", "_new", F.explode("_c").alias("_c"))
+    gt = F.when(F.col("_c.gt").isNotNull(), F.get("_new", (F.array_position("_gts", F.col("_c.gt")) - 1).cast("int")))
+    alone = alone.select("chrom", "pos", "ref", "alt", "_c.strain", gt.alias("gt"))
+
+    g = packed.filter("NOT _alone").select("chrom", "pos", "_recs", F.explode("_c").alias("_c"))
     g = g.withColumn("_r", F.filter("_recs", lambda r: (r["ref"] == F.col("_c.ref")) & r["alt"].eqNullSafe(F.col("_c.alt")))[0])
     g = g.select(
         "chrom", "pos", F.col("_r.long").alias("ref"), F.col("_r.alts").alias("_alts"), F.col("_r.old").alias("_old"), "_c.strain", G.alleles("_c.gt").alias("_al")
     )
-    remap = F.transform(
-        "_al",
-        lambda a: F.when(a.isNull(), F.lit(None).cast("int"))
-        .when(a == 0, F.lit(0))
-        .otherwise(F.array_position(F.col("_alts"), F.element_at(F.col("_old"), a)).cast("int")),
-    )
-    g = g.withColumn("_new", remap)
+    g = g.withColumn("_new", remapped("_al", F.col("_alts"), F.col("_old")))
     key = ["chrom", "pos", "ref"]
     # one list per merged record: a handful per position and strain
     out = g.groupBy(*key, "strain").agg(F.first("_alts").alias("_alts"), F.collect_list("_new").alias("_calls"))
@@ -182,6 +198,7 @@ def merge_multiallelic(geno: DataFrame) -> DataFrame:
         lambda s: F.coalesce(F.array_max(F.transform("_calls", lambda c: F.get(c, s))).cast("string"), F.lit(".")),
     )
     out = out.select(*key, F.array_join("_alts", ",").alias("alt"), "strain", F.array_join(gt, "/").alias("gt"))
+    out = alone.unionByName(out)
     return out.withColumn("site_id", site_key())
 
 

@@ -239,3 +239,29 @@ def test_stretches_of_a_contig_are_clustered_apart(spark, monkeypatch):
     assert got.select(*columns).exceptAll(want.select(*columns)).isEmpty()
     assert got.count() == len(rows) == want.count()
     assert got.filter("div_id = 'gap'").count() > 20
+
+
+def test_pca_input_merges_records_once(spark, monkeypatch):
+    """G1: pruning and the filters after it read the stored merged records."""
+    from genoframe.operators import pca as P
+    from genoframe.sources import fixtures
+
+    geno = fixtures.fixture(spark, "/root/testdata/sf0.001", "f_geno")
+    out = P.pca_input(geno, 0.8)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "p_partkey" not in plan and "collect_list" not in plan  # before: merged again in each branch
+    assert out.count() > 0
+
+
+def test_lone_records_are_merged_like_the_rest(spark):
+    """A position with one record gives what it gives beside a second strain's repeated call."""
+    calls = ["0/1", "1|2", "./.", ".|2", "2/2/1", "1", None]
+    lone = [("I", 100, "A", "T,C", f"S{i}", c) for i, c in enumerate(calls)]
+    again = lone + [("I", 100, "A", "T,C", "T", "0/0")] * 2  # a repeated strain: the general way
+    schema = "chrom string, pos long, ref string, alt string, strain string, gt string"
+    got, want = (
+        {(r.strain, r.ref, r.alt, r.gt, r.site_id) for r in V.merge_multiallelic(spark.createDataFrame(x, schema)).collect() if r.strain != "T"}
+        for x in (lone, again)
+    )
+    assert got == want
+    assert {r[3] for r in got} == {"0/2", "2/1", "./.", "./1", "1/1/2", "2", None}
