@@ -158,15 +158,23 @@ class Shard:
     """Words of one shard: ``ids`` with 0 between pieces, and where the parts'
     own words are (a phrase that starts on another word belongs to the next part)."""
 
-    def __init__(self, parts: list[tuple[bytes, int]]):
-        size = sum(len(b) // 8 + 1 for b, _ in parts)
+    def __init__(self, parts: list[tuple[bytes, int, int]]):
+        size = sum(len(b) // 8 + 1 for b, _, _ in parts)
         self.ids, self.own, at = np.zeros(size, np.uint64), np.zeros(size, bool), 0
+        self.starts, self.parts = np.zeros(len(parts), np.int64), np.zeros(len(parts), np.int64)
         while parts:  # each part goes as it is copied
-            b, own = parts.pop()
+            b, own, part = parts.pop()
             self.ids[at : at + len(b) // 8] = np.frombuffer(b, np.uint64)
             self.own[at : at + own] = True
+            i = len(self.parts) - len(parts) - 1
+            self.starts[i], self.parts[i] = at, part
             at += len(b) // 8 + 1
 
+    def spots(self, at: np.ndarray) -> np.ndarray:
+        """Where the own words at these places are in the corpus: part and word in it."""
+        i = np.searchsorted(self.starts, at, "right") - 1
+        return self.parts[i] * PART + (at - self.starts[i])
+
     def runs(self, frequent: np.ndarray) -> np.ndarray:
         """Places of words that may be frequent."""
         at = np.flatnonzero(self.ids)
@@ -185,13 +193,13 @@ class Shard:
 def _gathered(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple[str, int, Shard]]:
     """Pieces of one language and shard.  What a task holds is bounded by about
     twice ``words``, however many languages and shards it meets."""
-    held: dict[tuple[str, int], list[tuple[bytes, int]]] = {}
+    held: dict[tuple[str, int], list[tuple[bytes, int, int]]] = {}
     size: dict[tuple[str, int], int] = {}
     total = 0
     for batch in _small(batches):
-        for lang, ids, own, shard in zip(*(c.to_pylist() for c in batch.columns)):
+        for lang, ids, own, shard, part in zip(*(c.to_pylist() for c in batch.columns)):
             place = (lang, shard)
-            held.setdefault(place, []).append((ids, own))
+            held.setdefault(place, []).append((ids, own, part))
             size[place] = size.get(place, 0) + own
             total += own
             if size[place] >= words or total >= 2 * words:
@@ -239,29 +247,46 @@ def _mine(needs: dict[tuple[str, int], int], frequent, pairs, lengths: tuple[int
 
 
 def _count(frequent, pairs, candidates, lengths: tuple[int, ...], words: int):
+    """Counts, and one spot where each phrase is."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, _, piece in _gathered(batches, words):
-            for _, _, key in _phrases(piece, frequent, pairs, lengths, candidates):
-                found, n = np.unique(key, return_counts=True)
-                yield from _batches(1 << 16, key=found.view(np.int64), n=n.astype(np.int64))
+            for _, at, key in _phrases(piece, frequent, pairs, lengths, candidates):
+                found, first, n = np.unique(key, return_index=True, return_counts=True)
+                yield from _batches(1 << 16, key=found.view(np.int64), n=n.astype(np.int64), spot=piece.spots(at[first]))
 
     return run
 
 
-def _show(frequent, pairs, chosen, lengths: tuple[int, ...], words: int):
-    """The words of the chosen phrases, each phrase once a piece."""
+def _scattered(spots: np.ndarray) -> list[np.ndarray]:
+    """Two independent keys of each spot, for two bitmaps."""
+    some = spots.view(np.uint64)
+    return [joined(some, np.full(len(some), salt, np.uint64)) for salt in (1, 2)]
+
+
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        one, two = _scattered(batch.column(0).to_numpy())
+        yield pa.RecordBatch.from_arrays([pa.array(one.view(np.int64)), pa.array(two.view(np.int64))], names=["one", "two"])
+
+
+def _show(frequent, pairs, chosen, spots, lengths: tuple[int, ...], words: int):
+    """The words of the chosen phrases at the chosen spots (and at the few spots that
+    share a bit with one of them in both bitmaps)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, _, piece in _gathered(batches, words):
             for size, at, key in _phrases(piece, frequent, pairs, lengths, chosen):
-                found, first = np.unique(key, return_index=True)
-                for cut in range(0, len(found), 1 << 15):
-                    some, starts = found[cut : cut + (1 << 15)], at[first[cut : cut + (1 << 15)]]
-                    rows = piece.ids[starts[:, None] + np.arange(size)].view(np.int64)
+                spot = piece.spots(at)
+                here = np.logical_and(*(bits.test(b.value, k) for b, k in zip(spots, _scattered(spot))))
+                at, key, spot = at[here], key[here], spot[here]
+                for cut in range(0, len(key), 1 << 15):
+                    some = slice(cut, cut + (1 << 15))
+                    rows = piece.ids[at[some][:, None] + np.arange(size)].view(np.int64)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(some.view(np.int64)), pa.array([lang] * len(some)),
+                        [pa.array(key[some].view(np.int64)), pa.array(spot[some]), pa.array([lang] * len(rows)),
                          pa.ListArray.from_arrays(pa.array(np.arange(0, rows.size + 1, size, dtype=np.int32)), pa.array(rows.ravel()))],
-                        names=["key", "lang", "ids"],
+                        names=["key", "spot", "lang", "ids"],
                     )
 
     return run
@@ -309,12 +334,13 @@ def frequent_phrases(
 ) -> tuple[DataFrame, DataFrame]:
     """(key, lang, ids, a) of all frequent phrases, and (key, lang, n) of all words."""
     encoded = _source(docs, text, lang).mapInArrow(_encode(longest), ENCODED).withColumn("shard", F.spark_partition_id() % shards)
+    encoded = encoded.withColumn("part", F.monotonically_increasing_id())
     encoded = stored(encoded, "phrase-ids")
     words = stored(
         encoded.filter("ids IS NULL").groupBy("key", "lang").agg(F.sum("n").alias("n")),
         "phrase-words",
     )
-    rows = encoded.filter("ids IS NOT NULL").select("lang", "ids", "own", "shard")
+    rows = encoded.filter("ids IS NOT NULL").select("lang", "ids", "own", "shard", "part")
     sizes = {(r.lang, r.shard): r.n for r in rows.groupBy("lang", "shard").agg(F.sum("own").alias("n")).collect()}  # langs x shards
     totals: dict[str, int] = {}
     for (name, _), n in sizes.items():
@@ -328,12 +354,16 @@ def frequent_phrases(
         local = rows.mapInArrow(_mine(needs, frequent, pairs, lengths, piece_words), "key long, place long, n long")
         local = local.groupBy("key", "place").agg(F.sum("n").alias("n")).filter("n >= (place & 4294967295L)")
         union = stored(local.select("key").distinct(), "phrase-candidates")
-        counted = rows.mapInArrow(_count(frequent, pairs, _broadcast(union), lengths, piece_words), "key long, n long")
-        exact = counted.groupBy("key").agg(F.sum("n").alias("a")).filter(F.col("a") >= support)
+        counted = rows.mapInArrow(_count(frequent, pairs, _broadcast(union), lengths, piece_words), "key long, n long, spot long")
+        exact = counted.groupBy("key").agg(F.sum("n").alias("a"), F.min("spot").alias("spot")).filter(F.col("a") >= support)
         exact = stored(union.join(exact, "key"), "phrase-counts")
         chosen = _broadcast(exact)
-        shown = rows.mapInArrow(_show(frequent, pairs, chosen, lengths, piece_words), "key long, lang string, ids array<long>")
-        found = stored(exact.join(shown.distinct(), "key").select("key", "lang", "ids", "a"), "phrases")
+        marks = exact.select("spot").mapInArrow(_marks, "one long, two long")
+        spots = [_broadcast(marks.select(F.col(c).alias("key"))) for c in ("one", "two")]
+        shown = rows.mapInArrow(
+            _show(frequent, pairs, chosen, spots, lengths, piece_words), "key long, spot long, lang string, ids array<long>"
+        )
+        found = stored(exact.join(shown, ["key", "spot"]).select("key", "lang", "ids", "a"), "phrases")
         out = found if out is None else out.unionByName(found)
         pairs = chosen
     return out, words

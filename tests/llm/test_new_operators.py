@@ -238,6 +238,28 @@ def test_phrases_in_shards(spark, phrase_rows, support, longest, piece_words, sh
     assert sorted(map(tuple, got)) == plain_phrases(phrase_rows, support, longest, 30)
 
 
+def test_phrases_are_spelled_at_one_spot(spark, monkeypatch):
+    """The step that spells the found phrases makes a row a phrase, however many pieces hold it."""
+    made, show = spark.sparkContext.accumulator(0), phrases._show
+
+    def counted(*args):
+        run = show(*args)
+
+        def step(batches):
+            for batch in run(batches):
+                made.add(batch.num_rows)
+                yield batch
+
+        return step
+
+    monkeypatch.setattr(phrases, "_show", counted)
+    rows = [("one two three four five six seven. " * 3, "en")] * 200 + [("two three, five six", "de")] * 40
+    df = spark.createDataFrame(rows, "text string, lang string").repartition(6)
+    found, _ = phrases.frequent_phrases(df, 20, 5, 4, 100, "text", "lang")
+    assert found.count() == 6 + 5 + 4 + 3 + 2
+    assert 20 <= made.value <= 25  # before: one in each piece that holds it
+
+
 def test_phrases_of_nothing(spark):
     df = spark.createDataFrame([], "text string, lang string")
     assert phrases.collocations(df).count() == 0
