@@ -298,13 +298,18 @@ def gap_joined_clusters(mask: DataFrame, contigs: list[str] | None = None) -> Da
     The bins are dealt to tasks by their number, not by shuffled bytes: a bin
     takes a few compressed bytes in a shuffle and far more in a sort.  Only the
     one sort of D3 sees a whole contig; the others see stretches of it."""
+    return _joined_and_tasks(mask, contigs)[0]
+
+
+def _joined_and_tasks(mask: DataFrame, contigs: list[str] | None = None) -> tuple[DataFrame, int]:
+    """``gap_joined_clusters`` and the number of tasks that its bins ask for."""
     means = stored(strain_means(mask), "strain-means")  # one row per strain
     tasks = max(1, -(-(means.agg(F.sum("bins")).first()[0] or 0) // BINS_PER_TASK))
     cov = coverage_fraction(mask, means).repartition(tasks, *KEYS)
     flagged = segments(two_flank_rescue(classify_bins(cov), contigs).select(*_BIN_COLS)).repartition(tasks, *SEG_KEYS)
     first = _sized(flagged, BIN_SIZE, SEG_KEYS)
     filled = fill_gaps(first, keys=SEG_KEYS).select(*_BIN_COLS, "seg")
-    return cluster_bins(filled, keys=SEG_KEYS)
+    return cluster_bins(filled, keys=SEG_KEYS), tasks
 
 
 def _with_final_flags(reclustered: DataFrame, threshold: int = CLUSTER_THRESHOLD) -> DataFrame:
@@ -353,12 +358,15 @@ def divergent_bins(
     freq counts every strain with the bin inside a cluster >= threshold,
     deletion clusters included (frequency is computed before they drop).
     The strain count is a scalar subquery (its own small job), not a join.
+    The shuffle on the bin key is dealt by the number of bins, as the ones before.
     """
-    flagged = _with_final_flags(gap_joined_clusters(mask, contigs).filter(F.col("cluster_size") >= F.lit(threshold)), threshold)
+    joined, tasks = _joined_and_tasks(mask, contigs)
+    flagged = _with_final_flags(joined.filter(F.col("cluster_size") >= F.lit(threshold)), threshold)
     per_window = Window.partitionBy("chrom", "start_bin", "end_bin")
     n = strain_count(mask).scalar()
     df = (
-        flagged.withColumn("_n_window", F.count(F.lit(1)).over(per_window))
+        flagged.repartition(tasks, "chrom", "start_bin", "end_bin")
+        .withColumn("_n_window", F.count(F.lit(1)).over(per_window))
         .withColumn("freq", F.col("_n_window") / n)
         .withColumn("mwf", F.when(F.col("freq") > 0.5, 1 - F.col("freq")).otherwise(F.col("freq")))
         .withColumn("freq_bin", freq_bin(F.col("freq"), rare, intermediate))

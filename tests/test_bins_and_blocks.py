@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -213,6 +214,24 @@ def test_bins_are_dealt_by_their_number(spark, monkeypatch):
     assert out.count() == 700
 
 
+def test_frequency_window_is_dealt_by_the_number_of_bins(spark, monkeypatch):
+    """The shuffle on the bin key is not dealt by its compressed bytes."""
+    from genoframe.operators import divergent as D
+
+    monkeypatch.setattr(D, "BINS_PER_TASK", 100)
+    mask = spark.range(2 * 400).selectExpr(
+        "concat('S', id % 2) AS strain", "'I' AS chrom", "1000 * floor(id / 2) AS start_bin", "1000 * floor(id / 2) + 1000 AS end_bin",
+        "if(floor(id / 2) % 40 < 12, 30L, 1L) AS var_count", "20.0D AS coverage",
+    )
+    bins = D.divergent_bins(mask)
+    plan = bins._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\([^()]*start_bin#\d+L, end_bin#\d+L, 8\), REPARTITION_BY_NUM", plan)
+    rows = bins.collect()
+    assert len(rows) == 2 * 10 * 12 and {r.freq for r in rows} == {1.0}
+    sizes = {r.freq_bin: r.size_kb for r in D.total_divergent_size(bins).collect()}
+    assert sizes == {"Common": 0.12, "All": 0.12} and D.bins_by_class(bins).count() == 2 * 120
+
+
 def test_stretches_of_a_contig_are_clustered_apart(spark, monkeypatch):
     """No task of D4-D7 holds a contig, and every bin gets what it gets in one piece."""
     from genoframe.operators import divergent as D
