@@ -11,16 +11,21 @@ A phrase of ``shortest`` to ``longest`` words is frequent if it occurs
 2. Mining: the local support of a shard is ``support`` times its share of the
    language, so that a frequent phrase reaches it in at least one shard.  The
    number of shards is fixed: local support does not fall, and candidates do not
-   multiply, as the corpus grows.  A shard is a grouping key, not a task: tasks
-   count what they gather of it, and the counts are summed by (shard, phrase).
-3. The locally frequent phrases of all shards are united.
-4. Counting: all occurrences of the united candidates in all shards are counted;
-   the sums are exact.
+   multiply, as the corpus grows.  A shard is a grouping key, not a task.  Not
+   phrases are counted but their hashes cut to 26 bits, two bytes and a count
+   each: a cut hash is counted for every phrase that has it, so that none is missed.
+3. United are the cut hashes that reach their support in some shard and
+   ``support`` over all shards of all languages.
+4. Counting: all occurrences of phrases with such a hash are counted by their
+   whole hash; the sums are exact, and what stays below ``support`` goes.
+
+Words and both counts travel in blocks: a row holds what a piece of text has in
+one of a fixed number of ranges of hashes, and a task adds up one range at a time.
 
 Steps 2 to 4 run for pairs first and for the longer lengths afterwards, since
 only a place whose pairs are all frequent can hold a longer frequent phrase.
-Between the steps tasks receive a bitmap of fixed size (2^24 bits, 2 MB) that
-never misses a phrase; the exact sets stay distributed and are joined.
+Between the steps tasks receive bitmaps of 2^24 or 2^26 bits (8 MB) that never
+miss a phrase; the exact sets stay distributed and are joined.
 
 Score: the lowest of floor(scale * a * n / (l * r)) over all cuts in two, in
 128-bit decimals.  A phrase inside a longer frequent one that occurs as often
@@ -56,9 +61,12 @@ BREAKS = bytes.maketrans(b".,;:!?\x0b\x0c\r", b"\n" * 9)
 END = b"\xff"  # in no UTF-8 text
 PART = 128  # words of a row; tasks receive 10,000 rows at a time
 LOG_BITS = 24
+CUT_BITS = 26  # of a hash that mining looks at
+RANGE_BITS = 16  # of them, those that one row tells apart
+SUM_BITS = 8  # of a hash, its range in the exact counts
 
-ENCODED = "lang string, ids binary, own int, key long, n long"
-SCHEMA = pa.schema([("lang", pa.string()), ("ids", pa.binary()), ("own", pa.int32()), ("key", pa.int64()), ("n", pa.int64())])
+ENCODED = "lang string, ids binary, own int, bucket int, keys binary, n binary"
+SCHEMA = pa.schema([("lang", pa.string()), ("ids", pa.binary()), ("own", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary()), ("n", pa.binary())])
 
 
 def _seed(lang: str) -> int:
@@ -82,13 +90,10 @@ def _encode(longest: int, flush: int = 1 << 19):
     def counted(lang: str, parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         keys, counts = np.unique(np.concatenate(parts), return_counts=True)
         keys, counts = keys[keys > 0], counts[keys > 0]
-        for at in range(0, len(keys), 1 << 16):
-            some = keys[at : at + (1 << 16)]
-            m = len(some)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * m), pa.nulls(m, pa.binary()), pa.nulls(m, pa.int32()),
-                 pa.array(some.view(np.int64)), pa.array(counts[at : at + (1 << 16)].astype(np.int64))], schema=SCHEMA
-            )
+        block = _blocks(_ends(keys, 64, SUM_BITS), {"keys": keys, "n": counts.astype(np.uint32)})
+        m = block.num_rows
+        if m:
+            yield pa.RecordBatch.from_arrays([pa.repeat(lang, m), pa.nulls(m, pa.binary()), pa.nulls(m, pa.int32()), *block.columns], schema=SCHEMA)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[np.ndarray]] = {}
@@ -112,7 +117,7 @@ def _encode(longest: int, flush: int = 1 << 19):
             if m:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(langs, pa.string()), pa.array(ids, pa.binary()), pa.array(own, pa.int32()),
-                     pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64())], schema=SCHEMA
+                     pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary()), pa.nulls(m, pa.binary())], schema=SCHEMA
                 )
         for lang in list(held):
             yield from counted(lang, held.pop(lang))
@@ -191,14 +196,15 @@ class Shard:
 
 
 def _gathered(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple[str, int, Shard]]:
-    """Pieces of one language and shard.  What a task holds is bounded by about
-    twice ``words``, however many languages and shards it meets."""
-    held: dict[tuple[str, int], list[tuple[bytes, int, int]]] = {}
-    size: dict[tuple[str, int], int] = {}
+    """Pieces of one language and shard, and of one partition as it was written.
+    What a task holds is bounded by about twice ``words``, however many languages
+    and shards it meets."""
+    held: dict[tuple[str, int, int], list[tuple[bytes, int, int]]] = {}
+    size: dict[tuple[str, int, int], int] = {}
     total = 0
     for batch in _small(batches):
         for lang, ids, own, shard, part in zip(*(c.to_pylist() for c in batch.columns)):
-            place = (lang, shard)
+            place = (lang, shard, part >> 33)  # see monotonically_increasing_id
             held.setdefault(place, []).append((ids, own, part))
             size[place] = size.get(place, 0) + own
             total += own
@@ -206,9 +212,9 @@ def _gathered(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple[s
                 if size[place] < words:
                     place = max(size, key=size.__getitem__)
                 total -= size.pop(place)
-                yield *place, Shard(held.pop(place))
+                yield *place[:2], Shard(held.pop(place))
     for place in list(held):
-        yield *place, Shard(held.pop(place))
+        yield *place[:2], Shard(held.pop(place))
 
 
 def _phrases(piece: Shard, frequent, pairs, lengths: tuple[int, ...], among) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -228,32 +234,118 @@ def _phrases(piece: Shard, frequent, pairs, lengths: tuple[int, ...], among) ->
             yield size, at[own], key[own]
 
 
-def _batches(step: int, **columns: np.ndarray) -> Iterator[pa.RecordBatch]:
-    for cut in range(0, len(next(iter(columns.values()))), step):
-        yield pa.RecordBatch.from_arrays([pa.array(c[cut : cut + step]) for c in columns.values()], names=list(columns))
+def _ends(keys: np.ndarray, size: int, ranges: int) -> np.ndarray:
+    """Where the 2^``ranges`` equal ranges of ``size``-bit values end in the sorted keys."""
+    limits = np.arange(1, 1 << ranges, dtype=np.uint64) << np.uint64(size - ranges)
+    return np.append(np.searchsorted(keys, limits), len(keys))
+
+
+def _blocks(ends: np.ndarray, blobs: dict[str, np.ndarray], **same: pa.Scalar) -> pa.RecordBatch:
+    """A row (bucket, *blobs, *same) for each range of the sorted values that holds
+    any; range i ends before the place ``ends[i]``."""
+    starts = np.concatenate([[0], ends[:-1]])
+    some = np.flatnonzero(ends > starts)
+    at = np.append(starts[some], len(next(iter(blobs.values())))).astype(np.int32)
+    columns = {"bucket": pa.array(some.astype(np.int32))}
+    for name, values in blobs.items():
+        buffers = [None, pa.py_buffer(at * np.int32(values.itemsize)), pa.py_buffer(np.ascontiguousarray(values))]
+        columns[name] = pa.Array.from_buffers(pa.binary(), len(some), buffers)
+    for name, value in same.items():
+        columns[name] = pa.repeat(value, len(some))
+    return pa.RecordBatch.from_pydict(columns)
+
 
+MINED = "bucket int, low binary, n binary, place int"
+COUNTED = "bucket int, keys binary, n binary, spots binary, base long"
 
-def _mine(needs: dict[tuple[str, int], int], frequent, pairs, lengths: tuple[int, ...], words: int):
-    """Counts by ``place``: the shard, and below 2^32 its local support."""
+
+def _mine(places: dict[tuple[str, int], int], support: int, frequent, pairs, lengths: tuple[int, ...], words: int):
+    """Counts of cut hashes by ``place``, a language's shard; up to ``support`` in a piece."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, shard, piece in _gathered(batches, words):
-            place = shard << 32 | needs[lang, shard]
-            for _, _, key in _phrases(piece, frequent, pairs, lengths, None):
-                found, n = np.unique(key, return_counts=True)
-                yield from _batches(1 << 16, key=found.view(np.int64), place=np.full(len(found), place), n=n.astype(np.int64))
+            parts = [key for _, _, key in _phrases(piece, frequent, pairs, lengths, None)]
+            if parts:
+                found, n = np.unique(np.concatenate(parts) & np.uint64((1 << CUT_BITS) - 1), return_counts=True)
+                blobs = {"low": found.astype(np.uint16), "n": np.minimum(n, support).astype(np.min_scalar_type(support))}
+                yield _blocks(_ends(found, CUT_BITS, CUT_BITS - RANGE_BITS), blobs, place=pa.scalar(places[lang, shard], pa.int32()))
+
+    return run
+
+
+def _reach(needs: list[int], support: int):
+    """The bits of the cut hashes of one range that reach the local support of
+    some place, and ``support`` in all."""
+
+    def run(block: pa.Table) -> pa.Table:
+        total, reached = np.zeros(1 << RANGE_BITS, np.int64), np.zeros(1 << RANGE_BITS, bool)
+        places, low, n = block.column("place").to_numpy(), block.column("low"), block.column("n")
+        for place in np.unique(places).tolist():
+            here = np.zeros(1 << RANGE_BITS, np.int64)
+            for i in np.flatnonzero(places == place).tolist():  # no hash occurs twice in a row
+                here[np.frombuffer(low[i].as_py(), np.uint16)] += np.frombuffer(n[i].as_py(), np.min_scalar_type(support))
+            reached |= here >= needs[place]
+            total += here
+        reached &= total >= support
+        return pa.table({"bucket": block.column("bucket").slice(0, 1), "bits": [np.packbits(reached, bitorder="little").tobytes()]})
 
     return run
 
 
+def _candidates(mined: DataFrame, needs: list[int], support: int):
+    """A bitmap of the candidates for the tasks."""
+    out = np.zeros(1 << (CUT_BITS - 6), np.uint64)
+    size = 1 << (RANGE_BITS - 6)
+    for row in mined.groupBy("bucket").applyInArrow(_reach(needs, support), "bucket int, bits binary").toArrow().to_pylist():
+        out[row["bucket"] * size : (row["bucket"] + 1) * size] = np.frombuffer(row["bits"], np.uint64)
+    return mined.sparkSession.sparkContext.broadcast(out)
+
+
 def _count(frequent, pairs, candidates, lengths: tuple[int, ...], words: int):
-    """Counts, and one spot where each phrase is."""
+    """Counts by whole hash, and one spot where each phrase is."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, _, piece in _gathered(batches, words):
-            for _, at, key in _phrases(piece, frequent, pairs, lengths, candidates):
+            parts = [(at, key) for _, at, key in _phrases(piece, frequent, pairs, lengths, candidates) if len(key)]
+            if parts:
+                at, key = (np.concatenate(x) for x in zip(*parts))
                 found, first, n = np.unique(key, return_index=True, return_counts=True)
-                yield from _batches(1 << 16, key=found.view(np.int64), n=n.astype(np.int64), spot=piece.spots(at[first]))
+                spots = piece.spots(at[first])
+                base = int(spots.min())
+                spots = (spots - base).astype(np.uint32 if spots.max() - base < 1 << 32 else np.uint64)
+                blobs = {"keys": found, "n": n.astype(np.uint32), "spots": spots}
+                yield _blocks(_ends(found, 64, SUM_BITS), blobs, base=pa.scalar(base, pa.int64()))
+
+    return run
+
+
+def _words(block: pa.Table) -> pa.Table:
+    """(key, lang, n) of one range of one language's words."""
+    keys = np.concatenate([np.frombuffer(b.as_py(), np.int64) for b in block.column("keys")])
+    n = np.concatenate([np.frombuffer(b.as_py(), np.uint32) for b in block.column("n")]).astype(np.int64)
+    order = np.argsort(keys)
+    keys = keys[order]
+    starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    return pa.table({"key": keys[starts], "lang": pa.repeat(block.column("lang")[0], len(starts)), "n": np.add.reduceat(n[order], starts)})
+
+
+def _sum(support: int):
+    """(key, a, spot) of one range: the phrases that occur ``support`` times or more."""
+
+    def run(block: pa.Table) -> pa.Table:
+        keys = np.concatenate([np.frombuffer(b.as_py(), np.int64) for b in block.column("keys")])
+        n = np.concatenate([np.frombuffer(b.as_py(), np.uint32) for b in block.column("n")]).astype(np.int64)
+        spots = []
+        for b, m, base in zip(block.column("spots"), block.column("n"), block.column("base").to_pylist()):
+            wide = len(b.as_py()) > len(m.as_py())
+            spots.append(np.frombuffer(b.as_py(), np.uint64 if wide else np.uint32).astype(np.int64) + base)
+        order = np.argsort(keys)
+        keys = keys[order]
+        starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        a = np.add.reduceat(n[order], starts)
+        spot = np.minimum.reduceat(np.concatenate(spots)[order], starts)
+        keep = a >= support
+        return pa.table({"key": keys[starts][keep], "a": a[keep], "spot": spot[keep]})
 
     return run
 
@@ -335,28 +427,25 @@ def frequent_phrases(
     """(key, lang, ids, a) of all frequent phrases, and (key, lang, n) of all words."""
     encoded = _source(docs, text, lang).mapInArrow(_encode(longest), ENCODED).withColumn("shard", F.spark_partition_id() % shards)
     encoded = encoded.withColumn("part", F.monotonically_increasing_id())
-    encoded = stored(encoded, "phrase-ids")
-    words = stored(
-        encoded.filter("ids IS NULL").groupBy("key", "lang").agg(F.sum("n").alias("n")),
-        "phrase-words",
-    )
+    encoded = stored(encoded, "phrase-ids", "zstd")  # hashes repeat as their words do
+    counted = encoded.filter("ids IS NULL").select("lang", "bucket", "keys", "n")
+    words = stored(counted.groupBy("lang", "bucket").applyInArrow(_words, "key long, lang string, n long"), "phrase-words")
     rows = encoded.filter("ids IS NOT NULL").select("lang", "ids", "own", "shard", "part")
     sizes = {(r.lang, r.shard): r.n for r in rows.groupBy("lang", "shard").agg(F.sum("own").alias("n")).collect()}  # langs x shards
     totals: dict[str, int] = {}
     for (name, _), n in sizes.items():
         totals[name] = totals.get(name, 0) + n
-    needs = {place: -(-support * n // totals[place[0]]) for place, n in sizes.items()}  # rounded up
+    places = {place: i for i, place in enumerate(sizes)}
+    needs = [-(-support * n // totals[name]) for (name, _), n in sizes.items()]  # rounded up
 
     frequent, pairs, out = _broadcast(words.filter(F.col("n") >= support)), None, None
     for lengths in [(2,), tuple(range(3, longest + 1))]:
         if not lengths:
             break
-        local = rows.mapInArrow(_mine(needs, frequent, pairs, lengths, piece_words), "key long, place long, n long")
-        local = local.groupBy("key", "place").agg(F.sum("n").alias("n")).filter("n >= (place & 4294967295L)")
-        union = stored(local.select("key").distinct(), "phrase-candidates")
-        counted = rows.mapInArrow(_count(frequent, pairs, _broadcast(union), lengths, piece_words), "key long, n long, spot long")
-        exact = counted.groupBy("key").agg(F.sum("n").alias("a"), F.min("spot").alias("spot")).filter(F.col("a") >= support)
-        exact = stored(union.join(exact, "key"), "phrase-counts")
+        mined = rows.mapInArrow(_mine(places, support, frequent, pairs, lengths, piece_words), MINED)
+        candidates = _candidates(mined, needs, support)
+        counted = rows.mapInArrow(_count(frequent, pairs, candidates, lengths, piece_words), COUNTED)
+        exact = stored(counted.groupBy("bucket").applyInArrow(_sum(support), "key long, a long, spot long"), "phrase-counts")
         chosen = _broadcast(exact)
         marks = exact.select("spot").mapInArrow(_marks, "one long, two long")
         spots = [_broadcast(marks.select(F.col(c).alias("key"))) for c in ("one", "two")]

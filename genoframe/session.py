@@ -54,13 +54,13 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/genoframe-{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex[:12]}"
 
 
-def stored(df: DataFrame, tag: str) -> DataFrame:
+def stored(df: DataFrame, tag: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as parquet under :func:`scratch_path` and read it back.
 
     Like a checkpoint it cuts the lineage and survives lost executors; unlike
     an RDD checkpoint the reader keeps column pruning and statistics."""
     path = scratch_path(df.sparkSession, tag)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -260,6 +260,35 @@ def test_phrases_are_spelled_at_one_spot(spark, monkeypatch):
     assert 20 <= made.value <= 25  # before: one in each piece that holds it
 
 
+def test_phrase_counts_travel_in_blocks(spark, phrase_rows, monkeypatch):
+    """What a piece counts takes a row a range of hashes, not a row a phrase;
+    phrases that share a cut hash are told apart."""
+    made, texts = spark.sparkContext.accumulator(0), phrase_rows * 3
+
+    def counted(step):
+        def outer(*args):
+            run = step(*args)
+
+            def rows(batches):
+                for batch in run(batches):
+                    made.add(batch.num_rows)
+                    yield batch
+
+            return rows
+
+        return outer
+
+    for name in ("_mine", "_count"):
+        monkeypatch.setattr(phrases, name, counted(getattr(phrases, name)))
+    monkeypatch.setattr(phrases, "CUT_BITS", 18)
+    monkeypatch.setattr(phrases, "SUM_BITS", 2)
+    df = spark.createDataFrame(texts, "text string, lang string").repartition(4)
+    got = phrases.collocations(df, support=20, top=30).collect()
+    assert sorted(map(tuple, got)) == plain_phrases(texts, 20, 5, 30)
+    partitions, langs, ranges, steps = 4, 5, 4, 4
+    assert made.value <= partitions * langs * ranges * steps  # before: a row a phrase
+
+
 def test_phrases_of_nothing(spark):
     df = spark.createDataFrame([], "text string, lang string")
     assert phrases.collocations(df).count() == 0
