@@ -10,7 +10,8 @@ equal priors.
 Every task receives at most ``max_words`` of the most frequent words and at most
 ``max_grams`` of the most frequent n-grams of each length: a size fixed by parameters, not by the
 data.  That only saves time: a text's other words are joined by shuffle with
-the full tables of words and n-grams, once per distinct word.
+the full tables of words and n-grams, once per distinct word; what they come to
+goes back to the texts by a 64-bit hash of the word.
 
 Defined cases: null text, empty text and text without a letter give ``und`` and
 score 0, and so does everything if nothing can be learned; a null id counts as
@@ -148,7 +149,7 @@ def train(labelled: DataFrame, max_words: int = 30_000, max_grams: int = 20_000)
     with a count per language, come to the driver.  Beside them the full stored
     tables (k, lang, n) of words and of n-grams in the order of ``ORDERS``."""
     words = stored(
-        labelled.mapInArrow(_count, "lang string, w string, n long").groupBy("lang", "w").agg(F.sum("n").alias("n")), "lang-words"
+        labelled.mapInArrow(_count, "lang string, w string, n long").groupBy("lang", "w").agg(F.sum("n").alias("n")), "lang-words", "zstd"
     )
     langs = sorted(r[0] for r in words.select("lang").distinct().collect())
     marked = F.concat(F.lit(MARK), F.col("w"), F.lit(MARK))
@@ -156,7 +157,7 @@ def train(labelled: DataFrame, max_words: int = 30_000, max_grams: int = 20_000)
     def kept(counts: DataFrame, limit: int) -> tuple[dict[str, np.ndarray], np.ndarray, bool]:
         per = dict(counts.groupBy("lang").agg(F.sum("n")).collect())
         totals = np.array([float(per.get(lang, 0)) for lang in langs])
-        every = counts.groupBy("k").agg(F.sum("n").alias("m"))
+        every = stored(counts.groupBy("k").agg(F.sum("n").alias("m")), "lang-totals", "zstd")  # read three times
         size = every.count()
         rows = counts.join(frequent(every, limit, "m").select("k"), "k").select("k", "lang", "n").toArrow()
         logs = _logs(rows, langs, totals, size)
@@ -171,7 +172,7 @@ def train(labelled: DataFrame, max_words: int = 30_000, max_grams: int = 20_000)
             .groupBy("k", "lang")
             .agg(F.sum("n").alias("n"))
         )
-        tables.append(stored(counts, "lang-counts"))
+        tables.append(stored(counts, "lang-counts", "zstd"))
     got = [kept(t, max_grams if i else max_words) for i, t in enumerate(tables)]
     partial = {n for n, g in zip(ORDERS, got[1:]) if g[2]}
     grams = {n: g[0] for n, g in zip(ORDERS, got[1:])}
@@ -250,7 +251,7 @@ def _resolved(missing: DataFrame, tables: list[DataFrame], model: Model, shipped
     words = missing.join(sparse(tables[0]).withColumnRenamed("k", "w"), "w").groupBy("w").agg(xs)
     words = dense(words.select("w", F.lit(0).alias("t"), F.lit(1).alias("g"), "xs"))
     unseen = missing.join(tables[0].select(F.col("k").alias("w")), "w", "left_anti")
-    tried = stored(unseen.mapInArrow(_backoffs(shipped), "w string, t int, k string, g long, sums array<double>"), "lang-backoff")
+    tried = stored(unseen.mapInArrow(_backoffs(shipped), "w string, t int, k string, g long, sums array<double>"), "lang-backoff", "zstd")
     here = tried.filter("k IS NULL")
     parts = here.select("w", "t", F.posexplode("sums").alias("at", "x")).unionByName(here.select("w", "t", F.lit(-1).alias("at"), F.col("g").cast("double").alias("x")))
     asked = tried.filter("k IS NOT NULL").select("w", "t", "k")
@@ -265,7 +266,7 @@ def _resolved(missing: DataFrame, tables: list[DataFrame], model: Model, shipped
         .groupBy("w", "t").agg(F.max(F.when(F.col("at") < 0, F.col("x"))).alias("g"), xs)
         .groupBy("w").agg(F.min_by(F.struct("t", "g", "xs"), "t").alias("b"))
     )
-    return stored(words.unionByName(dense(best.select("w", "b.t", "b.g", "b.xs"))), "lang-rare")
+    return stored(words.unionByName(dense(best.select("w", "b.t", "b.g", "b.xs"))), "lang-rare", "zstd")
 
 
 def identify(
@@ -279,15 +280,16 @@ def identify(
     if model.whole:
         return rows.select("doc_id", "held_out", "t").mapInArrow(_predict(shipped), PREDICTED)
     scored = stored(
-        rows.select(F.monotonically_increasing_id().alias("key"), "doc_id", "held_out", "t").mapInArrow(_sums(shipped), SUMS), "lang-scored"
+        rows.select(F.monotonically_increasing_id().alias("key"), "doc_id", "held_out", "t").mapInArrow(_sums(shipped), SUMS), "lang-scored", "zstd"
     )
-    missing = stored(scored.select(F.explode("rare").alias("w")).distinct(), "lang-missing")
+    missing = stored(scored.select(F.explode("rare").alias("w")).distinct(), "lang-missing", "zstd")
     vectors = _resolved(missing, tables, model, shipped)
+    vectors = vectors.select(F.xxhash64("w").alias("h"), "vec")  # words move as hashes only
     each = range(len(model.langs))
     more = (
         scored.select("key", F.explode(F.arrays_zip("rare", "times")).alias("r"))
-        .select("key", F.col("r.rare").alias("w"), "r.times")
-        .join(vectors, "w")
+        .select(F.xxhash64("r.rare").alias("h"), "key", "r.times")
+        .join(vectors.hint("merge"), "h")  # the size of the files does not tell that of lists
         .groupBy("key")
         .agg(F.array(*[F.sum(F.col("times") * F.get("vec", F.lit(i))) for i in each]).alias("more"))
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import random
+import re
 import zlib
 
 import numpy as np
@@ -207,6 +208,16 @@ def test_contexts_outside_the_broadcast_model_are_looked_up(spark):
             assert abs(got[i] / (-bits * np.log10(2)) - 1) < 1e-4
 
 
+def test_rare_words_move_as_hashes(spark):
+    """Texts meet the words that the model lacks by a hash, not by the word."""
+    rows = [(i, f"{w} {w}er {i}x{w}", lang) for i, (w, lang) in enumerate([("haus", "de"), ("house", "en"), ("maison", "fr")] * 20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = langid.identify(docs, max_words=2, max_grams=4)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"Join \[h#\d+L\], \[h#\d+L\]", plan) and not re.search(r"Join \[w#", plan)
+    assert all(r.lang_pred == lang for r, (_, _, lang) in zip(out.orderBy("doc_id").collect(), rows))
+
+
 def test_words_outside_the_broadcast_model_are_looked_up(spark):
     rng = random.Random(7)
     letters = {"a": "abcdefghijk", "b": "fghijklmnop", "c": "aeioklmnstñ"}
