@@ -84,6 +84,38 @@ def test_bin_grids_of_contig_long_intervals(spark):
     assert sparse.count() <= 3 * len(reads)
 
 
+@pytest.mark.parametrize("block", [1, 7, 64])
+def test_gap_fill_blocks_change_no_bin(spark, monkeypatch, block):
+    """Reads that begin before the contig, cross many blocks or pass its end."""
+    rnd = random.Random(block)
+    lengths = spark.createDataFrame([("I", 41_000), ("II", 900), ("III", None)], "chrom string, chrom_length long")
+    spans = [(-2500, 900), (-500, 41_000), (0, 41_000), (6999, 7001), (7000, 14_000), (39_900, 90_000), (45_000, 46_000)]
+    spans += [(s, s + rnd.choice([1, 150, 1000, 3000, 20_001])) for s in (rnd.randrange(40_000) for _ in range(40))]
+    reads = [(rnd.choice("wx"), "I", s, e) for s, e in spans] + [("y", "III", 5, 5000), ("y", "IV", 5, 5000), ("w", "I", None, 7)]
+    aligned = spark.createDataFrame(reads, "strain string, chrom string, start_pos long, end_pos long")
+    calls = [(n, c, s + 1, "A" * (e - s), "1/1") for n, c, s, e in reads if s is not None]
+    geno = spark.createDataFrame(calls, "strain string, chrom string, pos long, ref string, gt string")
+    names = spark.createDataFrame([("w",), ("z",)], "strain string")
+    monkeypatch.setattr(I, "BLOCK_BINS", block)
+    depth = {(r.strain, r.chrom, r.start_bin, r.end_bin): r.coverage for r in I.interval_mean_depth(aligned, lengths).collect()}
+    count = {(r.strain, r.chrom, r.start_bin, r.end_bin): r.var_count for r in I.interval_count(geno, lengths).collect()}
+    grid = {(n, "I", b, min(b + 1000, 41_000)) for n in "wxy" for b in range(0, 41_000, 1000)} | {(n, "II", 0, 900) for n in "wxy"}
+    assert set(depth) == set(count) == grid
+    for (strain, chrom, start, end), coverage in depth.items():
+        over = [min(e, end) - max(s, start) for n, c, s, e in reads if (n, c) == (strain, chrom) and s is not None and s < end and e > start]
+        assert coverage == int(sum(over) * 100 / (end - start) + 0.5) / 100
+        assert count[strain, chrom, start, end] == len(over)
+    named = {(r.strain, r.chrom) for r in I.interval_mean_depth(aligned, lengths, strains=names).collect()}
+    assert named == {("w", "I"), ("w", "II"), ("z", "I"), ("z", "II"), ("x", "I")}
+
+
+def test_gap_fill_of_a_contig_longer_than_an_array(spark):
+    """3,000,000,000 bins after the only read: no task lists them at once."""
+    lengths = spark.createDataFrame([("I", 3 * 10**12)], "chrom string, chrom_length long")
+    aligned = spark.createDataFrame([("w", "I", 0, 500)], "strain string, chrom string, start_pos long, end_pos long")
+    assert len(I.interval_mean_depth(aligned, lengths).limit(3).collect()) == 3
+
+
 def brute_removals(edges, window, step):
     gone = set()
     for start in range(1, max(b for _, b, _ in edges) + 1, step):
