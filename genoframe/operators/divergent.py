@@ -15,6 +15,10 @@ a chromosome boundary (D3 looks at the previous/next bin of the same strain)
 come from a per-(strain, chrom) edge table of two values per chromosome, not
 from a strain-wide window, so no task ever holds a whole strain.  Only the
 population frequency (D8) needs another shuffle, on the bin key.
+
+The regions alone (D10 / D17) need no bin after D3: they come from run lengths
+(``_run_pieces``, ``_joined_runs``).  Their windows over bins see a block of a
+contig, those over a contig see runs, so a cluster may be as long as a contig.
 """
 
 from __future__ import annotations
@@ -33,12 +37,15 @@ GAP_CLUSTER_THRESHOLD = 9000  # minimum size of clusters whose gaps are joined
 GAP = 5000  # largest gap (bp) joined between two clusters
 BIN_SIZE = 1000
 BINS_PER_TASK = 100_000
+BLOCK_BINS = 16_384  # bins of a contig that the run lengths see at once
+BINS_PER_RUN_TASK = 400_000
 GAP_FILL_BINS = 4  # only bins 1..4 after a joined cluster are filled
 FREQ_RARE = 0.01
 FREQ_INTERMEDIATE = 0.05
 
 KEYS = ["strain", "chrom"]
 SEG_KEYS = [*KEYS, "seg"]
+BLOCK_KEYS = [*KEYS, "_blk"]
 
 
 def _w_bins(keys: list[str] = KEYS) -> Window:
@@ -86,6 +93,22 @@ def classify_bins(
 
 
 # --------------------------------------------------------------------- D3
+def _two_flank(is_pass: Column, prev_pass: Column, next_pass: Column) -> Column:
+    return is_pass & ~prev_pass & ~next_pass
+
+
+def _contig_edges(edges: DataFrame) -> DataFrame:
+    """The outer neighbours of each contig's edge bins: the last / first bin of
+    the adjacent contig of the same strain."""
+    w = Window.partitionBy("strain").orderBy("_crank", "chrom")
+    return edges.select(
+        "strain",
+        "chrom",
+        F.lag("_last_pass").over(w).alias("_chrom_prev_pass"),
+        F.lead("_first_pass").over(w).alias("_chrom_next_pass"),
+    )
+
+
 def two_flank_rescue(classified: DataFrame, contigs: list[str] | None = None) -> DataFrame:
     """D3: a Pass bin whose previous and next bin (same strain, genome order)
     are both not Pass becomes Divergent with reason ``TwoFlank``.  A missing
@@ -97,23 +120,14 @@ def two_flank_rescue(classified: DataFrame, contigs: list[str] | None = None) ->
         .withColumn("_prev_pass", F.lag(is_pass).over(w))
         .withColumn("_next_pass", F.lead(is_pass).over(w))
     )
-    # Edge bins of each chromosome: their outer neighbour is the last / first
-    # bin of the adjacent chromosome of the same strain.
     edges = df.groupBy("strain", "chrom", "_crank").agg(
         F.min_by(is_pass, F.col("start_bin")).alias("_first_pass"),
         F.max_by(is_pass, F.col("start_bin")).alias("_last_pass"),
     )
-    we = Window.partitionBy("strain").orderBy("_crank", "chrom")
-    edges = edges.select(
-        "strain",
-        "chrom",
-        F.lag("_last_pass").over(we).alias("_chrom_prev_pass"),
-        F.lead("_first_pass").over(we).alias("_chrom_next_pass"),
-    )
-    df = df.join(edges, KEYS, "left")  # two values per (strain, contig)
+    df = df.join(_contig_edges(edges), KEYS, "left")  # two values per (strain, contig)
     prev_pass = F.coalesce(F.col("_prev_pass"), F.col("_chrom_prev_pass"), F.lit(False))
     next_pass = F.coalesce(F.col("_next_pass"), F.col("_chrom_next_pass"), F.lit(False))
-    twoflank = is_pass & ~prev_pass & ~next_pass
+    twoflank = _two_flank(is_pass, prev_pass, next_pass)
     return (
         df.withColumn("is_twoflank", twoflank)
         .withColumn(
@@ -394,19 +408,150 @@ def divergent_bins(
     )
 
 
+# --------------------------------------------------------------------- D1-D9 by run lengths
+def _run_pieces(mask: DataFrame, contigs: list[str] | None, threshold: int) -> DataFrame:
+    """D1-D3, and the runs of bins of one class in each block of a contig.
+
+    A row is a run of ``_n`` bins from the block's bin number ``_r0`` (of
+    ``_in_blk``) on: whether it is divergent and holds a Count bin, its first start
+    ``_s0`` and on how many bins, and the last four ends ``_ends``.  The outer bins
+    of a block do not know their neighbour: a Pass bin there waits for D3 in
+    ``_whole_runs``.  Runs at the borders are kept, and of the others the divergent
+    ones that can be a cluster of ``threshold`` or be reached by the gap fill."""
+    means = stored(strain_means(mask), "strain-means")  # one row per strain
+    tasks = max(1, -(-(means.agg(F.sum("bins")).first()[0] or 0) // BINS_PER_RUN_TASK))
+    block = F.coalesce(F.floor(F.col("start_bin") / (BIN_SIZE * BLOCK_BINS)), F.lit(0)).cast("bigint")
+    df = classify_bins(coverage_fraction(mask, means)).select(
+        *KEYS, block.alias("_blk"), "start_bin", "end_bin", F.coalesce("is_count", F.lit(False)).alias("_count"), (F.col("div_class") == "Pass").alias("_pass")
+    )
+    w = _w_bins(BLOCK_KEYS)
+    # two bins on either side, and the ends of the three before
+    around = {n: F.lag("_pass", k).over(w) for n, k in (("_a2", 2), ("_a1", 1), ("_b1", -1), ("_b2", -2))}
+    ends = {f"_e{k}": F.lag("end_bin", k).over(w) for k in (1, 2, 3)}
+    df = df.repartition(tasks, *BLOCK_KEYS).withColumns(around | ends | {"_row": F.row_number().over(w)})
+    div = lambda prev, at, after: ~F.col(at) | F.coalesce(_two_flank(*map(F.col, (at, prev, after))), F.lit(False))
+    df = df.withColumn("_div", div("_a1", "_pass", "_b1"))
+    changes = lambda *bins: F.coalesce(div(*bins) != F.col("_div"), F.lit(True))
+    df = df.withColumns({"_new": changes("_a2", "_a1", "_pass"), "_last": changes("_pass", "_b1", "_b2")})
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    df = df.withColumns(
+        {"_run": F.sum(F.col("_new").cast("int")).over(upto), "_s0": F.last(F.when(F.col("_new"), F.col("start_bin")), ignorenulls=True).over(upto)}
+    )
+    runs = df.groupBy(*BLOCK_KEYS, "_run").agg(
+        F.max("_div").alias("_div"),
+        F.max("_count").alias("_count"),
+        F.min("_row").cast("bigint").alias("_r0"),
+        F.count(F.lit(1)).alias("_n"),
+        F.max("_s0").alias("_s0"),
+        F.count_if(F.col("start_bin") == F.col("_s0")).alias("_at_s0"),
+        *[F.max(F.when(F.col("_last"), F.col(c))).alias(c) for c in ("end_bin", *ends)],
+    )
+    wb = Window.partitionBy(*BLOCK_KEYS).orderBy("_run")
+    until = F.col("_r0") + F.col("_n") - 1
+    runs = runs.withColumn("_until", until).withColumn("_in_blk", F.max("_until").over(Window.partitionBy(*BLOCK_KEYS)))
+    large = F.col("_div") & (F.col("_n") * BIN_SIZE >= min(threshold, GAP_CLUSTER_THRESHOLD))
+    runs = runs.withColumn("_keep", large | (F.col("_r0") <= 2) | (F.col("_until") >= F.col("_in_blk") - 1))
+    reached = F.coalesce(F.max(F.when(F.col("_keep"), F.col("_until"))).over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    runs = runs.withColumn("_reached", F.col("_r0") - reached <= GAP_FILL_BINS + 1)
+    last_ends = F.array("_e3", "_e2", "_e1", "end_bin")
+    size = F.least(F.col("_n"), F.lit(4)).cast("int")
+    kept = runs.filter(F.col("_keep") | (F.col("_div") & F.col("_reached"))).select(
+        *BLOCK_KEYS, "_div", "_count", "_r0", "_n", "_in_blk", "_s0", "_at_s0", F.slice(last_ends, -size, size).alias("_ends")
+    )
+    return stored(kept, "divergent-runs")
+
+
+def _whole_runs(pieces: DataFrame, contigs: list[str] | None) -> DataFrame:
+    """D3 at the borders of blocks, and the divergent runs (D4) of each contig:
+    rows ``_first`` to ``_last`` of the contig, ``_n`` of them."""
+    w = Window.partitionBy(*KEYS).orderBy("_blk", "_r0")
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    at = F.struct("_blk", "_r0")
+    edges = pieces.withColumn("_crank", contig_rank("chrom", contigs)).groupBy(*KEYS, "_crank").agg(
+        F.min_by(~F.col("_div"), at).alias("_first_pass"), F.max_by(~F.col("_div"), at).alias("_last_pass")
+    )
+    df = pieces.join(_contig_edges(edges), KEYS, "left").withColumns(
+        {
+            "_prev_pass": ~F.lag("_div").over(w),
+            "_next_pass": ~F.lead("_div").over(w),
+            "_before": F.sum(F.when(F.col("_r0") == 1, F.col("_in_blk")).otherwise(0)).over(upto) - F.col("_in_blk"),
+        }
+    )
+    until = F.col("_r0") + F.col("_n") - 1
+    inside = F.lit(False)  # next to a single Pass bin, a bin of its block is not Pass
+    prev_pass = F.when(F.col("_r0") > 1, inside).otherwise(F.coalesce("_prev_pass", "_chrom_prev_pass", F.lit(False)))
+    next_pass = F.when(until < F.col("_in_blk"), inside).otherwise(F.coalesce("_next_pass", "_chrom_next_pass", F.lit(False)))
+    waits = (F.col("_n") == 1) & ((F.col("_r0") == 1) | (until == F.col("_in_blk")))
+    df = df.filter(F.col("_div") | (waits & _two_flank(~F.col("_div"), prev_pass, next_pass)))
+    df = df.withColumns({"_first": F.col("_before") + F.col("_r0"), "_last": F.col("_before") + until})
+    w = Window.partitionBy(*KEYS).orderBy("_first")
+    df = df.withColumn("_new", F.coalesce(F.col("_first") != F.lag("_last").over(w) + 1, F.lit(True)))
+    df = df.withColumn("_run", F.sum(F.col("_new").cast("int")).over(w))
+    ends = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_first", "_ends"))), lambda x: x["_ends"]))
+    return df.groupBy(*KEYS, "_run").agg(
+        F.min_by("_s0", "_first").alias("_s0"),
+        F.min_by("_at_s0", "_first").alias("_at_s0"),
+        F.max("_count").alias("_count"),
+        F.sum("_n").alias("_n"),
+        F.max("_last").alias("_last"),
+        ends.alias("_ends"),
+        F.min("_first").alias("_first"),
+    )
+
+
+def _clustered(runs: DataFrame) -> DataFrame:
+    """The run's ``cluster_start``, ``cluster_size`` and ``cluster_end`` as in D4;
+    a single bin has no start."""
+    size = F.when(F.col("cluster_start").isNull(), F.lit(BIN_SIZE)).otherwise(F.col("_n") * BIN_SIZE).cast("bigint")
+    df = runs.withColumn("cluster_start", F.when(F.col("_n") > 1, F.col("_s0"))).withColumn("cluster_size", size)
+    return df.withColumn("cluster_end", F.col("cluster_start") + F.col("cluster_size"))
+
+
+def _joined_runs(runs: DataFrame) -> DataFrame:
+    """D5-D7 on run lengths: the clusters of each contig after the gap fill.
+
+    The Pass bins among the four after a joined cluster's end belong to it; where
+    they reach the next run, the two are one cluster."""
+    w = Window.partitionBy(*KEYS).orderBy("_first")
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    df = _clustered(runs)
+    big = F.col("cluster_start").isNotNull() & (F.col("cluster_size") >= GAP_CLUSTER_THRESHOLD)
+    df = df.withColumn("_big", big)
+    next_big = F.lead("cluster_start").over(Window.partitionBy(*KEYS, "_big").orderBy("_first"))
+    df = df.withColumn("_next_start", F.when(F.col("_big"), next_big))
+    df = _gap_columns(df, GAP)
+    is_end = lambda k: F.get("_ends", F.size("_ends") - 1 - k) == F.col("cluster_end")
+    end_row = F.coalesce(*[F.when(is_end(k), F.col("_last") - k) for k in range(GAP_FILL_BINS)])
+    df = df.withColumn("_end_row", F.when(F.col("gap_join"), end_row))
+    reach = F.coalesce(F.max("_end_row").over(upto) + GAP_FILL_BINS - F.col("_last"), F.lit(0))
+    df = df.withColumns({"_reach": F.greatest(reach, F.lit(0)), "_apart": F.lead("_first").over(w) - F.col("_last") - 1})
+    df = df.withColumn("_filled", F.least("_reach", "_apart"))
+    df = df.withColumn("_new", ~F.coalesce(F.lag(F.col("_filled") >= F.col("_apart")).over(w), F.lit(False)))
+    df = df.withColumn("_run", F.sum(F.col("_new").cast("int")).over(upto))
+    return _clustered(
+        df.groupBy(*KEYS, "_run").agg(
+            F.min_by("_s0", "_first").alias("_s0"),
+            F.min_by("_at_s0", "_first").alias("_at_s0"),
+            F.max("_count").alias("_count"),
+            F.sum(F.col("_n") + F.col("_filled")).alias("_n"),
+        )
+    )
+
+
 # --------------------------------------------------------------------- D10 / D17
 def divergent_regions(
     mask: DataFrame, threshold: int = CLUSTER_THRESHOLD, contigs: list[str] | None = None
 ) -> DataFrame:
     """D10 / D17 (flagship): distinct divergent regions per strain.
 
-    One row per final cluster, taken from the cluster's first bin, so no
-    distinct / extra shuffle is needed; frequency does not filter regions.
+    One row per final cluster (D9: large enough and not a deletion), or one per
+    bin that comes several times at its start; frequency does not filter regions.
     """
-    flagged = _with_final_flags(gap_joined_clusters(mask, contigs).filter(F.col("cluster_size") >= F.lit(threshold)), threshold)
-    return flagged.filter(F.col("is_final") & (F.col("start_bin") == F.col("cluster_start"))).select(
-        "strain", "chrom", "cluster_start", "cluster_size", "cluster_end"
-    )
+    clusters = _joined_runs(_whole_runs(_run_pieces(mask, contigs, threshold), contigs))
+    final = F.col("cluster_start").isNotNull() & (F.col("cluster_size") >= threshold) & F.col("_count")
+    return clusters.filter(final).select(
+        "strain", "chrom", "cluster_start", "cluster_size", "cluster_end", F.explode(F.sequence(F.lit(1), "_at_s0")).alias("_i")
+    ).drop("_i")
 
 
 def region_bed(regions: DataFrame) -> DataFrame:

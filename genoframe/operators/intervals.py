@@ -17,6 +17,7 @@ from ..functions import genotype as G
 
 BIN_SIZE = 1000
 BLOCK_BINS = 16_384  # bins of a contig that the gap fill treats at once
+MOST_TASKS = 8_192
 
 
 # --------------------------------------------------------------------- A4
@@ -47,12 +48,15 @@ def _gap_fill(sparse: DataFrame, values: list[str], lengths: DataFrame, size: in
     own bin and the bins up to the next sparse row, so every output row is
     produced exactly once: linear work, and only the sparse rows are shuffled.
     A window partition and a generated array hold at most one block, however
-    long the contig is, and its blocks go to different tasks."""
+    long the contig is.  The blocks are dealt to as many tasks as a strain has
+    blocks: few shuffled bytes may make many bins."""
     lens = lengths.select("chrom", F.col(length_col).cast("bigint").alias("_len"))
     zero = F.lit(0).cast("bigint")
     w = Window.partitionBy("strain", "chrom", "_blk").orderBy("_b")
     sums = [F.coalesce(F.sum(c), zero).cast("bigint").alias(c) for v in values for c in (v, f"{v}_run")]
     df = sparse.groupBy("strain", "chrom", _block(F.col("_b")).alias("_blk"), "_b").agg(*sums).join(lens, "chrom")
+    tasks = -(-(lens.agg(F.sum(_n_bins(F.col("_len"), size))).first()[0] or 0) // BLOCK_BINS)
+    df = df.repartition(min(max(tasks, 1), MOST_TASKS), "strain", "chrom", "_blk")
     df = df.withColumns({f"{v}_run": F.sum(f"{v}_run").over(w) for v in values}).withColumn("_next", F.lead("_b").over(w))
     n_bins = _n_bins(F.col("_len"), size)
     lo = F.greatest("_b", zero)

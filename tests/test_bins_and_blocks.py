@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import random
 import re
 
@@ -9,9 +10,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from genoframe.functions import bins as B
+from genoframe.operators import divergent as D
 from genoframe.operators import intervals as I
 from genoframe.operators import pruning
 from genoframe.operators import variants as V
+from genoframe.session import materialize, stored
 
 CONTIG = 20_000_000
 
@@ -116,6 +119,58 @@ def test_gap_fill_of_a_contig_longer_than_an_array(spark):
     assert len(I.interval_mean_depth(aligned, lengths).limit(3).collect()) == 3
 
 
+MASK = "strain string, chrom string, start_bin long, end_bin long, var_count long, coverage double"
+
+
+def regions_by_bin(mask, threshold):
+    """D1-D10 with a row for every bin."""
+    joined = D.gap_joined_clusters(mask).filter(F.col("cluster_size") >= threshold)
+    flagged = D._with_final_flags(joined, threshold)
+    first = F.col("is_final") & (F.col("start_bin") == F.col("cluster_start"))
+    return flagged.filter(first).select("strain", "chrom", "cluster_start", "cluster_size", "cluster_end")
+
+
+@pytest.mark.parametrize(("block", "missing", "twice", "threshold"), [(7, 0, 0, 9000), (1, 0.05, 0, 3000), (4, 0.1, 0.1, 9000)])
+def test_regions_by_run_lengths_equal_those_by_bins(spark, monkeypatch, block, missing, twice, threshold):
+    rnd = random.Random(block)
+    rows = []
+    for strain, chrom in itertools.product("abcdefghij", ["I", "II", "X", "unplaced", None]):
+        divergent, stay = False, rnd.choice([0.5, 0.8, 0.95])
+        for b in range(rnd.choice([1, 3, 40, 300])):
+            divergent = divergent if rnd.random() < stay else not divergent
+            flip = rnd.random() < 0.03
+            bin_ = (strain, chrom, b * 1000, b * 1000 + 1000, rnd.choice([20, 3, 3, None]) if divergent else 3, 1.0 if divergent != flip else 30.0)
+            if rnd.random() >= missing:
+                rows += [bin_, bin_] if rnd.random() < twice else [bin_]
+    mask = materialize(spark.createDataFrame(rows, MASK))
+    monkeypatch.setattr(D, "BLOCK_BINS", block)
+    got = D.divergent_regions(mask, threshold)
+    want = regions_by_bin(mask, threshold)
+    assert got.schema == want.schema
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and want.count() > 20
+
+
+def test_a_cluster_as_long_as_its_contig_is_few_rows(spark, monkeypatch):
+    """All windows over a contig read the stored runs: two or three a block, not a row per bin."""
+    n, block = 20_000, 1000
+    low, seen = F.col("id") >= 100, {}
+    mask = spark.range(n).select(
+        F.lit("w").alias("strain"), F.lit("I").alias("chrom"), (F.col("id") * 1000).alias("start_bin"), (F.col("id") * 1000 + 1000).alias("end_bin"),
+        F.when(F.col("id") == n // 2, 20).otherwise(0).cast("long").alias("var_count"), F.when(low, 0.0).otherwise(30.0).alias("coverage"),
+    )
+
+    def counted(df, tag, *a):
+        out = stored(df, tag, *a)
+        seen[tag] = out.count()
+        return out
+
+    monkeypatch.setattr(D, "stored", counted)
+    monkeypatch.setattr(D, "BLOCK_BINS", block, raising=False)
+    got = [tuple(r) for r in D.divergent_regions(mask).collect()]
+    assert got == [("w", "I", 100_000, (n - 100) * 1000, n * 1000)]
+    assert seen["divergent-runs"] <= 3 * n // block
+
+
 def brute_removals(edges, window, step):
     gone = set()
     for start in range(1, max(b for _, b, _ in edges) + 1, step):
